@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigloom.llm import langid, quality, toxicity
+from sigloom.llm import bpe, langid, mtree, quality, toxicity
 from sigloom.session import ship, table
 
 
@@ -20,10 +20,34 @@ def op2_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op9_bpe_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return bpe.encode(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op10_language_id)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op5_mtree_topk, op9_bpe_monoid, op10_language_id)}
+
+ORACLES: dict[str, str] = {
+    "op5_mtree_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_aggregate(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+        ) WHERE rank <= 5
+    """,
+}

@@ -48,7 +48,7 @@ class Linear:
         return S.sigmoid(self.bias + T.segment_sum(self.weights[ids], ptr))
 
 
-def nnpu(x_p: tuple, x_u: tuple, prior: float, n: int, steps: int = 400, rate: float = 0.05, l2: float = 2e-3, beta: float = 0.0) -> tuple[float, np.ndarray]:
+def nnpu(x_p: tuple, x_u: tuple, prior: float, n: int, steps: int = 800, rate: float = 0.05, l2: float = 2e-4, beta: float = 0.0) -> tuple[float, np.ndarray]:
     """Adam on the non-negative risk with the logistic loss; full batches of sparse rows (pointers, ids)."""
     w, b = np.zeros(n), 0.0
     m, v = np.zeros(n + 1), np.zeros(n + 1)
