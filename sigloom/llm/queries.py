@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigloom.llm import bpe, langid, mtree, quality, toxicity
+from sigloom.llm import bpe, html, langid, mtree, quality, toxicity
 from sigloom.session import ship, table
 
 
@@ -20,6 +20,11 @@ def op2_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_html_tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return html.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op5_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return mtree.top_k(table(spark, sf_dir, "embeddings"))
@@ -35,7 +40,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op5_mtree_topk, op9_bpe_monoid, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op4_html_tree_model, op5_mtree_topk, op9_bpe_monoid, op10_language_id)}
 
 ORACLES: dict[str, str] = {
     "op5_mtree_topk": """
