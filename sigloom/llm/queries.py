@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigloom.llm import bpe, html, langid, mtree, quality, toxicity
+from sigloom.llm import bpe, html, langid, mtree, quality, substring, toxicity
 from sigloom.session import ship, table
 
 
@@ -20,6 +20,11 @@ def op2_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return substring.deduplicate(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op4_html_tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return html.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
@@ -40,9 +45,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op4_html_tree_model, op5_mtree_topk, op9_bpe_monoid, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op3_substring_automata, op4_html_tree_model, op5_mtree_topk, op9_bpe_monoid, op10_language_id)}
 
 ORACLES: dict[str, str] = {
+    "op3_substring_automata": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        w AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+        s AS (SELECT r, unnest(range(1, len(ws) - 33)) AS i, ws FROM d WHERE len(ws) >= 35),
+        k AS (SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM s),
+        again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM k) WHERE n > 1),
+        marked AS (
+            SELECT w.r, w.i, w.word, max(CASE WHEN a.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY w.r ORDER BY w.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+            FROM w LEFT JOIN again a ON a.r = w.r AND a.i = w.i
+        ),
+        kept AS (SELECT r, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS t FROM marked GROUP BY r)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)
+    """,
     "op5_mtree_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
