@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigloom.llm import bpe, html, langid, mtree, quality, substring, toxicity
+from sigloom.llm import bpe, decontam, html, langid, mtree, neardup, quality, substring, toxicity
 from sigloom.session import ship, table
 
 
@@ -35,6 +35,16 @@ def op5_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op7_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return neardup.group(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_bpe_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return bpe.encode(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -45,7 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op3_substring_automata, op4_html_tree_model, op5_mtree_topk, op9_bpe_monoid, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op3_substring_automata, op4_html_tree_model, op5_mtree_topk, op7_odd_sketch_dedup, op8_template_decontamination, op9_bpe_monoid, op10_language_id)}
 
 ORACLES: dict[str, str] = {
     "op3_substring_automata": r"""
@@ -62,6 +72,23 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r)
     """,
+    "op7_odd_sketch_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), s AS (
+            SELECT r, doc_id, CASE WHEN len(ws) >= 4 THEN list_sort(list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS g FROM d
+        ), c AS MATERIALIZED (
+            SELECT r, doc_id, len(g)::BIGINT AS n, CASE WHEN len(g) = 0 THEN NULL ELSE min(doc_id) OVER (PARTITION BY md5(array_to_string(g, '|'))) END AS cid, g FROM s
+        ), item AS (SELECT cid, n, unnest(g) AS x FROM c WHERE doc_id = cid),
+        links AS MATERIALIZED (
+            SELECT a, b FROM (SELECT p.cid AS a, q.cid AS b, any_value(p.n) AS m, any_value(q.n) AS n, count(*) AS k FROM item p JOIN item q ON p.x = q.x AND p.cid <> q.cid GROUP BY 1, 2)
+            WHERE 100 * k >= 80 * (m + n - k)
+        ), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        low AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+        SELECT doc_id, n AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE least(cid, coalesce(m, cid)) END AS component_id,
+               coalesce(doc_id = CASE WHEN n = 0 THEN doc_id ELSE least(cid, coalesce(m, cid)) END, FALSE) AS kept
+        FROM c LEFT JOIN low ON c.cid = low.a
+    """,
     "op5_mtree_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
