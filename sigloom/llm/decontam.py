@@ -43,6 +43,21 @@ _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 
 
+def fold_case(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes in lower case (ASCII, Latin-1 and basic Cyrillic letters) and where a capital begins."""
+    low = T.LOWER[buf]
+    capital = _UPPER[buf]
+    lead = np.r_[0, buf[:-1]] if len(buf) else buf
+    latin = (lead == 0xC3) & (buf >= 0x80) & (buf <= 0x9E) & (buf != 0x97)
+    low = np.where(latin, low + 0x20, low)
+    early, late = (lead == 0xD0) & (buf >= 0x90) & (buf <= 0x9F), (lead == 0xD0) & (buf >= 0xA0) & (buf <= 0xAF)
+    low = np.where(early, low + 0x20, np.where(late, low - 0x20, low)).astype(np.uint8)
+    low[np.flatnonzero(late) - 1] = 0xD1
+    capital = capital.copy()
+    capital[np.flatnonzero(latin | early | late) - 1] = True
+    return low, capital
+
+
 def _unit_hashes() -> np.ndarray:
     buf = np.frombuffer(" ".join(UNITS).encode(), np.uint8)
     s, e, _ = T.words(buf, np.asarray([0, len(buf)]))
@@ -74,11 +89,12 @@ def canonical(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return ptr, z, z, np.zeros(0, bool)
     begins = np.ones(len(s), bool)
     begins[1:] = (row[1:] != row[:-1]) | (stop[s2[1:]] > stop[e2[:-1]])
-    value = T.range_hash(T.LOWER[buf], s2, e2)
+    low, capital = fold_case(buf)
+    value = T.range_hash(low, s2, e2)
     digits = np.r_[0, np.cumsum(_DIGIT[buf])]
     number = _DIGIT[buf[s2]] & (2 * (digits[e2] - digits[s2]) >= np.minimum(e2 - s2, 4))
-    upper = np.r_[0, np.cumsum(_UPPER[buf])]
-    title = (_UPPER[buf[s2]] & (upper[e2] - upper[s2] == 1)) | ((buf[s2] == 0xC3) & (buf[np.minimum(s2 + 1, len(buf) - 1)] < 0x9F) & (upper[e2] == upper[s2]))
+    upper = np.r_[0, np.cumsum(capital)]
+    title = capital[s2] & (upper[e2] - upper[s2] == 1) & (e2 - s2 >= np.where(buf[s2] < 0x80, 2, 3))
     name = title & ~begins
     after = np.zeros(len(s), bool)
     after[1:] = number[:-1] & (row[1:] == row[:-1])
