@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 TREE = 8192
 PAGE = 256
-FAN = 12
+FAN = 6
 BLOCK = 256
 
 
@@ -78,6 +78,9 @@ class Node:
     near: np.ndarray
     rows: np.ndarray | None
     children: list | None
+    first: int = 0
+    end: int = 0
+    radii: np.ndarray | None = None
 
 
 class MTree:
@@ -88,6 +91,32 @@ class MTree:
         self.top2 = float(self.norm2.max()) if len(ids) else 0.0
         self.last = np.sqrt(np.maximum(self.top2 - self.norm2, 0))
         self.root = self._build(np.arange(len(ids)), 0) if len(ids) else None
+        self._settle()
+
+    def _settle(self) -> None:
+        """Lays the vectors out in the order of the leaves, so that a page is one slice."""
+        leaves, stack = [], [self.root] if self.root else []
+        while stack:
+            node = stack.pop()
+            if node.children is None:
+                leaves.append(node)
+            else:
+                stack += node.children
+        if not leaves:
+            return
+        order = np.concatenate([n.rows for n in leaves])
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.ids, self.x, self.norm2, self.last = self.ids[order], np.ascontiguousarray(self.x[order]), self.norm2[order], self.last[order]
+        stack = [self.root]
+        while stack:
+            node = stack.pop()
+            node.pivot = int(place[node.pivot])
+            stack += node.children or []
+        at = 0
+        for n in leaves:
+            n.first, n.end = at, at + len(n.rows)
+            n.rows, at = None, n.end
 
     def _distance(self, a: int, rows: np.ndarray) -> np.ndarray:
         d2 = self.norm2[a] + self.norm2[rows] - 2 * (self.x[rows] @ self.x[a]) + (self.last[rows] - self.last[a]) ** 2
@@ -100,13 +129,20 @@ class MTree:
         radius = float(near.max())
         if len(rows) <= PAGE:
             return Node(pivot, radius, near, rows, None)
-        # routing objects: each next one the farthest from those before
+        # routing objects: rows evenly spaced by id that differ from those before
         pivots, owner, best = [pivot], np.zeros(len(rows), np.int64), near.copy()
-        while len(pivots) < FAN and best.max() > 0:
+        spaced = rows[np.linspace(0, len(rows) - 1, FAN + 1).astype(np.int64)[1:]]
+        for p in spaced.tolist() if best.max() > 0 else []:
+            d = self._distance(p, rows)
+            closer = d < best
+            if closer.any():
+                owner[closer], best[closer] = len(pivots), d[closer]
+                pivots.append(p)
+        if len(pivots) == 1 and best.max() > 0:
             p = int(rows[int(best.argmax())])
             d = self._distance(p, rows)
             closer = d < best
-            owner[closer], best[closer] = len(pivots), d[closer]
+            owner[closer], best[closer] = 1, d[closer]
             pivots.append(p)
         if len(pivots) == 1:  # one point over and over: cut by position
             parts = [(pivot, part, near[:0]) for part in np.array_split(np.arange(len(rows)), -(-len(rows) // PAGE))]
@@ -117,7 +153,7 @@ class MTree:
             if len(part):
                 children.append(self._build(rows[part], p, best[part] if len(pivots) > 1 else near[part]))
                 dist.append(float(self._distance(pivot, np.asarray([p]))[0]))
-        return Node(pivot, radius, np.asarray(dist), None, children)
+        return Node(pivot, radius, np.asarray(dist), None, children, radii=np.asarray([c.radius for c in children]))
 
     def search(self, qid: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (score, id), best first."""
@@ -139,13 +175,22 @@ class MTree:
             if bound > limit + margin:
                 break
             if node.children is None:
-                rows = node.rows
+                rows = None
                 if limit < np.inf:
-                    rows = rows[np.abs(d - node.near) <= limit + margin]
-                if not len(rows):
-                    continue
-                s = x[rows] @ q
+                    open_ = np.abs(node.near - d) <= limit + margin
+                    n_open = np.count_nonzero(open_)
+                    if not n_open:
+                        continue
+                    if 4 * n_open < len(open_):
+                        rows = node.first + np.flatnonzero(open_)
+                if rows is None:
+                    rows = np.arange(node.first, node.end)
+                    s = x[node.first : node.end] @ q
+                else:
+                    s = x[rows] @ q
                 if len(best) == k:
+                    if s.max() < best[-1][0]:
+                        continue
                     ok = s >= best[-1][0]
                     rows, s = rows[ok], s[ok]
                 elif len(rows) > 4 * k:
@@ -157,7 +202,7 @@ class MTree:
                 if len(best) == k:
                     limit = float(np.sqrt(max(base - 2 * best[-1][0], 0)))
                 continue
-            radii = np.asarray([c.radius for c in node.children])
+            radii = node.radii
             live = np.flatnonzero(np.abs(d - node.near) - radii <= limit + margin)
             if len(live):
                 far = to(np.asarray([node.children[i].pivot for i in live]))
