@@ -27,7 +27,7 @@ BLOCK = 8 << 20
 BUCKET = 4 << 20
 
 
-def write_blocks(docs: DataFrame, keep: list[str], name: str) -> tuple[DataFrame, int]:
+def write_blocks(docs: DataFrame, keep: list[str], name: str, block_bytes: int = BLOCK) -> tuple[DataFrame, int]:
     """(text, keep..., _block) as a written table, and the number of buckets for its size."""
     kept = docs.select("text", *keep)
 
@@ -35,7 +35,7 @@ def write_blocks(docs: DataFrame, keep: list[str], name: str) -> tuple[DataFrame
         first, seq, size = TaskContext.get().partitionId() << 24, 0, 0
         for batch in batches:
             for a, b, buf, _ in T.slices(batch.column(0)):
-                if size and size + len(buf) > BLOCK:
+                if size and size + len(buf) > block_bytes:
                     seq, size = seq + 1, 0
                 size += len(buf)
                 n = b - a

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigloom.llm import bpe, decontam, html, langid, mtree, neardup, quality, substring, toxicity
+from sigloom.llm import bpe, ctw, decontam, html, langid, mtree, neardup, quality, substring, toxicity
 from sigloom.session import ship, table
 
 
@@ -35,6 +35,11 @@ def op5_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op6_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return ctw.score(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op7_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return neardup.group(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -55,7 +60,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op3_substring_automata, op4_html_tree_model, op5_mtree_topk, op7_odd_sketch_dedup, op8_template_decontamination, op9_bpe_monoid, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op3_substring_automata, op4_html_tree_model, op5_mtree_topk, op6_context_tree_weighting, op7_odd_sketch_dedup, op8_template_decontamination, op9_bpe_monoid, op10_language_id)}
 
 ORACLES: dict[str, str] = {
     "op3_substring_automata": r"""
