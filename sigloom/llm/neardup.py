@@ -290,7 +290,7 @@ def candidate_edges(classes: DataFrame, n_classes: int, limit: int) -> DataFrame
 
 def exact_edges(docs: DataFrame, members: DataFrame, shingle: int, percent: int, groups: int) -> DataFrame:
     """A forest over the true links of each candidate group. members: _id, label, s1, s2."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), "text").join(members, "_id").select("text", "_id", "label", "s1", "s2", "parts")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), "text").join(members.hint("merge"), "_id").select("text", "_id", "label", "s1", "s2", "parts")
 
     def sets(batches):
         for batch in batches:

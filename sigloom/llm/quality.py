@@ -166,8 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int =
     return train(ptr, feats, w, (np.asarray(kept["label"], float) > 0).astype(float))
 
 
-def score(docs: DataFrame, model: FactorisationMachine, keep: list[str]) -> DataFrame:
-    """keep columns and `score` of every row."""
+def score(docs: DataFrame, model: FactorisationMachine, keep: list[str], with_text: bool = False) -> DataFrame:
+    """keep columns and `score` of every row; with_text: its text too."""
     sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.linear.astype(np.float32), model.factors))
 
     def run(buf, offs, batch):
@@ -176,7 +176,7 @@ def score(docs: DataFrame, model: FactorisationMachine, keep: list[str]) -> Data
         return {"score": pa.array(m.score(*with_meta(*features(buf, offs), magnitude(lengths))))}
 
     d = with_length(docs).select("text", *keep, F.col("n_chars").cast("double").alias("_len"))
-    return S.map_scores(d, run, [*keep, "_len"], "score double").drop("_len")
+    return S.map_scores(d, run, [*keep, "_len"], "score double", with_text).drop("_len")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, bound: int = 6000) -> DataFrame:

@@ -71,18 +71,18 @@ def collect_bags(rows: DataFrame, features: Features, keep: list[str], bound: in
     return ptr, ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64), w.flatten().to_numpy(zero_copy_only=False).astype(np.float64), {k: got[k].to_pylist() for k in keep}
 
 
-def map_scores(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], dict[str, pa.Array]], inputs: list[str], fields: str) -> DataFrame:
-    """docs' rows with score columns: mapInArrow over (text, *inputs); rows keep their place, nothing is shuffled."""
+def map_scores(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], dict[str, pa.Array]], inputs: list[str], fields: str, with_text: bool = False) -> DataFrame:
+    """docs' rows with score columns: mapInArrow over (text, *inputs); rows keep their place, nothing is shuffled. with_text: the text comes first."""
 
     def run(batches):
         for batch in batches:
             for a, b, buf, offs in T.slices(batch.column(0)):
                 out = score(buf, offs, batch.slice(a, b - a))
-                cols = {inputs[i]: batch.column(1 + i).slice(a, b - a) for i in range(len(inputs))} | out
+                cols = ({"text": batch.column(0).slice(a, b - a)} if with_text else {}) | {inputs[i]: batch.column(1 + i).slice(a, b - a) for i in range(len(inputs))} | out
                 yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     kept = docs.select("text", *inputs)
-    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes[1:]] + [fields])
+    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes[0 if with_text else 1 :]] + [fields])
     return kept.mapInArrow(run, schema)
 
 

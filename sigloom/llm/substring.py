@@ -110,7 +110,7 @@ def distinct_phrases(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_text: bool = False) -> DataFrame:
-    """keep columns, n_words, n_removed, kept_sha256 (and kept_text) of every row."""
+    """keep columns, n_words, n_removed, kept_sha256 of every row. with_text: also kept_text, the text itself where nothing goes."""
     table, n_buckets = B.write_blocks(docs, keep, "substring")
 
     def phrases(batches):
@@ -160,13 +160,14 @@ def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_tex
             lost = np.r_[0, np.cumsum(gone)]
             for d in range(len(offs) - 1):
                 a, b = w.ptr[d], w.ptr[d + 1]
+                whole = lost[b] == lost[a]
                 ws = data[offs[d] : offs[d + 1]].split()
-                if lost[b] > lost[a]:
+                if not whole:
                     ws = compress(ws, ~gone[a:b])
                 text = b" ".join(ws)
                 digests.append(hashlib.sha256(text).hexdigest())
                 if with_text:
-                    kept.append(text.decode())
+                    kept.append(data[offs[d] : offs[d + 1]].decode() if whole else text.decode())
             n_words.append(np.diff(w.ptr))
             n_removed.append(lost[w.ptr[1:]] - lost[w.ptr[:-1]])
         cols = {c: texts[c] for c in keep} | {"n_words": pa.array(np.concatenate(n_words), pa.int64()), "n_removed": pa.array(np.concatenate(n_removed), pa.int64()), "kept_sha256": pa.array(digests)}
