@@ -1,10 +1,380 @@
-"""Registered queries and their SQL."""
+"""Registered queries of the signal operators, with the SQL that states their results.
+
+events stand for samples (channel = event_type), lineitem for wide signals and packets,
+orders for block indexes, embeddings for waveforms.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sigloom.functions import labels, scale, timeaxis
+from sigloom.operators import export, joins, sequence, signal, store
+from sigloom.session import table
+from sigloom.streaming import ingest
 
+HOUR = 3_600_000_000
+DAY = 24 * HOUR
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+#: Samples in SQL.
+S = "SELECT event_type AS channel_id, epoch_us(ts) AS t_us, value, event_id FROM events"
+#: Segments in SQL: gaps of over an hour.
+SEG = f"""s AS ({S}), d AS (SELECT *, t_us - lag(t_us) OVER (PARTITION BY channel_id ORDER BY t_us, event_id) AS dt FROM s),
+    g AS (SELECT *, sum(CASE WHEN dt IS NULL OR dt > {HOUR} THEN 1 ELSE 0 END) OVER (PARTITION BY channel_id ORDER BY t_us, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS seg FROM d),
+    r AS (SELECT channel_id, seg, min(t_us) AS lo, max(t_us) + 1 AS hi, count(*) AS n FROM g GROUP BY channel_id, seg)"""
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("event_type").alias("channel_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"), "value", "event_id")
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.segments(samples(spark, sf_dir), F.lit(HOUR), tie="event_id", bucket_us=DAY)
+
+
+@query(f"WITH {SEG} SELECT channel_id, seg, lo, hi, n FROM r")
+def gap_segments(spark, sf_dir):
+    return _segments(spark, sf_dir)
+
+
+@query(f"SELECT channel_id, median(dt) AS period_us, 1e6::DOUBLE / median(dt) AS rate FROM (SELECT channel_id, t_us - lag(t_us) OVER w AS dt, row_number() OVER w AS rn FROM ({S}) WINDOW w AS (PARTITION BY channel_id ORDER BY t_us)) WHERE rn BETWEEN 2 AND 10 GROUP BY channel_id")
+def infer_rate(spark, sf_dir):
+    return sequence.infer_rate(samples(spark, sf_dir))
+
+
+@query(f"SELECT channel_id, abs(rate - 0.001::DOUBLE) / 0.001::DOUBLE AS error, abs(rate - 0.001::DOUBLE) / 0.001::DOUBLE <= 0.02::DOUBLE AS ok FROM (SELECT channel_id, 1e6::DOUBLE / median(dt) AS rate FROM (SELECT channel_id, t_us - lag(t_us) OVER w AS dt, row_number() OVER w AS rn FROM ({S}) WINDOW w AS (PARTITION BY channel_id ORDER BY t_us)) WHERE rn BETWEEN 2 AND 10 GROUP BY channel_id)")
+def rate_check(spark, sf_dir):
+    error = sequence.rate_error(F.col("rate"), F.lit(0.001))
+    return sequence.infer_rate(samples(spark, sf_dir)).select("channel_id", error.alias("error"), (error <= 0.02).alias("ok"))
+
+
+@query(f"SELECT channel_id, (rn - 1) // 512 AS batch, min(t_us) AS lo, max(t_us) AS hi, count(*) AS n FROM (SELECT channel_id, t_us, row_number() OVER (PARTITION BY channel_id ORDER BY t_us, event_id) AS rn FROM ({S})) GROUP BY ALL")
+def batch_ranges(spark, sf_dir):
+    rows = sequence.running_count(sequence.bucketed(samples(spark, sf_dir), "t_us", DAY), F.lit(True), "rn", tie="event_id")
+    return rows.withColumn("batch", store.batch_number(F.col("rn"), 512)).groupBy("channel_id", "batch").agg(F.min("t_us").alias("lo"), F.max("t_us").alias("hi"), F.count("*").alias("n"))
+
+
+@query(f"""WITH {SEG} SELECT r.channel_id, seg, pos, lo + pos * 250000.0::DOUBLE AS t FROM r, unnest(range(0, least(n, 50))) AS p(pos)""")
+def range_expand(spark, sf_dir):
+    r = _segments(spark, sf_dir).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("n"), F.lit(50)) - 1)))
+    return r.select("channel_id", "seg", "pos", timeaxis.time_at(F.col("lo"), F.col("pos"), F.lit(4.0)).alias("t"))
+
+
+@query(f"""WITH s AS ({S}), d AS (SELECT *, t_us - lag(t_us) OVER (PARTITION BY channel_id ORDER BY t_us) AS dt FROM s), g AS (SELECT *, sum(CASE WHEN dt IS NULL OR dt > 2e6::DOUBLE / 0.002::DOUBLE THEN 1 ELSE 0 END) OVER (PARTITION BY channel_id ORDER BY t_us) AS seg FROM d),
+    n AS (SELECT *, row_number() OVER (PARTITION BY channel_id, seg ORDER BY t_us) - 1 AS rn FROM g)
+    SELECT channel_id, min(t_us) AS lo, trunc(min(t_us) + (count(*) - 1) * 1e6::DOUBLE / 0.002::DOUBLE + 1.0::DOUBLE)::BIGINT AS hi, count(*) AS n, round(sum(value), 4) AS total FROM n GROUP BY channel_id, seg, rn // 64""")
+def store_ranges(spark, sf_dir):
+    s = samples(spark, sf_dir)
+    rates = s.select("channel_id").distinct().withColumn("rate", F.lit(0.002))
+    r = store.to_ranges(s.select("channel_id", "t_us", "value"), rates, 64, DAY)
+    return r.select("channel_id", "lo", "hi", F.size("values").cast("long").alias("n"), F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
+@query(f"WITH c AS (SELECT channel_id, min(t_us) AS lo, max(t_us) AS hi, count(*) AS n FROM ({S}) GROUP BY 1) SELECT channel_id, pos, trunc(lo + pos * ((hi - lo) / (n - 1)::DOUBLE))::BIGINT AS t FROM c, unnest(range(0, n)) AS p(pos)")
+def linspace_incl(spark, sf_dir):
+    c = samples(spark, sf_dir).groupBy("channel_id").agg(F.min("t_us").alias("lo"), F.max("t_us").alias("hi"), F.count("*").alias("n"))
+    return c.withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select("channel_id", "pos", timeaxis.linspace_at(F.col("lo"), F.col("hi"), F.col("n"), F.col("pos")).alias("t"))
+
+
+@query(f"WITH c AS (SELECT channel_id, min(t_us) AS lo, count(*) AS n FROM ({S}) GROUP BY 1) SELECT channel_id, pos, lo + pos * (2.5::DOUBLE * 1e6::DOUBLE) / n AS t FROM c, unnest(range(0, n)) AS p(pos)")
+def linspace_excl(spark, sf_dir):
+    c = samples(spark, sf_dir).groupBy("channel_id").agg(F.min("t_us").alias("lo"), F.count("*").alias("n"))
+    return c.withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select("channel_id", "pos", timeaxis.linspace_open_at(F.col("lo"), F.lit(2.5), F.col("n"), F.col("pos")).alias("t"))
+
+
+@query(f"WITH {SEG}, old AS (SELECT channel_id, lo, hi FROM r WHERE seg % 2 = 0), new AS (SELECT channel_id, seg, lo - 5400000000 AS lo, hi + 5400000000 AS hi FROM r WHERE seg % 2 = 1) SELECT * FROM new WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.channel_id = new.channel_id AND old.lo < new.hi AND new.lo < old.hi)")
+def append_skip_overlap(spark, sf_dir):
+    r = _segments(spark, sf_dir)
+    new = r.where("seg % 2 = 1").select("channel_id", "seg", (F.col("lo") - 5_400_000_000).alias("lo"), (F.col("hi") + 5_400_000_000).alias("hi"))
+    return store.append(r.where("seg % 2 = 0").select("channel_id", "lo", "hi"), new).select("channel_id", "seg", "lo", "hi")
+
+
+@query(f"WITH {SEG} SELECT a.channel_id, a.seg, b.seg AS other FROM r a JOIN r b ON a.channel_id < b.channel_id AND a.lo < b.hi AND b.lo < a.hi AND a.seg <= 40 AND b.seg <= 40")
+def interval_overlap(spark, sf_dir):
+    r = _segments(spark, sf_dir).where("seg <= 40").withColumn("all", F.lit(1))
+    other = r.select("all", "lo", "hi", F.col("channel_id").alias("c2"), F.col("seg").alias("other"))
+    return joins.overlapping(r, other, "all", carry=("c2", "other"), bucket=DAY).where("channel_id < c2").select("channel_id", "seg", "other")
+
+
+@query(f"SELECT min(lo) AS session_start, max(hi) AS session_end FROM (SELECT min(t_us) AS lo, max(t_us) AS hi FROM ({S}) GROUP BY channel_id)")
+def session_bounds(spark, sf_dir):
+    c = samples(spark, sf_dir).groupBy("channel_id").agg(F.min("t_us").alias("start"), F.max("t_us").alias("end"))
+    return export.session_bounds(c)
+
+
+@query(f"SELECT event_id, (t_us - (SELECT min(t_us) FROM ({S}))) / 1e6::DOUBLE AS seconds FROM ({S})")
+def relative_seconds(spark, sf_dir):
+    s = samples(spark, sf_dir)
+    first = s.agg(F.min("t_us").alias("session_start"))
+    return s.join(F.broadcast(first)).select("event_id", timeaxis.relative_seconds(F.col("t_us"), F.col("session_start")).alias("seconds"))
+
+
+@query("SELECT l_orderkey, l_linenumber, channel, value FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CASE WHEN l_discount > 0.05 THEN l_discount END AS l_discount FROM lineitem) ON l_quantity, l_extendedprice, l_discount INTO NAME channel VALUE value)")
+def channel_long(spark, sf_dir):
+    w = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", F.when(F.col("l_discount") > 0.05, F.col("l_discount")).alias("l_discount"))
+    return w.unpivot(["l_orderkey", "l_linenumber"], ["l_quantity", "l_extendedprice", "l_discount"], "channel", "value").where("value is not null and not isnan(value)")
+
+
+@query("SELECT l_orderkey, l_linenumber, (100.0::DOUBLE - -50.0::DOUBLE) / (40.0::DOUBLE - -20.0::DOUBLE) * ((100.0::DOUBLE / ((100.0::DOUBLE - -50.0::DOUBLE) / (40.0::DOUBLE - -20.0::DOUBLE)) - 40.0::DOUBLE) + l_quantity) AS physical FROM lineitem")
+def digital_to_physical(spark, sf_dir):
+    p = scale.digital_to_physical(F.col("l_quantity"), F.lit(-50.0), F.lit(100.0), F.lit(-20.0), F.lit(40.0))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", p.alias("physical"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN (l_quantity::FLOAT * (50::FLOAT / 32767::FLOAT)::FLOAT)::FLOAT ELSE ((l_quantity::FLOAT - 0::FLOAT) * ((10::FLOAT - 2::FLOAT)::FLOAT / 100::FLOAT)::FLOAT + 2::FLOAT)::FLOAT END::DOUBLE AS analog FROM lineitem")
+def affine_scale(spark, sf_dir):
+    even = F.col("l_linenumber") % 2 == 0
+    pick = lambda a, b: F.when(even, F.lit(a)).otherwise(F.lit(b))
+    a = scale.analog(F.col("l_quantity"), pick(-32767, 0), pick(32767, 100), pick(-50, 2), pick(50, 10))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", a.cast("double").alias("analog"))
+
+
+@query("WITH k AS (SELECT l_orderkey, l_linenumber, (l_orderkey * 7919 + l_partkey) & 16777215 AS x FROM lineitem) SELECT l_orderkey, l_linenumber, CASE WHEN x & 8388608 <> 0 THEN x - 16777216 ELSE x END AS v24, CASE WHEN x >= 65536 THEN x - 16777216 ELSE x END AS v24_wide, CASE WHEN (x & 65535) & 32768 <> 0 THEN (x & 65535) - 65536 ELSE x & 65535 END AS v16, (x & 32) > 0 AS bit5 FROM k")
+def bit_ops24(spark, sf_dir):
+    x = F.col("x")
+    k = table(spark, sf_dir, "lineitem").withColumn("x", (F.col("l_orderkey") * 7919 + F.col("l_partkey")).bitwiseAND(16777215))
+    return k.select("l_orderkey", "l_linenumber", scale.sign_extend_24(x).alias("v24"), scale.sign_extend_24(x, True).alias("v24_wide"), scale.twos_complement(x.bitwiseAND(65535), 16).alias("v16"), scale.is_set(x, 5).alias("bit5"))
+
+
+@query("SELECT vec_id, pos - 1 AS pos, embedding[pos]::DOUBLE AS value FROM embeddings, unnest(range(1, len(embedding) + 1)) AS p(pos)")
+def waveform_explode(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "value")).select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("value").cast("double").alias("value"))
+
+
+@query("SELECT vec_id, part, w FROM (SELECT vec_id, part, list_transform(embedding[part * 16 + 1:part * 16 + 16], lambda x: x::DOUBLE) AS w FROM embeddings, unnest(range(0, 4)) AS p(part))")
+def waveform_reshape(spark, sf_dir):
+    parts = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("embedding", i * 16 + 1, 16))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(parts).alias("part", "w")).select("vec_id", F.col("part").cast("long").alias("part"), F.col("w").cast("array<double>").alias("w"))
+
+
+@query(f"WITH {SEG} SELECT p.event_id, b.seg AS block_seg, b.lo AS block_lo FROM (SELECT event_id, t_us + 60000000 AS t FROM s WHERE channel_id = 'click') p ASOF LEFT JOIN (SELECT * FROM r WHERE channel_id = 'view') b ON p.t >= b.lo")
+def asof_sample(spark, sf_dir):
+    s = samples(spark, sf_dir).where("channel_id = 'click'").select("event_id", (F.col("t_us") + 60_000_000).alias("t")).withColumn("k", F.lit(0))
+    b = _segments(spark, sf_dir).where("channel_id = 'view'").withColumn("k", F.lit(0))
+    return joins.last_at_or_before(s, b, "t", "lo", ["seg", "lo"], "k").select("event_id", "block_seg", "block_lo")
+
+
+@query(f"WITH {SEG}, f AS (SELECT *, sum(n) OVER (PARTITION BY channel_id ORDER BY lo) - n AS first FROM r), q AS (SELECT s.channel_id, s.event_id, s.t_us, f.lo, f.first, f.n FROM s ASOF JOIN f ON s.channel_id = f.channel_id AND s.t_us >= f.lo) SELECT channel_id, event_id, (first + least(round((t_us - lo) / 1e6::DOUBLE * 0.5::DOUBLE)::BIGINT, n))::BIGINT AS sample, (lo + round((first + least(round((t_us - lo) / 1e6::DOUBLE * 0.5::DOUBLE)::BIGINT, n) - first) / 0.5::DOUBLE * 1e6::DOUBLE))::BIGINT AS back FROM q")
+def sample_time_maps(spark, sf_dir):
+    r = _segments(spark, sf_dir)
+    r = r.withColumn("first", F.sum("n").over(Window.partitionBy("channel_id").orderBy("lo")) - F.col("n"))
+    q = joins.last_at_or_before(samples(spark, sf_dir), r, "t_us", "lo", ["lo", "first", "n"], "channel_id")
+    n = joins.sample_at(F.col("t_us"), F.col("block_lo"), F.col("block_first"), F.col("block_n"), F.lit(0.5))
+    return q.select("channel_id", "event_id", n.alias("sample"), joins.time_of(n, F.col("block_lo"), F.col("block_first"), F.lit(0.5)).alias("back"))
+
+
+@query(f"WITH s AS ({S}), h AS (SELECT *, sum(CASE WHEN value < 20 THEN 1 ELSE 0 END) OVER (PARTITION BY channel_id ORDER BY t_us, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS hole FROM s) SELECT channel_id, hole, min(t_us) AS lo, max(t_us) AS hi, count(*) AS n FROM h WHERE value >= 20 GROUP BY channel_id, hole")
+def nan_islands(spark, sf_dir):
+    return sequence.islands(samples(spark, sf_dir), F.col("value") >= 20, tie="event_id", bucket_us=DAY).withColumnRenamed("_hole", "hole")
+
+
+@query("SELECT o_custkey, o_orderkey, coalesce(lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey), 10000000) - o_orderkey AS length FROM orders")
+def block_lengths(spark, sf_dir):
+    return sequence.block_lengths(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_orderkey", F.lit(10_000_000), "o_custkey")
+
+
+@query("SELECT o_custkey, o_orderkey, trunc(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))::BIGINT AS offset_end FROM orders")
+def cum_offsets(spark, sf_dir):
+    return sequence.cumulative_offsets(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_totalprice", ["o_orderkey"], "o_custkey").drop("o_totalprice")
+
+
+@query("SELECT o_custkey, min(i)::BIGINT AS first_index FROM (SELECT o_custkey, row_number() OVER w - 1 AS i, sum(o_totalprice) OVER w AS c FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)) WHERE c >= 200000 GROUP BY o_custkey")
+def first_ge(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    c = o.withColumn("i", (F.row_number().over(w) - 1).cast("long")).withColumn("c", F.sum("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return sequence.first_reaching(c, F.col("c"), F.lit(200000), "i", "o_custkey")
+
+
+@query(f"SELECT channel_id, event_id, least(t_us + 900000000, coalesce(lead(t_us) OVER (PARTITION BY channel_id ORDER BY t_us, event_id), t_us + 900000000)) AS clamped_end FROM ({S})")
+def clamp_next_start(spark, sf_dir):
+    s = samples(spark, sf_dir).withColumn("e", F.col("t_us") + 900_000_000)
+    return sequence.clamp_to_next(s, "t_us", "e", "channel_id", tie="event_id").select("channel_id", "event_id", "clamped_end")
+
+
+@query(f"WITH {SEG}, c AS (SELECT channel_id, lo, lag(lo + n / 0.001::DOUBLE * 1e6::DOUBLE) OVER (PARTITION BY channel_id ORDER BY lo) AS expected FROM r) SELECT channel_id, lo, expected, expected IS NULL OR abs(lo - expected) > 1800000000.0::DOUBLE AS discontinuous FROM c")
+def discontinuities(spark, sf_dir):
+    d = sequence.discontinuities(_segments(spark, sf_dir), "lo", F.col("n"), F.lit(0.001), F.lit(1_800_000_000.0), "channel_id")
+    return d.select("channel_id", "lo", "expected", "discontinuous")
+
+
+@query("SELECT o_custkey, CASE WHEN len(v) >= 8 THEN v[1:8] ELSE list_concat(v, list_transform(range(0, 8 - len(v)), lambda i: v[len(v)])) END AS fitted FROM (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS v FROM orders GROUP BY 1)")
+def fit_length(spark, sf_dir):
+    v = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("v"))
+    return v.select("o_custkey", sequence.fit_length(F.col("v"), F.lit(8)).alias("fitted"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 20 = 0 THEN 'unclassified' WHEN l_suppkey % 20 <= 16 THEN (l_suppkey % 20)::VARCHAR ELSE 'noise' END AS unit FROM lineitem WHERE l_linenumber = 2 AND l_suppkey % 20 <> 18")
+def unit_filter(spark, sf_dir):
+    u = F.col("l_suppkey") % 20
+    rows = table(spark, sf_dir, "lineitem").where((F.col("l_linenumber") == 2) & (u != 18))
+    return rows.select("l_orderkey", "l_linenumber", labels.unit_class(F.when(u > 16, 255).otherwise(u)).alias("unit"))
+
+
+@query("SELECT kind, count(*) AS n FROM (SELECT CASE WHEN p = 0 THEN 'event' WHEN p BETWEEN 1 AND 512 THEN 'spike' WHEN p = 65535 THEN 'continuation' WHEN p = 65531 THEN 'comment' ELSE 'unknown' END AS kind FROM (SELECT CASE WHEN event_id % 50 = 0 THEN 65535 WHEN event_id % 51 = 0 THEN 65531 ELSE user_id % 600 END AS p FROM events)) GROUP BY kind")
+def packet_class(spark, sf_dir):
+    p = F.when(F.col("event_id") % 50 == 0, 65535).when(F.col("event_id") % 51 == 0, 65531).otherwise(F.col("user_id") % 600)
+    return table(spark, sf_dir, "events").select(labels.packet_class(p, 512).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("WITH a AS (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'), b AS (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') SELECT 'both' AS part, o_custkey FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'open', o_custkey FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'any', o_custkey FROM (SELECT * FROM a UNION SELECT * FROM b)")
+def channel_setops(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    a, b = (o.where(F.col("o_orderstatus") == s).select("o_custkey") for s in "OF")
+    mark = lambda d, name: d.select(F.lit(name).alias("part"), "o_custkey")
+    return mark(a.intersect(b), "both").unionByName(mark(a.subtract(b), "open")).unionByName(mark(a.union(b).distinct(), "any"))
+
+
+@query("SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'zero' WHEN 1 THEN 'one' WHEN 2 THEN 'two' ELSE 'UNKNOWN' END AS label, CASE WHEN n_nationkey * 10 < 129 THEN 'chan' || (n_nationkey * 10) ELSE 'ainp' || (n_nationkey * 10 - 128) END AS electrode FROM nation")
+def label_lookup(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    return n.select("n_nationkey", labels.named(F.col("n_regionkey").cast("string"), {"0": "zero", "1": "one", "2": "two"}).alias("label"), labels.default_label(F.col("n_nationkey") * 10).alias("electrode"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 100 + 1900 < 1985 THEN o_orderkey % 100 + 2000 ELSE o_orderkey % 100 + 1900 END::INTEGER AS y, trunc(((40000 + o_custkey / 7.0::DOUBLE) * 86400.0::DOUBLE - 2209161600.0::DOUBLE) * 1e6::DOUBLE)::BIGINT AS ole_us FROM orders")
+def header_dates(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", timeaxis.two_digit_year(F.col("o_orderkey") % 100).alias("y"), timeaxis.ole_to_micros(F.lit(40000) + F.col("o_custkey") / F.lit(7.0)).alias("ole_us"))
+
+
+@query("SELECT event_id, upper('{' || h[7:8] || h[5:6] || h[3:4] || h[1:2] || '-' || h[11:12] || h[9:10] || '-' || h[15:16] || h[13:14] || '-' || h[17:20] || '-' || h[21:32] || '}') AS guid FROM (SELECT event_id, md5(event_id::VARCHAR) AS h FROM events)")
+def guid_format(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", labels.guid(F.md5(F.col("event_id").cast("string"))).alias("guid"))
+
+
+@query(f"SELECT channel_id, round(regr_slope(value, event_id), 9) AS slope, round(regr_intercept(value, event_id), 6) AS intercept FROM ({S}) GROUP BY channel_id")
+def detrend(spark, sf_dir):
+    d = signal.detrend(samples(spark, sf_dir), "event_id", "value", "channel_id")
+    return d.select("channel_id", F.round("slope", 9).alias("slope"), F.round("intercept", 6).alias("intercept")).distinct()
+
+
+@query(f"""WITH s AS ({S}), m AS (SELECT channel_id, avg(value) AS m, stddev_pop(value) AS d FROM s GROUP BY 1), b AS (SELECT channel_id, greatest(0, least(61, floor(((value - m) / d + 3.1::DOUBLE) * 10)::INTEGER)) AS bin FROM s JOIN m USING (channel_id)),
+    c AS (SELECT channel_id, bin, count(*) AS n FROM b GROUP BY 1, 2), g AS (SELECT channel_id, bin FROM m, unnest(range(0, 62)) AS p(bin)),
+    f AS (SELECT g.channel_id, g.bin, sum(coalesce(n, 0)) OVER (PARTITION BY g.channel_id ORDER BY g.bin)::DOUBLE AS c, (g.bin + 1) / 10.0::DOUBLE - 3.1::DOUBLE AS x FROM g LEFT JOIN c USING (channel_id, bin))
+    SELECT channel_id, round(corr(c, 1.0::DOUBLE / (1.0::DOUBLE + exp(-1.5976::DOUBLE * x - 0.07056::DOUBLE * x * x * x))), 6) AS normality FROM f GROUP BY channel_id""")
+def normality_corr(spark, sf_dir):
+    return signal.normality(samples(spark, sf_dir), "value", "channel_id").select("channel_id", F.round("normality", 6).alias("normality"))
+
+
+@query(f"SELECT channel_id, t_us // {DAY} AS block, min(value) AS min_value, max(value) AS max_value, count(*) AS n FROM ({S}) GROUP BY ALL")
+def minmax_block(spark, sf_dir):
+    return signal.block_extremes(samples(spark, sf_dir), F.floor(F.col("t_us") / F.lit(DAY)), "value", "channel_id")
+
+
+@query(f"SELECT channel_id, event_id, quantile_cont(value, 0.5) OVER (PARTITION BY channel_id ORDER BY t_us, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS q FROM ({S})")
+def running_quantile(spark, sf_dir):
+    return signal.running_quantile(samples(spark, sf_dir), "value", ["t_us", "event_id"], "channel_id", span=4).select("channel_id", "event_id", "q")
+
+
+@query(f"SELECT channel_id, round(coalesce(avg(CASE WHEN value <> 0 THEN abs((value - round(value / 7.0::DOUBLE) * 7.0::DOUBLE) / value) END), 0), 9) AS ratio FROM ({S}) GROUP BY channel_id")
+def residual_ratio(spark, sf_dir):
+    s = samples(spark, sf_dir)
+    decoded = scale.lossy_unscale(scale.lossy_scale(F.col("value"), F.lit(7.0)), F.lit(7.0))
+    return s.groupBy("channel_id").agg(F.round(signal.residual_ratio(F.col("value"), decoded), 9).alias("ratio"))
+
+
+@query("SELECT o_orderkey, regexp_extract('seg-' || lpad(o_orderkey::VARCHAR, 6, '0'), '-([0-9]{6})', 1)::INTEGER AS segment, o_orderkey AS start, (o_custkey % 2)::INTEGER AS flag, 'raw' AS suffix FROM orders WHERE o_orderkey < 1000000")
+def file_names(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderkey < 1000000")
+    c = labels.chunk_parts(F.concat(F.lit("a_b_"), F.col("o_orderkey").cast("string"), F.lit("_"), (F.col("o_custkey") % 2).cast("string"), F.lit("_raw.raw32")))
+    return o.select("o_orderkey", labels.segment_number(F.concat(F.lit("seg-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))).alias("segment"), c["start"].alias("start"), c["flag"].alias("flag"), c["suffix"].alias("suffix"))
+
+
+@query("SELECT event_id, 'c' || user_id AS channel, (user_id * 10)::INTEGER AS rate FROM events")
+def header_fields(spark, sf_dir):
+    h = F.concat(F.lit("header.format = 'Open';\nheader.channel = 'c"), F.col("user_id").cast("string"), F.lit("';\nheader.sampleRate = "), (F.col("user_id") * 10).cast("string"), F.lit(";\n"))
+    m = labels.header_map(h)
+    return table(spark, sf_dir, "events").select("event_id", m["channel"].alias("channel"), m["sampleRate"].cast("int").alias("rate"))
+
+
+@query("SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'dir/' || event_id ELSE coalesce(CASE WHEN user_id % 3 = 1 THEN 'u' || user_id END, 'j' || event_id % 7) || '/exports/j' || event_id % 7 || '/' || event_id END AS key FROM events")
+def upload_key(spark, sf_dir):
+    u = F.col("user_id")
+    s = lambda x: x.cast("string")
+    key = labels.upload_key(F.when(u % 3 == 0, F.lit("dir")), F.when(u % 3 == 1, F.concat(F.lit("u"), s(u))), F.concat(F.lit("j"), s(F.col("event_id") % 7)), s(F.col("event_id")))
+    return table(spark, sf_dir, "events").select("event_id", key.alias("key"))
+
+
+@query(f"SELECT event_id, t_us + event_id / 30000.0::DOUBLE * 1e6::DOUBLE AS spike, t_us + 5 / 30000.0::DOUBLE * 1e6::DOUBLE * 1 + event_id * (1e6::DOUBLE / 30000.0::DOUBLE) AS record, CASE WHEN event_id % 2 = 0 THEN t_us ELSE -(-t_us - 1000) END AS plain, t_us + event_id / 4294967296.0::DOUBLE AS clock FROM ({S})")
+def stamped_times(spark, sf_dir):
+    t, i = F.col("t_us"), F.col("event_id")
+    return samples(spark, sf_dir).select("event_id", timeaxis.stamp_time(t, i, F.lit(30000.0)).alias("spike"), timeaxis.record_time(t, F.lit(5), i, F.lit(30000.0)).alias("record"), timeaxis.remove_offset(F.when(i % 2 == 0, t).otherwise(-t), F.lit(1000)).alias("plain"), timeaxis.fraction_clock(t, i).alias("clock"))
+
+
+@query("SELECT vec_id, (pos - 1) % 4 AS channel, (pos - 1) // 4 AS i, embedding[pos]::DOUBLE AS value FROM embeddings, unnest(range(1, len(embedding) + 1)) AS p(pos)")
+def deinterleave(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    return e.select("vec_id", (F.col("pos") % 4).cast("long").alias("channel"), F.floor(F.col("pos") / 4).alias("i"), F.col("value").cast("double").alias("value"))
+
+
+@query("SELECT prefix, count(*) AS n, count(DISTINCT kind) AS kinds FROM (SELECT 'p' || user_id AS prefix, event_type AS kind FROM events) GROUP BY prefix")
+def group_by_prefix(spark, sf_dir):
+    f = table(spark, sf_dir, "events").select(F.concat_ws(",", F.concat(F.lit("p"), F.col("user_id").cast("string")), "event_type").alias("f"))
+    return f.groupBy(F.substring_index("f", ",", 1).alias("prefix")).agg(F.count("*").alias("n"), F.countDistinct(F.substring_index("f", ",", -1)).alias("kinds"))
+
+
+@query(f"SELECT channel_id, (rn - 1) // 100 AS batch, min(t_us) AS lo, max(t_us) + 1 AS hi, count(*) AS count FROM (SELECT channel_id, t_us, row_number() OVER (PARTITION BY channel_id ORDER BY t_us) AS rn FROM ({S})) GROUP BY ALL")
+def unit_batches(spark, sf_dir):
+    s = samples(spark, sf_dir).select("channel_id", "t_us", (F.col("event_id") % 3).cast("short").alias("unit"), F.array("value").alias("waveform"))
+    u = store.to_unit_ranges(s, 100)
+    over = Window.partitionBy("channel_id").orderBy("lo")
+    return u.select("channel_id", (F.row_number().over(over) - 1).cast("long").alias("batch"), "lo", "hi", "count")
+
+
+@query(f"WITH {SEG} SELECT channel_id, lo, hi, n FROM r")
+def gap_sessions(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("channel_id"), F.col("ts").cast("timestamp").alias("ts"))
+    return ingest.gap_sessions(e, "ts", "1 hour", "channel_id")
+
+
+@query("SELECT c_nationkey AS k, greatest(coalesce(CASE WHEN c_custkey % 3 > 0 THEN c_custkey END, 10), 10) AS lo, least(coalesce(CASE WHEN c_custkey % 5 > 0 THEN c_custkey + 30 END, 900), 900) AS hi FROM customer WHERE greatest(coalesce(CASE WHEN c_custkey % 3 > 0 THEN c_custkey END, 10), 10) < least(coalesce(CASE WHEN c_custkey % 5 > 0 THEN c_custkey + 30 END, 900), 900)")
+def merge_ranges(spark, sf_dir):
+    c, i = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    user = c.select(F.col("c_nationkey").alias("k"), F.when(i % 3 > 0, i).alias("lo"), F.when(i % 5 > 0, i + 30).alias("hi"))
+    file = c.select(F.col("c_nationkey").alias("k")).distinct().withColumn("lo", F.lit(10)).withColumn("hi", F.lit(900))
+    return joins.merge_ranges(user, file, "k")
+
+
+@query("SELECT DISTINCT o_custkey::VARCHAR AS channel FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 4 > 0)")
+def unknown_channels(spark, sf_dir):
+    asked = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("channel"))
+    known = table(spark, sf_dir, "customer").where("c_custkey % 4 > 0").select(F.col("c_custkey").cast("string").alias("channel"))
+    return joins.unknown_channels(asked, known)
+
+
+@query(f"SELECT channel_id, event_id, rn FROM (SELECT channel_id, event_id, row_number() OVER (PARTITION BY channel_id ORDER BY t_us, event_id) AS rn FROM ({S})) WHERE rn <= 10")
+def first_ten(spark, sf_dir):
+    over = Window.partitionBy("channel_id").orderBy("t_us", "event_id")
+    return samples(spark, sf_dir).withColumn("rn", F.row_number().over(over).cast("long")).where("rn <= 10").select("channel_id", "event_id", "rn")
+
+
+@query()
+def match_intervals(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("source"), F.col("c_custkey").alias("i"), (F.lit(100.0) + F.col("c_custkey") % 17).alias("interval"))
+    return joins.match_intervals(c, "interval", "i", "source")
+
+
+@query()
+def butterworth_lowpass(spark, sf_dir):
+    return signal.filter_segments(samples(spark, sf_dir), 2, (10.0,), 100.0, "lowpass", "channel_id")
+
+
+@query()
+def line_noise(spark, sf_dir):
+    return signal.remove_line_noise_adaptive(samples(spark, sf_dir), 20, "event_id", "value", "channel_id")
