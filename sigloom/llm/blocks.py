@@ -41,8 +41,7 @@ def write_blocks(docs: DataFrame, keep: list[str], name: str, block_bytes: int =
                 n = b - a
                 yield pa.RecordBatch.from_arrays([*[c.slice(a, n) for c in batch.columns], pa.array(np.full(n, first + seq), pa.int64()), pa.array(np.r_[len(buf), np.zeros(n - 1)].astype(np.int64))], names=["text", *keep, "_block", "_bytes"])
 
-    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes] + ["_block long, _bytes long"])
-    table = materialise(kept.mapInArrow(run, schema), name)
+    table = materialise(kept.mapInArrow(run, T.schema(kept, "_block long, _bytes long")), name)
     total = table.agg(F.sum("_bytes").alias("n")).first()["n"] or 0
     return table.drop("_bytes"), max(4, -(-total // BUCKET))
 

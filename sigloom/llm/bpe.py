@@ -30,6 +30,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from sigloom.llm import textnp
+
 #: The furthest the pre-token pattern looks past the end of a match, with room to spare.
 LOOK = 3
 TEXT_LEAF = 1024
@@ -183,7 +185,7 @@ def codec(path: str | None = None, pattern: str | None = None) -> Codec:
 def encode(docs: DataFrame, keep: list[str], path: str | None = None, pattern: str | None = None, ids: bool = False) -> DataFrame:
     """keep columns, n_tokens, ids_sha256, decoded_sha256, decoded text; with ids also the ids themselves."""
     kept = docs.select("text", *keep)
-    extra = ", token_ids array<int>" if ids else ""
+    extra = ", token_ids array<int>, decoded string" if ids else ""
 
     def run(batches):
         c = codec(path, pattern)
@@ -208,5 +210,5 @@ def encode(docs: DataFrame, keep: list[str], path: str | None = None, pattern: s
                     names += ["token_ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes[1:]] + ["n_tokens long, ids_sha256 string, decoded_sha256 string" + extra + (", decoded string" if ids else "")])
+    schema = textnp.schema(kept, "n_tokens long, ids_sha256 string, decoded_sha256 string" + extra, 1)
     return kept.mapInArrow(run, schema)

@@ -317,5 +317,5 @@ def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7
         cat = lambda x, kind: pa.array(np.concatenate(x), kind)
         return pa.table({c: t[c] for c in [*keep, "held_out"]} | {"n_tokens": cat(n_tokens, pa.int64()), "n_known": cat(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(t), train_tokens), pa.int64()), "base_score": cat(bases, pa.float64()), "score": cat(scores, pa.float64())})
 
-    schema = ", ".join([f"`{n}` {t}" for n, t in table.select(*keep).dtypes] + ["held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"])
+    schema = T.schema(table.select(*keep), "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return B.with_answers(table, answers, finish, schema)

@@ -196,7 +196,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None
     """keep columns (doc_id), item_id, covered, item_words, changed_slots: a row for each item found in each document."""
     keep = keep or ["doc_id"]
     kept = docs.select("text", *keep)
-    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes[1:]] + ["item_id long, covered int, item_words int, changed_slots int"])
+    schema = T.schema(kept, "item_id long, covered int, item_words int, changed_slots int", 1)
     parts = []
     for shard in shards(benchmark, id_col):
         sent = docs.sparkSession.sparkContext.broadcast(shard)

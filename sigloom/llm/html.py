@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sigloom.llm import textnp
+
 #: Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math select".split())
@@ -425,4 +427,4 @@ def extract(pages: DataFrame, keep: list[str], model: Model | None = None, thres
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=[*keep, "text", "n_chars"])
                 at += n
 
-    return kept.mapInArrow(run, ", ".join([f"`{n}` {t}" for n, t in kept.dtypes[1:]] + ["text string, n_chars long"]))
+    return kept.mapInArrow(run, textnp.schema(kept, "text string, n_chars long", 1))

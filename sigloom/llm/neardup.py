@@ -208,7 +208,7 @@ def features(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
                 cols = [c.slice(a, b - a) for c in batch.columns[1:]]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array([r.tobytes() for r in bands], pa.binary()), pa.array([r.tobytes() for r in sketch], pa.binary())], names=[*keep, "_id", "n_shingles", "s1", "s2", "bands", "sketch"])
 
-    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes[1:]] + ["n_shingles long, s1 long, s2 long, bands binary, sketch binary"])
+    schema = T.schema(kept, "n_shingles long, s1 long, s2 long, bands binary, sketch binary", 1)
     return kept.mapInArrow(run, schema)
 
 
@@ -239,6 +239,7 @@ def candidate_edges(classes: DataFrame, n_classes: int, limit: int) -> DataFrame
     """A forest over the classes whose sketches are near each other within a band."""
     n_blocks = max(4, -(-n_classes // 4096))
     n_buckets = max(4, -(-n_classes * BANDS // 262_144))
+    n_groups = max(64, n_classes // 1024)
     table = materialise(classes.select(F.pmod(F.xxhash64("_id", F.lit(9)), F.lit(n_blocks)).alias("_block"), "_id", "bands", "sketch"), "classes")
 
     def ask(t: pa.Table) -> pa.Table:
@@ -260,7 +261,7 @@ def candidate_edges(classes: DataFrame, n_classes: int, limit: int) -> DataFrame
                 for other in range(parts):
                     u, v = min(own, other), max(own, other)
                     mixed = T.mix(np.asarray([int(keys[k]) ^ (u * 1_000_003 + v)], np.uint64))
-                    for name, value in (("_bucket", int(mixed[0] % T.U64(n_buckets))), ("key", int(keys[k : k + 1].view(np.int64)[0])), ("u", u), ("v", v), ("part", own), ("_id", int(ids[i])), ("sketch", sketches[i])):
+                    for name, value in (("_bucket", int(mixed[0] % T.U64(n_groups))), ("key", int(keys[k : k + 1].view(np.int64)[0])), ("u", u), ("v", v), ("part", own), ("_id", int(ids[i])), ("sketch", sketches[i])):
                         rows[name].append(value)
         kinds = {"_bucket": pa.int32(), "key": pa.int64(), "u": pa.int32(), "v": pa.int32(), "part": pa.int32(), "_id": pa.int64(), "sketch": pa.binary()}
         return pa.table({c: pa.array(x, kinds[c]) for c, x in rows.items()})

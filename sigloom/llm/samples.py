@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sigloom.llm import textnp as T
 
@@ -59,7 +60,7 @@ def collect_bags(rows: DataFrame, features: Features, keep: list[str], bound: in
                 lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(x, kind))
                 yield pa.RecordBatch.from_arrays([lists(ids.astype(np.int32), pa.int32()), lists(w.astype(np.float32), pa.float32()), *[batch.column(1 + i).slice(a, b - a) for i in range(len(keep))]], names=["ids", "w", *keep])
 
-    schema = "ids array<int>, w array<float>, " + ", ".join(f"`{n}` {t}" for n, t in kept.dtypes[1:])
+    schema = StructType([*StructType.fromDDL("ids array<int>, w array<float>").fields, *kept.schema.fields[1:]])
     out = kept.mapInArrow(run, schema)
     if "doc_id" in keep:
         out = out.orderBy(order_key(F.col("doc_id")), "doc_id").limit(bound)
@@ -82,8 +83,7 @@ def map_scores(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray, pa.Reco
                 yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     kept = docs.select("text", *inputs)
-    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes[0 if with_text else 1 :]] + [fields])
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, T.schema(kept, fields, 0 if with_text else 1))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -175,5 +175,5 @@ def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_tex
 
     recurring = B.answer_repeated(table.select("text", "_block").mapInArrow(phrases, B.MESSAGE), 2, phrase_key)
     confirmed = B.answer_repeated(B.with_answers(table, recurring, candidates, B.MESSAGE), 1, lambda x: x[:, 0])
-    schema = ", ".join([f"`{n}` {t}" for n, t in table.select(*keep).dtypes] + ["n_words long, n_removed long, kept_sha256 string"] + (["kept_text string"] if with_text else []))
+    schema = T.schema(table.select(*keep), "n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else ""))
     return B.with_answers(table, confirmed, strip, schema)

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
@@ -133,3 +135,8 @@ def segment_sum(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     if len(full):
         out[full] = np.add.reduceat(values, ptr[:-1][full], axis=0)
     return out
+
+
+def schema(kept: DataFrame, more: str, skip: int = 0) -> StructType:
+    """kept's fields from the skip-th on, whatever their names, and those of a DDL string."""
+    return StructType([*kept.schema.fields[skip:], *StructType.fromDDL(more).fields])
