@@ -93,7 +93,7 @@ class Format(DataSource):
     def schema(self):
         return {"samples": schema.SOURCE, "spikes": schema.SOURCE_SPIKES, "events": schema.ANNOTATIONS}[self.KIND]
 
-    def reader(self, _schema) -> DataSourceReader:
+    def reader(self, schema) -> DataSourceReader:  # noqa: ARG002
         return FormatReader(type(self), dict(self.options))
 
     @staticmethod
