@@ -36,7 +36,8 @@ from sigloom.llm import textnp
 LOOK = 3
 TEXT_LEAF = 1024
 LEAF = 24
-MEMO = 200_000
+#: Pieces remembered in each of two generations; the older goes when the newer is full.
+MEMO = 250_000
 
 
 class Codec:
@@ -51,6 +52,7 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.pairs: dict[tuple[int, int], bool] = {}
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # pieces to tokens
 
@@ -150,10 +152,13 @@ class Codec:
         for p in self.pieces(text):
             ids = memo.get(p)
             if ids is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                ids = np.asarray(self.piece(p.encode()), "<u4").tobytes()
+                ids = self.older.get(p)
+                if ids is None:
+                    ids = np.asarray(self.piece(p.encode()), "<u4").tobytes()
                 if len(p) <= 64:
+                    if len(memo) >= MEMO:
+                        self.older, self.memo = memo, {}
+                        memo = self.memo
                     memo[p] = ids
             out.append(ids)
         return b"".join(out)
