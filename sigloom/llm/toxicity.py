@@ -71,16 +71,13 @@ def nnpu(x_p: tuple, x_u: tuple, prior: float, n: int, steps: int = 800, rate: f
     return b, w
 
 
-def select(x_p: tuple, x_u: tuple, least: int = 3, z: float = 4.0, ratio: float = 2.0) -> np.ndarray:
-    """Ids that are more frequent among positives than among unlabelled rows: z standard errors and the ratio at least."""
+def select(x_p: tuple, x_u: tuple, least: int = 3, z: float = 4.0) -> np.ndarray:
+    """Ids more frequent among positives than among unlabelled rows: the log ratio of their rates is z standard errors above zero, at least."""
     (pp, ip), (pu, iu) = x_p, x_u
-    n_p, n_u = len(pp) - 1, len(pu) - 1
     size = 1 << BITS
-    a, c = np.bincount(ip, minlength=size), np.bincount(iu, minlength=size)
-    rate_u = (c + 0.5) / (n_u + 1)
-    rate_p = a / max(n_p, 1)
-    error = np.sqrt(rate_u * (1 - np.minimum(rate_u, 0.999)) / max(n_p, 1))
-    return np.flatnonzero((a >= least) & (rate_p > ratio * rate_u) & (rate_p - rate_u > z * error))
+    a, c = np.bincount(ip, minlength=size) + 0.5, np.bincount(iu, minlength=size) + 0.5
+    ratio = np.log(a / len(pp)) - np.log(c / len(pu))
+    return np.flatnonzero((a > least) & (ratio > z * np.sqrt(1 / a + 1 / c)))
 
 
 def train(x_p: tuple, x_u: tuple, prior: float) -> Linear:
