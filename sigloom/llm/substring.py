@@ -6,10 +6,10 @@ covers it has a word sequence that also starts anywhere else in the table.
 1. Recurring phrases. Each window's anchor is one of its PHRASE-word phrases, the one
    with the least hash (the leftmost of equals); windows with equal words have
    equal anchors. Blocks of documents send their anchors to buckets, which confirm
-   the phrases that recur. A word stands as a 16-bit code in a phrase.
+   the phrases that recur. A word stands as a 15-bit code in a phrase.
 2. Automata. The recurring phrases of a block are compiled into Aho-Corasick automata,
    in shards of at most SHARD phrases, and the block's documents are streamed through
-   them, a character per word; they locate every occurrence. Automata are thus as
+   them, three characters a word; they locate every occurrence. Automata are thus as
    many as the blocks, each of bounded size, and a document meets only phrases it may hold.
 3. Windows anchored at a located phrase are candidates. Blocks send the 64-bit hashes
    of candidate windows to buckets, which confirm those that start in two places or more.
@@ -36,9 +36,10 @@ from sigloom.llm import textnp as T
 
 WINDOW = 35
 PHRASE = 8
-SHARD = 50_000
-#: Word codes are characters of the basic plane below the surrogates, 0 left out.
-CODES = 0xD7FF
+SHARD = 20_000
+#: A word's code has 15 bits. In the automata it is three characters of 5 bits, each from a range of its own: a node
+#: then has few children, among which the automaton looks one by one, and no match begins within a word.
+CODES = 1 << 15
 
 
 class Words:
@@ -54,7 +55,7 @@ class Words:
 
     def anchors(self) -> np.ndarray:
         """For each window the word at which its anchor begins. Sets codes and the phrases k1, k2."""
-        self.codes = ((self.hash >> T.U64(40)) % T.U64(CODES) + T.U64(1)).astype(np.uint64)
+        self.codes = (self.hash >> T.U64(40)) % T.U64(CODES)
         n = len(self.codes) - PHRASE + 1
         if n <= 0 or not len(self.starts):
             self.k1 = self.k2 = np.zeros(0, np.uint64)
@@ -75,7 +76,14 @@ class Words:
         return (least[self.starts] & low).astype(np.int64)
 
     def string(self) -> str:
-        return self.codes.astype("<u2").tobytes().decode("utf-16-le")
+        return letters(self.codes)
+
+
+def letters(codes: np.ndarray) -> str:
+    """Three characters for each code."""
+    c = codes.astype(np.uint16)
+    out = np.stack([0x100 + (c >> 10), 0x200 + ((c >> 5) & 31), 0x300 + (c & 31)], axis=1)
+    return out.astype("<u2").tobytes().decode("utf-16-le")
 
 
 def phrase_key(items: np.ndarray) -> np.ndarray:
@@ -84,11 +92,12 @@ def phrase_key(items: np.ndarray) -> np.ndarray:
 
 def compile_shards(phrases: np.ndarray):
     """Automata over the phrases (k1, k2), SHARD in each."""
-    texts = phrases.astype("<u8").tobytes().decode("utf-16-le")
+    texts = letters(np.frombuffer(phrases.astype("<u8").tobytes(), "<u2"))
+    size = 3 * PHRASE
     for at in range(0, len(phrases), SHARD):
         a = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for i in range(at, min(at + SHARD, len(phrases))):
-            a.add_word(texts[PHRASE * i : PHRASE * (i + 1)])
+            a.add_word(texts[size * i : size * (i + 1)])
         a.make_automaton()
         yield a
 
@@ -99,7 +108,7 @@ def located(w: Words, automata: list) -> np.ndarray:
     text = w.string()
     for a in automata:
         ends = [end for end, _ in a.iter(text)]
-        found[np.asarray(ends, np.int64) - PHRASE + 1] = True
+        found[np.asarray(ends, np.int64) // 3 - PHRASE + 1] = True
     return found
 
 
