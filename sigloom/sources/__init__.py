@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from sigloom.session import ship
-from sigloom.sources import blackrock, edf, mef, moberg, nex, nicolet, openephys, persyst, plain
+from sigloom.sources import blackrock, edf, mef, moberg, nex, nicolet, openephys, persyst, plain, tdms
 
-FORMATS = (*plain.ALL, *edf.ALL, *openephys.ALL, *persyst.ALL, *blackrock.ALL, *moberg.ALL, *mef.ALL, *nex.ALL, *nicolet.ALL)
+FORMATS = (*plain.ALL, *edf.ALL, *openephys.ALL, *persyst.ALL, *blackrock.ALL, *moberg.ALL, *mef.ALL, *nex.ALL, *nicolet.ALL, *tdms.ALL)
 
 
 def register(spark: SparkSession) -> list[str]:

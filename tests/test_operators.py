@@ -167,3 +167,20 @@ def test_filters(spark):
     rows = [("c", i, 10 + (3.0 if i % 5 == 0 else 0.0)) for i in range(100)]
     out = signal.remove_line_noise(frame(spark, rows, "channel_id string, i long, value double"), 5, "i", "value", "channel_id")
     assert out.agg(F.stddev_pop("cleaned")).first()[0] < 1e-9
+
+
+def test_blobs_round_trip(spark, tmp_path):
+    from sigloom.operators import wire
+
+    s = samples(spark, "x", [0, 100, 200, 900, 1000], [1, 2.5, -3, 4, 5])
+    r = store.to_ranges(s, rates(spark, x=10000.0))
+    back = wire.from_blobs(wire.to_blobs(r))
+    assert sorted((q["lo"], q["values"]) for q in back.collect()) == [(0, [1.0, 2.5, -3.0]), (900, [4.0, 5.0])]
+    index = wire.write_blob_files(r, str(tmp_path / "blobs"))
+    rows = index.collect()
+    assert sorted(q["location"] for q in rows) == ["x_0_201.bfts.gz", "x_900_1001.bfts.gz"]
+    again = wire.read_blob_files(spark, str(tmp_path / "blobs"), spark.createDataFrame(rows, index.schema))
+    assert sorted((q["lo"], q["values"]) for q in again.collect()) == [(0, [1.0, 2.5, -3.0]), (900, [4.0, 5.0])]
+    t, u, w = wire.read_spike_blobs(*wire.spike_blobs(np.asarray([5, 7]), np.asarray([1, 2]), np.ones((2, 3))))
+    assert t.tolist() == [5, 7] and u.tolist() == [1, 2] and w.shape == (2, 3)
+    assert wire.rename_channel(r, "x", "y").select("channel_id").distinct().first()[0] == "y"

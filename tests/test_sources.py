@@ -334,3 +334,27 @@ def test_channels_json(spark, tmp_path):
 
 def test_empty_folder_gives_no_rows(spark, tmp_path):
     assert load(spark, "edf", tmp_path).count() == 0 and edf.Edf.plan(str(tmp_path), {}) == []
+
+
+def write_tdms(path, interleaved=False):
+    text = lambda s: struct.pack("<I", len(s)) + s.encode()
+    prop = lambda k, kind, v: text(k) + struct.pack("<I", kind) + v
+
+    def channel(name, n, **more):
+        props = [prop("wf_increment", 10, struct.pack("<d", 0.001)), prop("wf_start_time", 0x44, struct.pack("<Qq", 1 << 63, 2_082_844_800 + 10)), *more.values()]
+        return text(f"/'g'/'{name}'") + struct.pack("<IIIQ", 20, 10, 1, n) + struct.pack("<I", len(props)) + b"".join(props)
+
+    meta = struct.pack("<I", 4) + text("/") + struct.pack("<II", 0xFFFFFFFF, 0) + channel("a", 3, u=prop("unit_string", 0x20, text("uV"))) + channel("b", 3) + channel("c", 3, d=prop("DecimationLevel", 3, struct.pack("<i", 2)))
+    x = np.arange(9.0).reshape(3, 3)
+    raw = (x.T if interleaved else x).copy().tobytes()
+    toc = 2 | 4 | 8 | (32 if interleaved else 0)
+    lead = lambda toc, m, r: b"TDSm" + struct.pack("<IIQQ", toc, 4713, len(m) + len(r), len(m))
+    path.write_bytes(lead(toc, meta, raw) + meta + raw + lead(8 | (32 if interleaved else 0), b"", raw) + raw)
+
+
+@pytest.mark.parametrize("interleaved", [False, True])
+def test_tdms(spark, tmp_path, interleaved):
+    write_tdms(tmp_path / "x.tdms", interleaved)
+    d = load(spark, "tdms", tmp_path)
+    assert series(d, "a") == ([10_500_000 + 1000 * i for i in range(6)], [0, 1, 2, 0, 1, 2], ("uV", 1000.0))
+    assert series(d, "b")[1] == [3, 4, 5, 3, 4, 5] and series(d, "b")[2][0] == "V" and d.where("channel = 'c'").count() == 0
