@@ -7,6 +7,8 @@ from bisect import bisect_right
 
 import numpy as np
 
+from sigloom.functions.crypto import decrypt_block
+
 #: Fixed values of the format: bits of the first byte in the coder, and the least range before it takes a byte.
 FIRST_BITS, LEAST_RANGE = 7, 0x800000
 #: Fixed value: the reflected 32-bit Koopman polynomial.
@@ -94,13 +96,17 @@ def decode_mef2(block: bytes, validate: bool = False) -> tuple[int, np.ndarray,
     return t, undo_differences(symbols, n, 3), bool(block[30])
 
 
-def decode_mef3(block: bytes, validate: bool = False) -> tuple[int, np.ndarray, bool]:
+def decode_mef3(block: bytes, validate: bool = False, keys: tuple[bytes | None, bytes | None] = (None, None)) -> tuple[int, np.ndarray, bool]:
+    """keys: of levels 1 and 2, for blocks whose model is encrypted."""
     crc, flags = struct.unpack_from("<IB", block)
     slope, intercept, factor, n_diff, n, size, t = struct.unpack_from("<fffIIIq", block, 16)
-    if flags & 0x06:
-        raise ValueError("encrypted blocks need their password; decrypt the file first")
     if validate:
         check_block(block[:size], crc)
+    if flags & 0x06:
+        key = keys[0] if flags & 0x02 else keys[1]
+        if key is None:
+            raise ValueError("an encrypted block needs its password")
+        block = block[:48] + decrypt_block(block[48:64], key) + block[64:]
     if not n:
         return t, np.zeros(0, np.int64), bool(flags & 1)
     x = undo_differences(range_decode(block, 304, block[48:304], n_diff), n, 4)

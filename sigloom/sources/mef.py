@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from sigloom.functions.crypto import decrypt, mef3_access
 from sigloom.functions.red import decode_mef2, decode_mef3
 from sigloom.sources.base import Format, Piece, file_size, flag, list_files, read_at, sample_batch, split
 
@@ -68,8 +69,8 @@ def absolute_time(t: int, offset: int) -> int:
     return -t + offset if t < 0 else t
 
 
-def mef3_segments(path: str) -> list[dict]:
-    """Time-series segments of a session: channel, files, and what their metadata say."""
+def mef3_segments(path: str, password: str | None = None) -> list[dict]:
+    """Time-series segments of a session: channel, files, and what their metadata say. Encrypted sections need the password of their level."""
     found: dict[str, dict[str, str]] = defaultdict(dict)
     for f in list_files(path):
         base, ext = os.path.splitext(f)
@@ -80,11 +81,16 @@ def mef3_segments(path: str) -> list[dict]:
         if set(files) != {".tmet", ".tdat", ".tidx"}:
             continue
         m = read_at(files[".tmet"])
-        if m[1024] > 0 or m[1025] > 0:
-            raise ValueError(f"{base}: encrypted metadata need their password; decrypt the session first")
+        level, *keys = mef3_access(m, password)
+        for flag_at, first, end in ((1024, 2560, 13312), (1025, 13312, 16384)):
+            need = struct.unpack_from("b", m, flag_at)[0]
+            if need > 0:
+                if level < need:
+                    raise ValueError(f"{base}: the password doesn't open encrypted metadata")
+                m = m[:first] + decrypt(m[first:end], keys[need - 1]) + m[end:]
         d = lambda o: struct.unpack_from("<d", m, o)[0]
         q = lambda o: struct.unpack_from("<q", m, o)[0]
-        out.append({"name": text(m[52:308]), "session": text(m[308:564]), "segment": struct.unpack_from("<i", m, 48)[0], "rate": d(8720), "factor": d(8760) or 1.0, "unit": text(m[8768:8896]), "first_sample": q(8912), "samples": q(8920), "blocks": q(8928), "offset": q(13312), "files": files, "start": q(16), "end": q(24)})
+        out.append({"name": text(m[52:308]), "session": text(m[308:564]), "segment": struct.unpack_from("<i", m, 48)[0], "rate": d(8720), "factor": d(8760) or 1.0, "unit": text(m[8768:8896]), "first_sample": q(8912), "samples": q(8920), "blocks": q(8928), "offset": q(13312), "files": files, "keys": keys, "start": q(16), "end": q(24)})
     return out
 
 
@@ -93,7 +99,7 @@ def mef3_index(segment: dict) -> np.ndarray:
 
 
 class Mef3(Format):
-    """Samples of every channel's segments; a partition is a group of blocks. Options start and end (microseconds) prune blocks by the index before anything is read."""
+    """Samples of every channel's segments; a partition is a group of blocks. Option password opens encrypted files. Options start and end (microseconds) prune blocks by the index before anything is read."""
 
     NAME = "mef3"
 
@@ -101,7 +107,7 @@ class Mef3(Format):
     def plan(path, options):
         lo, hi = int(options.get("start", -(2**62))), int(options.get("end", 2**62))
         out = []
-        for s in mef3_segments(path):
+        for s in mef3_segments(path, options.get("password")):
             index = mef3_index(s)
             times = [absolute_time(int(t), 0) for t in index["t"]]
             ends = [t + int(n / s["rate"] * 1e6) for t, n in zip(times, index["n"])]
@@ -109,7 +115,7 @@ class Mef3(Format):
             size = file_size(s["files"][".tdat"])
             for a, b in split(len(chosen), 64):
                 cuts = [(int(index["at"][k]), min(int(index["at"][k]) + int(index["bytes"][k]), size)) for k in chosen[a:b]]
-                out.append(Piece(s["files"][".tdat"], {"name": s["name"], "unit": s["unit"], "rate": s["rate"], "factor": s["factor"], "cuts": cuts}))
+                out.append(Piece(s["files"][".tdat"], {"name": s["name"], "unit": s["unit"], "rate": s["rate"], "factor": s["factor"], "cuts": cuts, "keys": tuple(s["keys"])}))
         return out
 
     @staticmethod
@@ -117,7 +123,7 @@ class Mef3(Format):
         i = piece.info
         lo, hi = int(options.get("start", -(2**62))), int(options.get("end", 2**62))
         for a, b in i["cuts"]:
-            t0, x, _ = decode_mef3(read_at(piece.path, a, b - a), flag(options, "validate"))
+            t0, x, _ = decode_mef3(read_at(piece.path, a, b - a), flag(options, "validate"), i["keys"])
             t = absolute_time(t0, 0) + np.arange(len(x)) * (1e6 / i["rate"])
             keep = (t >= lo) & (t < hi)
             yield sample_batch(i["name"], i["unit"], i["rate"], t[keep], x[keep] * i["factor"])

@@ -1,5 +1,6 @@
 """Readers against files written here from the formats' layouts."""
 
+import hashlib
 import struct
 import tarfile
 
@@ -9,7 +10,7 @@ import pyarrow.feather
 import pytest
 
 from sigloom import sources
-from sigloom.functions import red
+from sigloom.functions import crypto, red
 from sigloom.sources import blackrock, edf, mef, moberg, nex, nicolet, openephys, persyst, plain
 
 
@@ -242,6 +243,18 @@ def test_mef2(spark, tmp_path):
     assert mef.mef2_channels(spark, str(tmp_path)).first()["samples"] == 200
 
 
+def test_aes_and_passwords():
+    key, plain_text = bytes(range(16)), bytes.fromhex("00112233445566778899aabbccddeeff")
+    sealed = bytes.fromhex("69c4e0d86a7b0430d8cdb78070b4c55a")
+    assert crypto.encrypt_block(plain_text, key) == sealed and crypto.decrypt_block(sealed, key) == plain_text
+    one, two = crypto.password_key("open"), crypto.password_key("sesame")
+    h = bytearray(1024)
+    h[868:884] = hashlib.sha256(one).digest()[:16]
+    h[884:900] = bytes(a ^ b for a, b in zip(hashlib.sha256(two).digest()[:16], one))
+    assert crypto.mef3_access(bytes(h), "open") == (1, one, None) and crypto.mef3_access(bytes(h), "sesame") == (2, one, two)
+    assert crypto.mef3_access(bytes(h), "wrong")[0] == 0 and crypto.mef3_access(bytes(1024), "x")[0] == 0
+
+
 def test_mef3(spark, tmp_path):
     d = tmp_path / "s.mefd" / "ch1.timd" / "ch1-000000.segd"
     d.mkdir(parents=True)
@@ -264,6 +277,18 @@ def test_mef3(spark, tmp_path):
     part = load(spark, "mef3", tmp_path / "s.mefd", start="11500000", end="12000000")
     assert part.count() == 50 and len(mef.Mef3.plan(str(tmp_path / "s.mefd"), {"start": "11500000", "end": "12000000"})[0].info["cuts"]) == 1
     assert mef.mef3_channels(spark, str(tmp_path)).first()["samples"] == 300
+    key = crypto.password_key("open")
+    m[868:884], m[1024] = hashlib.sha256(key).digest()[:16], 1
+    m[2560:13312] = b"".join(crypto.encrypt_block(bytes(m[k : k + 16]), key) for k in range(2560, 13312, 16))
+    (d / "ch1-000000.tmet").write_bytes(bytes(m))
+    sealed = bytearray(data)
+    for at in index["at"].tolist():
+        sealed[at + 4] |= 2
+        sealed[at + 48 : at + 64] = crypto.encrypt_block(bytes(sealed[at + 48 : at + 64]), key)
+    (d / "ch1-000000.tdat").write_bytes(bytes(sealed))
+    assert series(load(spark, "mef3", tmp_path / "s.mefd", password="open"), "ch1")[1] == v
+    with pytest.raises(Exception, match="password"):
+        load(spark, "mef3", tmp_path / "s.mefd", password="wrong").count()
 
 
 def test_nex(spark, tmp_path):
