@@ -165,7 +165,7 @@ class NevEvents(Format):
             names.append(SPECIAL.get(int(kind[k]), "unknown"))
             if kind[k] == 0:
                 labels.append(str(int.from_bytes(body[8:10], "little")))
-                props.append({"reason": str(body[6]), "serial": str(body[6] & 1 and (body[6] >> 7))})
+                props.append({"reason": str(body[6])})
             elif kind[k] == 0xFFFB:
                 labels.append(text(body[12:]))
                 props.append({"charset": str(body[6])})

@@ -143,3 +143,62 @@ def mef2_channels(spark, path: str):
 
 
 ALL = (Mef2, Mef3)
+
+
+def write_mef3(ranges, path: str, factor: float = 1.0, unit: str = "uV", per_segment: int = 64, block: int = 4096):
+    """Writes stored ranges (channel_id, rate, lo, values) as a MEF 3 session, per_segment ranges to a segment; values become whole multiples of factor.
+
+    Segments are written by executors to a folder that all nodes share. Returns one row per segment: channel_id, segment, samples.
+    """
+    import pandas as pd
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from sigloom.functions.red import encode_mef3
+    from sigloom.sources.base import filesystem
+
+    over = Window.partitionBy("channel_id").orderBy("lo")
+    rows = ranges.select("channel_id", "rate", "lo", "values", F.floor((F.row_number().over(over) - 1) / F.lit(per_segment)).cast("int").alias("segment"), (F.sum(F.size("values")).over(over) - F.size("values")).cast("long").alias("first"))
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("lo")
+        name, number, rate = pdf["channel_id"].iloc[0], int(pdf["segment"].iloc[0]), float(pdf["rate"].iloc[0])
+        data, index, expected = bytearray(1024), [], None
+        for lo, values, first in zip(pdf["lo"], pdf["values"], pdf["first"]):
+            x = np.rint(np.asarray(values, float) / factor).astype(np.int64)
+            for a in range(0, len(x), block):
+                part, t = x[a : a + block], int(lo + a * 1e6 / rate)
+                gap = expected is None or abs(t - expected) > 1e6 / rate
+                b = encode_mef3(t, part, gap)
+                e = np.zeros(1, INDEX3)
+                e["at"], e["t"], e["sample"], e["n"], e["bytes"], e["max"], e["min"], e["flags"] = len(data), t, first + a, len(part), len(b), part.max(), part.min(), int(gap)
+                index.append(e.tobytes())
+                data += b
+                expected = t + len(part) * 1e6 / rate
+        n = int(sum(len(v) for v in pdf["values"]))
+        start, end = int(pdf["lo"].iloc[0]), int(expected or pdf["lo"].iloc[0])
+
+        def head(kind: bytes, entries: int) -> bytearray:
+            h = bytearray(1024)
+            h[8:12], h[13], h[14], h[15] = kind, 3, 0, 1
+            struct.pack_into("<qqq", h, 16, start, end, entries)
+            struct.pack_into("<i", h, 48, number)
+            h[52 : 52 + len(name.encode()[:255])] = name.encode()[:255]
+            return h
+
+        meta = head(b"tmet", 1) + bytearray(16384 - 1024)
+        for at, v in ((8720, rate), (8760, factor)):
+            struct.pack_into("<d", meta, at, v)
+        meta[8768 : 8768 + len(unit)] = unit.encode()
+        struct.pack_into("<qqq", meta, 8912, int(pdf["first"].iloc[0]), n, len(index))
+        data[:1024] = head(b"tdat", len(index))
+        fs, root = filesystem(path)
+        base = f"{name}-{number:06d}"
+        folder = f"{root}/{name}.timd/{base}.segd"
+        fs.create_dir(folder, recursive=True)
+        for ext, content in ((".tmet", meta), (".tidx", head(b"tidx", len(index)) + b"".join(index)), (".tdat", data)):
+            with fs.open_output_stream(f"{folder}/{base}{ext}") as out:
+                out.write(bytes(content))
+        return pd.DataFrame({"channel_id": [name], "segment": [number], "samples": [n]})
+
+    return rows.groupBy("channel_id", "segment").applyInPandas(write, "channel_id string, segment int, samples long")

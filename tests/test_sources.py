@@ -291,6 +291,15 @@ def test_mef3(spark, tmp_path):
         load(spark, "mef3", tmp_path / "s.mefd", password="wrong").count()
 
 
+def test_mef3_writer(spark, tmp_path):
+    x = np.cumsum(np.random.default_rng(4).integers(-300, 300, 900)).astype(float)
+    r = spark.createDataFrame([("ch", 100.0, 5_000_000, x[:500].tolist()), ("ch", 100.0, 20_000_000, x[500:].tolist())], "channel_id string, rate double, lo long, values array<double>")
+    out = mef.write_mef3(r, str(tmp_path / "s.mefd"), factor=0.5, per_segment=1, block=128).collect()
+    assert sorted((o["segment"], o["samples"]) for o in out) == [(0, 500), (1, 400)]
+    t, v, meta = series(load(spark, "mef3", tmp_path / "s.mefd", validate="true"), "ch")
+    assert v == x.tolist() and meta == ("uV", 100.0) and t[0] == 5_000_000 and t[500] == 20_000_000 and t[-1] == 20_000_000 + 399 * 10_000
+
+
 def test_nex(spark, tmp_path):
     h, v = np.zeros(1, nex.FILE), np.zeros(3, nex.VARIABLE)
     h["magic"], h["frequency"], h["n"] = 827868494, 1000.0, 3
