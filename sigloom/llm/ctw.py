@@ -58,11 +58,11 @@ def codes(low: np.ndarray, offs: np.ndarray, depth: int) -> tuple[np.ndarray, np
     flat[np.arange(len(low)) + (row + 1) * depth + row] = low
     flat[at + size] = END
     ptr = np.r_[0, np.cumsum(size + 1)]
-    here = np.arange(ptr[-1]) + np.repeat(at - ptr[:-1], size + 1)
-    out = flat[here].astype(np.uint64)
+    flat = flat.astype(np.uint64)
+    every = flat.copy()
     for j in range(1, depth + 1):
-        out |= flat[here - j].astype(np.uint64) << T.U64(8 * (depth - j + 1))
-    return out, ptr
+        every[j:] |= flat[: len(flat) - j] << T.U64(8 * (depth - j + 1))
+    return every[np.arange(ptr[-1]) + np.repeat(at - ptr[:-1], size + 1)], ptr
 
 
 def tally(values: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,6 +88,24 @@ def merge_all(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
     return merge(keys, counts, keys[:0], counts[:0])
 
 
+class Tallies:
+    """A growing union that is merged whenever much is pending, so that little is held at once."""
+
+    def __init__(self, pending: int = 1_000_000):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size, self.pending = 0, pending
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.size += len(keys)
+        if self.size > self.pending + len(self.parts[0][0]):
+            self.parts = [self.total()]
+            self.size = len(self.parts[0][0])
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        return merge_all(self.parts) if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
 def tokens(low: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes with an end after each row's last word, and row pointers."""
     s, e, p = T.words(low, offs)
@@ -193,7 +211,8 @@ class Top:
 
 
 def lower_slices(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    for a, b, buf, offs in T.slices(column):
+    """Small pieces: each byte takes some hundred bytes of arrays while its piece is worked on."""
+    for a, b, buf, offs in T.slices(column, 1 << 20):
         yield a, b, T.LOWER[buf], offs
 
 
@@ -214,12 +233,13 @@ def by_bucket(keys: np.ndarray, buckets: np.ndarray, n: int):
 def block_facts(texts: pa.Table, depth: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Tallies of a block's contexts and words."""
     held = texts["held_out"].to_numpy(zero_copy_only=False)
-    cs, ws = [], []
+    cs, ws = Tallies(), Tallies()
     for a, b, low, offs in lower_slices(texts["text"]):
         learn = ~held[a:b]
-        for out, (values, ptr) in ((cs, codes(low, offs, depth)), (ws, tokens(low, offs))):
-            out.append(tally(values, np.repeat(learn, np.diff(ptr))))
-    return merge_all(cs), merge_all(ws)
+        for out, make in ((cs, lambda x, o: codes(x, o, depth)), (ws, tokens)):
+            values, ptr = make(low, offs)
+            out.add(*tally(values, np.repeat(learn, np.diff(ptr))))
+    return cs.total(), ws.total()
 
 
 def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7, remainder: int = 2) -> DataFrame:
