@@ -56,8 +56,10 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 _BLANK = re.compile(r"\s+")
 
 N_KIND = len(KINDS)
-F_BAD, F_GOOD, F_HIDDEN, F_LINK, F_SHORT, F_LONG, F_STOP, F_NOTEXT, F_HEADING, F_BIAS = range(N_KIND, N_KIND + 10)
-N_FEATURES = N_KIND + 10
+F_BAD, F_GOOD, F_HIDDEN, F_LINK, F_SHORT, F_LONG, F_STOP, F_NOTEXT, F_HEADING, F_BARE, F_BIAS = range(N_KIND, N_KIND + 11)
+N_FEATURES = N_KIND + 11
+#: Kinds that may hold running text.
+PROSE = np.isin(np.arange(N_KIND), [KINDS.index(k) for k in ("body", "p", "h", "list", "li", "quote", "pre", "table", "cell")])
 
 
 @lru_cache(maxsize=8192)
@@ -217,6 +219,10 @@ def evidence(f: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x[:, F_STOP] = np.minimum(stops / 4, 1)
     x[:, F_NOTEXT] = own == 0
     x[:, F_HEADING] = kind == _KIND["h1"]
+    # pages without any element that announces content keep it directly in the body
+    told = (kind == KINDS.index("article")) | (kind == KINDS.index("main")) | (marks[:, 1] > 0)
+    page = np.searchsorted(np.asarray(f.roots), np.arange(n), "right") - 1
+    x[:, F_BARE] = (np.bincount(page, told, len(f.roots)) == 0)[page] & PROSE[kind]
     x[:, F_BIAS] = 1
     return x, kind, parent
 
@@ -287,7 +293,11 @@ def fit_forest(f: Forest, y: np.ndarray, steps: int = 250, rate: float = 0.3, l2
     return m
 
 
-def training_pages(n: int = 240, seed: int = 11) -> list[tuple[str, str]]:
+#: What stands around the content of generated pages.
+WRAPS = (*["<article data-y>{}</article>"] * 4, "<main data-y><article data-y>{}</article></main>", '<div class="content" data-y>{}</div>', '<div id="post-body" data-y>{}</div>', "<main data-y>{}</main>", "<section data-y>{}</section>", "{}")
+
+
+def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
     """Generated pages with their main text: (html, text). Content elements carry data-y in the page."""
     rng = np.random.default_rng(seed)
     syllables = [a + b for a in ("k", "l", "m", "n", "r", "s", "t", "v", "d", "h", "b", "") for b in ("a", "e", "i", "o", "u", "en", "er", "ing")]
@@ -317,12 +327,15 @@ def training_pages(n: int = 240, seed: int = 11) -> list[tuple[str, str]]:
             f'<div class="{pick("cookie-notice", "notice", "alert popup", "newsletter subscribe")}"><p>{prose(4, 25)}</p></div>',
             f'<aside class="{pick("sidebar", "related", "widget")}"><h3>{word()}</h3><ul>{items}</ul>{pick("", "<p>" + prose(3, 30) + "</p>")}</aside>',
             f'<div class="{pick("breadcrumbs", "share social", "tags", "menu", "pagination")}">{link()} {link()} {link()}</div>',
+            f'<p class="{pick("ad", "notice", "byline meta", "share", "sponsored")}">{prose(2, 14)}</p>',
+            f'<ul class="{pick("menu", "nav", "social", "tags")}">{items}</ul>',
             f'<form action="/{word()}"><label>{word()}</label><input name="q"><button>{word()}</button>{pick("", "<p>" + prose(3, 12) + "</p>")}</form>',
         )
         comments = lambda: f'<{pick("section", "div")} {pick("class", "id")}="{pick("comments", "comment-list", "replies")}"><h2>{word()}</h2>' + "".join(f'<{pick("div", "article", "li")} class="comment"><p>{prose(3, 60)}</p></div>' for _ in range(rng.integers(1, 5))) + "</section>"
         body = []
         if rng.random() < 0.85:
-            body.append(keep("h1", prose(2, pick(11, 11, 40))))
+            head = keep("h1", prose(1, pick(11, 11, 40)))
+            body.append(pick(head, head, head, f"<header data-y>{head}</header>", f"<header data-y>{head}<p class='byline'>{prose(1, 6)}</p></header>"))
         for _ in range(int(rng.integers(0, 12)) or 1):
             r = rng.random()
             if r < 0.03:  # one line over and over
@@ -348,11 +361,13 @@ def training_pages(n: int = 240, seed: int = 11) -> list[tuple[str, str]]:
             else:
                 body.append(bad_block())
         tail = [comments()] if rng.random() < 0.25 else []
-        inner = "".join(body)
-        wrap = pick(*["<article data-y>{}</article>"] * 4, "<main data-y><article data-y>{}</article></main>", '<div class="content" data-y>{}</div>', '<div id="post-body" data-y>{}</div>', "<main data-y>{}</main>", "<section data-y>{}</section>")
+        if rng.random() < 0.1:
+            body.append(f"<footer>{prose(1, 9)}</footer>")
+        inner = "".join(body) + (comments() if rng.random() < 0.1 else "")
         before = [f"<nav><ul>{items}</ul></nav>" if rng.random() < 0.8 else f"<header><div class='logo'>{word()}</div><ul>{items}</ul></header>"] + [bad_block() for _ in range(rng.integers(0, 3))]
         after = [bad_block() for _ in range(rng.integers(0, 3))] + [f"<footer>{pick('<p>' + prose(3, 14) + '</p>', '&copy; ' + prose(2, 14), link())}</footer>" if rng.random() < 0.85 else ""]
-        page = f"<!DOCTYPE html><html><head><title>{prose(2, 8)}</title><style>p{{}}</style></head><body>{''.join(before)}{wrap.format(inner)}{''.join(tail)}{''.join(after)}</body></html>"
+        around = pick(*WRAPS)
+        page = f"<!DOCTYPE html><html><head><title>{prose(2, 8)}</title><style>p{{}}</style></head><body{' data-y' if around == '{}' else ''}>{''.join(before)}{around.format(inner)}{''.join(tail)}{''.join(after)}</body></html>"
         out.append((page, "\n\n".join(_BLANK.sub(" ", entities.unescape(g)).strip() for g in good)))
     return out
 
@@ -363,7 +378,7 @@ def states(f: Forest) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def default_model(n: int = 240, seed: int = 11) -> Model:
+def default_model(n: int = 400, seed: int = 11) -> Model:
     f = Forest()
     for page, _ in training_pages(n, seed):
         f.read(page)
