@@ -132,8 +132,13 @@ def train(ptr, ids, counts, langs: list[str], dims: int = 16, epochs: int = 6, r
 def fit(docs: DataFrame, per_language: int = 400) -> Model | None:
     """Train on at most per_language texts of each language, outside the held-out fold."""
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~S.fold(F.col("doc_id")))
-    turn = Window.partitionBy("lang").orderBy(S.order_key(F.col("doc_id")), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(turn)).where(F.col("_n") <= per_language).select("doc_id").distinct()
+    # of each language the least hashes; those beyond twice the expected cut can go before the rows of a language meet
+    keyed = known.select("doc_id", "lang", S.order_key(F.col("doc_id")).alias("_k"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("_size")).orderBy(F.col("_size").desc()).limit(100_000)
+    place = (F.col("_k").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    likely = keyed.join(F.broadcast(sizes), "lang").where(place * F.col("_size") <= 2.0 * per_language + 50)
+    turn = Window.partitionBy("lang").orderBy("_k", "doc_id")
+    ids = likely.withColumn("_n", F.row_number().over(turn)).where(F.col("_n") <= per_language).select("doc_id").distinct()
     ids = ids.limit(per_language * 1000)
     ptr, feats, counts, kept = S.collect_bags(S.pick(known, ids), features, ["doc_id", "lang"], per_language * 1000)
     return train(ptr, feats, counts, kept["lang"])
