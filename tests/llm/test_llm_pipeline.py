@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sigloom.llm import decontam, neardup, quality, queries
 from sigloom.session import materialise
-from test_operators import brute_substrings, near_copies, shingle_set
+from test_llm_operators import brute_substrings, near_copies, shingle_set
 
 STAGE = dict(corpus_pipeline.STAGES)
 
