@@ -64,15 +64,21 @@ class Piece(InputPartition):
         super().__init__(self.path)
 
 
+def whole_micros(t: np.ndarray) -> np.ndarray:
+    """Truncated to whole microseconds, a thousandth's rounding error forgiven."""
+    t = np.asarray(t)
+    return t.astype(np.int64) if t.dtype.kind in "iu" else np.floor(t + 1e-3).astype(np.int64)
+
+
 def sample_batch(channel: str, unit: str, rate: float, t_us: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     n = len(values)
-    return pa.RecordBatch.from_arrays([pa.array([channel] * n, pa.string()), pa.array([unit] * n, pa.string()), pa.array(np.full(n, rate, np.float64)), pa.array(np.asarray(t_us).astype(np.int64)), pa.array(np.asarray(values, np.float64))], names=["channel", "unit", "rate", "t_us", "value"])
+    return pa.RecordBatch.from_arrays([pa.array([channel] * n, pa.string()), pa.array([unit] * n, pa.string()), pa.array(np.full(n, rate, np.float64)), pa.array(whole_micros(t_us)), pa.array(np.asarray(values, np.float64))], names=["channel", "unit", "rate", "t_us", "value"])
 
 
 def spike_batch(channel: str, t_us: np.ndarray, units: np.ndarray, waveforms: np.ndarray) -> pa.RecordBatch:
     n, width = waveforms.shape
     lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(waveforms.astype(np.float64).ravel()))
-    return pa.RecordBatch.from_arrays([pa.array([channel] * n, pa.string()), pa.array(np.asarray(t_us).astype(np.int64)), pa.array(np.asarray(units).astype(np.int16)), lists], names=["channel", "t_us", "unit", "waveform"])
+    return pa.RecordBatch.from_arrays([pa.array([channel] * n, pa.string()), pa.array(whole_micros(t_us)), pa.array(np.asarray(units).astype(np.int16)), lists], names=["channel", "t_us", "unit", "waveform"])
 
 
 def event_batch(source: str, kind: list[str], t_us: list[int], label: list[str], props: list[dict]) -> pa.RecordBatch:

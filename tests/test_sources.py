@@ -11,7 +11,7 @@ import pytest
 
 from sigloom import sources
 from sigloom.functions import crypto, red
-from sigloom.sources import blackrock, edf, mef, moberg, nex, nicolet, openephys, persyst, plain
+from sigloom.sources import blackrock, edf, mef, moberg, nex, nicolet, openephys, persyst, plain, spike2
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -392,3 +392,21 @@ def test_tdms(spark, tmp_path, interleaved):
     d = load(spark, "tdms", tmp_path)
     assert series(d, "a") == ([10_500_000 + 1000 * i for i in range(6)], [0, 1, 2, 0, 1, 2], ("uV", 1000.0))
     assert series(d, "b")[1] == [3, 4, 5, 3, 4, 5] and series(d, "b")[2][0] == "V" and d.where("channel = 'c'").count() == 0
+
+
+def test_spike2(spark, tmp_path):
+    h, c = np.zeros(1, spike2.FILE), np.zeros(3, spike2.CHANNEL)
+    h["system"], h["us_per_time"], h["time_base"], h["channels"] = 8, 10, 1e-6, 3
+    text = lambda s, n: np.void(bytes([len(s)]) + s.encode().ljust(n - 1, b"\0"))
+    at = spike2.FILE.itemsize + 3 * spike2.CHANNEL.itemsize
+    block = lambda nxt, start, x, kind: struct.pack("<iiiihh", -1, nxt, start, 0, 1, len(x)) + np.asarray(x, kind).tobytes()
+    second = at + len(block(0, 0, [1, 2, 3], "<i2"))
+    data = block(second, 0, [0, 6554, -6554], "<i2") + block(-1, 900, [100], "<i2")
+    events = at + len(data)
+    data += block(-1, 0, [5, 8], "<i4")
+    c["kind"], c["blocks"], c["first"], c["divide"], c["scale"] = [1, 0, 2], [2, 0, 1], [at, 0, events], [100, 0, 0], [2.0, 0, 0]
+    c["title"][0], c["unit"][0], c["title"][2] = text("LFP", 10), text("mV", 6), text("trig", 10)
+    (tmp_path / "a.smr").write_bytes(h.tobytes() + c.tobytes() + data)
+    t, x, meta = series(load(spark, "spike2", tmp_path, first="true"), "LFP")
+    assert t == [0, 1000, 2000, 9000] and np.allclose(x, [0, 2.0001, -2.0001, 0.0305], atol=1e-3) and meta == ("mV", 1000.0)
+    assert [(e["t_us"], e["label"]) for e in load(spark, "spike2_events", tmp_path).orderBy("t_us").collect()] == [(50, "trig"), (80, "trig")]
