@@ -427,3 +427,14 @@ def test_bpe_awkward_table(awkward, empty, library):
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
     assert bpe.encode(empty, ["doc_id"]).count() == 0
+
+
+def test_mtree_in_many_trees_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "TREE", 40)
+    monkeypatch.setattr(mtree, "BLOCK", 1)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(400, 5))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    q = np.floor(256 * x)
+    want = [(i, k + 1, j, -s) for i in range(0, 400, 4) for k, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in range(400) if j != i)[:3])]
+    assert sorted(tuple(r) for r in mtree.top_k(d, k=3, every=4).collect()) == sorted(want)
