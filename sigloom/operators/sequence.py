@@ -109,3 +109,9 @@ def discontinuities(blocks: DataFrame, start: str, n: Column, rate: Column, tole
     over = Window.partitionBy(*keys).orderBy(start)
     rows = blocks.withColumn("expected", F.lag(F.col(start) + n / rate * F.lit(1e6)).over(over))
     return rows.withColumn("discontinuous", F.col("expected").isNull() | (F.abs(F.col(start) - F.col("expected")) > tolerance_us))
+
+
+def dense_ids(rows: DataFrame, on: Column, order: str, *keys: str, out: str = "index_id") -> DataFrame:
+    """Numbers the rows that are on from 0 in order; the others get -1."""
+    over = Window.partitionBy(*keys, "_on").orderBy(order)
+    return rows.withColumn("_on", on).withColumn(out, F.when(F.col("_on"), F.row_number().over(over) - 1).otherwise(-1).cast("long")).drop("_on")

@@ -378,3 +378,28 @@ def butterworth_lowpass(spark, sf_dir):
 @query()
 def line_noise(spark, sf_dir):
     return signal.remove_line_noise_adaptive(samples(spark, sf_dir), 20, "event_id", "value", "channel_id")
+
+
+@query("SELECT c_nationkey, c_custkey, CASE WHEN c_custkey % 3 > 0 THEN row_number() OVER (PARTITION BY c_nationkey, c_custkey % 3 > 0 ORDER BY c_custkey) - 1 ELSE -1 END AS index_id FROM customer")
+def dense_channel_ids(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
+    return sequence.dense_ids(c, F.col("c_custkey") % 3 > 0, "c_custkey", "c_nationkey")
+
+
+@query("SELECT n_nationkey, n_name AS unit, 'integer' AS type, 0.5::DOUBLE AS factor, CASE WHEN n_nationkey % 2 = 0 THEN 4 ELSE 3 END AS width, n_nationkey % 2 = 1 AS composite FROM nation")
+def xml_settings(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    xml = F.concat(F.lit("<r><Units>"), F.col("n_name"), F.lit("</Units><C><E type='integer'/><E type='integer'/></C></r>"))
+    code = F.when(F.col("n_nationkey") % 2 == 0, 0x04).otherwise(0x85)
+    factor = scale.conversion(F.lit(-10.0), F.lit(10.0), F.lit(-5.0), F.lit(5.0))
+    return n.select("n_nationkey", labels.xml_text(xml, "r/Units").alias("unit"), labels.all_equal(xml, "r/C/E/@type").alias("type"), factor.alias("factor"), labels.sample_format(code).alias("width"), labels.is_composite(code).alias("composite"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'skip' WHEN 1 THEN 'continuous' WHEN 2 THEN 'spike' ELSE 'event' END AS kind, CASE WHEN o_orderkey % 2 = 0 THEN 'int24' ELSE 'float32' END AS type FROM orders")
+def file_kinds(spark, sf_dir):
+    k = F.col("o_orderkey") % 4
+    name = F.when(k == 0, F.lit("a.events")).otherwise(F.lit("a.dat"))
+    text = F.when(k == 1, F.lit("Continuous data")).when(k == 2, F.lit("spike records")).otherwise(F.lit("event records"))
+    even = F.col("o_orderkey") % 2 == 0
+    kind = labels.value_type(F.when(even, F.lit("int")).otherwise(F.lit("float")), F.when(even, 3).otherwise(4))
+    return table(spark, sf_dir, "orders").select("o_orderkey", labels.file_kind(name, text).alias("kind"), kind.alias("type"))
