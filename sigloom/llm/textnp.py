@@ -25,7 +25,7 @@ LOWER[65:91] += 32
 PLAIN = np.ones(256, bool)
 PLAIN[48:58] = PLAIN[65:91] = PLAIN[97:123] = PLAIN[128:] = False
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
