@@ -107,7 +107,7 @@ def append_skip_overlap(spark, sf_dir):
 
 @query(f"WITH {SEG} SELECT a.channel_id, a.seg, b.seg AS other FROM r a JOIN r b ON a.channel_id < b.channel_id AND a.lo < b.hi AND b.lo < a.hi AND a.seg <= 40 AND b.seg <= 40")
 def interval_overlap(spark, sf_dir):
-    r = _segments(spark, sf_dir).where("seg <= 40").withColumn("all", F.lit(1))
+    r = _segments(spark, sf_dir).withColumn("all", F.lit(1))
     other = r.select("all", "lo", "hi", F.col("channel_id").alias("c2"), F.col("seg").alias("other"))
     return joins.overlapping(r, other, "all", carry=("c2", "other"), bucket=DAY).where("channel_id < c2").select("channel_id", "seg", "other")
 
