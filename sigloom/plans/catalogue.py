@@ -72,7 +72,7 @@ def batch_ranges(spark, sf_dir):
 
 @query(f"""WITH {SEG} SELECT r.channel_id, seg, pos, lo + pos * 250000.0::DOUBLE AS t FROM r, unnest(range(0, least(n, 50))) AS p(pos)""")
 def range_expand(spark, sf_dir):
-    r = _segments(spark, sf_dir).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("n"), F.lit(50)) - 1)))
+    r = _segments(spark, sf_dir).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     return r.select("channel_id", "seg", "pos", timeaxis.time_at(F.col("lo"), F.col("pos"), F.lit(4.0)).alias("t"))
 
 

@@ -32,3 +32,10 @@ def test_interval_overlap_takes_all_segments(spark, put):
     got = [(r["channel_id"], r["seg"], r["other"]) for r in catalogue.interval_overlap(spark, folder).collect()]
     pairs = [(a, i + 1, j + 1) for a in "abc" for b in "abc" if a < b for i, x in enumerate(starts[a]) for j, y in enumerate(starts[b]) if x <= y + 10 and y <= x + 10]
     assert sorted(got) == sorted(pairs) and max(g[1] for g in got) == 60
+
+
+def test_range_expand_takes_all_positions(spark, put):
+    folder = events(put, {"a": [*range(120), 400], "b": [0, 1]})
+    lo = int(START.timestamp()) * 1_000_000
+    want = [("a", 1, i, lo + i * 250000.0) for i in range(120)] + [("a", 2, 0, lo + 400 * 60e6), ("b", 1, 0, float(lo)), ("b", 1, 1, lo + 250000.0)]
+    assert sorted(tuple(r) for r in catalogue.range_expand(spark, folder).collect()) == want
