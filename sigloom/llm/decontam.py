@@ -2,8 +2,11 @@
 
 Words are stripped of surrounding signs and folded to lower case; numbers, units after
 a number and names (capitalised words inside a sentence) become typed placeholders,
-whose values are the slots. Windows of WINDOW template words, at least LITERAL of them no
-placeholders, are hash-joined between documents and benchmark items. Hits
+whose values are the slots. A capitalised word that begins a sentence may be a name or not, so
+its windows are taken both ways. Windows of WINDOW template words, at least LITERAL of them no
+placeholders, and all windows of the folded words themselves are hash-joined between
+documents and benchmark items; a shorter item is one window. So verbatim copies are found
+whatever their slots. Hits
 of a document and an item on one diagonal (the same offset between them) are taken
 together: the item is in the document if they cover RUN of its words, or `share`
 of a shorter item, and if the slots are consistent, that is, each value of the item
@@ -12,8 +15,8 @@ or units are found too, while texts that merely have the same shape are not.
 
 The benchmark is broadcast in shards of at most SHARD windows, one pass over the
 documents for each; its size is counted before. Documents are neither shuffled nor
-cut. Defined results: null and empty texts and items match nothing; items under
-WINDOW words never match; repeated rows of a document or an item each give their rows.
+cut. Defined results: null and empty texts and items match nothing, nor do items
+without words; repeated rows of a document or an item each give their rows.
 """
 
 from __future__ import annotations
@@ -67,12 +70,12 @@ def _unit_hashes() -> np.ndarray:
 UNIT_HASHES = _unit_hashes()
 
 
-def canonical(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row pointers, template words, slot values and whether a word is a slot."""
+def canonical(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row pointers, template words, slot values, whether a word is a slot and whether it may be a name that begins a sentence."""
     s, e, p = T.words(buf, offs)
     if not len(s):
         z = np.zeros(0, np.uint64)
-        return p, z, z, np.zeros(0, bool)
+        return p, z, z, np.zeros(0, bool), np.zeros(0, bool)
     ink = _INK[buf]
     at = np.arange(len(buf))
     last = np.maximum.accumulate(np.where(ink, at, -1))
@@ -86,7 +89,7 @@ def canonical(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ptr = np.searchsorted(row, np.arange(len(offs)))
     if not len(s):
         z = np.zeros(0, np.uint64)
-        return ptr, z, z, np.zeros(0, bool)
+        return ptr, z, z, np.zeros(0, bool), np.zeros(0, bool)
     begins = np.ones(len(s), bool)
     begins[1:] = (row[1:] != row[:-1]) | (stop[s2[1:]] > stop[e2[:-1]])
     low, capital = fold_case(buf)
@@ -100,16 +103,22 @@ def canonical(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[1:] = number[:-1] & (row[1:] == row[:-1])
     unit = after & np.isin(value, UNIT_HASHES)
     word = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
-    return ptr, word, value, number | unit | name
+    return ptr, word, value, number | unit | name, title & begins & ~number & ~unit
 
 
-def template_windows(ptr: np.ndarray, word: np.ndarray, slot: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the windows that lie within a row and have enough literal words."""
+def all_windows(ptr: np.ndarray, word: np.ndarray, value: np.ndarray, slot: np.ndarray, opens: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the windows that lie within a row: those of the words, and the templates with enough literal words, names that begin a sentence taken both ways."""
     n = np.maximum(np.diff(ptr) - k + 1, 0)
     at = np.repeat(ptr[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    free = np.r_[0, np.cumsum(~slot)]
-    at = at[free[at + k] - free[at] >= min(LITERAL, k)]
-    return at, T.windows(word, k)[at]
+    places, keys = [at], [T.windows(value, k)[at]]
+    slots, names = np.r_[0, np.cumsum(slot)], np.r_[0, np.cumsum(opens)]
+    slots, names = slots[at + k] - slots[at], names[at + k] - names[at]
+    # a template equal to the words, or to the other template, is left out
+    for more, some, template in ((0, slots > 0, word), (names, names > 0, np.where(opens, NAME, word))):
+        some = at[some & (k - slots - more >= min(LITERAL, k))]
+        places.append(some)
+        keys.append(T.range_hash(template, some, some + k, T.WORD_BASE))
+    return np.concatenate(places), np.concatenate(keys)
 
 
 class Items:
@@ -117,10 +126,17 @@ class Items:
 
     def __init__(self, ids: list[int], texts: pa.Array, k: int = WINDOW):
         self.k, self.ids = k, ids
-        words, values, slots, keys, owner, pos, base = [], [], [], [], [], [], [0]
+        words, values, slots, keys, owner, pos, base, short = [], [], [], [], [], [], [0], set()
         for a, b, buf, offs in T.slices(texts):
-            ptr, word, value, slot = canonical(buf, offs)
-            at, key = template_windows(ptr, word, slot, k)
+            ptr, word, value, slot, opens = canonical(buf, offs)
+            at, key = all_windows(ptr, word, value, slot, opens, k)
+            size = np.diff(ptr)
+            for m in range(1, k):
+                at2, key2 = all_windows(ptr, word, value, slot, opens, m)
+                whole = size[np.searchsorted(ptr, at2, "right") - 1] == m
+                if whole.any():
+                    short.add(m)
+                    at, key = np.r_[at, at2[whole]], np.r_[key, key2[whole]]
             r = np.searchsorted(ptr, at, "right") - 1
             words.append(word)
             values.append(value)
@@ -130,6 +146,7 @@ class Items:
             pos.append(at - ptr[r])
             base += (ptr[1:] + base[-1] - ptr[0]).tolist()
         cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+        self.short = sorted(short)
         self.value, self.slot, self.base = cat(values, np.uint64), cat(slots, bool), np.asarray(base)
         key = cat(keys, np.uint64)
         order = np.argsort(key, kind="stable")
@@ -139,8 +156,9 @@ class Items:
         """(row, item, covered words, words of the item, changed slots) of each item found."""
         if not len(self.key):
             return []
-        ptr, word, value, slot = canonical(buf, offs)
-        at, key = template_windows(ptr, word, slot, self.k)
+        ptr, word, value, slot, opens = canonical(buf, offs)
+        found = [all_windows(ptr, word, value, slot, opens, m) for m in (self.k, *self.short)]
+        at, key = (np.concatenate(x) for x in zip(*found))
         lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         hit = hi > lo
         at, lo, n = at[hit], lo[hit], (hi - lo)[hit]
@@ -154,8 +172,9 @@ class Items:
         order = np.lexsort((pos, diagonal, item, row))
         row, item, pos, diagonal = row[order], item[order], pos[order], diagonal[order]
         new = np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])]
-        gain = np.full(len(pos), self.k)
-        gain[1:] = np.where(new[1:], self.k, np.minimum(self.k, pos[1:] - pos[:-1]))
+        width = np.minimum(self.k, np.diff(self.base)[item])
+        gain = width.copy()
+        gain[1:] = np.where(new[1:], width[1:], np.minimum(width[1:], pos[1:] - pos[:-1]))
         first = np.flatnonzero(new)
         covered = np.add.reduceat(gain, first)
         length = np.diff(self.base)[item[first]]
@@ -164,7 +183,7 @@ class Items:
         ends = np.r_[first[1:], len(pos)]
         for g in np.flatnonzero(enough).tolist():
             a, b = first[g], ends[g]
-            spots = np.unique((pos[a:b, None] + np.arange(self.k)).ravel())
+            spots = np.unique((pos[a:b, None] + np.arange(width[a])).ravel())
             mine, theirs = self.base[item[a]] + spots, diagonal[a] + spots
             both = self.slot[mine] & slot[theirs]
             pairs = set(zip(self.value[mine[both]].tolist(), value[theirs[both]].tolist()))
@@ -172,9 +191,9 @@ class Items:
                 continue
             changed = sum(x != y for x, y in pairs)
             key2 = (int(row[a]), int(item[a]))
-            found = (int(covered[g]), int(length[g]), changed)
-            if found > best.get(key2, (0, 0, 0)):
-                best[key2] = found
+            this = (int(covered[g]), int(length[g]), changed)
+            if this > best.get(key2, (0, 0, 0)):
+                best[key2] = this
         return [(r, i, *x) for (r, i), x in sorted(best.items())]
 
 
@@ -185,7 +204,7 @@ def shards(benchmark: DataFrame, id_col: str, bound: int = SHARD) -> list[Items]
     for r in rows.toLocalIterator():
         ids.append(r["i"])
         texts.append(r["t"])
-        size += len(r["t"]) // 4 + 1
+        size += 3 * (len(r["t"]) // 4 + 1)
         if size >= bound:
             out.append(Items(ids, pa.array(texts, pa.string())))
             ids, texts, size = [], [], 0
