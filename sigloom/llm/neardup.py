@@ -4,8 +4,7 @@ A document's set holds its distinct SHINGLE-word shingles (its whole word sequen
 if shorter). Documents are linked whose sets have a Jaccard similarity of `percent`
 hundredths or more.
 
-1. Sets of equal hash are one class, whose least doc_id stands for it; copies never
-   become pairs.
+1. Sets of equal hash are one class, named by a hash of that; copies never become pairs.
 2. MinHash: BANDS * ROWS samples per class. A band hashes ROWS samples; two sets at
    the limit of 0.8 share none of 32 bands of 4 with probability 5e-8.
 3. Odd sketch: the samples are folded into a parity bitmap, bit h(i, sample_i) flipped for
@@ -26,14 +25,15 @@ never leave a task, only forests do.
 Defined results: null and empty texts have the empty set, 0 shingles and are linked with
 nothing; the component is the least doc_id reachable, so for repeated rows of a doc_id
 all those with the same set are kept; rows without doc_id have component null unless
-linked with rows that have one, and are not kept.
+linked with rows that have one, and are not kept. Links are between sets, not between
+rows of one doc_id or of none.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm import blocks as B
@@ -190,9 +190,14 @@ def runs(*keys: np.ndarray):
     yield from zip(at.tolist(), np.r_[at[1:], n].tolist())
 
 
+def row_key() -> list[Column]:
+    """By which the text of a class is found again: doc_id, NO_ID for null, and a hash of the text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_text")]
+
+
 def features(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
-    """keep columns, _id, n_shingles, set hash (s1, s2), bands and sketch of every row."""
-    kept = docs.select("text", *keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"))
+    """keep columns, _id, text hash, n_shingles, set hash (s1, s2), bands and sketch of every row."""
+    kept = docs.select("text", *keep, *row_key())
 
     def run(batches):
         for batch in batches:
@@ -206,7 +211,7 @@ def features(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
                 bands = T.mix(bands ^ (np.arange(BANDS).astype(np.uint64) * T.U64(0xFF51AFD7ED558CCD)))
                 sketch = odd_sketch(samples)
                 cols = [c.slice(a, b - a) for c in batch.columns[1:]]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array([r.tobytes() for r in bands], pa.binary()), pa.array([r.tobytes() for r in sketch], pa.binary())], names=[*keep, "_id", "n_shingles", "s1", "s2", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array([r.tobytes() for r in bands], pa.binary()), pa.array([r.tobytes() for r in sketch], pa.binary())], names=[*keep, "_id", "_text", "n_shingles", "s1", "s2", "bands", "sketch"])
 
     schema = T.schema(kept, "n_shingles long, s1 long, s2 long, bands binary, sketch binary", 1)
     return kept.mapInArrow(run, schema)
@@ -240,18 +245,18 @@ def candidate_edges(classes: DataFrame, n_classes: int, limit: int) -> DataFrame
     n_blocks = max(4, -(-n_classes // 4096))
     n_buckets = max(4, -(-n_classes * BANDS // 262_144))
     n_groups = max(64, n_classes // 1024)
-    table = materialise(classes.select(F.pmod(F.xxhash64("_id", F.lit(9)), F.lit(n_blocks)).alias("_block"), "_id", "bands", "sketch"), "classes")
+    table = materialise(classes.select(F.pmod(F.xxhash64("_class", F.lit(9)), F.lit(n_blocks)).alias("_block"), "_class", "bands", "sketch"), "classes")
 
     def ask(t: pa.Table) -> pa.Table:
         keys = np.frombuffer(b"".join(t["bands"].to_pylist()), np.uint64)
         return pa.Table.from_batches(list(B.packed(B.bucket_of(keys, n_buckets), n_buckets, t["_block"][0].as_py(), keys)))
 
     def members(t: pa.Table, answers: pa.Table) -> pa.Table:
-        rows: dict[str, list] = {"_bucket": [], "key": [], "u": [], "v": [], "part": [], "_id": [], "sketch": []}
+        rows: dict[str, list] = {"_bucket": [], "key": [], "u": [], "v": [], "part": [], "_class": [], "sketch": []}
         if len(answers) and len(t):
             known = np.concatenate(B.unpack(answers["data"], 2))
             known = known[np.argsort(known[:, 0])]
-            ids = t["_id"].to_numpy()
+            ids = t["_class"].to_numpy()
             keys = np.frombuffer(b"".join(t["bands"].to_pylist()), np.uint64)
             at = np.minimum(np.searchsorted(known[:, 0], keys), len(known) - 1)
             sketches = t["sketch"].to_pylist()
@@ -261,15 +266,15 @@ def candidate_edges(classes: DataFrame, n_classes: int, limit: int) -> DataFrame
                 for other in range(parts):
                     u, v = min(own, other), max(own, other)
                     mixed = T.mix(np.asarray([int(keys[k]) ^ (u * 1_000_003 + v)], np.uint64))
-                    for name, value in (("_bucket", int(mixed[0] % T.U64(n_groups))), ("key", int(keys[k : k + 1].view(np.int64)[0])), ("u", u), ("v", v), ("part", own), ("_id", int(ids[i])), ("sketch", sketches[i])):
+                    for name, value in (("_bucket", int(mixed[0] % T.U64(n_groups))), ("key", int(keys[k : k + 1].view(np.int64)[0])), ("u", u), ("v", v), ("part", own), ("_class", int(ids[i])), ("sketch", sketches[i])):
                         rows[name].append(value)
-        kinds = {"_bucket": pa.int32(), "key": pa.int64(), "u": pa.int32(), "v": pa.int32(), "part": pa.int32(), "_id": pa.int64(), "sketch": pa.binary()}
+        kinds = {"_bucket": pa.int32(), "key": pa.int64(), "u": pa.int32(), "v": pa.int32(), "part": pa.int32(), "_class": pa.int64(), "sketch": pa.binary()}
         return pa.table({c: pa.array(x, kinds[c]) for c, x in rows.items()})
 
     def verify(t: pa.Table) -> pa.Table:
         key, u, v = (t[c].to_numpy() for c in ("key", "u", "v"))
         order = np.lexsort((v, u, key))
-        key, u, v, part, ids = key[order], u[order], v[order], t["part"].to_numpy()[order], t["_id"].to_numpy()[order]
+        key, u, v, part, ids = key[order], u[order], v[order], t["part"].to_numpy()[order], t["_class"].to_numpy()[order]
         bits = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(order), -1)[order]
         out: list[tuple[int, int]] = []
         for a, b in runs(key, u, v):
@@ -285,36 +290,36 @@ def candidate_edges(classes: DataFrame, n_classes: int, limit: int) -> DataFrame
         return edges_table(out)
 
     answers = answer_counts(table.select("_block", "bands").groupBy("_block").applyInArrow(ask, B.MESSAGE))
-    found = table.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(members, "_bucket int, key long, u int, v int, part int, _id long, sketch binary")
+    found = table.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(members, "_bucket int, key long, u int, v int, part int, _class long, sketch binary")
     return materialise(found.groupBy("_bucket").applyInArrow(verify, EDGE), "candidates")
 
 
 def exact_edges(docs: DataFrame, members: DataFrame, shingle: int, percent: int, groups: int) -> DataFrame:
-    """A forest over the true links of each candidate group. members: _id, label, s1, s2."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), "text").join(members.hint("merge"), "_id").select("text", "_id", "label", "s1", "s2", "parts")
+    """A forest over the true links of each candidate group. members: _class, _id, _text, label, s1, parts."""
+    texts = docs.select("text", *row_key()).join(members.hint("merge"), ["_id", "_text"]).select("text", "_class", "label", "s1", "parts")
 
     def sets(batches):
         for batch in batches:
             for a, b, buf, offs in T.slices(batch.column(0)):
                 ptr, hashes = shingle_sets(buf, offs, shingle)
-                cols = [batch.column(i).slice(a, b - a).to_pylist() for i in range(1, 6)]
-                rows: dict[str, list] = {"label": [], "u": [], "v": [], "part": [], "_id": [], "items": []}
-                for d, (i, label, s1, _, parts) in enumerate(zip(*cols)):
+                cols = [batch.column(i).slice(a, b - a).to_pylist() for i in range(1, 5)]
+                rows: dict[str, list] = {"label": [], "u": [], "v": [], "part": [], "_class": [], "items": []}
+                for d, (i, label, s1, parts) in enumerate(zip(*cols)):
                     h = hashes[ptr[d] : ptr[d + 1]]
                     total = T.mix(np.asarray([h.sum(dtype=np.uint64) + T.U64(len(h))], np.uint64)).view(np.int64)[0]
                     if int(total) != s1:
                         continue
-                    own = int(T.mix(np.asarray([i], np.uint64))[0] % T.U64(parts))
+                    own = int(T.mix(np.asarray([i], np.int64).view(np.uint64))[0] % T.U64(parts))
                     for other in range(parts):
-                        for name, value in (("label", label), ("u", min(own, other)), ("v", max(own, other)), ("part", own), ("_id", i), ("items", h.tobytes())):
+                        for name, value in (("label", label), ("u", min(own, other)), ("v", max(own, other)), ("part", own), ("_class", i), ("items", h.tobytes())):
                             rows[name].append(value)
-                kinds = {"label": pa.int64(), "u": pa.int32(), "v": pa.int32(), "part": pa.int32(), "_id": pa.int64(), "items": pa.binary()}
+                kinds = {"label": pa.int64(), "u": pa.int32(), "v": pa.int32(), "part": pa.int32(), "_class": pa.int64(), "items": pa.binary()}
                 yield pa.RecordBatch.from_arrays([pa.array(x, kinds[c]) for c, x in rows.items()], names=list(rows))
 
     def verify(t: pa.Table) -> pa.Table:
         label, u, v = (t[c].to_numpy() for c in ("label", "u", "v"))
         order = np.lexsort((v, u, label))
-        label, u, v, part, ids = label[order], u[order], v[order], t["part"].to_numpy()[order], t["_id"].to_numpy()[order]
+        label, u, v, part, ids = label[order], u[order], v[order], t["part"].to_numpy()[order], t["_class"].to_numpy()[order]
         items = t["items"].take(pa.array(order))
         out: list[tuple[int, int]] = []
         for a, b in runs(label, u, v):
@@ -346,20 +351,21 @@ def exact_edges(docs: DataFrame, members: DataFrame, shingle: int, percent: int,
         return edges_table(out)
 
     spread = F.pmod(F.xxhash64("label", "u", "v"), F.lit(groups))
-    return materialise(texts.mapInArrow(sets, "label long, u int, v int, part int, _id long, items binary").withColumn("_g", spread).groupBy("_g").applyInArrow(verify, EDGE), "links")
+    return materialise(texts.mapInArrow(sets, "label long, u int, v int, part int, _class long, items binary").withColumn("_g", spread).groupBy("_g").applyInArrow(verify, EDGE), "links")
 
 
 def group(docs: DataFrame, keep: list[str], shingle: int = SHINGLE, percent: int = 80) -> DataFrame:
     """keep columns, n_shingles, component_id, kept for every row of docs (which has doc_id and text)."""
     feats = materialise(features(docs, [c for c in keep if c != "doc_id"] + ["doc_id"], shingle), "minhash")
-    one = feats.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "bands", "sketch")).alias("m"))
-    classes = materialise(one.select("s1", "s2", "m._id", "m.bands", "m.sketch"), "classes")
+    one = feats.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "_text", "bands", "sketch")).alias("m"))
+    classes = materialise(one.select(F.xxhash64("s1", "s2").alias("_class"), "s1", "s2", "m._id", "m._text", "m.bands", "m.sketch"), "classes")
     n = classes.count()
     loose = components(candidate_edges(classes, n, count_limit(percent / 100)))
     sizes = loose.groupBy("label").agg(F.count("*").alias("n"))
-    members = materialise(loose.join(sizes, "label").select(F.col("node").alias("_id"), "label", F.ceil(F.col("n") / HOT).cast("int").alias("parts")).join(classes.select("_id", "s1", "s2"), "_id"), "members")
-    final = components(exact_edges(docs, members, shingle, percent, max(64, n // 1024)))
-    known = materialise(classes.select("_id", "s1", "s2").join(final.withColumnRenamed("node", "_id"), "_id", "left").select("s1", "s2", F.coalesce("label", "_id").alias("component")), "components")
+    members = materialise(loose.join(sizes, "label").select(F.col("node").alias("_class"), "label", F.ceil(F.col("n") / HOT).cast("int").alias("parts")).join(classes.select("_class", "_id", "_text", "s1"), "_class"), "members")
+    final = components(exact_edges(docs, members, shingle, percent, max(64, n // 1024))).withColumnRenamed("node", "_class")
+    least = final.join(classes.select("_class", "_id"), "_class").groupBy("label").agg(F.min("_id").alias("least"))
+    known = materialise(classes.select("_class", "_id", "s1", "s2").join(final.join(least, "label").select("_class", "least"), "_class", "left").select("s1", "s2", F.coalesce("least", "_id").alias("component")), "components")
     out = feats.drop("bands", "sketch").join(known, ["s1", "s2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("_id"))
     out = out.withColumn("component_id", F.when(component != NO_ID, component))

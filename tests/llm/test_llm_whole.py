@@ -1,11 +1,11 @@
 """Awkward cases that earlier shortcuts of the operators lost."""
 
+from collections import Counter
+
 import numpy as np
-import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sigloom.llm import components, decontam, mtree, neardup
+from sigloom.llm import decontam, neardup
 from test_llm_operators import brute_groups
 
 
@@ -25,3 +25,32 @@ def test_a_name_is_one_wherever_it_stands(spark):
     items = ["Anna buys 12 red apples", "Anna, who buys red apples"]
     texts = ["Question five Anna buys 30 red apples", "Anna buys 30 red apples", "in fact anna buys 30 red apples", "Here Otto, who buys red apples", "Otto buys 30 red apples", "Otto buys some red apples"]
     assert hits(spark, texts, items) == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 0)]
+
+
+def unrelated(seed, n, size=30):
+    rng = np.random.default_rng(seed)
+    return [" ".join(f"u{x}" for x in rng.integers(0, 10**6, size)) for _ in range(n)]
+
+
+def changed(text, at, word="new"):
+    w = text.split()
+    w[at] = word
+    return " ".join(w)
+
+
+def repeated_ids():
+    """Texts without id and two texts of one id, each linked with something else, some with nothing."""
+    a, b, c, d, e, f, g = unrelated(5, 7, 60)
+    return [(5, a), (None, changed(a, 0)), (None, b), (None, c), (None, changed(c, 59)), (9, d), (9, e), (7, changed(d, 0)), (8, changed(e, 59)), (None, f), (3, changed(f, 1)), (None, changed(f, 58)), (None, g), (None, g)]
+
+
+def test_links_are_between_sets_not_ids(spark):
+    rows = repeated_ids()
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in neardup.group(d, ["doc_id"]).collect()) == brute_groups(rows)
+
+
+def test_near_duplicate_stage_drops_only_what_is_linked(spark, small):
+    rows = repeated_ids()
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, spark.createDataFrame(rows, "doc_id long, text string"), small)
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(rows[k] for k in (0, 2, 3, 4, 7, 8, 10, 12))
