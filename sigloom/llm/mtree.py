@@ -188,17 +188,22 @@ class MTree:
                     s = x[node.first : node.end] @ q
                 else:
                     s = x[rows] @ q
+                other = self.ids[rows] != qid
+                if not other.all():
+                    rows, s = rows[other], s[other]
+                    if not len(rows):
+                        continue
                 if len(best) == k:
                     if s.max() < best[-1][0]:
                         continue
                     ok = s >= best[-1][0]
                     rows, s = rows[ok], s[ok]
                 elif len(rows) > 4 * k:
-                    ok = s >= np.partition(s, len(s) - k - 1)[len(s) - k - 1]
+                    ok = s >= np.partition(s, len(s) - k)[len(s) - k]
                     rows, s = rows[ok], s[ok]
                 ids = self.ids[rows]
-                take = np.lexsort((ids, -s))[: k + int((ids == qid).sum())]
-                best = sorted(best + [(int(s[i]), int(ids[i])) for i in take if ids[i] != qid], key=lambda b: (-b[0], b[1]))[:k]
+                take = np.lexsort((ids, -s))[:k]
+                best = sorted(best + [(int(s[i]), int(ids[i])) for i in take], key=lambda b: (-b[0], b[1]))[:k]
                 if len(best) == k:
                     limit = float(np.sqrt(max(base - 2 * best[-1][0], 0)))
                 continue

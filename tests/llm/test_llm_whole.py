@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 
 import corpus_pipeline
-from sigloom.llm import decontam, neardup
+from sigloom.llm import decontam, mtree, neardup
 from test_llm_operators import brute_groups
 
 
@@ -54,3 +54,13 @@ def test_near_duplicate_stage_drops_only_what_is_linked(spark, small):
     rows = repeated_ids()
     out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, spark.createDataFrame(rows, "doc_id long, text string"), small)
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(rows[k] for k in (0, 2, 3, 4, 7, 8, 10, 12))
+
+
+def test_mtree_leaves_out_all_rows_of_the_own_id():
+    rng = np.random.default_rng(6)
+    x = rng.integers(-20, 20, (200, 8))
+    x[:40] = 30
+    ids = np.r_[np.full(40, 7), np.arange(100, 260)]
+    s = x @ x[0]
+    want = sorted((-int(a), int(i)) for a, i in zip(s, ids) if i != 7)[:5]
+    assert mtree.MTree(ids, x).search(7, x[0], 5) == [(-a, i) for a, i in want]
