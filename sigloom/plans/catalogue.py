@@ -291,9 +291,9 @@ def residual_ratio(spark, sf_dir):
 
 @query("SELECT o_orderkey, regexp_extract('seg-' || lpad(o_orderkey::VARCHAR, 6, '0'), '-([0-9]{6})', 1)::INTEGER AS segment, o_orderkey AS start, (o_custkey % 2)::INTEGER AS flag, 'raw' AS suffix FROM orders WHERE o_orderkey < 1000000")
 def file_names(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 1000000")
+    o = table(spark, sf_dir, "orders")
     c = labels.chunk_parts(F.concat(F.lit("a_b_"), F.col("o_orderkey").cast("string"), F.lit("_"), (F.col("o_custkey") % 2).cast("string"), F.lit("_raw.raw32")))
-    return o.select("o_orderkey", labels.segment_number(F.concat(F.lit("seg-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))).alias("segment"), c["start"].alias("start"), c["flag"].alias("flag"), c["suffix"].alias("suffix"))
+    return o.select("o_orderkey", labels.segment_number(F.concat(F.lit("seg-"), F.lpad((F.col("o_orderkey") % 1_000_000).cast("string"), 6, "0"))).alias("segment"), c["start"].alias("start"), c["flag"].alias("flag"), c["suffix"].alias("suffix"))
 
 
 @query("SELECT event_id, 'c' || user_id AS channel, (user_id * 10)::INTEGER AS rate FROM events")

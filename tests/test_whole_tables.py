@@ -39,3 +39,9 @@ def test_range_expand_takes_all_positions(spark, put):
     lo = int(START.timestamp()) * 1_000_000
     want = [("a", 1, i, lo + i * 250000.0) for i in range(120)] + [("a", 2, 0, lo + 400 * 60e6), ("b", 1, 0, float(lo)), ("b", 1, 1, lo + 250000.0)]
     assert sorted(tuple(r) for r in catalogue.range_expand(spark, folder).collect()) == want
+
+
+def test_file_names_takes_all_orders(spark, put):
+    folder = put("orders", [(7, 1), (999_999, 2), (1_000_000, 3), (23_456_789, 4)], "o_orderkey long, o_custkey long")
+    want = [(7, 7, 7, 1, "raw"), (999_999, 999_999, 999_999, 0, "raw"), (1_000_000, 0, 1_000_000, 1, "raw"), (23_456_789, 456_789, 23_456_789, 0, "raw")]
+    assert sorted(tuple(r) for r in catalogue.file_names(spark, folder).collect()) == want
