@@ -14,7 +14,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     A round takes the least label among each node's neighbours and then the
     label's own label. Every round's labels are a written table; joins are between plain
     scans, so that a hub with many edges is split like any skewed join, and the
-    minimum is combined before its shuffle. The labels only fall, so it ends.
+    minimum is combined before its shuffle. The labels only fall, so it ends; it fails
+    if they still change in the last of the rounds.
     """
     both = materialise(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
@@ -26,5 +27,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         changed = fresh.agg(F.count_if(F.col("label") != F.col("was")).alias("n")).first()["n"]
         labels = fresh.select("node", "label")
         if not changed:
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"components: labels still change after {rounds} rounds")

@@ -3,9 +3,11 @@
 from collections import Counter
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from sigloom.llm import decontam, mtree, neardup
+from sigloom.llm.components import components
 from test_llm_operators import brute_groups
 
 
@@ -64,3 +66,10 @@ def test_mtree_leaves_out_all_rows_of_the_own_id():
     s = x @ x[0]
     want = sorted((-int(a), int(i)) for a, i in zip(s, ids) if i != 7)[:5]
     assert mtree.MTree(ids, x).search(7, x[0], 5) == [(-a, i) for a, i in want]
+
+
+def test_components_are_whole_or_fail(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {r["label"] for r in components(path).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        components(path, rounds=1)
