@@ -159,7 +159,7 @@ def waveform_explode(spark, sf_dir):
 
 @query("SELECT vec_id, part, w FROM (SELECT vec_id, part, list_transform(embedding[part * 16 + 1:part * 16 + 16], lambda x: x::DOUBLE) AS w FROM embeddings, unnest(range(0, 4)) AS p(part))")
 def waveform_reshape(spark, sf_dir):
-    parts = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("embedding", i * 16 + 1, 16))
+    parts = F.when(F.size("embedding") > 0, F.transform(F.sequence(F.lit(0), F.ceil(F.size("embedding") / 16).cast("int") - 1), lambda i: F.slice("embedding", i * 16 + 1, 16)))
     return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(parts).alias("part", "w")).select("vec_id", F.col("part").cast("long").alias("part"), F.col("w").cast("array<double>").alias("w"))
 
 

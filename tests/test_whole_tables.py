@@ -45,3 +45,9 @@ def test_file_names_takes_all_orders(spark, put):
     folder = put("orders", [(7, 1), (999_999, 2), (1_000_000, 3), (23_456_789, 4)], "o_orderkey long, o_custkey long")
     want = [(7, 7, 7, 1, "raw"), (999_999, 999_999, 999_999, 0, "raw"), (1_000_000, 0, 1_000_000, 1, "raw"), (23_456_789, 456_789, 23_456_789, 0, "raw")]
     assert sorted(tuple(r) for r in catalogue.file_names(spark, folder).collect()) == want
+
+
+def test_waveform_reshape_takes_all_components(spark, put):
+    folder = put("embeddings", [(1, [float(i) for i in range(70)]), (2, [1.0]), (3, []), (4, None)], "vec_id long, embedding array<float>")
+    want = [(1, p, [float(i) for i in range(16 * p, min(70, 16 * p + 16))]) for p in range(5)] + [(2, 0, [1.0])]
+    assert sorted(tuple(r) for r in catalogue.waveform_reshape(spark, folder).collect()) == want
