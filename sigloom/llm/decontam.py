@@ -117,7 +117,7 @@ def all_windows(ptr: np.ndarray, word: np.ndarray, value: np.ndarray, slot: np.n
     for more, some, template in ((0, slots > 0, word), (names, names > 0, np.where(opens, NAME, word))):
         some = at[some & (k - slots - more >= min(LITERAL, k))]
         places.append(some)
-        keys.append(T.range_hash(template, some, some + k, T.WORD_BASE))
+        keys.append(T.windows(template, k)[some])
     return np.concatenate(places), np.concatenate(keys)
 
 

@@ -11,7 +11,8 @@ accepted error rate allows.
 
 Defined results: null texts and texts without a letter are `und` with score 0; a
 text with letters always gets a learned language, and `rejected` tells whether its
-confidence is under the limit. Without any label all texts are `und`.
+confidence is under the limit. Without any label all texts are `und`. Repeated rows get a
+row each and count once in training; a doc_id with several texts or languages counts with each.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm import samples as S
@@ -95,8 +96,11 @@ def train(ptr, ids, counts, langs: list[str], dims: int = 16, epochs: int = 6, r
     emb = (rng.normal(size=(1 << BITS, dims)) * 0.1).astype(np.float32)
     out, bias = np.zeros((dims, len(names)), np.float32), np.zeros(len(names))
     order = rng.permutation(len(y))
-    held = order[: len(y) // 5]
-    learn = order[len(y) // 5 :]
+    # a fifth is left out, but of each language one text stays
+    _, stay = np.unique(y[order], return_index=True)
+    rest = np.delete(order, stay)
+    held = rest[: len(y) // 5]
+    learn = np.r_[rest[len(y) // 5 :], order[stay]]
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for row in rng.permutation(learn):
@@ -129,18 +133,16 @@ def train(ptr, ids, counts, langs: list[str], dims: int = 16, epochs: int = 6, r
     return model
 
 
-def fit(docs: DataFrame, per_language: int = 400) -> Model | None:
-    """Train on at most per_language texts of each language, outside the held-out fold."""
+def fit(docs: DataFrame, per_language: int = 400, total: int = S.SAMPLE_BYTES) -> Model | None:
+    """Train on at most per_language distinct texts of each language, outside the held-out fold.
+
+    Every language has one text at least, all those beyond it hold total bytes together; the
+    sample is as large as the model, whose classes the languages are.
+    """
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~S.fold(F.col("doc_id")))
-    # of each language the least hashes; those beyond twice the expected cut can go before the rows of a language meet
-    keyed = known.select("doc_id", "lang", S.order_key(F.col("doc_id")).alias("_k"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("_size")).orderBy(F.col("_size").desc()).limit(100_000)
-    place = (F.col("_k").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    likely = keyed.join(F.broadcast(sizes), "lang").where(place * F.col("_size") <= 2.0 * per_language + 50)
-    turn = Window.partitionBy("lang").orderBy("_k", "doc_id")
-    ids = likely.withColumn("_n", F.row_number().over(turn)).where(F.col("_n") <= per_language).select("doc_id").distinct()
-    ids = ids.limit(per_language * 1000)
-    ptr, feats, counts, kept = S.collect_bags(S.pick(known, ids), features, ["doc_id", "lang"], per_language * 1000)
+    names = known.groupBy("lang").agg(F.lit(1).alias("_any"))
+    each = total // max(1, names.count())
+    ptr, feats, counts, kept = S.collect_bags(S.sample(known, names, ["lang"], per_language, "lang", each), features, ["doc_id", "lang"])
     return train(ptr, feats, counts, kept["lang"])
 
 

@@ -11,16 +11,21 @@ distance. An entry whose |d(q, parent) - d(entry, parent)| - radius exceeds the
 distance of the k-th best so far is passed over before its own distance is
 computed (the triangle inequality on stored distances); scores are integers and
 bounds have a margin for rounding, so the result is exact, ties going to the
-smaller id.
+smaller id. Where integers are too large for doubles to add up exactly, the tree's bounds
+get a wider margin and whatever may be among the best is scored in Python integers.
 
 Queries travel in blocks; each pair of a tree and a block is one row of work, and
 the best k of each pair meet in a window that cuts to k before its shuffle.
 
-Defined results: null vectors, vectors with null or non-finite components, with
-components of 2^31 or more after scaling, and null ids take no part; shorter
+Rows are dealt by their place in a written copy of the table, so that rows of one id
+spread over trees and blocks like any others.
+
+Defined results: null vectors, vectors with null or non-finite components (a component that
+scaling takes beyond a double included) and null ids take no part; shorter
 vectors count as padded by zeros; a query is never its own candidate, nor is another
-row of the same id; repeated rows of other ids count as often as they occur; an empty
-table gives an empty result.
+row of the same id; repeated rows of other ids count as often as they occur, repeated rows of a
+query's id share one ranking; scores beyond a long rank by their true value and are
+reported as the nearest long; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,35 +39,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TREE = 8192
+from sigloom.session import materialise
+
+TREE = 4096
 PAGE = 256
 FAN = 6
 BLOCK = 256
 
 
 def quantise(column: pa.Array, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the usable vectors and their integers (int64 matrix)."""
+    """Positions of the usable vectors and their integers, as doubles that hold them exactly."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    rows, vecs = [], []
-    for i, v in enumerate(column):
-        if not v.is_valid:
-            continue
-        x = v.values
-        if x.null_count:
-            continue
-        y = np.floor(scale * x.to_numpy(zero_copy_only=False).astype(np.float64))
-        if np.isfinite(y).all() and (not len(y) or np.abs(y).max() < 2**31):
-            rows.append(i)
-            vecs.append(y.astype(np.int64))
-    dims = max(map(len, vecs), default=0)
-    out = np.zeros((len(vecs), dims), np.int64)
-    for i, v in enumerate(vecs):
-        out[i, : len(v)] = v
-    return np.asarray(rows, np.int64), out
+    offs, items = column.offsets.to_numpy().astype(np.int64), column.values
+    size = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(offs), 0)
+    with np.errstate(over="ignore", invalid="ignore"):
+        y = np.floor(scale * items.to_numpy(zero_copy_only=False).astype(np.float64))
+    bad = np.r_[0, np.cumsum(~np.isfinite(y))]
+    rows = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False) & (bad[offs[1:]] == bad[offs[:-1]]))
+    n = size[rows]
+    out = np.zeros((len(rows), int(n.max(initial=0))))
+    r = np.repeat(np.arange(len(rows)), n)
+    c = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    out[r, c] = y[np.repeat(offs[:-1][rows], n) + c]
+    return rows, out
 
 
 def small(x: np.ndarray) -> np.ndarray:
+    """In the least type that holds the integers."""
     for kind in (np.int8, np.int16, np.int32):
         if not x.size or np.abs(x).max() <= np.iinfo(kind).max:
             return x.astype(kind)
@@ -86,7 +90,9 @@ class Node:
 class MTree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.x = ids[order], vectors[order].astype(np.float64)
+        top = float(np.abs(vectors).max()) if vectors.size else 0.0
+        self.unit = 2.0 ** -max(0, int(np.frexp(top)[1]) - 256)  # keeps squares of the largest components finite
+        self.ids, self.x = ids[order], vectors[order].astype(np.float64) * self.unit
         self.norm2 = (self.x * self.x).sum(axis=1)
         self.top2 = float(self.norm2.max()) if len(ids) else 0.0
         self.last = np.sqrt(np.maximum(self.top2 - self.norm2, 0))
@@ -155,6 +161,24 @@ class MTree:
                 dist.append(float(self._distance(pivot, np.asarray([p]))[0]))
         return Node(pivot, radius, np.asarray(dist), None, children, radii=np.asarray([c.radius for c in children]))
 
+    def packed(self) -> bytes:
+        """Without the vectors' width: whole numbers in their least type."""
+        x, self.x = self.x, small(self.x) if self.unit == 1 else self.x
+        out = pickle.dumps(self)
+        self.x = x
+        return out
+
+    @staticmethod
+    def unpacked(data: bytes) -> MTree:
+        tree = pickle.loads(data)
+        tree.x = tree.x.astype(np.float64)
+        return tree
+
+    def exact(self, q: np.ndarray) -> bool:
+        """Whether inner products with q are exact in doubles."""
+        top = max(float(np.abs(self.x).max(initial=0)), float(np.abs(q).max(initial=0)))
+        return self.unit == 1 and top * top * max(self.x.shape[1], len(q), 1) * 4 < 2**53
+
     def search(self, qid: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (score, id), best first."""
         if self.root is None:
@@ -162,10 +186,15 @@ class MTree:
         dims = max(self.x.shape[1], len(q))
         x = self.x if self.x.shape[1] == dims else np.pad(self.x, ((0, 0), (0, dims - self.x.shape[1])))
         q = np.pad(q.astype(np.float64), (0, dims - len(q)))
+        exact = self.exact(q)
+        whole = [int(v) for v in q] if not exact else []
+        q = q * 2.0 ** -max(0, int(np.frexp(np.abs(q).max(initial=0))[1]) - 256)
         base = float(q @ q) + self.top2
-        margin = 1e-6 * np.sqrt(base + 1)
-        best: list[tuple[int, int]] = []
-        limit = np.inf
+        # of a double's rounding in distances, and in scores where these aren't exact
+        margin = 1e-6 * np.sqrt(base + 1) * (1 if exact else np.sqrt(dims + 1))
+        slack = 0.0 if exact else 1e-14 * (dims + 1) * base
+        best: list[tuple[int, int, float]] = []
+        limit, floor = np.inf, -np.inf
         to = lambda rows: np.sqrt(np.maximum(base - 2 * (x[rows] @ q), 0))
         d0 = float(to(np.asarray([self.root.pivot]))[0])
         heap = [(max(d0 - self.root.radius, 0.0), 0, d0, self.root)]
@@ -175,37 +204,31 @@ class MTree:
             if bound > limit + margin:
                 break
             if node.children is None:
-                rows = None
-                if limit < np.inf:
-                    open_ = np.abs(node.near - d) <= limit + margin
-                    n_open = np.count_nonzero(open_)
-                    if not n_open:
-                        continue
-                    if 4 * n_open < len(open_):
-                        rows = node.first + np.flatnonzero(open_)
-                if rows is None:
+                open_ = np.abs(node.near - d) <= limit + margin
+                n_open = np.count_nonzero(open_)
+                if not n_open:
+                    continue
+                if 4 * n_open < len(open_):
+                    rows = node.first + np.flatnonzero(open_)
+                    s = x[rows] @ q
+                else:
                     rows = np.arange(node.first, node.end)
                     s = x[node.first : node.end] @ q
-                else:
-                    s = x[rows] @ q
-                other = self.ids[rows] != qid
-                if not other.all():
-                    rows, s = rows[other], s[other]
-                    if not len(rows):
-                        continue
+                ok = self.ids[rows] != qid
                 if len(best) == k:
-                    if s.max() < best[-1][0]:
-                        continue
-                    ok = s >= best[-1][0]
-                    rows, s = rows[ok], s[ok]
-                elif len(rows) > 4 * k:
-                    ok = s >= np.partition(s, len(s) - k)[len(s) - k]
+                    ok &= s >= floor - slack
+                rows, s = rows[ok], s[ok]
+                if len(rows) > 4 * k:
+                    ok = s >= np.partition(s, len(s) - k)[len(s) - k] - 2 * slack
                     rows, s = rows[ok], s[ok]
-                ids = self.ids[rows]
-                take = np.lexsort((ids, -s))[:k]
-                best = sorted(best + [(int(s[i]), int(ids[i])) for i in take], key=lambda b: (-b[0], b[1]))[:k]
+                if not len(rows):
+                    continue
+                ids = self.ids[rows].tolist()
+                scores = map(int, s) if exact else (sum(a * int(v) for a, v in zip(whole, y)) for y in (x[rows] / self.unit))
+                best = sorted([*best, *zip(scores, ids, s.tolist())], key=lambda b: (-b[0], b[1]))[:k]
                 if len(best) == k:
-                    limit = float(np.sqrt(max(base - 2 * best[-1][0], 0)))
+                    floor = min(b[2] for b in best) - slack
+                    limit = float(np.sqrt(max(base - 2 * floor, 0)))
                 continue
             radii = node.radii
             live = np.flatnonzero(np.abs(d - node.near) - radii <= limit + margin)
@@ -216,59 +239,50 @@ class MTree:
                     if low <= limit + margin:
                         n += 1
                         heapq.heappush(heap, (low, n, float(e), node.children[i]))
-        return best
-
-
-def exact_floats(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether inner products of the rows are exact in doubles."""
-    top = lambda x: float(np.abs(x).max()) if x.size else 0.0
-    return max(top(a), top(b)) ** 2 * max(a.shape[1], b.shape[1], 1) * 4 < 2**53
+        return [b[:2] for b in best]
 
 
-def plain_search(ids: np.ndarray, vectors: np.ndarray, qid: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """For integers beyond what doubles hold exactly: Python integers."""
-    out = []
-    for i, v in zip(ids.tolist(), vectors.tolist()):
-        if i != qid:
-            out.append((sum(a * b for a, b in zip(v, q.tolist())), i))
-    return sorted(out, key=lambda b: (-b[0], b[1]))[:k]
+#: Pairs of a tree and a group of blocks there should be at least, so that all cores have work.
+PAIRS = 64
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, its k best among all other rows."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-    queries = rows.where(F.col("vec_id") % every == 0)
-    n = rows.agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
+    rows = materialise(rows, "vectors").withColumn("at", F.xxhash64(F.monotonically_increasing_id()))
+    is_query = F.col("vec_id") % every == 0
+    n = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     trees, blocks = max(1, -(-n["n"] // TREE)), max(1, -(-n["q"] // BLOCK))
-    groups = -(-blocks // 64)
+    groups = min(blocks, max(-(-blocks // 64), -(-PAIRS // trees)))
 
     def pack(table: pa.Table) -> pa.Table:
         at, x = quantise(table["v"], scale)
         ids = table["vec_id"].to_numpy()[at]
         return pa.table({"key": table["key"].slice(0, 1), "blob": pa.array([pickle.dumps((ids, small(x)))], pa.binary())})
 
-    def blobs(df: DataFrame, parts: int) -> DataFrame:
-        keyed = df.withColumn("key", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(parts)).cast("int"))
-        return keyed.groupBy("key").applyInArrow(pack, "key int, blob binary")
+    def plant(table: pa.Table) -> pa.Table:
+        at, x = quantise(table["v"], scale)
+        return pa.table({"key": table["key"].slice(0, 1), "blob": pa.array([MTree(table["vec_id"].to_numpy()[at], x).packed()], pa.binary())})
 
-    def plant(batches):
-        for batch in batches:
-            out = []
-            for blob in batch.column(1):
-                ids, x = pickle.loads(blob.as_py())
-                out.append(pickle.dumps((MTree(ids, x), ids, x)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["tree", "forest"])
+    def blobs(df: DataFrame, make, parts: int) -> DataFrame:
+        return df.withColumn("key", F.pmod("at", F.lit(parts)).cast("int")).groupBy("key").applyInArrow(make, "key int, blob binary")
 
     def seek(batches):
         for batch in batches:
             for t, b in zip(batch.column(0), batch.column(1)):
-                (tree, ids, x), (qids, qs) = pickle.loads(t.as_py()), pickle.loads(b.as_py())
-                fine = exact_floats(x, qs)
-                got = [(int(i), v, s) for i, q in zip(qids, qs) for s, v in (tree.search(int(i), q, k) if fine else plain_search(ids, x, int(i), q, k))]
-                yield pa.RecordBatch.from_arrays([pa.array([g[j] for g in got], pa.int64()) for j in range(3)], names=["query_id", "vec_id", "score"])
-
-    forest = blobs(rows, trees).mapInArrow(plant, "tree int, forest binary").withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = blobs(queries, blocks).withColumnRenamed("blob", "block").withColumn("g", F.pmod(F.col("key"), F.lit(groups))).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).drop("key")
-    found = forest.join(asked, ["tree", "g"]).select("forest", "block").mapInArrow(seek, "query_id long, vec_id long, score long")
-    turn = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+                tree, (qids, qs) = MTree.unpacked(t.as_py()), pickle.loads(b.as_py())
+                got = [(i, v, s) for i, q in zip(qids.tolist(), qs) for s, v in tree.search(i, q, k)]
+                got = [(i, v, s, max(-(1 << 63), min((1 << 63) - 1, s)), str(s) if abs(s) >= 1 << 63 else None) for i, v, s in got]
+                yield pa.RecordBatch.from_arrays([pa.array([g[j] for g in got], pa.int64()) for j in (0, 1, 3)] + [pa.array([g[4] for g in got], pa.string())], names=["query_id", "vec_id", "score", "beyond"])
+
+    # both sides are dealt by number, which keeps small rows of heavy work apart
+    deal = lambda df: df.repartition(max(8, trees * groups), "tree", "g")
+    forest = blobs(rows, plant, trees).select(F.col("key").alias("tree"), F.col("blob").alias("forest"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+    asked = blobs(rows.where(is_query), pack, blocks).select(F.col("blob").alias("block"), F.pmod(F.col("key"), F.lit(groups)).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    found = deal(forest).hint("merge").join(deal(asked), ["tree", "g"]).select("forest", "block").mapInArrow(seek, "query_id long, vec_id long, score long, beyond string")
+    # scores beyond a long, by sign, number of digits and digits
+    size = F.coalesce(F.length("beyond"), F.lit(0))
+    far = F.when(F.col("score") < 0, -size).otherwise(size)
+    digits = F.when(F.col("score") < 0, F.translate("beyond", "0123456789", "9876543210")).otherwise(F.col("beyond"))
+    turn = Window.partitionBy("query_id").orderBy(far.desc(), digits.desc(), F.col("score").desc(), F.col("vec_id"))
     return found.withColumn("rank", F.row_number().over(turn)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

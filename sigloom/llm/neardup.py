@@ -61,7 +61,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray,
         if b - a >= k:
             g = np.unique(grams[a : b - k + 1])
         elif b > a:
-            g = T.range_hash(h, np.asarray([a]), np.asarray([b]), T.WORD_BASE)
+            g = T.windows(h[a:b], b - a)
         else:
             g = np.zeros(0, np.uint64)
         out.append(g)

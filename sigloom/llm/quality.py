@@ -12,7 +12,8 @@ sample of at most `bound` labelled texts; every row is scored, on its whole text
 
 Defined results: null and empty texts have no words and are scored from their
 structure features; without any label of both classes in the training folds
-every score is the share of label 1 (0.5 without labels); repeated rows get a row each.
+every score is the share of label 1 (0.5 without labels); repeated rows get a row each
+and count once in training.
 """
 
 from __future__ import annotations
@@ -160,8 +161,8 @@ def with_length(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 6000) -> FactorisationMachine:
     """Train on at most bound labelled texts outside the held-out fold."""
     ids = S.labelled_ids(labels, label, bound)
-    rows = S.pick(with_length(docs).select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars")), ids)
-    ptr, feats, w, kept = S.collect_bags(rows, features, ["doc_id", "label", "n_chars"], bound)
+    rows = S.sample(with_length(docs).select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars")), ids, ["label", "n_chars"], bound)
+    ptr, feats, w, kept = S.collect_bags(rows, features, ["doc_id", "label", "n_chars"])
     ptr, feats, w = with_meta(ptr, feats, w, magnitude(kept["n_chars"]))
     return train(ptr, feats, w, (np.asarray(kept["label"], float) > 0).astype(float))
 

@@ -2,12 +2,15 @@
 
 Texts are handled as UTF-8 bytes. A word is a maximal run of bytes outside
 \\x20 and \\x09-\\x0D; no byte of a multi-byte character is one of these, so
-words on bytes and on characters are the same. Hashes are 64-bit polynomial
-prefix hashes with a finishing mix; they are the same on every machine.
+words on bytes and on characters are the same. Hashes take eight bytes (or one word) at a
+time through a bijective non-linear mix, so no structure of a text cancels out, and long words
+through BLAKE2; they are keyed by a seed and the same on every machine. Two seeds
+give 128 bits where equality decides what is removed.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,27 +27,12 @@ LOWER[65:91] += 32
 #: Delimiters for plain words: everything but ASCII letters, digits and the bytes of other characters.
 PLAIN = np.ones(256, bool)
 PLAIN[48:58] = PLAIN[65:91] = PLAIN[97:123] = PLAIN[128:] = False
-BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 CHUNK = 1 << 19
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i mod 2**64 for i < n at least."""
-    have = _POWERS.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
-        inv = pow(base, -1, 1 << 64)
-        out = []
-        for b in (base, inv):
-            p = np.full(size, b, U64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-        have = (out[0], out[1])
-        if size <= 2 * CHUNK:
-            _POWERS[base] = have
-    return have
+#: A word of more bytes is hashed by BLAKE2.
+LONG_WORD = 64
+_ODD, _LENGTH, _SEED = U64(0x9E3779B97F4A7C15), U64(0xA24BAED4963EE407), U64(0xC2B2AE3D27D4EB4F)
+_LOW_BYTES = np.asarray([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,23 +44,42 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-def range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = BYTE_BASE) -> np.ndarray:
-    """Hash of values[start:end] for each pair; depends on the content alone."""
-    if not len(start):
-        return np.zeros(0, U64)
-    up, down = _powers(base, len(values) + 1)
-    pre = np.zeros(len(values) + 1, U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[: len(values)], out=pre[1:])
-    return mix((pre[end] - pre[start]) * down[start] + (end - start).astype(U64) * U64(0xA24BAED4963EE407))
+def _times(n: int, by: np.uint64) -> np.uint64:
+    return U64(n * int(by) & 0xFFFFFFFFFFFFFFFF)
 
 
-def windows(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of h[i:i+k] for every i with i+k <= len(h)."""
+def range_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of the bytes buf[start:end] for each pair; depends on the content and the seed alone."""
+    if not len(start):
+        return np.zeros(0, U64)
+    eight = np.ndarray((len(buf) + 1,), "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]), strides=(1,))
+    n = end - start
+    h = mix(n.astype(U64) * _LENGTH + _times(seed, _SEED))
+    h = mix(h ^ (eight[start] & _LOW_BYTES[np.minimum(n, 8)]))
+    live, at = np.flatnonzero(n > 8), 8
+    while len(live) and at < LONG_WORD:
+        h[live] = mix(h[live] * _ODD ^ (eight[start[live] + at] & _LOW_BYTES[np.minimum(n[live] - at, 8)]))
+        at += 8
+        live = live[n[live] > at]
+    for i in live.tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(buf[start[i] : end[i]].tobytes(), digest_size=8, key=seed.to_bytes(8, "little")).digest(), "little")
+    return h
+
+
+def windows(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
+    """Hash of h[i:i+k] for every i with i+k <= len(h), from spans of doubling width."""
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, U64)
-    i = np.arange(n)
-    return range_hash(h, i, i + k, WORD_BASE)
+    span, width, at, out = mix(h ^ _times(seed, _SEED)), 1, 0, None
+    while True:
+        if k & width:
+            out = span[at : at + n] if out is None else mix(out * _ODD + span[at : at + n])
+            at += width
+        if 2 * width > k:
+            return mix(out + _times(k, _LENGTH))
+        span = mix(span[:-width] * _ODD + span[width:])
+        width *= 2
 
 
 def slices(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

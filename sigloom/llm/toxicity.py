@@ -13,7 +13,8 @@ when they are significantly more frequent among the positives than among the
 unlabelled texts. Non-toxic labels are used for the prior only.
 
 Defined results: texts without any such word, empty and null texts get the
-score of the bare bias; without positives every score is 0.
+score of the bare bias; without positives every score is 0; repeated rows get a row
+each and count once in training.
 """
 
 from __future__ import annotations
@@ -106,9 +107,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int
         got = labels.where(~S.fold(F.col("doc_id")) & F.col(label).isNotNull()).agg(F.avg((F.col(label) > 0).cast("double")).alias("p")).first()
         prior = float(got["p"] or 0.0)
     marked = S.labelled_ids(labels, label, positives, F.col("label") > 0)
-    p_ptr, p_ids, _, _ = S.collect_bags(S.pick(texts, marked), features, ["doc_id"], positives)
+    p_ptr, p_ids, _, _ = S.collect_bags(S.sample(texts, marked, [], positives), features, ["doc_id"])
     some = docs.select("doc_id").where(~S.fold(F.col("doc_id"))).orderBy(S.order_key(F.col("doc_id")), "doc_id").limit(unlabelled).distinct()
-    u_ptr, u_ids, _, _ = S.collect_bags(S.pick(texts, some), features, ["doc_id"], unlabelled)
+    u_ptr, u_ids, _, _ = S.collect_bags(S.sample(texts, some, [], unlabelled), features, ["doc_id"])
     return train((p_ptr, p_ids), (u_ptr, u_ids), prior)
 
 
