@@ -14,15 +14,20 @@ time, so the cost is linear in the text.
 
 Text rules: character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by an empty line. Markup, comments, scripts,
-styles, templates and form controls have no text. Defined results: null and
+styles, templates, drawings and form controls have no text. Defined results: null and
 empty pages have the text '' and 0 characters; unclosed and stray tags follow the
 usual recovery (a new block closes an open paragraph, an end tag without its start is
-passed over); text outside any block belongs to the body.
+passed over); a drawing or control that isn't closed ends at the next block, a raw
+element without its end tag (but scripts and styles) is passed over as a tag; a quote that
+is never closed ends with its tag; text outside any block belongs to the body; elements below
+MAX_DEPTH hang at that depth, as in browsers. Repeated pages get a row each. A
+page of any size or nesting takes time linear in its length.
 """
 
 from __future__ import annotations
 
 import html as entities
+import random
 import re
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -36,12 +41,16 @@ from sigloom.llm import textnp
 
 #: Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img nobr".split())
+RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
+#: Elements whose text isn't shown; they are read as a tree.
+MUTE = frozenset("svg select annotation annotation-xml".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img nobr math mi mn mo ms mtext mrow mfrac msqrt mroot msup msub msubsup mover munder munderover mstyle mspace mpadded mtable mtr mtd semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 #: An opening tag on the left ends an open element on the right, up to the fence.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
 
+ENDS_MUTE = frozenset("li dt dd tr td th tbody body".split())
+
 KINDS = ("html", "head", "body", "nav", "header", "footer", "aside", "main", "article", "section", "div", "p", "h", "list", "li", "table", "cell", "quote", "pre", "form", "figure", "address", "other")
 _KIND = {k: i for i, k in enumerate(KINDS)} | {f"h{n}": KINDS.index("h") for n in range(1, 7)}
 for _name, _tags in {"list": "ul ol dl menu dir", "li": "li dt dd", "table": "table tbody thead tfoot tr caption", "cell": "td th", "quote": "blockquote", "form": "form fieldset button input select textarea", "figure": "figure figcaption picture video audio"}.items():
@@ -50,7 +59,10 @@ for _name, _tags in {"list": "ul ol dl menu dir", "li": "li dt dd", "table": "ta
 BAD_WORDS = ("nav", "menu", "footer", "header", "head", "side", "sidebar", "aside", "ad", "ads", "advert", "advertisement", "banner", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent", "notice", "popup", "modal", "share", "social", "related", "recommend", "recommended", "comment", "comments", "reply", "replies", "disqus", "breadcrumb", "breadcrumbs", "pagination", "pager", "login", "signup", "subscribe", "newsletter", "widget", "toolbar", "tags", "meta", "byline", "copyright", "legal", "search", "alert", "gdpr", "teaser", "outbrain", "masthead", "complementary", "contentinfo", "navigation", "respond", "form")
 GOOD_WORDS = ("article", "content", "main", "post", "entry", "story", "body", "text", "page", "articlebody", "prose")
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_MARKUP = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+#: Of a tag, up to its end or to the next quoted value.
+_PLAIN_ATTRS = re.compile(r"""[^>"']*""")
+MAX_DEPTH = 512
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 _BLANK = re.compile(r"\s+")
@@ -80,6 +92,104 @@ def attribute_marks(attrs: str) -> tuple[bool, bool, bool]:
     return bad, good, hidden
 
 
+class Tags:
+    """Reads the attributes and raw contents of a page's tags, each character a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.none_after = {'"': len(page) + 1, "'": len(page) + 1}  # from where on a quote is known not to occur
+        self.closes: dict[str, tuple[int, int | None]] = {}  # of an element: from where searched, end of its end tag
+
+    def attributes(self, at: int) -> tuple[str, int]:
+        """The attributes of a tag whose name ends at `at`, and where the tag ends."""
+        page, first, from_ = self.page, at, at
+        while True:
+            m = _PLAIN_ATTRS.match(page, at)
+            at = m.end()
+            if at >= len(page):
+                return page[first:], at
+            quote = page[at]
+            if quote == ">":
+                return page[first:at], at + 1
+            at += 1
+            if page[from_ : at - 1].rstrip().endswith("="):  # otherwise a quote opens no value
+                close = page.find(quote, at) if at < self.none_after[quote] else -1
+                if close < 0:
+                    self.none_after[quote] = min(self.none_after[quote], at)
+                else:
+                    at = close + 1
+            from_ = at
+
+    def close(self, name: str, at: int) -> int | None:
+        """The end of the first end tag of a raw element at `at` or later, None without one."""
+        from_, found = self.closes.get(name, (len(self.page) + 1, None))
+        if from_ > at or (found is not None and found <= at):
+            m = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(self.page, at)
+            found = m.end() if m else None
+            self.closes[name] = (at, found)
+        return found
+
+
+class Open:
+    """The open elements of a page. An inline one has its block's number."""
+
+    def __init__(self, root: int):
+        self.names, self.nodes, self.blocks, self.linked, self.muted = ["html"], [root], [0], [0], [0]
+        self.places: dict[str, list[int]] = {"html": [0]}  # of a name, where it stands among the open elements
+        self.depth = [0]
+
+    node = property(lambda self: self.nodes[-1])
+    links = property(lambda self: self.linked[-1])
+    mute = property(lambda self: self.muted[-1])
+
+    def push(self, name: str, node: int, inline: bool = True, mute: bool = False) -> None:
+        at = len(self.names)
+        self.places.setdefault(name, []).append(at)
+        self.names.append(name)
+        self.depth.append(min(self.depth[-1] + (not inline), MAX_DEPTH))
+        self.nodes.append(node)
+        self.blocks.append(self.blocks[-1] if inline else at)
+        self.linked.append(self.linked[-1] + (name == "a"))
+        self.muted.append(self.muted[-1] + mute)
+
+    def cut(self, at: int) -> None:
+        for name in self.names[at:]:
+            self.places[name].pop()
+        for x in (self.names, self.nodes, self.blocks, self.linked, self.muted, self.depth):
+            del x[at:]
+
+    def last(self, name: str) -> int:
+        """Where the innermost element of a name stands, 0 without one."""
+        places = self.places.get(name)
+        return places[-1] if places else 0
+
+    def end(self, name: str) -> bool:
+        """An end tag: whether it closed something."""
+        at = self.last(name)
+        if not at or (name in INLINE and at < self.blocks[-1]):
+            return False
+        self.cut(at)
+        return True
+
+    def leave(self, name: str) -> None:
+        if self.last(name):
+            self.cut(self.last(name))
+
+    def leave_mute(self) -> None:
+        while self.muted[-1]:
+            self.cut(max(map(self.last, MUTE)))
+
+    def close_p(self) -> None:
+        at = self.blocks[-1]
+        if at and self.names[at] == "p":
+            self.cut(at)
+
+    def close_first(self, ends: set[str], fence: set[str]) -> None:
+        at = max(map(self.last, ends))
+        if at > max(map(self.last, fence)):
+            self.cut(at)
+
+
 @dataclass
 class Forest:
     """Elements of many pages, parents before children."""
@@ -104,80 +214,61 @@ class Forest:
         """Adds a page's tree: blocks as elements, inline text to the nearest block."""
         root = self.add("html", "", -1)
         self.roots.append(root)
-        stack = [("html", root)]  # open elements; an inline one has its block's number
-        links = 0
         at, end = 0, len(page)
-        match = _TOKEN.search
+        tags, open_ = Tags(page), Open(root)
         while at < end:
-            m = match(page, at)
+            m = _MARKUP.search(page, at)
             to = m.start() if m else end
-            if to > at:
-                self._text(stack[-1][1], page[at:to], links)
+            if to > at and not open_.mute:
+                self._text(open_.node, page[at:to], open_.links)
             if not m:
                 break
             at = m.end()
-            name = m.group(2)
-            if name is None:
-                if m.group().startswith("<![CDATA["):
-                    self._text(stack[-1][1], m.group()[9:-3], links)
+            if m.group(2) is None:
+                if m.group().startswith("<![CDATA[") and not open_.mute:
+                    self._text(open_.node, m.group()[9:-3], open_.links)
                 continue
-            name = name.lower()
+            name = m.group(2).lower()
+            attrs, at = tags.attributes(at)
             if m.group(1):
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        links -= sum(t == "a" for t, _ in stack[k:])
-                        del stack[k:]
-                        break
-                    if name in INLINE and stack[k][0] not in INLINE:
-                        break
-                else:
-                    if name == "p":
-                        self._gap(stack)
+                if not open_.end(name) and name == "p":
+                    self._gap(open_)
                 continue
             if name in RAW:
-                close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                if not m.group(3).endswith("/") or name not in ("svg", "math"):
-                    at = close.end() if close else end
-                if name == "textarea" or name == "select":
-                    self.add("form", m.group(3), stack[-1][1])
+                close = tags.close(name, at)
+                if close is not None or name in ("script", "style"):
+                    at = close if close is not None else end
+                if name == "textarea":
+                    self.add("form", attrs, open_.node)
                 continue
             if name == "html":
                 continue
+            if name in CLOSES_P or name in ENDS_MUTE:
+                open_.leave_mute()
             if name in CLOSES_P:
-                self._close_p(stack)
+                open_.close_p()
             if name in IMPLIED:
-                ends, fence = IMPLIED[name]
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in fence:
-                        break
-                    if stack[k][0] in ends:
-                        del stack[k:]
-                        break
-            if name == "body" and any(t == "head" for t, _ in stack):
-                del stack[next(k for k, (t, _) in enumerate(stack) if t == "head") :]
+                open_.close_first(*IMPLIED[name])
+            if name == "body":
+                open_.leave("head")
             if name in VOID:
                 if name in ("br", "hr", "img", "input", "wbr"):
-                    self._gap(stack, "" if name == "wbr" else " ")
+                    self._gap(open_, "" if name == "wbr" else " ")
                 continue
-            links = sum(t == "a" for t, _ in stack)
-            if name in INLINE:
-                if name == "a":
-                    links += 1
-                stack.append((name, stack[-1][1]))
+            if name in MUTE:
+                if name == "select":
+                    self.add("form", attrs, open_.node)
+                if not attrs.endswith("/"):
+                    open_.push(name, open_.node, mute=True)
+            elif name in INLINE or open_.mute:
+                open_.push(name, open_.node)
             else:
-                stack.append((name, self.add(name, m.group(3), stack[-1][1])))
-
-    def _close_p(self, stack: list) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == "p":
-                del stack[k:]
-                return
-            if stack[k][0] not in INLINE:
-                return
+                parent = open_.node if open_.depth[-1] < MAX_DEPTH else self.parent[open_.node]
+                open_.push(name, self.add(name, attrs, parent), inline=False)
 
-    def _gap(self, stack: list, by: str = " ") -> None:
-        if by and self.texts[stack[-1][1]]:
-            self._text(stack[-1][1], by, 0)
+    def _gap(self, open_: Open, by: str = " ") -> None:
+        if by and self.texts[open_.node] and not open_.mute:
+            self._text(open_.node, by, 0)
 
     def _text(self, node: int, text: str, links: int) -> None:
         self.order += 1
@@ -251,7 +342,7 @@ class Model:
         for rows in by_level[:0:-1]:
             up[rows] = np.logaddexp(table[rows, :, 0] + inside[rows, None, 0], table[rows, :, 1] + inside[rows, None, 1])
             for s in (0, 1):
-                inside[:, s] += np.bincount(parent[rows], up[rows, s], len(score))
+                np.add.at(inside[:, s], parent[rows], up[rows, s])
         down = np.zeros_like(inside)
         for rows in by_level[1:]:
             p = parent[rows]
@@ -269,9 +360,10 @@ class Model:
         return marginal, both, float(z[~has].sum())
 
 
-def fit_forest(f: Forest, y: np.ndarray, steps: int = 250, rate: float = 0.3, l2: float = 0.02) -> Model:
+def fit_forest(f: Forest, y: np.ndarray, steps: int = 100, rate: float = 0.3, l2: float = 0.02) -> Model:
     """Gradient ascent on the likelihood of the labelled states (observed minus expected counts)."""
     x, kind, parent = evidence(f)
+    x = x.astype(np.float64)
     by_level = levels(parent)
     m = Model(np.zeros((N_FEATURES, 2)), np.zeros((N_KIND, 2, 2)))
     n_pages = max(len(f.roots), 1)
@@ -283,8 +375,7 @@ def fit_forest(f: Forest, y: np.ndarray, steps: int = 250, rate: float = 0.3, l2
     for _ in range(steps):
         marginal, both, _ = m.infer(x, kind, parent, by_level)
         du = (seen_u - x.T @ marginal) / n_pages - l2 * m.unary
-        want = np.zeros((N_KIND, 2, 2))
-        np.add.at(want, kind[has], both[has])
+        want = np.stack([np.bincount(kind[has], both[has, i, j], N_KIND) for i in (0, 1) for j in (0, 1)], axis=1).reshape(N_KIND, 2, 2)
         de = (seen_e - want) / n_pages - l2 * m.edge
         gu += du * du
         ge += de * de
@@ -299,18 +390,18 @@ WRAPS = (*["<article data-y>{}</article>"] * 4, "<main data-y><article data-y>{}
 
 def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
     """Generated pages with their main text: (html, text). Content elements carry data-y in the page."""
-    rng = np.random.default_rng(seed)
+    rng = random.Random(seed)
     syllables = [a + b for a in ("k", "l", "m", "n", "r", "s", "t", "v", "d", "h", "b", "") for b in ("a", "e", "i", "o", "u", "en", "er", "ing")]
-    word = lambda: "".join(rng.choice(syllables, rng.integers(1, 4)))
-    pick = lambda *xs: xs[rng.integers(len(xs))]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randrange(1, 4)))
+    pick = lambda *xs: rng.choice(xs)
 
     def prose(a: int, b: int) -> str:
         r = rng.random()
         if b >= 30 and r < 0.06:  # runs of one word, plain lists of words
-            return " ".join([word() + pick("", ",")] * int(rng.integers(20, 900)))
+            return " ".join([word() + pick("", ",")] * rng.randrange(20, 900))
         if b >= 11 and r < 0.12:
-            return " ".join(word() for _ in range(int(rng.integers(a, 4 * b))))
-        return "".join(word() + pick(" ", " ", " ", " ", ", ", ". ", " &amp; ") for _ in range(int(rng.integers(a, b)))) + word() + pick(".", ".", "!", "")
+            return " ".join(word() for _ in range(rng.randrange(a, 4 * b)))
+        return "".join(word() + pick(" ", " ", " ", " ", ", ", ". ", " &amp; ") for _ in range(rng.randrange(a, b))) + word() + pick(".", ".", "!", "")
 
     link = lambda: f'<a href="/{word()}">{word()}</a>'
     out = []
@@ -321,7 +412,7 @@ def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
             good.append(text)
             return f"<{tag} data-y{attrs}>{text}</{tag}>"
 
-        items = "".join(f"<li>{link()}</li>" for _ in range(rng.integers(2, 9)))
+        items = "".join(f"<li>{link()}</li>" for _ in range(rng.randrange(2, 9)))
         bad_block = lambda: pick(
             f'<div class="{pick("ad", "ads banner", "advert", "sponsored", "promo")}">{pick(prose(2, 14), "<p>" + prose(2, 14) + "</p>", link())}</div>',
             f'<div class="{pick("cookie-notice", "notice", "alert popup", "newsletter subscribe")}"><p>{prose(4, 25)}</p></div>',
@@ -331,16 +422,16 @@ def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
             f'<ul class="{pick("menu", "nav", "social", "tags")}">{items}</ul>',
             f'<form action="/{word()}"><label>{word()}</label><input name="q"><button>{word()}</button>{pick("", "<p>" + prose(3, 12) + "</p>")}</form>',
         )
-        comments = lambda: f'<{pick("section", "div")} {pick("class", "id")}="{pick("comments", "comment-list", "replies")}"><h2>{word()}</h2>' + "".join(f'<{pick("div", "article", "li")} class="comment"><p>{prose(3, 60)}</p></div>' for _ in range(rng.integers(1, 5))) + "</section>"
+        comments = lambda: f'<{pick("section", "div")} {pick("class", "id")}="{pick("comments", "comment-list", "replies")}"><h2>{word()}</h2>' + "".join(f'<{pick("div", "article", "li")} class="comment"><p>{prose(3, 60)}</p></div>' for _ in range(rng.randrange(1, 5))) + "</section>"
         body = []
         if rng.random() < 0.85:
             head = keep("h1", prose(1, pick(11, 11, 40)))
             body.append(pick(head, head, head, f"<header data-y>{head}</header>", f"<header data-y>{head}<p class='byline'>{prose(1, 6)}</p></header>"))
-        for _ in range(int(rng.integers(0, 12)) or 1):
+        for _ in range(rng.randrange(0, 12) or 1):
             r = rng.random()
             if r < 0.03:  # one line over and over
                 line = prose(1, 4)
-                body.extend(keep("p", line) for _ in range(int(rng.integers(10, 150))))
+                body.extend(keep("p", line) for _ in range(rng.randrange(10, 150)))
             elif r < 0.74:
                 text = prose(1, 80) if rng.random() < 0.8 else prose(0, 3)
                 if rng.random() < 0.2:
@@ -351,7 +442,7 @@ def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
             elif r < 0.82:
                 body.append(keep("h2", prose(1, 6)))
             elif r < 0.88:
-                body.append("<ul data-y>" + "".join(keep("li", prose(1, 20)) for _ in range(rng.integers(2, 6))) + "</ul>")
+                body.append("<ul data-y>" + "".join(keep("li", prose(1, 20)) for _ in range(rng.randrange(2, 6))) + "</ul>")
             elif r < 0.92:
                 body.append("<blockquote data-y>" + keep("p", prose(4, 30)) + "</blockquote>")
             elif r < 0.95:
@@ -364,8 +455,8 @@ def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
         if rng.random() < 0.1:
             body.append(f"<footer>{prose(1, 9)}</footer>")
         inner = "".join(body) + (comments() if rng.random() < 0.1 else "")
-        before = [f"<nav><ul>{items}</ul></nav>" if rng.random() < 0.8 else f"<header><div class='logo'>{word()}</div><ul>{items}</ul></header>"] + [bad_block() for _ in range(rng.integers(0, 3))]
-        after = [bad_block() for _ in range(rng.integers(0, 3))] + [f"<footer>{pick('<p>' + prose(3, 14) + '</p>', '&copy; ' + prose(2, 14), link())}</footer>" if rng.random() < 0.85 else ""]
+        before = [f"<nav><ul>{items}</ul></nav>" if rng.random() < 0.8 else f"<header><div class='logo'>{word()}</div><ul>{items}</ul></header>"] + [bad_block() for _ in range(rng.randrange(0, 3))]
+        after = [bad_block() for _ in range(rng.randrange(0, 3))] + [f"<footer>{pick('<p>' + prose(3, 14) + '</p>', '&copy; ' + prose(2, 14), link())}</footer>" if rng.random() < 0.85 else ""]
         around = pick(*WRAPS)
         page = f"<!DOCTYPE html><html><head><title>{prose(2, 8)}</title><style>p{{}}</style></head><body{' data-y' if around == '{}' else ''}>{''.join(before)}{around.format(inner)}{''.join(tail)}{''.join(after)}</body></html>"
         out.append((page, "\n\n".join(_BLANK.sub(" ", entities.unescape(g)).strip() for g in good)))

@@ -1,12 +1,13 @@
 """Awkward cases that earlier shortcuts of the operators lost."""
 
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from sigloom.llm import decontam, mtree, neardup
+from sigloom.llm import decontam, html, langid, mtree, neardup, samples, substring, textnp
 from sigloom.llm.components import components
 from test_llm_operators import brute_groups
 
@@ -73,3 +74,79 @@ def test_components_are_whole_or_fail(spark):
     assert {r["label"] for r in components(path).collect()} == {0}
     with pytest.raises(RuntimeError):
         components(path, rounds=1)
+
+
+ARTICLE = "<html><body><nav><a href=/>x</a></nav><article><h1>Title of it</h1><p>First paragraph, with text in it, and more.</p>{}<p>Last paragraph of the article, with a lot of text.</p></article><footer>(c) x</footer></body></html>"
+AROUND = ["Title of it", "First paragraph, with text in it, and more.", "Last paragraph of the article, with a lot of text."]
+
+
+@pytest.mark.parametrize("inner", ["<svg>", "<select>", "<noscript>", "<iframe>", "<math>", "<!-->", "</ p>", "<svg><text>no</text></svg>", "<select><option>no<option>no</select>", "<noscript><p>no</p></noscript>", "<template>no</template>"])
+def test_html_loses_nothing_around_odd_elements(inner):
+    assert html.extract_many([ARTICLE.format(inner)], html.default_model())[0].split("\n\n") == AROUND
+
+
+@pytest.mark.parametrize("inner, text", [("<p>Area is <math><mi>x</mi><mo>+</mo></math> units, of it.</p>", "Area is x+ units, of it."), ('<p title="abc>Inside of it, text here.</p>', "Inside of it, text here."), ("<p title='it\"s'>Quoted text, in here.</p>", "Quoted text, in here."), ('<p title="a > b">Text of the title, here.</p>', "Text of the title, here.")])
+def test_html_keeps_what_odd_markup_holds(inner, text):
+    assert html.extract_many([ARTICLE.format(inner)], html.default_model())[0].split("\n\n") == [*AROUND[:2], text, AROUND[2]]
+
+
+@pytest.mark.parametrize("piece", ["<p x='", "<b>", "<div>", "</b>", "<svg>", "<title>", "<!--", "<a href=x>", '<p t="', "<i><div><b>"])
+def test_html_takes_linear_time(piece):
+    began = time.time()
+    html.extract_many([piece * 30_000 + '"'], html.default_model())
+    assert time.time() - began < 10
+
+
+def test_html_long_and_repeated_pages(spark):
+    page = ARTICLE.format("<p>One sentence of a long page, that goes on.</p>" * 40_000)
+    d = spark.createDataFrame([(1, page), (1, page), (2, "<div>" * 5000 + "deep text, that is here.")], "page_id long, html string")
+    out = {(r["page_id"], r["n_chars"]) for r in html.extract(d, ["page_id"]).collect()}
+    assert len(out) == 2 and max(n for _, n in out) == sum(map(len, AROUND)) + 4 + 40_000 * (len("One sentence of a long page, that goes on.") + 2)
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(1, f"un texte francais numero {i} avec des mots", "fr") for i in range(900)] + [(i + 10, f"ein deutscher text nummer {i} mit worten", "de") for i in range(600)] + [(99_999, "seul texto espanol", "es")] + [(None, "unknown", "en")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    assert langid.fit(d, 50).languages == ["de", "es", "fr"]
+    assert {r["lang_pred"] for r in langid.identify(d).where("lang_pred <> 'und'").collect()} <= {"de", "es", "fr"}
+    assert langid.identify(d).where("doc_id = 1 and lang_pred <> 'fr'").count() == 0
+
+
+def test_samples_are_bounded_in_bytes(spark):
+    d = spark.createDataFrame([(i, "x" * 1000, 1.0) for i in range(50)] + [(7, "x" * 1000, 1.0)] * 9, "doc_id long, text string, label double")
+    ids = d.select("doc_id").distinct()
+    assert samples.sample(d, ids, ["label"], 20).count() == 20
+    assert samples.sample(d, ids, ["label"], 20, total=5500).count() == 5 and samples.sample(d, ids, ["label"], 20, total=1).count() == 1
+    assert samples.sample(d, ids, ["label"], 100).count() == 50
+
+
+def test_mtree_with_components_of_any_size(spark):
+    rows = [(0, [1.0, 0.5]), (1, [1e7, 0.0]), (2, [3e9, 1.0]), (3, [1e300, 1.0]), (4, [-1e300, 1.0]), (50, [1e300, 2.0]), (5, [None, 1.0]), (6, None), (7, [float("nan")]), (100, [2.0**40 + 1, -3.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(256 * x) for x in v] for i, v in rows if v and all(x is not None and x == x for x in v)}
+    want = []
+    for q in (0, 50, 100):
+        s = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, r + 1, i, max(-(2**63), min(2**63 - 1, -x))) for r, (x, i) in enumerate(s)]
+    assert sorted(tuple(r) for r in mtree.top_k(d).collect()) == want
+
+
+def test_mtree_spreads_rows_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "TREE", 20)
+    rows = [(7, [float(i % 9), 1.0]) for i in range(200)] + [(50, [1.0, 2.0]), (100, [3.0, -1.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    x = [(i, [256 * a for a in v]) for i, v in rows]
+    want = sorted((q, r + 1, i, -int(s)) for q, y in x[-2:] for r, (s, i) in enumerate(sorted((-(a[0] * y[0] + a[1] * y[1]), i) for i, a in x if i != q)[:5]))
+    assert sorted(tuple(r) for r in mtree.top_k(d).collect()) == want
+
+
+def test_structured_words_keep_their_hashes_apart(spark):
+    line = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = line.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(34))
+    d = spark.createDataFrame([(1, f"{line} {tail}"), (2, f"{other} {tail}")], "doc_id long, text string")
+    assert [r["n_removed"] for r in substring.deduplicate(d, ["doc_id"]).collect()] == [0, 0]
+    words = [line[:n] for n in range(1, 200)] + [other[:n] for n in range(1, 200)]
+    buf = np.frombuffer(" ".join(words).encode(), np.uint8)
+    s, e, _ = textnp.words(buf, np.asarray([0, len(buf)]))
+    assert len(set(textnp.range_hash(buf, s, e).tolist())) == len(set(words))
