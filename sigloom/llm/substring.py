@@ -11,9 +11,11 @@ covers it has a word sequence that also starts anywhere else in the table.
    in shards of at most SHARD phrases, and the block's documents are streamed through
    them, three characters a word; they locate every occurrence. Automata are thus as
    many as the blocks, each of bounded size, and a document meets only phrases it may hold.
-3. Windows anchored at a located phrase are candidates. Blocks send the 64-bit hashes
-   of candidate windows to buckets, which confirm those that start in two places or more.
-4. Blocks mark the words of confirmed windows and drop them.
+3. Confirmation. Windows anchored at a located occurrence go to buckets as 128-bit hashes of
+   their words, which confirm those that start in two places or more.
+4. Removal. The documents are streamed through their block's automata again; at each
+   located occurrence the windows anchored there are compared with the confirmed
+   ones, and the words they cover go. Nothing goes that no automaton located.
 
 A hot passage costs each block one key per window however many copies it
 has. Defined results: null and empty texts have no words; texts under WINDOW words
@@ -29,10 +31,13 @@ from itertools import compress
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sigloom.llm import blocks as B
 from sigloom.llm import textnp as T
+from sigloom.session import materialise
 
 WINDOW = 35
 PHRASE = 8
@@ -48,6 +53,7 @@ class Words:
     def __init__(self, buf: np.ndarray, offs: np.ndarray, window: int):
         self.buf, self.offs, self.window = buf, offs, window
         s, e, self.ptr = T.words(buf, offs)
+        self.first, self.end = s, e
         self.hash = T.range_hash(buf, s, e)
         n_words = np.diff(self.ptr)
         n = np.maximum(n_words - window + 1, 0)
@@ -65,7 +71,7 @@ class Words:
         self.k2 = half[4] | half[5] | half[6] | half[7]
         bits = max(24, int(n).bit_length())
         low = T.U64((1 << bits) - 1)
-        key = (phrase_key(np.stack([self.k1, self.k2], axis=1)) & ~low) | np.arange(n).astype(np.uint64)
+        key = (T.mix(self.k1 * T.U64(0x9FB21C651E98DF25) ^ T.mix(self.k2)) & ~low) | np.arange(n).astype(np.uint64)
         span, width = self.window - PHRASE + 1, 1
         least = key
         while 2 * width <= span:
@@ -86,10 +92,6 @@ def letters(codes: np.ndarray) -> str:
     return out.astype("<u2").tobytes().decode("utf-16-le")
 
 
-def phrase_key(items: np.ndarray) -> np.ndarray:
-    return T.mix(items[:, 0] * T.U64(0x9FB21C651E98DF25) ^ T.mix(items[:, 1]))
-
-
 def compile_shards(phrases: np.ndarray):
     """Automata over the phrases (k1, k2), SHARD in each."""
     texts = letters(np.frombuffer(phrases.astype("<u8").tobytes(), "<u2"))
@@ -112,10 +114,31 @@ def located(w: Words, automata: list) -> np.ndarray:
     return found
 
 
-def distinct_phrases(parts: list[np.ndarray]) -> np.ndarray:
-    items = np.concatenate(parts) if parts else np.zeros((0, 2), np.uint64)
-    _, first = np.unique(phrase_key(items), return_index=True)
-    return items[first]
+def automata_of(answers: list[np.ndarray]) -> list:
+    items = np.concatenate(answers) if answers else np.zeros((0, 2), np.uint64)
+    order, new = B.equal_rows(items)
+    return list(compile_shards(items[order[new]]))
+
+
+def candidates(w: Words, automata: list) -> tuple[np.ndarray, np.ndarray]:
+    """The windows anchored at an occurrence the automata located: first words and 128-bit hashes."""
+    anchor = w.anchors()
+    starts = w.starts[located(w, automata)[anchor]] if len(anchor) else w.starts
+    if not len(starts):
+        return starts, np.zeros((0, 2), np.uint64)
+    second = T.range_hash(w.buf, w.first, w.end, 1)
+    return starts, np.stack([T.windows(w.hash, w.window)[starts], T.windows(second, w.window, 1)[starts]], axis=1)
+
+
+def among(items: np.ndarray, sorted_items: np.ndarray) -> np.ndarray:
+    """Whether each row of items is a row of sorted_items (sorted by the first column, then the second)."""
+    lo, hi = np.searchsorted(sorted_items[:, 0], items[:, 0], "left"), np.searchsorted(sorted_items[:, 0], items[:, 0], "right")
+    hit = np.zeros(len(items), bool)
+    while (lo < hi).any():
+        live = lo < hi
+        hit[live] |= sorted_items[lo[live], 1] == items[live, 1]
+        lo = lo + 1
+    return hit
 
 
 def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_text: bool = False) -> DataFrame:
@@ -132,35 +155,31 @@ def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_tex
                     w = Words(buf, offs, window)
                     at = np.unique(w.anchors())
                     found.append(np.stack([w.k1[at], w.k2[at]], axis=1))
-                items = np.concatenate(found)
-                items = items[B.at_most_twice(phrase_key(items))]
-                yield from B.packed(B.bucket_of(phrase_key(items), n_buckets), n_buckets, int(ids[a]), items[:, 0], items[:, 1])
+                items = B.at_most_twice(np.concatenate(found))
+                yield from B.packed(B.bucket_of(items[:, 0] ^ T.mix(items[:, 1]), n_buckets), n_buckets, int(ids[a]), items[:, 0], items[:, 1])
 
-    def candidates(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        out = []
+    def ask(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        keys = np.zeros((0, 2), np.uint64)
         if len(answers) and len(texts):
-            automata = list(compile_shards(distinct_phrases(B.unpack(answers["data"], 2))))
-            for _, _, buf, offs in T.slices(texts["text"]):
-                w = Words(buf, offs, window)
-                anchor = w.anchors()
-                chosen = w.starts[located(w, automata)[anchor]] if len(anchor) else w.starts
-                out.append(T.windows(w.hash, window)[chosen])
-        keys = np.concatenate(out) if out else np.zeros(0, np.uint64)
-        keys = keys[B.at_most_twice(keys)]
+            automata = automata_of(B.unpack(answers["data"], 2))
+            keys = B.at_most_twice(np.concatenate([candidates(Words(buf, offs, window), automata)[1] for _, _, buf, offs in T.slices(texts["text"])]))
         block = texts["_block"][0].as_py() if len(texts) else 0
-        got = list(B.packed(B.bucket_of(keys, n_buckets), n_buckets, block, keys))
+        got = list(B.packed(B.bucket_of(keys[:, 0], n_buckets), n_buckets, block, keys[:, 0], keys[:, 1]))
         return pa.Table.from_batches(got) if got else pa.table({"_bucket": pa.array([], pa.int32()), "_block": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
 
     def strip(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        again = np.unique(np.concatenate(B.unpack(answers["data"], 1)).ravel()) if len(answers) else np.zeros(0, np.uint64)
+        of = lambda kind: B.unpack(answers.filter(pc.equal(answers["kind"], kind))["data"], 2)
+        confirmed = of(1)
+        again = np.concatenate(confirmed) if confirmed else np.zeros((0, 2), np.uint64)
+        again = again[np.lexsort((again[:, 1], again[:, 0]))]
+        automata = automata_of(of(0)) if len(again) else []
         n_words, n_removed, digests, kept = [], [], [], []
         for _, _, buf, offs in T.slices(texts["text"]):
             w = Words(buf, offs, window)
             gone = np.zeros(len(w.hash), bool)
             if len(again) and len(w.starts):
-                keys = T.windows(w.hash, window)[w.starts]
-                at = np.minimum(np.searchsorted(again, keys), len(again) - 1)
-                hit = w.starts[again[at] == keys]
+                starts, keys = candidates(w, automata)
+                hit = starts[among(keys, again)]
                 step = np.zeros(len(w.hash) + 1, np.int64)
                 np.add.at(step, hit, 1)
                 np.add.at(step, hit + window, -1)
@@ -182,7 +201,8 @@ def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_tex
         cols = {c: texts[c] for c in keep} | {"n_words": pa.array(np.concatenate(n_words), pa.int64()), "n_removed": pa.array(np.concatenate(n_removed), pa.int64()), "kept_sha256": pa.array(digests)}
         return pa.table(cols | ({"kept_text": pa.array(kept, pa.string())} if with_text else {}))
 
-    recurring = B.answer_repeated(table.select("text", "_block").mapInArrow(phrases, B.MESSAGE), 2, phrase_key)
-    confirmed = B.answer_repeated(B.with_answers(table, recurring, candidates, B.MESSAGE), 1, lambda x: x[:, 0])
+    recurring = materialise(B.answer_repeated(table.select("text", "_block").mapInArrow(phrases, B.MESSAGE), 2), "phrases")
+    confirmed = B.answer_repeated(B.with_answers(table.select("text", "_block"), recurring, ask, B.MESSAGE), 2)
+    answers = recurring.withColumn("kind", F.lit(0)).unionByName(confirmed.withColumn("kind", F.lit(1)))
     schema = T.schema(table.select(*keep), "n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else ""))
-    return B.with_answers(table, confirmed, strip, schema)
+    return B.with_answers(table, answers, strip, schema)
