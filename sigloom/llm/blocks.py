@@ -28,8 +28,8 @@ BLOCK = 8 << 20
 LEAST_BUCKET, MOST_BUCKET = 4 << 20, 64 << 20
 
 
-def write_blocks(docs: DataFrame, keep: list[str], name: str, block_bytes: int = BLOCK) -> tuple[DataFrame, int]:
-    """(text, keep..., _block) as a written table, and the number of key buckets for its size."""
+def write_blocks(docs: DataFrame, keep: list[str], name: str, block_bytes: int = BLOCK) -> tuple[DataFrame, int, int]:
+    """(text, keep..., _block) as a written table, and the numbers of key buckets and (about) of blocks for its size."""
     kept = docs.select("text", *keep)
     total = kept.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
 
@@ -42,8 +42,9 @@ def write_blocks(docs: DataFrame, keep: list[str], name: str, block_bytes: int =
                 size += len(buf)
                 yield pa.RecordBatch.from_arrays([*[c.slice(a, b - a) for c in batch.columns], pa.array(np.full(b - a, first + seq), pa.int64())], names=["text", *keep, "_block"])
 
-    table = bucketed(kept.mapInArrow(run, T.schema(kept, "_block long")), ["_block"], max(4, -(-total // block_bytes)), name)
-    return table, max(4, -(-total // min(MOST_BUCKET, max(LEAST_BUCKET, total >> 14))))
+    blocks = max(4, -(-total // block_bytes))
+    table = bucketed(kept.mapInArrow(run, T.schema(kept, "_block long")), ["_block"], blocks, name)
+    return table, max(4, -(-total // min(MOST_BUCKET, max(LEAST_BUCKET, total >> 14)))), blocks
 
 
 def packed(buckets: np.ndarray, n: int, block: int, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -13,22 +13,27 @@ a bit's probability mixes (a + 1/2) / (a + b + 1) of every depth with those shar
 ending where training never saw the longer context. Each byte thus has a
 distribution over 256 symbols, and a text's score is a proper log10 probability.
 
-Counts are exact and cover the whole training fold: blocks of documents send the distinct
-contexts and words they hold, with training counts, to buckets of the context space (by the
-two latest bytes, so that a bucket has whole subtrees). A bucket weighs its
-subtrees down to depth 2 and keeps the bit probabilities of the contexts asked for;
-the two top levels need sums over all buckets, at most 256 * 255 + 255 nodes, which
-the driver adds up and broadcasts; then each block gets its answers and scores its texts.
+Counts are exact and cover the whole training fold. Blocks of documents send the distinct
+contexts and words they hold, with training counts, to buckets of the key space: contexts by
+their SPLIT latest bytes, so that a bucket has whole subtrees below that depth, which it
+weighs. What a bucket's subtrees come to goes up to middle groups by the two latest
+bytes, which weigh the depths from SPLIT - 1 to 2, and from there to the two top levels
+(at most 256 * 255 + 255 nodes), which the driver adds up and broadcasts. A bucket's messages
+meet in parts of about PART blocks and are merged as a tree, and each part has its
+answers in a task of its own, so that even the commonest context puts only its distinct
+longer contexts into one task, not one entry for each block.
 
 The unigram baseline is the sum of log10((c + 1) / (N + 1 * (V + 1))) over words and end.
 
 Defined results: null and empty texts have one token, the end; rows without doc_id are
-held out; without training texts every bit has probability 1/2 and every count is 0.
+held out; without training texts every bit has probability 1/2 and every count is 0;
+repeated rows get a row each and count as often as they occur.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +43,14 @@ from pyspark.sql import functions as F
 from sigloom.llm import blocks as B
 from sigloom.llm import samples as S
 from sigloom.llm import textnp as T
-from sigloom.session import materialise
-
-DEPTH = 5
+from sigloom.session import bucketed, materialise
+
+DEPTH = 7
+#: Contexts share a bucket by so many latest bytes.
+SPLIT = 4
+#: Blocks whose messages to a bucket meet in one task, about.
+PART = 256
+MIDDLE = 256
 END = 0xFF
 #: The end token of the baseline, apart from all words' hashes.
 END_TOKEN = T.U64(0xE0D0E0D0E0D0E0D1)
@@ -145,33 +155,68 @@ class Level:
         self.pe = log_kt(self.a, self.b)
 
 
-def subtrees(u: np.ndarray, counts: np.ndarray, depth: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bit probabilities of each code from depth `least` down, whether that depth was seen (both: codes by 8), and log P_w sums by node of depth least - 1 (keys, sums)."""
+def up_keys(key: np.ndarray) -> np.ndarray:
+    """(context, node) with the context's earliest byte left off."""
+    return ((key >> T.U64(16)) << T.U64(8)) | (key & T.U64(255))
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    u, at = np.unique(keys, return_inverse=True)
+    return u, np.bincount(at, values, len(u))
+
+
+@dataclass
+class Weighed:
+    """What depths top to least make of each code and bit: a + b x where the context longer than top was seen and gives x, otherwise c; whether depth least was seen; and sums of log P_w by (context, node) of depth least - 1."""
+
+    a: np.ndarray
+    b: np.ndarray
+    c: np.ndarray
+    seen: np.ndarray
+    keys: np.ndarray
+    sums: np.ndarray
+
+
+def weigh(u: np.ndarray, counts: np.ndarray, top: int, least: int, rest: tuple[np.ndarray, np.ndarray] | None = None) -> Weighed:
+    """Depths top to least of the codes u (top context bytes and the symbol). rest: sums of log P_w of the contexts longer than top, by (context, node); None: there are none."""
     symbol = u & T.U64(255)
-    out, known = np.full((len(u), N_BITS), 0.5), np.zeros((len(u), N_BITS), bool)
+    a, b, c = (np.zeros((len(u), N_BITS)) for _ in range(3))
+    seen_all = np.zeros((len(u), N_BITS), bool)
     keys, sums = [], []
     for k in range(N_BITS):
         node, bit = bit_nodes(symbol, k)
-        p, seen, longer = None, None, None
-        for d in range(depth, least - 1, -1):
-            level = Level(u >> T.U64(8 * (depth - d + 1)), node, bit, counts)
-            if longer is None:
-                p, pw = level.estimate, level.pe
+        seen, longer = None, None
+        for d in range(top, least - 1, -1):
+            level = Level(u >> T.U64(8 * (top - d + 1)), node, bit, counts)
+            if longer is not None:
+                below = np.bincount(level.at[longer.first], longer.pw, len(level.key))
+            elif rest is not None:
+                below = rest[1][np.searchsorted(rest[0], level.key)]
+            else:
+                below = None
+            e = level.estimate
+            if below is None:
+                level.pw = level.pe
+                a[:, k], c[:, k] = e, e
             else:
-                rest = np.bincount(level.at[longer.first], longer.pw, len(level.key))
-                share = own_share(level.pe, rest)[level.at]
-                p = np.where(seen, share * level.estimate + (1 - share) * p, level.estimate)
-                pw = np.logaddexp(level.pe, rest) - np.log(2)
-            level.pw = pw
+                share = own_share(level.pe, below)[level.at]
+                level.pw = np.logaddexp(level.pe, below) - np.log(2)
+                if longer is None:
+                    a[:, k], b[:, k], c[:, k] = share * e, 1 - share, e
+                else:
+                    a[:, k] = np.where(seen, share * e + (1 - share) * a[:, k], e)
+                    b[:, k] = np.where(seen, (1 - share) * b[:, k], 0)
+                    c[:, k] = np.where(seen, share * e + (1 - share) * c[:, k], e)
             level.first = np.zeros(len(level.key), np.int64)
             level.first[level.at[::-1]] = np.arange(len(u))[::-1]
             seen, longer = level.seen, level
-        out[:, k], known[:, k] = p, seen
-        up = ((longer.key >> T.U64(16)) << T.U64(8)) | (longer.key & T.U64(255)) if least else longer.key
-        parent, at = np.unique(up, return_inverse=True)
-        keys.append(parent)
-        sums.append(np.bincount(at, longer.pw, len(parent)))
-    return out, known, np.concatenate(keys), np.concatenate(sums)
+        seen_all[:, k] = seen
+        key, value = summed(up_keys(longer.key), longer.pw)
+        keys.append(key)
+        sums.append(value)
+    keys, sums = np.concatenate(keys), np.concatenate(sums)
+    order = np.argsort(keys)
+    return Weighed(a, b, c, seen_all, keys[order], sums[order])
 
 
 class Top:
@@ -216,11 +261,29 @@ def lower_slices(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         yield a, b, T.LOWER[buf], offs
 
 
-CONTEXTS, WORDS, ENTRY = 0, 1, 2
+CONTEXTS, WORDS, MESSAGE, TOP = range(4)
 
 
 def code_bucket(u: np.ndarray, depth: int, n: int) -> np.ndarray:
-    return B.bucket_of(u >> T.U64(8 * (depth - 1)), n)
+    return B.bucket_of(u >> T.U64(8 * (depth + 1 - min(SPLIT, depth))), n)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """An array's bytes by significance, which compresses well."""
+    return x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return planes(np.diff(keys, prepend=T.U64(0)))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
 
 
 def by_bucket(keys: np.ndarray, buckets: np.ndarray, n: int):
@@ -242,100 +305,153 @@ def block_facts(texts: pa.Table, depth: int) -> tuple[tuple[np.ndarray, np.ndarr
     return cs.total(), ws.total()
 
 
+def tally_of(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The merged tallies of a group of messages."""
+    out = Tallies()
+    for keys, counts in zip(t["keys"], t["counts"]):
+        out.add(unpack_sorted(keys.as_py()), from_planes(counts.as_py(), np.int64))
+    return out.total()
+
+
+ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+
+
+def rows_of(schema: str, rows: list[tuple]) -> pa.Table:
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], ARROW[kind]) for i, (name, kind) in enumerate(fields)})
+
+
+#: What goes back to blocks: log10 probabilities of contexts, counts of words.
+ANSWERS = {CONTEXTS: np.float64, WORDS: np.float64}
+
+
 def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7, remainder: int = 2) -> DataFrame:
-    """keep columns, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, text)."""
+    """keep columns, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of docs (doc_id, text). depth: 3 to 7."""
+    split = min(SPLIT, depth)
     marked = docs.select("text", *keep, S.fold(F.col("doc_id"), modulus, remainder).alias("held_out"))
-    table, buckets = B.write_blocks(marked, [*keep, "held_out"], "ctw", BLOCK)
-    message = "kind int, _bucket int, _block long, keys binary, counts binary"
+    table, buckets, blocks = B.write_blocks(marked, [*keep, "held_out"], "ctw", BLOCK)
+    parts, middles = -(-blocks // PART), min(MIDDLE, buckets)
+    message = "kind int, _bucket int, _part int, _block long, keys binary, counts binary"
+    fact = "kind int, _bucket int, _middle int, n long, v long, a binary, b binary, c binary, d binary"
+    reply = "kind int, _bucket int, _block long, data binary"
 
     def ask(t: pa.Table) -> pa.Table:
         block = t["_block"][0].as_py()
-        rows: dict[str, list] = {"kind": [], "_bucket": [], "_block": [], "keys": [], "counts": []}
+        part, rows = int(T.mix(np.asarray([block], np.uint64))[0] % T.U64(parts)), []
         for kind, (keys, counts) in zip((CONTEXTS, WORDS), block_facts(t, depth)):
             where = code_bucket(keys, depth, buckets) if kind == CONTEXTS else B.bucket_of(keys, buckets)
-            for g, at in by_bucket(keys, where, buckets):
-                for name, value in (("kind", kind), ("_bucket", g), ("_block", block), ("keys", keys[at].tobytes()), ("counts", counts[at].astype(np.uint32).tobytes())):
-                    rows[name].append(value)
-        kinds = {"kind": pa.int32(), "_bucket": pa.int32(), "_block": pa.int64(), "keys": pa.binary(), "counts": pa.binary()}
-        return pa.table({c: pa.array(x, kinds[c]) for c, x in rows.items()})
+            rows += [(kind, g, part, block, pack_sorted(keys[at]), planes(counts[at])) for g, at in by_bucket(keys, where, buckets)]
+        return rows_of(message, rows)
+
+    def combine(t: pa.Table) -> pa.Table:
+        keys, counts = tally_of(t)
+        return rows_of(message, [(t["kind"][0].as_py(), t["_bucket"][0].as_py(), t["_part"][0].as_py() // PART, -1, pack_sorted(keys), planes(counts))])
 
     def learn(t: pa.Table) -> pa.Table:
         kind, bucket = t["kind"][0].as_py(), t["_bucket"][0].as_py()
-        keys = [np.frombuffer(x.as_py(), np.uint64) for x in t["keys"]]
-        counts = [np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in t["counts"]]
-        u, n = merge_all(list(zip(keys, counts)))
-        blocks = t["_block"].to_pylist()
-        answers = [np.searchsorted(u, k).astype(np.int32) for k in keys]
-        rows: dict[str, list] = {"kind": [], "_bucket": [], "_block": [], "a": [], "b": [], "c": []}
-
-        def put(kind_, block, a=None, b=None, c=None):
-            for name, value in (("kind", kind_), ("_bucket", bucket), ("_block", block), ("a", a), ("b", b), ("c", c)):
-                rows[name].append(value)
-
+        u, n = tally_of(t)
         if kind == WORDS:
-            for block, at in zip(blocks, answers):
-                put(WORDS, block, n[at].tobytes())
-            put(WORDS + 10, -1, np.asarray([n.sum(), np.count_nonzero(n)], np.int64).tobytes())
-        else:
-            below, known, top_keys, sums = subtrees(u, n, depth, 2)
-            put(CONTEXTS, -1, u.tobytes(), below.astype(np.float32).tobytes(), known.tobytes())
-            for block, at in zip(blocks, answers):
-                put(ENTRY, block, at.tobytes())
-            pair, at = np.unique(((u >> T.U64(8 * depth)) << T.U64(8)) | (u & T.U64(255)), return_inverse=True)
-            put(CONTEXTS + 10, -1, np.stack([pair.astype(np.float64), np.bincount(at, n, len(pair))]).tobytes(), np.stack([top_keys.astype(np.float64), sums]).tobytes())
-        kinds = {"kind": pa.int32(), "_bucket": pa.int32(), "_block": pa.int64(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary()}
-        return pa.table({c: pa.array(x, kinds[c]) for c, x in rows.items()})
-
-    asked = table.groupBy("_block").applyInArrow(ask, message)
-    facts = materialise(asked.groupBy("kind", "_bucket").applyInArrow(learn, "kind int, _bucket int, _block long, a binary, b binary, c binary"), "facts")
-    pairs, tops, train_tokens, vocabulary = np.zeros(65536), np.zeros(65536), 0, 0
-    for r in facts.where("kind >= 10").select("kind", "a", "b").toLocalIterator():
-        if r["kind"] == WORDS + 10:
-            n, v = np.frombuffer(bytes(r["a"]), np.int64)
-            train_tokens, vocabulary = train_tokens + int(n), vocabulary + int(v)
-        else:
-            for into, data in ((pairs, r["a"]), (tops, r["b"])):
-                k, x = np.frombuffer(bytes(data), np.float64).reshape(2, -1)
-                np.add.at(into, k.astype(np.int64), x)
+            return rows_of(fact, [(WORDS, bucket, None, int(n.sum()), int(np.count_nonzero(n)), pack_sorted(u), planes(n.astype(np.float64)), None, None)])
+        w = weigh(u, n, depth, split)
+        rows = [(CONTEXTS, bucket, None, None, None, pack_sorted(u), planes(w.c.astype(np.float32).ravel()), np.packbits(w.seen, axis=1).tobytes(), None)]
+        # of the depth above: (context, symbol) with counts and (context, node) with sums
+        drop = T.U64(8 * (depth - split + 2))
+        pair, at = np.unique(((u >> drop) << T.U64(8)) | (u & T.U64(255)), return_inverse=True)
+        count = np.bincount(at, n, len(pair)).astype(np.int64)
+        shift = T.U64(8 * max(split - 2, 0))  # a context of split - 1 bytes and symbol, without what follows the latest two
+        where, of_sums = (B.bucket_of(x >> shift, middles) for x in (pair, w.keys))
+        sums = dict(by_bucket(w.keys, of_sums, middles))
+        for g, i in by_bucket(pair, where, middles):
+            j = sums.pop(g, np.zeros(0, np.int64))
+            rows.append((MESSAGE, bucket, g, None, None, pack_sorted(pair[i]), planes(count[i]), pack_sorted(w.keys[j]), w.sums[j].tobytes()))
+        return rows_of(fact, rows)
+
+    def middle(t: pa.Table) -> pa.Table:
+        pairs = [unpack_sorted(x.as_py()) for x in t["a"]]
+        u, n = merge_all([(p, from_planes(c.as_py(), np.int64)) for p, c in zip(pairs, t["b"])])
+        rest = summed(np.concatenate([unpack_sorted(x.as_py()) for x in t["c"]]), np.concatenate([np.frombuffer(x.as_py(), np.float64) for x in t["d"]]))
+        w = weigh(u, n, split - 1, 2, rest)
+        rows = []
+        for bucket, mine in zip(t["_bucket"].to_pylist(), pairs):
+            at = np.searchsorted(u, mine)
+            abc = np.stack([w.a[at], w.b[at], w.c[at]]).astype(np.float32)
+            rows.append((MESSAGE, bucket, None, None, None, pack_sorted(mine), abc.tobytes(), np.packbits(w.seen[at], axis=1).tobytes(), None))
+        top, at = np.unique(((u >> T.U64(8 * (split - 1))) << T.U64(8)) | (u & T.U64(255)), return_inverse=True)
+        rows.append((TOP, -1, None, None, None, top.tobytes(), np.bincount(at, n, len(top)).astype(np.float64).tobytes(), w.keys.tobytes(), w.sums.tobytes()))
+        return rows_of(fact, rows)
+
+    # one shuffle of the messages; their table is grouped by bucket and part again when the answers go back
+    n_files = max(8, buckets)
+    by = ["kind", "_bucket", "_part"]
+    messages = bucketed(table.groupBy("_block").applyInArrow(ask, message).repartition(n_files, *by), by, n_files, "messages")
+    merged, left = messages, parts
+    while left > 1:
+        merged, left = merged.groupBy(*by).applyInArrow(combine, message), -(-left // PART)
+    facts = bucketed(merged.groupBy(*by).applyInArrow(learn, fact), ["_bucket"], n_files, "facts")
+    weighed = materialise(facts.where(F.col("kind") == MESSAGE).groupBy("_middle").applyInArrow(middle, fact), "middle")
+    words = facts.where(F.col("kind") == WORDS).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    train_tokens, vocabulary = int(words["n"] or 0), int(words["v"] or 0)
+    pairs, tops = np.zeros(65536), np.zeros(65536)
+    for r in weighed.where(F.col("kind") == TOP).select("a", "b", "c", "d").toLocalIterator():
+        for into, k, x in ((pairs, r["a"], r["b"]), (tops, r["c"], r["d"])):
+            np.add.at(into, np.frombuffer(bytes(k), np.uint64).astype(np.int64), np.frombuffer(bytes(x), np.float64))
     every = np.arange(65536).astype(np.uint64)
     sent = docs.sparkSession.sparkContext.broadcast(Top(every, pairs, every, tops))
     base_total = float(train_tokens + 1 * (vocabulary + 1))
 
-    def probabilities(t: pa.Table) -> pa.Table:
-        kinds = t["kind"].to_pylist()
-        main = kinds.index(CONTEXTS)
-        u = np.frombuffer(t["a"][main].as_py(), np.uint64)
-        below = np.frombuffer(t["b"][main].as_py(), np.float32).reshape(-1, N_BITS).astype(np.float64)
-        known = np.frombuffer(t["c"][main].as_py(), bool).reshape(-1, N_BITS)
-        p = sent.value.log10(u, below, known, depth)
-        rows = [i for i, k in enumerate(kinds) if k == ENTRY]
-        data = [p[np.frombuffer(t["a"][i].as_py(), np.int32)].astype(np.float64).tobytes() for i in rows]
-        return pa.table({"kind": pa.array([CONTEXTS] * len(rows), pa.int32()), "_bucket": t["_bucket"].take(pa.array(rows, pa.int64())), "_block": t["_block"].take(pa.array(rows, pa.int64())), "data": pa.array(data, pa.binary())})
+    def settle(t: pa.Table, above: pa.Table) -> pa.Table:
+        """A bucket's codes with their log10 probabilities, its words with their counts."""
+        rows = []
+        for kind, a, b, c in zip(t["kind"].to_pylist(), t["a"], t["b"], t["c"]):
+            if kind == WORDS:
+                rows.append((WORDS, t["_bucket"][0].as_py(), a.as_py(), b.as_py()))
+                continue
+            u = unpack_sorted(a.as_py())
+            below = from_planes(b.as_py(), np.float32).reshape(-1, N_BITS)
+            deep = np.unpackbits(np.frombuffer(c.as_py(), np.uint8)[:, None], axis=1).astype(bool)
+            pair = np.concatenate([unpack_sorted(x.as_py()) for x in above["a"]])
+            abc = np.concatenate([np.frombuffer(x.as_py(), np.float32).reshape(3, -1, N_BITS) for x in above["b"]], axis=1)
+            seen = np.unpackbits(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in above["c"]])[:, None], axis=1).astype(bool)
+            order = np.argsort(pair)
+            drop = T.U64(8 * (depth - split + 2))
+            at = order[np.searchsorted(pair[order], ((u >> drop) << T.U64(8)) | (u & T.U64(255)))]
+            p = np.where(deep, abc[0, at] + abc[1, at] * below, abc[2, at]).astype(np.float64)
+            rows.append((CONTEXTS, t["_bucket"][0].as_py(), a.as_py(), planes(sent.value.log10(u, p, seen[at], depth))))
+        return rows_of("kind int, _bucket int, keys binary, data binary", rows)
+
+    def answer(t: pa.Table, known: pa.Table) -> pa.Table:
+        if not len(t):
+            return rows_of(reply, [])
+        keys, data = unpack_sorted(known["keys"][0].as_py()), from_planes(known["data"][0].as_py(), ANSWERS[t["kind"][0].as_py()])
+        kind, bucket = t["kind"][0].as_py(), t["_bucket"][0].as_py()
+        return rows_of(reply, [(kind, bucket, block, data[np.searchsorted(keys, unpack_sorted(k.as_py()))].tobytes()) for block, k in zip(t["_block"].to_pylist(), t["keys"])])
 
-    reply = "kind int, _bucket int, _block long, data binary"
-    answers = facts.where(F.col("kind").isin(CONTEXTS, ENTRY)).groupBy("_bucket").applyInArrow(probabilities, reply).unionByName(facts.where(F.col("kind") == WORDS).select("kind", "_bucket", "_block", F.col("a").alias("data")))
+    known = facts.where(F.col("kind").isin(CONTEXTS, WORDS)).groupBy("_bucket").cogroup(weighed.where(F.col("kind") == MESSAGE).groupBy("_bucket")).applyInArrow(settle, "kind int, _bucket int, keys binary, data binary")
+    known = known.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    answers = messages.groupBy(*by).cogroup(known.groupBy(*by)).applyInArrow(answer, reply)
 
     def finish(t: pa.Table, got: pa.Table) -> pa.Table:
         (cu, _), (wu, _) = block_facts(t, depth)
-        logp, count = np.zeros(len(cu)), np.zeros(len(wu), np.int64)
-        parts = {(k, g): d.as_py() for k, g, d in zip(got["kind"].to_pylist(), got["_bucket"].to_pylist(), got["data"])}
-        for g, at in by_bucket(cu, code_bucket(cu, depth, buckets), buckets):
-            logp[at] = np.frombuffer(parts[CONTEXTS, g], np.float64)
-        for g, at in by_bucket(wu, B.bucket_of(wu, buckets), buckets):
-            count[at] = np.frombuffer(parts[WORDS, g], np.int64)
+        logp, count = np.zeros(len(cu)), np.zeros(len(wu))
+        data = {(k, g): d for k, g, d in zip(got["kind"].to_pylist(), got["_bucket"].to_pylist(), got["data"])}
+        for kind, keys, out, where in ((CONTEXTS, cu, logp, code_bucket(cu, depth, buckets)), (WORDS, wu, count, B.bucket_of(wu, buckets))):
+            for g, at in by_bucket(keys, where, buckets):
+                out[at] = np.frombuffer(data[kind, g].as_py(), ANSWERS[kind])
         base = np.log10((count + 1) / base_total)
-        n_tokens, n_known, bases, scores = [], [], [], []
+        n_tokens, n_known, bases, scores, sizes = [], [], [], [], []
         for _, _, low, offs in lower_slices(t["text"]):
             values, ptr = codes(low, offs, depth)
             some, inverse = np.unique(values, return_inverse=True)
             scores.append(T.segment_sum(logp[np.searchsorted(cu, some)][inverse], ptr))
+            sizes.append(np.diff(ptr))
             values, ptr = tokens(low, offs)
             at = np.searchsorted(wu, values)
             bases.append(T.segment_sum(base[at], ptr))
             n_known.append(T.segment_sum((count[at] > 0).astype(float), ptr).astype(np.int64))
             n_tokens.append(np.diff(ptr))
         cat = lambda x, kind: pa.array(np.concatenate(x), kind)
-        return pa.table({c: t[c] for c in [*keep, "held_out"]} | {"n_tokens": cat(n_tokens, pa.int64()), "n_known": cat(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(t), train_tokens), pa.int64()), "base_score": cat(bases, pa.float64()), "score": cat(scores, pa.float64())})
+        bits = -np.concatenate(scores) / np.log10(2) / np.concatenate(sizes)
+        return pa.table({c: t[c] for c in [*keep, "held_out"]} | {"n_tokens": cat(n_tokens, pa.int64()), "n_known": cat(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(t), train_tokens), pa.int64()), "base_score": cat(bases, pa.float64()), "score": cat(scores, pa.float64()), "bits_per_byte": pa.array(bits)})
 
-    schema = T.schema(table.select(*keep), "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    schema = T.schema(table.select(*keep), "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
     return B.with_answers(table, answers, finish, schema)

@@ -143,7 +143,7 @@ def among(items: np.ndarray, sorted_items: np.ndarray) -> np.ndarray:
 
 def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """keep columns, n_words, n_removed, kept_sha256 of every row. with_text: also kept_text, the text itself where nothing goes."""
-    table, n_buckets = B.write_blocks(docs, keep, "substring")
+    table, n_buckets, _ = B.write_blocks(docs, keep, "substring")
 
     def phrases(batches):
         for batch in batches:

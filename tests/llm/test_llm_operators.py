@@ -218,16 +218,19 @@ def test_ctw_is_a_distribution(spark):
     """The probabilities of all symbols after a context add up to one, with every depth in play."""
     rng = np.random.default_rng(5)
     data = rng.choice(np.frombuffer(b"abca ", np.uint8), 3000)
-    u, ptr = ctw.codes(data, np.asarray([0, 1500, 3000]), 3)
+    u, ptr = ctw.codes(data, np.asarray([0, 1500, 3000]), 4)
     keys, n = ctw.tally(u, np.ones(len(u), bool))
-    context = np.uint64(0x61_62_63_00)
+    context = np.uint64(0x61_62_63_61_00)
     every = np.unique(np.r_[keys, context | np.arange(256, dtype=np.uint64)])
     counts = np.zeros(len(every), np.int64)
     counts[np.searchsorted(every, keys)] = n
-    below, known, top, sums = ctw.subtrees(every, counts, 3, 2)
+    deep = ctw.weigh(every, counts, 4, 3)
     pair, at = np.unique(((every >> np.uint64(24)) << np.uint64(8)) | (every & np.uint64(255)), return_inverse=True)
-    model = ctw.Top(pair, np.bincount(at, counts, len(pair)), top, sums)
-    p = 10 ** model.log10(every, below, known, 3)
+    mid = ctw.weigh(pair, np.bincount(at, counts, len(pair)), 2, 2, (deep.keys, deep.sums))
+    latest, to = np.unique(((pair >> np.uint64(16)) << np.uint64(8)) | (pair & np.uint64(255)), return_inverse=True)
+    model = ctw.Top(latest, np.bincount(to, np.bincount(at, counts, len(pair)), len(latest)), mid.keys, mid.sums)
+    below = np.where(deep.seen, mid.a[at] + mid.b[at] * deep.c, mid.c[at])
+    p = 10 ** model.log10(every, below, mid.seen[at], 4)
     mine = (every >> np.uint64(8)) == (context >> np.uint64(8))
     assert mine.sum() == 256 and abs(p[mine].sum() - 1) < 1e-9
 
@@ -277,7 +280,11 @@ def plain_ctw(train, texts, depth):
     return out
 
 
-def test_ctw_against_dictionaries(spark, awkward, empty):
+@pytest.mark.parametrize("part", [256, 1])
+def test_ctw_against_dictionaries(spark, awkward, empty, monkeypatch, part):
+    if part == 1:  # many blocks, each a part of its own, merged as a tree
+        monkeypatch.setattr(ctw, "BLOCK", 300)
+        monkeypatch.setattr(ctw, "PART", 2)
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(["The", "cat", "sat", "on", "mat", "é"]) for _ in range(rng.randrange(25)))) for i in range(60)] + [(200, None), (201, ""), (None, "cat")]
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
@@ -291,6 +298,7 @@ def test_ctw_against_dictionaries(spark, awkward, empty):
         r = got[i]
         assert abs(r["score"] - want) < 1e-3 + 1e-5 * abs(want), (i, t)
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held(i), len(ws), sum(x in c for x in ws), n)
+        assert abs(r["bits_per_byte"] + r["score"] / math.log10(2) / (len(low(t)) + 1)) < 1e-9
         assert abs(r["base_score"] - sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) < 1e-9
     assert ctw.score(empty, ["doc_id"]).count() == 0
     assert ctw.score(awkward, ["doc_id"]).where("score is null or score > 0").count() == 0
