@@ -18,10 +18,11 @@ contexts and words they hold, with training counts, to buckets of the key space:
 their SPLIT latest bytes, so that a bucket has whole subtrees below that depth, which it
 weighs. What a bucket's subtrees come to goes up to middle groups by the two latest
 bytes, which weigh the depths from SPLIT - 1 to 2, and from there to the two top levels
-(at most 256 * 255 + 255 nodes), which the driver adds up and broadcasts. A bucket's messages
-meet in parts of about PART blocks and are merged as a tree, and each part has its
-answers in a task of its own, so that even the commonest context puts only its distinct
-longer contexts into one task, not one entry for each block.
+(at most 256 * 255 + 255 nodes), which the driver adds up and broadcasts. Then the
+buckets weigh their subtrees again, now with what is above them, and answer each block.
+From more than PART blocks on, a bucket's messages meet in parts of about PART blocks, are merged
+as a tree, and each part has its answers in a task of its own, so that even the commonest
+context puts only its distinct longer contexts into one task, not one entry for each block.
 
 The unigram baseline is the sum of log10((c + 1) / (N + 1 * (V + 1))) over words and end.
 
@@ -37,6 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +51,8 @@ DEPTH = 7
 #: Contexts share a bucket by so many latest bytes.
 SPLIT = 4
 #: Blocks whose messages to a bucket meet in one task, about.
-PART = 256
+PART = 1024
+#: Middle groups.
 MIDDLE = 256
 END = 0xFF
 #: The end token of the baseline, apart from all words' hashes.
@@ -133,31 +136,26 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) - np.log(x * (x + 1) * (x + 2))
 
 
-def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - np.log(np.pi)
 
 
-def own_share(pe: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """P_e / (P_e + product of the longer contexts' P_w)."""
-    return 1 / (1 + np.exp(np.clip(rest - pe, -700, 700)))
-
+_FEW = 128
+_KT = _log_kt(*np.meshgrid(np.arange(_FEW, dtype=float), np.arange(_FEW, dtype=float), indexing="ij"))
 
-class Level:
-    """The nodes of one depth met by a set of codes, for one bit."""
 
-    def __init__(self, context: np.ndarray, node: np.ndarray, bit: np.ndarray, counts: np.ndarray):
-        self.key, self.at = np.unique((context << T.U64(8)) | node, return_inverse=True)
-        self.b = np.bincount(self.at, counts * bit, len(self.key))
-        self.a = np.bincount(self.at, counts * (1 - bit), len(self.key))
-        self.seen = (self.a + self.b > 0)[self.at]
-        x, n = np.where(bit == 1, self.b[self.at], self.a[self.at]), (self.a + self.b)[self.at]
-        self.estimate = (x + 0.5) / (n + 1)
-        self.pe = log_kt(self.a, self.b)
+def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log P_e of a zeros and b ones; small counts by table."""
+    few = (a < _FEW) & (b < _FEW)
+    out = _KT[np.where(few, a, 0).astype(np.int64), np.where(few, b, 0).astype(np.int64)]
+    if not few.all():
+        out[~few] = _log_kt(a[~few], b[~few])
+    return out
 
 
-def up_keys(key: np.ndarray) -> np.ndarray:
-    """(context, node) with the context's earliest byte left off."""
-    return ((key >> T.U64(16)) << T.U64(8)) | (key & T.U64(255))
+def own_share(pe: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """P_e / (P_e + product of the longer contexts' P_w)."""
+    return 1 / (1 + np.exp(np.clip(rest - pe, -700, 700)))
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,12 +163,17 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return u, np.bincount(at, values, len(u))
 
 
+def shorter(u: np.ndarray) -> np.ndarray:
+    """Codes or (context, node) keys with the context's earliest byte left off."""
+    return ((u >> T.U64(16)) << T.U64(8)) | (u & T.U64(255))
+
+
 @dataclass
 class Weighed:
     """What depths top to least make of each code and bit: a + b x where the context longer than top was seen and gives x, otherwise c; whether depth least was seen; and sums of log P_w by (context, node) of depth least - 1."""
 
-    a: np.ndarray
-    b: np.ndarray
+    a: np.ndarray | None
+    b: np.ndarray | None
     c: np.ndarray
     seen: np.ndarray
     keys: np.ndarray
@@ -178,42 +181,56 @@ class Weighed:
 
 
 def weigh(u: np.ndarray, counts: np.ndarray, top: int, least: int, rest: tuple[np.ndarray, np.ndarray] | None = None) -> Weighed:
-    """Depths top to least of the codes u (top context bytes and the symbol). rest: sums of log P_w of the contexts longer than top, by (context, node); None: there are none."""
-    symbol = u & T.U64(255)
-    a, b, c = (np.zeros((len(u), N_BITS)) for _ in range(3))
-    seen_all = np.zeros((len(u), N_BITS), bool)
-    keys, sums = [], []
-    for k in range(N_BITS):
-        node, bit = bit_nodes(symbol, k)
-        seen, longer = None, None
-        for d in range(top, least - 1, -1):
-            level = Level(u >> T.U64(8 * (top - d + 1)), node, bit, counts)
+    """Depths top to least of the sorted codes u (top context bytes and the symbol). rest: sums of log P_w of the contexts longer than top, by (context, node), or None if there are none (then a and b are None).
+
+    At each depth the distinct codes are sorted by context and symbol, so that the codes of a
+    node are neighbours for every bit.
+    """
+    some = lambda kind=float: np.zeros((len(u), N_BITS), kind)
+    a, b, c, seen_all = (some() if rest else None), (some() if rest else None), some(), some(bool)
+    codes_, n, to, longer, step, keys, sums = u, counts.astype(np.float64), slice(None), None, None, [], []
+    for d in range(top, least - 1, -1):
+        if d < top:
+            codes_, step = np.unique(shorter(codes_), return_inverse=True)
+            n = np.bincount(step, n, len(codes_))
+            to = step if isinstance(to, slice) else step[to]
+        nodes = []
+        for k in range(N_BITS):
+            node, bit = bit_nodes(codes_ & T.U64(255), k)
+            new = np.ones(len(codes_), bool)
+            group = codes_ >> T.U64(8 - k)
+            new[1:] = group[1:] != group[:-1]
+            first, run = np.flatnonzero(new), np.cumsum(new) - 1
+            total = np.add.reduceat(n, first) if len(first) else n
+            ones = np.add.reduceat(n * bit, first) if len(first) else n
+            pe = log_kt(total - ones, ones)
+            e = ((np.where(bit == 1, ones[run], total[run] - ones[run]) + 0.5) / (total[run] + 1))[to]
+            seen = (total > 0)[run][to]
+            below, pw = None, pe
             if longer is not None:
-                below = np.bincount(level.at[longer.first], longer.pw, len(level.key))
+                below = np.bincount(run[step[longer[k][0]]], longer[k][1], len(first))
             elif rest is not None:
-                below = rest[1][np.searchsorted(rest[0], level.key)]
-            else:
-                below = None
-            e = level.estimate
+                below = rest[1][np.searchsorted(rest[0], ((codes_ >> T.U64(8)) << T.U64(8) | node)[first])]
             if below is None:
-                level.pw = level.pe
-                a[:, k], c[:, k] = e, e
+                c[:, k] = e
             else:
-                share = own_share(level.pe, below)[level.at]
-                level.pw = np.logaddexp(level.pe, below) - np.log(2)
+                share = own_share(pe, below)[run][to]
+                pw = np.logaddexp(pe, below) - np.log(2)
                 if longer is None:
                     a[:, k], b[:, k], c[:, k] = share * e, 1 - share, e
                 else:
-                    a[:, k] = np.where(seen, share * e + (1 - share) * a[:, k], e)
-                    b[:, k] = np.where(seen, (1 - share) * b[:, k], 0)
-                    c[:, k] = np.where(seen, share * e + (1 - share) * c[:, k], e)
-            level.first = np.zeros(len(level.key), np.int64)
-            level.first[level.at[::-1]] = np.arange(len(u))[::-1]
-            seen, longer = level.seen, level
-        seen_all[:, k] = seen
-        key, value = summed(up_keys(longer.key), longer.pw)
-        keys.append(key)
-        sums.append(value)
+                    was = seen_all[:, k]
+                    c[:, k] = np.where(was, share * e + (1 - share) * c[:, k], e)
+                    if rest:
+                        a[:, k] = np.where(was, share * e + (1 - share) * a[:, k], e)
+                        b[:, k] = np.where(was, (1 - share) * b[:, k], 0)
+            seen_all[:, k] = seen
+            nodes.append((first, pw))
+            if d == least:
+                key, value = summed(shorter(((codes_ >> T.U64(8)) << T.U64(8) | node)[first]), pw)
+                keys.append(key)
+                sums.append(value)
+        longer = nodes
     keys, sums = np.concatenate(keys), np.concatenate(sums)
     order = np.argsort(keys)
     return Weighed(a, b, c, seen_all, keys[order], sums[order])
@@ -241,7 +258,7 @@ class Top:
     def log10(self, u: np.ndarray, below: np.ndarray, known: np.ndarray, depth: int) -> np.ndarray:
         """log10 probability of each code's symbol."""
         symbol, latest = u & T.U64(255), (u >> T.U64(8 * depth)).astype(np.int64)
-        total = np.zeros(len(u))
+        product = np.ones(len(u))
         for k in range(N_BITS):
             node, bit = bit_nodes(symbol, k)
             node = node.astype(np.int64)
@@ -251,8 +268,8 @@ class Top:
             s1, s0 = self.share1[latest, node], self.share0[node]
             p = np.where(known[:, k], s1 * e1 + (1 - s1) * below[:, k], e1)
             p = np.where(n1 > 0, s0 * e0 + (1 - s0) * p, e0)
-            total += np.log10(p)
-        return total
+            product *= p
+        return np.log10(product)
 
 
 def lower_slices(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -261,36 +278,49 @@ def lower_slices(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         yield a, b, T.LOWER[buf], offs
 
 
-CONTEXTS, WORDS, MESSAGE, TOP = range(4)
+ENTRY, PARTIAL, MESSAGE, TOP = range(4)
 
 
 def code_bucket(u: np.ndarray, depth: int, n: int) -> np.ndarray:
+    """Buckets of contexts, 0 to n - 1."""
     return B.bucket_of(u >> T.U64(8 * (depth + 1 - min(SPLIT, depth))), n)
 
 
-def planes(x: np.ndarray) -> bytes:
-    """An array's bytes by significance, which compresses well."""
-    return x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
+def word_bucket(words: np.ndarray, n: int) -> np.ndarray:
+    """Buckets of words, -n to -1."""
+    return B.bucket_of(words, n) - n
+
 
+def pack(x: np.ndarray, drop: int = 0) -> bytes:
+    """An array's bytes by significance, the least `drop` left out, compressed."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T[drop:].tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
-def from_planes(data: bytes, kind) -> np.ndarray:
+
+def unpack(data: bytes, kind, drop: int = 0) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    part = np.frombuffer(raw, np.uint8).reshape(size - drop, -1)
+    out = np.zeros((part.shape[1], size), np.uint8)
+    out[:, drop:] = part.T
+    return out.view(kind).ravel()
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
-    return planes(np.diff(keys, prepend=T.U64(0)))
+    return pack(np.diff(keys, prepend=keys.dtype.type(0)))
 
 
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
+def unpack_sorted(data: bytes, kind=np.uint64) -> np.ndarray:
+    return np.cumsum(unpack(data, kind), dtype=kind)
 
 
-def by_bucket(keys: np.ndarray, buckets: np.ndarray, n: int):
+def by_bucket(buckets: np.ndarray):
+    """(bucket, positions) of each bucket that occurs."""
     order = np.argsort(buckets, kind="stable")
-    at = np.searchsorted(buckets[order], np.arange(n + 1))
-    for g in np.flatnonzero(np.diff(at)).tolist():
-        yield g, order[at[g] : at[g + 1]]
+    b = buckets[order]
+    at = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
+    for first, end in zip(at.tolist(), np.r_[at[1:], len(b)].tolist()):
+        yield int(b[first]), order[first:end]
 
 
 def block_facts(texts: pa.Table, depth: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
@@ -305,11 +335,11 @@ def block_facts(texts: pa.Table, depth: int) -> tuple[tuple[np.ndarray, np.ndarr
     return cs.total(), ws.total()
 
 
-def tally_of(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The merged tallies of a group of messages."""
+def tally_of(keys, counts) -> tuple[np.ndarray, np.ndarray]:
+    """The merged tallies of a group of packed ones."""
     out = Tallies()
-    for keys, counts in zip(t["keys"], t["counts"]):
-        out.add(unpack_sorted(keys.as_py()), from_planes(counts.as_py(), np.int64))
+    for k, n in zip(keys, counts):
+        out.add(unpack_sorted(k.as_py()), unpack(n.as_py(), np.int64))
     return out.total()
 
 
@@ -321,75 +351,79 @@ def rows_of(schema: str, rows: list[tuple]) -> pa.Table:
     return pa.table({name: pa.array([r[i] for r in rows], ARROW[kind]) for i, (name, kind) in enumerate(fields)})
 
 
-#: What goes back to blocks: log10 probabilities of contexts, counts of words.
-ANSWERS = {CONTEXTS: np.float64, WORDS: np.float64}
-
-
 def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7, remainder: int = 2) -> DataFrame:
     """keep columns, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of docs (doc_id, text). depth: 3 to 7."""
     split = min(SPLIT, depth)
     marked = docs.select("text", *keep, S.fold(F.col("doc_id"), modulus, remainder).alias("held_out"))
     table, buckets, blocks = B.write_blocks(marked, [*keep, "held_out"], "ctw", BLOCK)
     parts, middles = -(-blocks // PART), min(MIDDLE, buckets)
-    message = "kind int, _bucket int, _part int, _block long, keys binary, counts binary"
-    fact = "kind int, _bucket int, _middle int, n long, v long, a binary, b binary, c binary, d binary"
-    reply = "kind int, _bucket int, _block long, data binary"
+    message = "_bucket int, _part int, _block long, a binary, b binary"
+    fact = "kind int, _bucket int, _part int, _block long, n long, v long, a binary, b binary, c binary, d binary"
+    reply = "_bucket int, _block long, data binary"
 
     def ask(t: pa.Table) -> pa.Table:
         block = t["_block"][0].as_py()
         part, rows = int(T.mix(np.asarray([block], np.uint64))[0] % T.U64(parts)), []
-        for kind, (keys, counts) in zip((CONTEXTS, WORDS), block_facts(t, depth)):
-            where = code_bucket(keys, depth, buckets) if kind == CONTEXTS else B.bucket_of(keys, buckets)
-            rows += [(kind, g, part, block, pack_sorted(keys[at]), planes(counts[at])) for g, at in by_bucket(keys, where, buckets)]
+        (cu, cn), (wu, wn) = block_facts(t, depth)
+        for keys, counts, where in ((cu, cn, code_bucket(cu, depth, buckets)), (wu, wn, word_bucket(wu, buckets))):
+            rows += [(g, part, block, pack_sorted(keys[at]), pack(counts[at])) for g, at in by_bucket(where)]
         return rows_of(message, rows)
 
+    def gather(t: pa.Table) -> pa.Table:
+        """A part's tally, and where in it each block's keys are."""
+        bucket, part = t["_bucket"][0].as_py(), t["_part"][0].as_py()
+        u, n = tally_of(t["a"], t["b"])
+        entries = [(ENTRY, bucket, part, block, None, None, pack_sorted(np.searchsorted(u, unpack_sorted(a.as_py())).astype(np.int32)), None, None, None) for block, a in zip(t["_block"].to_pylist(), t["a"])]
+        return rows_of(fact, [*entries, (PARTIAL, bucket, part, None, int(n.sum()), None, pack_sorted(u), pack(n), None, None)])
+
     def combine(t: pa.Table) -> pa.Table:
-        keys, counts = tally_of(t)
-        return rows_of(message, [(t["kind"][0].as_py(), t["_bucket"][0].as_py(), t["_part"][0].as_py() // PART, -1, pack_sorted(keys), planes(counts))])
+        u, n = tally_of(t["a"], t["b"])
+        return rows_of(fact, [(PARTIAL, t["_bucket"][0].as_py(), t["_part"][0].as_py() // PART, None, int(n.sum()), None, pack_sorted(u), pack(n), None, None)])
 
     def learn(t: pa.Table) -> pa.Table:
-        kind, bucket = t["kind"][0].as_py(), t["_bucket"][0].as_py()
-        u, n = tally_of(t)
-        if kind == WORDS:
-            return rows_of(fact, [(WORDS, bucket, None, int(n.sum()), int(np.count_nonzero(n)), pack_sorted(u), planes(n.astype(np.float64)), None, None)])
+        """What a bucket has to say to the depths above: (context, symbol) with counts, (context, node) with sums. Of words: their numbers."""
+        bucket = t["_bucket"][0].as_py()
+        u, n = tally_of(t["a"], t["b"])
+        if bucket < 0:
+            return rows_of(fact, [(TOP, bucket, None, None, int(n.sum()), int(np.count_nonzero(n)), None, None, None, None)])
         w = weigh(u, n, depth, split)
-        rows = [(CONTEXTS, bucket, None, None, None, pack_sorted(u), planes(w.c.astype(np.float32).ravel()), np.packbits(w.seen, axis=1).tobytes(), None)]
-        # of the depth above: (context, symbol) with counts and (context, node) with sums
-        drop = T.U64(8 * (depth - split + 2))
-        pair, at = np.unique(((u >> drop) << T.U64(8)) | (u & T.U64(255)), return_inverse=True)
+        pair, at = np.unique(above(u), return_inverse=True)
         count = np.bincount(at, n, len(pair)).astype(np.int64)
-        shift = T.U64(8 * max(split - 2, 0))  # a context of split - 1 bytes and symbol, without what follows the latest two
-        where, of_sums = (B.bucket_of(x >> shift, middles) for x in (pair, w.keys))
-        sums = dict(by_bucket(w.keys, of_sums, middles))
-        for g, i in by_bucket(pair, where, middles):
-            j = sums.pop(g, np.zeros(0, np.int64))
-            rows.append((MESSAGE, bucket, g, None, None, pack_sorted(pair[i]), planes(count[i]), pack_sorted(w.keys[j]), w.sums[j].tobytes()))
+        latest = lambda x: B.bucket_of(x >> T.U64(8 * (split - 2)), middles)
+        sums, rows = dict(by_bucket(latest(w.keys))), []
+        for g, i in by_bucket(latest(pair)):
+            rows.append((MESSAGE, bucket, g, None, None, None, pack_sorted(pair[i]), pack(count[i]), pack_sorted(w.keys[sums[g]]), pack(w.sums[sums[g]])))
         return rows_of(fact, rows)
 
+    def above(u: np.ndarray) -> np.ndarray:
+        """(context of split - 1 bytes, symbol) of codes."""
+        return ((u >> T.U64(8 * (depth - split + 2))) << T.U64(8)) | (u & T.U64(255))
+
     def middle(t: pa.Table) -> pa.Table:
         pairs = [unpack_sorted(x.as_py()) for x in t["a"]]
-        u, n = merge_all([(p, from_planes(c.as_py(), np.int64)) for p, c in zip(pairs, t["b"])])
-        rest = summed(np.concatenate([unpack_sorted(x.as_py()) for x in t["c"]]), np.concatenate([np.frombuffer(x.as_py(), np.float64) for x in t["d"]]))
+        u, n = merge_all([(p, unpack(c.as_py(), np.int64)) for p, c in zip(pairs, t["b"])])
+        rest = summed(np.concatenate([unpack_sorted(x.as_py()) for x in t["c"]]), np.concatenate([unpack(x.as_py(), np.float64) for x in t["d"]]))
         w = weigh(u, n, split - 1, 2, rest)
         rows = []
         for bucket, mine in zip(t["_bucket"].to_pylist(), pairs):
             at = np.searchsorted(u, mine)
             abc = np.stack([w.a[at], w.b[at], w.c[at]]).astype(np.float32)
-            rows.append((MESSAGE, bucket, None, None, None, pack_sorted(mine), abc.tobytes(), np.packbits(w.seen[at], axis=1).tobytes(), None))
+            rows.append((MESSAGE, bucket, None, None, None, None, pack_sorted(mine), pack(abc.ravel()), np.packbits(w.seen[at], axis=1).tobytes(), None))
         top, at = np.unique(((u >> T.U64(8 * (split - 1))) << T.U64(8)) | (u & T.U64(255)), return_inverse=True)
-        rows.append((TOP, -1, None, None, None, top.tobytes(), np.bincount(at, n, len(top)).astype(np.float64).tobytes(), w.keys.tobytes(), w.sums.tobytes()))
+        rows.append((TOP, 0, None, None, None, None, top.tobytes(), np.bincount(at, n, len(top)).astype(np.float64).tobytes(), w.keys.tobytes(), w.sums.tobytes()))
         return rows_of(fact, rows)
 
-    # one shuffle of the messages; their table is grouped by bucket and part again when the answers go back
     n_files = max(8, buckets)
-    by = ["kind", "_bucket", "_part"]
-    messages = bucketed(table.groupBy("_block").applyInArrow(ask, message).repartition(n_files, *by), by, n_files, "messages")
-    merged, left = messages, parts
+    asked = table.groupBy("_block").applyInArrow(ask, message)
+    facts = bucketed(asked.groupBy("_bucket", "_part").applyInArrow(gather, fact), ["_bucket"], n_files, "facts")
+    totals, left = facts.where(F.col("kind") == PARTIAL), parts
     while left > 1:
-        merged, left = merged.groupBy(*by).applyInArrow(combine, message), -(-left // PART)
-    facts = bucketed(merged.groupBy(*by).applyInArrow(learn, fact), ["_bucket"], n_files, "facts")
-    weighed = materialise(facts.where(F.col("kind") == MESSAGE).groupBy("_middle").applyInArrow(middle, fact), "middle")
-    words = facts.where(F.col("kind") == WORDS).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+        totals, left = totals.groupBy("_bucket", F.floor(F.col("_part") / PART).alias("_up")).applyInArrow(combine, fact), -(-left // PART)
+    if parts > 1:
+        totals = bucketed(totals, ["_bucket"], n_files, "totals")
+    learned = materialise(totals.groupBy("_bucket").applyInArrow(learn, fact), "learned")
+    weighed = materialise(learned.where(F.col("kind") == MESSAGE).groupBy("_part").applyInArrow(middle, fact), "middle")
+    words = learned.where(F.col("kind") == TOP).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     train_tokens, vocabulary = int(words["n"] or 0), int(words["v"] or 0)
     pairs, tops = np.zeros(65536), np.zeros(65536)
     for r in weighed.where(F.col("kind") == TOP).select("a", "b", "c", "d").toLocalIterator():
@@ -399,44 +433,53 @@ def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7
     sent = docs.sparkSession.sparkContext.broadcast(Top(every, pairs, every, tops))
     base_total = float(train_tokens + 1 * (vocabulary + 1))
 
-    def settle(t: pa.Table, above: pa.Table) -> pa.Table:
-        """A bucket's codes with their log10 probabilities, its words with their counts."""
-        rows = []
-        for kind, a, b, c in zip(t["kind"].to_pylist(), t["a"], t["b"], t["c"]):
-            if kind == WORDS:
-                rows.append((WORDS, t["_bucket"][0].as_py(), a.as_py(), b.as_py()))
-                continue
-            u = unpack_sorted(a.as_py())
-            below = from_planes(b.as_py(), np.float32).reshape(-1, N_BITS)
-            deep = np.unpackbits(np.frombuffer(c.as_py(), np.uint8)[:, None], axis=1).astype(bool)
-            pair = np.concatenate([unpack_sorted(x.as_py()) for x in above["a"]])
-            abc = np.concatenate([np.frombuffer(x.as_py(), np.float32).reshape(3, -1, N_BITS) for x in above["b"]], axis=1)
-            seen = np.unpackbits(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in above["c"]])[:, None], axis=1).astype(bool)
-            order = np.argsort(pair)
-            drop = T.U64(8 * (depth - split + 2))
-            at = order[np.searchsorted(pair[order], ((u >> drop) << T.U64(8)) | (u & T.U64(255)))]
-            p = np.where(deep, abc[0, at] + abc[1, at] * below, abc[2, at]).astype(np.float64)
-            rows.append((CONTEXTS, t["_bucket"][0].as_py(), a.as_py(), planes(sent.value.log10(u, p, seen[at], depth))))
-        return rows_of("kind int, _bucket int, keys binary, data binary", rows)
-
-    def answer(t: pa.Table, known: pa.Table) -> pa.Table:
-        if not len(t):
-            return rows_of(reply, [])
-        keys, data = unpack_sorted(known["keys"][0].as_py()), from_planes(known["data"][0].as_py(), ANSWERS[t["kind"][0].as_py()])
-        kind, bucket = t["kind"][0].as_py(), t["_bucket"][0].as_py()
-        return rows_of(reply, [(kind, bucket, block, data[np.searchsorted(keys, unpack_sorted(k.as_py()))].tobytes()) for block, k in zip(t["_block"].to_pylist(), t["keys"])])
-
-    known = facts.where(F.col("kind").isin(CONTEXTS, WORDS)).groupBy("_bucket").cogroup(weighed.where(F.col("kind") == MESSAGE).groupBy("_bucket")).applyInArrow(settle, "kind int, _bucket int, keys binary, data binary")
-    known = known.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    answers = messages.groupBy(*by).cogroup(known.groupBy(*by)).applyInArrow(answer, reply)
+    def settled(t: pa.Table, up: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """A bucket's codes with their log10 probabilities, or words with their counts."""
+        partial = t.filter(pc.equal(t["kind"], PARTIAL))
+        u, n = tally_of(partial["a"], partial["b"])
+        if t["_bucket"][0].as_py() < 0:
+            return u, n.astype(np.float64)
+        w = weigh(u, n, depth, split)
+        pair = np.concatenate([unpack_sorted(x.as_py()) for x in up["a"]])
+        abc = np.concatenate([unpack(x.as_py(), np.float32).reshape(3, -1, N_BITS) for x in up["b"]], axis=1)
+        seen = np.unpackbits(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in up["c"]])[:, None], axis=1).astype(bool)
+        order = np.argsort(pair)
+        at = order[np.searchsorted(pair[order], above(u))]
+        p = np.where(w.seen, abc[0, at] + abc[1, at] * w.c, abc[2, at])
+        return u, sent.value.log10(u, p, seen[at], depth)
+
+    def replies(t: pa.Table, values: np.ndarray) -> pa.Table:
+        entry = t.filter(pc.equal(t["kind"], ENTRY))
+        return rows_of(reply, [(t["_bucket"][0].as_py(), block, pack(values[unpack_sorted(a.as_py(), np.int32)], 2)) for block, a in zip(entry["_block"].to_pylist(), entry["a"])])
+
+    def answer(t: pa.Table, up: pa.Table) -> pa.Table:
+        return replies(t, settled(t, up)[1])
+
+    def settle(t: pa.Table, up: pa.Table) -> pa.Table:
+        u, values = settled(t, up)
+        return pa.table({"_bucket": t["_bucket"].slice(0, 1), "keys": pa.array([pack_sorted(u)], pa.binary()), "data": pa.array([pack(values)], pa.binary())})
+
+    def answer_part(t: pa.Table, known: pa.Table) -> pa.Table:
+        partial = t.filter(pc.equal(t["kind"], PARTIAL))
+        at = np.searchsorted(unpack_sorted(known["keys"][0].as_py()), unpack_sorted(partial["a"][0].as_py()))
+        return replies(t, unpack(known["data"][0].as_py(), np.float64)[at])
+
+    up = weighed.where(F.col("kind") == MESSAGE).groupBy("_bucket")
+    if parts == 1:
+        answers = facts.groupBy("_bucket").cogroup(up).applyInArrow(answer, reply)
+    else:
+        known = totals.groupBy("_bucket").cogroup(up).applyInArrow(settle, "_bucket int, keys binary, data binary")
+        known = known.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        known = known.join(facts.where(F.col("kind") == PARTIAL).select("_bucket", "_part"), ["_bucket", "_part"], "left_semi")
+        answers = facts.groupBy("_bucket", "_part").cogroup(known.groupBy("_bucket", "_part")).applyInArrow(answer_part, reply)
 
     def finish(t: pa.Table, got: pa.Table) -> pa.Table:
         (cu, _), (wu, _) = block_facts(t, depth)
         logp, count = np.zeros(len(cu)), np.zeros(len(wu))
-        data = {(k, g): d for k, g, d in zip(got["kind"].to_pylist(), got["_bucket"].to_pylist(), got["data"])}
-        for kind, keys, out, where in ((CONTEXTS, cu, logp, code_bucket(cu, depth, buckets)), (WORDS, wu, count, B.bucket_of(wu, buckets))):
-            for g, at in by_bucket(keys, where, buckets):
-                out[at] = np.frombuffer(data[kind, g].as_py(), ANSWERS[kind])
+        data = dict(zip(got["_bucket"].to_pylist(), got["data"]))
+        for out, where in ((logp, code_bucket(cu, depth, buckets)), (count, word_bucket(wu, buckets))):
+            for g, at in by_bucket(where):
+                out[at] = unpack(data[g].as_py(), np.float64, 2)
         base = np.log10((count + 1) / base_total)
         n_tokens, n_known, bases, scores, sizes = [], [], [], [], []
         for _, _, low, offs in lower_slices(t["text"]):
