@@ -57,7 +57,7 @@ MIDDLE = 256
 END = 0xFF
 #: The end token of the baseline, apart from all words' hashes.
 END_TOKEN = T.U64(0xE0D0E0D0E0D0E0D1)
-BLOCK = 24 << 20
+BLOCK = 16 << 20
 N_BITS = 8
 
 
@@ -323,16 +323,24 @@ def by_bucket(buckets: np.ndarray):
         yield int(b[first]), order[first:end]
 
 
-def block_facts(texts: pa.Table, depth: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Tallies of a block's contexts and words."""
-    held = texts["held_out"].to_numpy(zero_copy_only=False)
-    cs, ws = Tallies(), Tallies()
+def block_tally(texts: pa.Table, make) -> tuple[np.ndarray, np.ndarray]:
+    """The tally of a block's codes or tokens."""
+    held, out = texts["held_out"].to_numpy(zero_copy_only=False), Tallies()
     for a, b, low, offs in lower_slices(texts["text"]):
-        learn = ~held[a:b]
-        for out, make in ((cs, lambda x, o: codes(x, o, depth)), (ws, tokens)):
-            values, ptr = make(low, offs)
-            out.add(*tally(values, np.repeat(learn, np.diff(ptr))))
-    return cs.total(), ws.total()
+        values, ptr = make(low, offs)
+        out.add(*tally(values, np.repeat(~held[a:b], np.diff(ptr))))
+    return out.total()
+
+
+def distinct(pieces: Iterator[np.ndarray], pending: int = 2_000_000) -> np.ndarray:
+    """The sorted distinct values of all pieces, of which little is held at once."""
+    whole, parts, size = np.zeros(0, np.uint64), [], 0
+    for piece in pieces:
+        parts.append(np.unique(piece))
+        size += len(parts[-1])
+        if size > pending + len(whole):
+            whole, parts, size = np.unique(np.concatenate([whole, *parts])), [], 0
+    return np.unique(np.concatenate([whole, *parts])) if parts else whole
 
 
 def tally_of(keys, counts) -> tuple[np.ndarray, np.ndarray]:
@@ -356,6 +364,7 @@ def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7
     split = min(SPLIT, depth)
     marked = docs.select("text", *keep, S.fold(F.col("doc_id"), modulus, remainder).alias("held_out"))
     table, buckets, blocks = B.write_blocks(marked, [*keep, "held_out"], "ctw", BLOCK)
+    buckets *= 2  # a code takes more room than a word
     parts, middles = -(-blocks // PART), min(MIDDLE, buckets)
     message = "_bucket int, _part int, _block long, a binary, b binary"
     fact = "kind int, _bucket int, _part int, _block long, n long, v long, a binary, b binary, c binary, d binary"
@@ -364,9 +373,9 @@ def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7
     def ask(t: pa.Table) -> pa.Table:
         block = t["_block"][0].as_py()
         part, rows = int(T.mix(np.asarray([block], np.uint64))[0] % T.U64(parts)), []
-        (cu, cn), (wu, wn) = block_facts(t, depth)
-        for keys, counts, where in ((cu, cn, code_bucket(cu, depth, buckets)), (wu, wn, word_bucket(wu, buckets))):
-            rows += [(g, part, block, pack_sorted(keys[at]), pack(counts[at])) for g, at in by_bucket(where)]
+        for make, bucket in ((lambda x, o: codes(x, o, depth), lambda u: code_bucket(u, depth, buckets)), (tokens, lambda u: word_bucket(u, buckets))):
+            keys, counts = block_tally(t, make)
+            rows += [(g, part, block, pack_sorted(keys[at]), pack(counts[at])) for g, at in by_bucket(bucket(keys))]
         return rows_of(message, rows)
 
     def gather(t: pa.Table) -> pa.Table:
@@ -445,8 +454,9 @@ def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7
         seen = np.unpackbits(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in up["c"]])[:, None], axis=1).astype(bool)
         order = np.argsort(pair)
         at = order[np.searchsorted(pair[order], above(u))]
-        p = np.where(w.seen, abc[0, at] + abc[1, at] * w.c, abc[2, at])
-        return u, sent.value.log10(u, p, seen[at], depth)
+        for k in range(N_BITS):
+            w.c[:, k] = np.where(w.seen[:, k], abc[0, at, k] + abc[1, at, k] * w.c[:, k], abc[2, at, k])
+        return u, sent.value.log10(u, w.c, seen[at], depth)
 
     def replies(t: pa.Table, values: np.ndarray) -> pa.Table:
         entry = t.filter(pc.equal(t["kind"], ENTRY))
@@ -474,7 +484,8 @@ def score(docs: DataFrame, keep: list[str], depth: int = DEPTH, modulus: int = 7
         answers = facts.groupBy("_bucket", "_part").cogroup(known.groupBy("_bucket", "_part")).applyInArrow(answer_part, reply)
 
     def finish(t: pa.Table, got: pa.Table) -> pa.Table:
-        (cu, _), (wu, _) = block_facts(t, depth)
+        cu = distinct(codes(low, offs, depth)[0] for _, _, low, offs in lower_slices(t["text"]))
+        wu = distinct(tokens(low, offs)[0] for _, _, low, offs in lower_slices(t["text"]))
         logp, count = np.zeros(len(cu)), np.zeros(len(wu))
         data = dict(zip(got["_bucket"].to_pylist(), got["data"]))
         for out, where in ((logp, code_bucket(cu, depth, buckets)), (count, word_bucket(wu, buckets))):
