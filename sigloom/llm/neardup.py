@@ -18,9 +18,13 @@ hundredths or more.
    bitmaps over the shingles that two or more members have, and keeps a
    spanning forest of the true links. Its components are the result.
 
-Bands and groups of more than HOT members are cut into parts, every pair of parts being a
-task of its own, so that memory is bounded by HOT and no link is lost; rows of pairs
-never leave a task, only forests do.
+Bands and groups of more than HOT members, or PART_BYTES of shingles, are hot. All their members are
+first compared with PIVOTS representatives, in tasks of about HOT members. Representatives that
+share a linked member are of one component; what is linked to the largest such component
+needs no link within it. Only what is not is compared with all members of its group, in
+pairs of parts. Groups so take work in proportion to their size where their members
+are alike, no task holds more than two parts, and no link is lost; rows of pairs never leave
+a task, only forests do.
 
 Defined results: null and empty texts have the empty set, 0 shingles and are linked with
 nothing; the component is the least doc_id reachable, so for repeated rows of a doc_id
@@ -31,20 +35,24 @@ rows of one doc_id or of none.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.llm import blocks as B
 from sigloom.llm import textnp as T
 from sigloom.llm.components import components
-from sigloom.session import materialise
+from sigloom.session import bucketed, materialise
 
 SHINGLE = 4
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 1024
-HOT = 2048
+HOT = 256
+PART_BYTES = 16 << 20
+PIVOTS = 4
 Z = 5.5
 NO_ID = (1 << 63) - 1
 
@@ -156,10 +164,6 @@ def and_counts(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return out
 
 
-def sides(parts: np.ndarray, u: int, v: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.flatnonzero(parts == u), np.flatnonzero(parts == v)
-
-
 def star(ids: np.ndarray, forest: Forest) -> list[tuple[int, int]]:
     """Edges from each member to the least id of its tree."""
     roots = np.asarray([forest.find(m) for m in range(len(ids))])
@@ -195,6 +199,13 @@ def row_key() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_text")]
 
 
+def set_hashes(ptr: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set."""
+    n = np.diff(ptr)
+    total = lambda x: np.where(n > 0, np.add.reduceat(np.r_[x, T.U64(0)], np.minimum(ptr[:-1], len(x))), T.U64(0))
+    return T.mix(total(sets) + n.astype(np.uint64)), total(T.mix(sets ^ T.U64(0x3C6EF372FE94F82B)))
+
+
 def features(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
     """keep columns, _id, text hash, n_shingles, set hash (s1, s2), bands and sketch of every row."""
     kept = docs.select("text", *keep, *row_key())
@@ -204,8 +215,7 @@ def features(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
             for a, b, buf, offs in T.slices(batch.column(0)):
                 ptr, sets = shingle_sets(buf, offs, shingle)
                 n = np.diff(ptr)
-                total = lambda x: np.where(n > 0, np.add.reduceat(np.r_[x, T.U64(0)], np.minimum(ptr[:-1], len(x))), T.U64(0))
-                s1, s2 = T.mix(total(sets) + n.astype(np.uint64)), total(T.mix(sets ^ T.U64(0x3C6EF372FE94F82B)))
+                s1, s2 = set_hashes(ptr, sets)
                 samples = signatures(ptr, sets)
                 bands = T.windows(samples.ravel(), ROWS)[::ROWS].reshape(len(n), BANDS) if len(n) else np.zeros((0, BANDS), np.uint64)
                 bands = T.mix(bands ^ (np.arange(BANDS).astype(np.uint64) * T.U64(0xFF51AFD7ED558CCD)))
@@ -240,129 +250,194 @@ def answer_counts(messages: DataFrame) -> DataFrame:
     return messages.groupBy("_bucket").applyInArrow(run, B.ANSWER)
 
 
+#: A member of a key (a band or a candidate group): node and what it is compared by; n members and bytes in all.
+MEMBER = "key long, node long, item binary, n long, bytes long"
+
+
+def parts_of(n: Column, size: Column) -> Column:
+    return F.greatest(F.ceil(n / HOT), F.ceil(size / PART_BYTES)).cast("int")
+
+
+def spread(node: Column, parts: Column, seed: int) -> Column:
+    return F.pmod(F.xxhash64(node, F.lit(seed)), parts).cast("int")
+
+
+def group_edges(members: DataFrame, forest_of, to_one, groups: int, name: str) -> DataFrame:
+    """A forest over the linked members of each key. members: MEMBER, a written table.
+
+    forest_of(items, left, right) links the members at positions left with those at right;
+    to_one(item, items) tells which items are linked to item.
+    """
+    parts = parts_of(F.col("n"), F.col("bytes"))
+
+    def within(t: pa.Table) -> pa.Table:
+        key, node = t["key"].to_numpy(), t["node"].to_numpy()
+        order, out = np.lexsort((node, key)), []
+        key, node, items = key[order], node[order], t["item"].take(pa.array(order)).to_pylist()
+        for a, b in runs(key):
+            every = np.arange(b - a)
+            if b - a > 1:
+                out += star(node[a:b], forest_of(items[a:b], every, every))
+        return edges_table(out)
+
+    cold = members.where(parts <= 1).withColumn("_g", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(groups))).groupBy("_g").applyInArrow(within, EDGE)
+    edges = [materialise(cold, name)]
+    hot = members.where(parts > 1).select("key", "node", "item", parts.alias("parts"))
+    if hot.isEmpty():
+        return edges[0]
+
+    def compare(t: pa.Table, one: pa.Table) -> pa.Table:
+        """Which representatives each member is linked to: their nodes, and as bits."""
+        items = t["item"].to_pylist()
+        nodes = one["node"].to_numpy()
+        order = np.argsort(nodes)
+        linked = np.stack([to_one(one["item"][int(i)].as_py(), items) for i in order], axis=1) if items and len(one) else np.zeros((len(items), 0), bool)
+        return pa.table({"key": t["key"], "node": t["node"], "mask": pa.array(linked @ (1 << np.arange(linked.shape[1])), pa.int32()), "to": pa.array([nodes[order[x]].tolist() for x in linked], pa.list_(pa.int64()))})
+
+    def largest(t: pa.Table) -> pa.Table:
+        """Of a group's sets of representatives, with the number of members linked to just these, the component of most members."""
+        masks, n = t["mask"].to_pylist(), dict(zip(t["mask"].to_pylist(), t["n"].to_pylist()))
+        whole: list[int] = []
+        for m in filter(None, masks):
+            for x in [x for x in whole if x & m]:
+                whole.remove(x)
+                m |= x
+            whole.append(m)
+        best = max(whole, key=lambda m: (sum(c for x, c in n.items() if x & m), -m), default=0)
+        return pa.table({"key": t["key"].slice(0, 1), "main": pa.array([best], pa.int32())})
+
+    first = Window.partitionBy("key").orderBy("node")
+    one = hot.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= PIVOTS).drop("_n")
+    one = one.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    salted = hot.withColumn("part", spread(F.col("node"), F.col("parts"), 1))
+    seen = materialise(salted.groupBy("key", "part").cogroup(one.groupBy("key", "part")).applyInArrow(compare, "key long, node long, mask int, to array<long>"), name)
+    edges.append(seen.select(F.explode("to").alias("a"), F.col("node").alias("b")))
+    main = seen.groupBy("key", "mask").agg(F.count("*").alias("n")).groupBy("key").applyInArrow(largest, "key long, main int")
+    apart = seen.join(main, "key").where(F.col("mask").bitwiseAND(F.col("main")) == 0).select("key", "node")
+    left = materialise(hot.join(apart, ["key", "node"], "left_semi"), name)
+    if not left.isEmpty():
+        size = left.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("item")).alias("bytes")).select("key", parts_of(F.col("n"), F.col("bytes")).alias("left_parts"))
+        u = spread(F.col("node"), F.col("left_parts"), 1)
+        mine = left.join(size, "key").select("key", "node", "item", u.alias("u"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("v"), F.lit(True).alias("left"))
+        v = spread(F.col("node"), F.col("parts"), 1)
+        others = hot.join(size, "key").select("key", "node", "item", F.explode(F.sequence(F.lit(0), F.col("left_parts") - 1)).alias("u"), v.alias("v"), F.lit(False).alias("left"))
+
+        def across(t: pa.Table) -> pa.Table:
+            mine = t["left"].to_numpy(zero_copy_only=False)
+            nodes, at = np.unique(t["node"].to_numpy(), return_inverse=True)
+            first = np.zeros(len(nodes), np.int64)
+            first[at] = np.arange(len(at))
+            forest = forest_of(t["item"].take(pa.array(first)).to_pylist(), np.unique(at[mine]), np.unique(at[~mine]))
+            return edges_table(star(nodes, forest))
+
+        edges.append(materialise(mine.unionByName(others).groupBy("key", "u", "v").applyInArrow(across, EDGE), name))
+    return reduce(DataFrame.unionByName, edges)
+
+
+def sketch_forest(limit: int):
+    def forest_of(items: list[bytes], left: np.ndarray, right: np.ndarray) -> Forest:
+        bits, forest = np.frombuffer(b"".join(items), np.uint64).reshape(len(items), -1), Forest(len(items))
+        close_pairs(bits, lambda x, i, j: xor_counts(x, i, j) <= limit, forest, left, right)
+        return forest
+
+    def to_one(item: bytes, items: list[bytes]) -> np.ndarray:
+        bits = np.frombuffer(b"".join(items), np.uint64).reshape(len(items), -1)
+        return np.bitwise_count(bits ^ np.frombuffer(item, np.uint64)).sum(axis=1) <= limit
+
+    return forest_of, to_one
+
+
+def set_forest(percent: int):
+    def forest_of(items: list[bytes], left: np.ndarray, right: np.ndarray) -> Forest:
+        """Links by intersections of bitmaps over the shingles that two or more members have."""
+        own = [np.frombuffer(x, np.uint64) for x in items]
+        size = np.asarray([len(x) for x in own])
+        _, inverse, counts = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        shared = counts >= 2
+        place = np.cumsum(shared) - 1
+        bits = np.zeros((len(own), -(-int(shared.sum()) // 64) or 1), np.uint64)
+        row = np.repeat(np.arange(len(own)), size)
+        ok = shared[inverse]
+        p = place[inverse[ok]]
+        np.bitwise_or.at(bits, (row[ok], p // 64), T.U64(1) << (p % 64).astype(np.uint64))
+
+        def linked(x, i, j):
+            inter = and_counts(x, i, j).astype(np.int64)
+            return (100 * inter >= percent * (size[i][:, None] + size[j][None, :] - inter)) & (inter > 0)
+
+        forest = Forest(len(own))
+        close_pairs(bits, linked, forest, left, right)
+        return forest
+
+    def to_one(item: bytes, items: list[bytes]) -> np.ndarray:
+        one, own = np.frombuffer(item, np.uint64), [np.frombuffer(x, np.uint64) for x in items]
+        size, every = np.asarray([len(x) for x in own]), np.concatenate(own)
+        hit = one[np.minimum(np.searchsorted(one, every), len(one) - 1)] == every
+        inter = np.bincount(np.repeat(np.arange(len(own)), size), hit, len(own))
+        return 100 * inter >= percent * (size + len(one) - inter)
+
+    return forest_of, to_one
+
+
 def candidate_edges(classes: DataFrame, n_classes: int, limit: int) -> DataFrame:
     """A forest over the classes whose sketches are near each other within a band."""
     n_blocks = max(4, -(-n_classes // 4096))
     n_buckets = max(4, -(-n_classes * BANDS // 262_144))
-    n_groups = max(64, n_classes // 1024)
-    table = materialise(classes.select(F.pmod(F.xxhash64("_class", F.lit(9)), F.lit(n_blocks)).alias("_block"), "_class", "bands", "sketch"), "classes")
+    blocked = classes.select(F.pmod(F.xxhash64("_class", F.lit(9)), F.lit(n_blocks)).alias("_block"), "_class", "bands", "sketch")
+    table = bucketed(blocked.repartition(n_blocks, "_block"), ["_block"], n_blocks, "sketches")
 
     def ask(t: pa.Table) -> pa.Table:
         keys = np.frombuffer(b"".join(t["bands"].to_pylist()), np.uint64)
         return pa.Table.from_batches(list(B.packed(B.bucket_of(keys, n_buckets), n_buckets, t["_block"][0].as_py(), keys)))
 
     def members(t: pa.Table, answers: pa.Table) -> pa.Table:
-        rows: dict[str, list] = {"_bucket": [], "key": [], "u": [], "v": [], "part": [], "_class": [], "sketch": []}
-        if len(answers) and len(t):
+        if not len(answers) or not len(t):
+            i, keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        else:
             known = np.concatenate(B.unpack(answers["data"], 2))
             known = known[np.argsort(known[:, 0])]
-            ids = t["_class"].to_numpy()
             keys = np.frombuffer(b"".join(t["bands"].to_pylist()), np.uint64)
             at = np.minimum(np.searchsorted(known[:, 0], keys), len(known) - 1)
-            sketches = t["sketch"].to_pylist()
-            for k in np.flatnonzero(known[at, 0] == keys).tolist():
-                i, parts = k // BANDS, -(-int(known[at[k], 1]) // HOT)
-                own = int(T.mix(ids[i : i + 1].astype(np.uint64))[0] % T.U64(parts))
-                for other in range(parts):
-                    u, v = min(own, other), max(own, other)
-                    mixed = T.mix(np.asarray([int(keys[k]) ^ (u * 1_000_003 + v)], np.uint64))
-                    for name, value in (("_bucket", int(mixed[0] % T.U64(n_groups))), ("key", int(keys[k : k + 1].view(np.int64)[0])), ("u", u), ("v", v), ("part", own), ("_class", int(ids[i])), ("sketch", sketches[i])):
-                        rows[name].append(value)
-        kinds = {"_bucket": pa.int32(), "key": pa.int64(), "u": pa.int32(), "v": pa.int32(), "part": pa.int32(), "_class": pa.int64(), "sketch": pa.binary()}
-        return pa.table({c: pa.array(x, kinds[c]) for c, x in rows.items()})
-
-    def verify(t: pa.Table) -> pa.Table:
-        key, u, v = (t[c].to_numpy() for c in ("key", "u", "v"))
-        order = np.lexsort((v, u, key))
-        key, u, v, part, ids = key[order], u[order], v[order], t["part"].to_numpy()[order], t["_class"].to_numpy()[order]
-        bits = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(order), -1)[order]
-        out: list[tuple[int, int]] = []
-        for a, b in runs(key, u, v):
-            if b - a < 2:
-                continue
-            if b - a == 2:
-                if int(np.bitwise_count(bits[a] ^ bits[a + 1]).sum()) <= limit:
-                    out.append((int(min(ids[a : b])), int(max(ids[a : b]))))
-                continue
-            forest = Forest(b - a)
-            close_pairs(bits[a:b], lambda x, i, j: xor_counts(x, i, j) <= limit, forest, *sides(part[a:b], u[a], v[a]))
-            out += star(ids[a:b], forest)
-        return edges_table(out)
+            k = np.flatnonzero(known[at, 0] == keys)
+            i, keys, n = k // BANDS, keys[k].view(np.int64), known[at[k], 1].astype(np.int64)
+        size = SKETCH_BITS // 8
+        return pa.table({"key": pa.array(keys, pa.int64()), "node": t["_class"].take(pa.array(i)), "item": t["sketch"].take(pa.array(i)), "n": pa.array(n, pa.int64()), "bytes": pa.array(n * size, pa.int64())})
 
     answers = answer_counts(table.select("_block", "bands").groupBy("_block").applyInArrow(ask, B.MESSAGE))
-    found = table.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(members, "_bucket int, key long, u int, v int, part int, _class long, sketch binary")
-    return materialise(found.groupBy("_bucket").applyInArrow(verify, EDGE), "candidates")
+    met = materialise(table.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(members, MEMBER), "members")
+    return group_edges(met, *sketch_forest(limit), max(64, n_classes // 1024), "candidates")
 
 
 def exact_edges(docs: DataFrame, members: DataFrame, shingle: int, percent: int, groups: int) -> DataFrame:
-    """A forest over the true links of each candidate group. members: _class, _id, _text, label, s1, parts."""
-    texts = docs.select("text", *row_key()).join(members.hint("merge"), ["_id", "_text"]).select("text", "_class", "label", "s1", "parts")
+    """A forest over the true links of each candidate group. members: _class, _id, _text, label, s1, s2, n, bytes."""
+    texts = docs.select("text", *row_key()).join(members.hint("merge"), ["_id", "_text"]).select("text", "label", "_class", "n", "bytes", "s1", "s2")
 
     def sets(batches):
         for batch in batches:
             for a, b, buf, offs in T.slices(batch.column(0)):
                 ptr, hashes = shingle_sets(buf, offs, shingle)
-                cols = [batch.column(i).slice(a, b - a).to_pylist() for i in range(1, 5)]
-                rows: dict[str, list] = {"label": [], "u": [], "v": [], "part": [], "_class": [], "items": []}
-                for d, (i, label, s1, parts) in enumerate(zip(*cols)):
-                    h = hashes[ptr[d] : ptr[d + 1]]
-                    total = T.mix(np.asarray([h.sum(dtype=np.uint64) + T.U64(len(h))], np.uint64)).view(np.int64)[0]
-                    if int(total) != s1:
-                        continue
-                    own = int(T.mix(np.asarray([i], np.int64).view(np.uint64))[0] % T.U64(parts))
-                    for other in range(parts):
-                        for name, value in (("label", label), ("u", min(own, other)), ("v", max(own, other)), ("part", own), ("_class", i), ("items", h.tobytes())):
-                            rows[name].append(value)
-                kinds = {"label": pa.int64(), "u": pa.int32(), "v": pa.int32(), "part": pa.int32(), "_class": pa.int64(), "items": pa.binary()}
-                yield pa.RecordBatch.from_arrays([pa.array(x, kinds[c]) for c, x in rows.items()], names=list(rows))
-
-    def verify(t: pa.Table) -> pa.Table:
-        label, u, v = (t[c].to_numpy() for c in ("label", "u", "v"))
-        order = np.lexsort((v, u, label))
-        label, u, v, part, ids = label[order], u[order], v[order], t["part"].to_numpy()[order], t["_class"].to_numpy()[order]
-        items = t["items"].take(pa.array(order))
-        out: list[tuple[int, int]] = []
-        for a, b in runs(label, u, v):
-            once: dict[int, int] = {}
-            for k in range(a, b):
-                once.setdefault(int(ids[k]), k)
-            at = np.asarray(sorted(once.values()))
-            if len(at) < 2:
-                continue
-            own = [np.frombuffer(items[int(k)].as_py(), np.uint64) for k in at]
-            size = np.asarray([len(x) for x in own])
-            names, inverse, counts = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-            shared = counts >= 2
-            place = np.cumsum(shared) - 1
-            words = -(-int(shared.sum()) // 64) or 1
-            bits = np.zeros((len(own), words), np.uint64)
-            row = np.repeat(np.arange(len(own)), size)
-            ok = shared[inverse]
-            p = place[inverse[ok]]
-            np.bitwise_or.at(bits, (row[ok], p // 64), T.U64(1) << (p % 64).astype(np.uint64))
-
-            def linked(x, i, j, size=size):
-                inter = and_counts(x, i, j).astype(np.int64)
-                return (100 * inter >= percent * (size[i][:, None] + size[j][None, :] - inter)) & (inter > 0)
-
-            forest = Forest(len(at))
-            close_pairs(bits, linked, forest, *sides(part[at], u[a], v[a]))
-            out += star(ids[at], forest)
-        return edges_table(out)
+                part = batch.slice(a, b - a)
+                # a text of the same row key but another set is left out
+                own = np.stack(set_hashes(ptr, hashes)) == np.stack([part.column(i).to_numpy() for i in (5, 6)]).view(np.uint64)
+                at = pa.array(np.flatnonzero(own.all(axis=0)))
+                items = pa.array([hashes[x:y].tobytes() for x, y in zip(ptr, ptr[1:])], pa.binary())
+                cols = [part.column(1), part.column(2), items, part.column(3), part.column(4)]
+                yield pa.RecordBatch.from_arrays([c.take(at) for c in cols], names=["key", "node", "item", "n", "bytes"])
 
-    spread = F.pmod(F.xxhash64("label", "u", "v"), F.lit(groups))
-    return materialise(texts.mapInArrow(sets, "label long, u int, v int, part int, _class long, items binary").withColumn("_g", spread).groupBy("_g").applyInArrow(verify, EDGE), "links")
+    once = texts.mapInArrow(sets, MEMBER).dropDuplicates(["key", "node"])
+    return group_edges(materialise(once, "sets"), *set_forest(percent), groups, "links")
 
 
 def group(docs: DataFrame, keep: list[str], shingle: int = SHINGLE, percent: int = 80) -> DataFrame:
     """keep columns, n_shingles, component_id, kept for every row of docs (which has doc_id and text)."""
     feats = materialise(features(docs, [c for c in keep if c != "doc_id"] + ["doc_id"], shingle), "minhash")
-    one = feats.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "_text", "bands", "sketch")).alias("m"))
-    classes = materialise(one.select(F.xxhash64("s1", "s2").alias("_class"), "s1", "s2", "m._id", "m._text", "m.bands", "m.sketch"), "classes")
+    one = feats.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "_text", "bands", "sketch")).alias("m"), F.min("n_shingles").alias("n_shingles"))
+    classes = materialise(one.select(F.xxhash64("s1", "s2").alias("_class"), "s1", "s2", "n_shingles", "m._id", "m._text", "m.bands", "m.sketch"), "classes")
     n = classes.count()
-    loose = components(candidate_edges(classes, n, count_limit(percent / 100)))
-    sizes = loose.groupBy("label").agg(F.count("*").alias("n"))
-    members = materialise(loose.join(sizes, "label").select(F.col("node").alias("_class"), "label", F.ceil(F.col("n") / HOT).cast("int").alias("parts")).join(classes.select("_class", "_id", "_text", "s1"), "_class"), "members")
+    loose = components(candidate_edges(classes, n, count_limit(percent / 100))).withColumnRenamed("node", "_class")
+    loose = materialise(loose.join(classes.select("_class", "_id", "_text", "s1", "s2", "n_shingles"), "_class"), "loose")
+    sizes = loose.groupBy("label").agg(F.count("*").alias("n"), F.sum(8 * F.col("n_shingles")).alias("bytes"))
+    members = materialise(loose.drop("n_shingles").join(sizes, "label"), "members")
     final = components(exact_edges(docs, members, shingle, percent, max(64, n // 1024))).withColumnRenamed("node", "_class")
     least = final.join(classes.select("_class", "_id"), "_class").groupBy("label").agg(F.min("_id").alias("least"))
     known = materialise(classes.select("_class", "_id", "s1", "s2").join(final.join(least, "label").select("_class", "least"), "_class", "left").select("s1", "s2", F.coalesce("least", "_id").alias("component")), "components")

@@ -45,7 +45,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _times(n: int, by: np.uint64) -> np.uint64:
-    return U64(n * int(by) & 0xFFFFFFFFFFFFFFFF)
+    return U64(int(n) * int(by) & 0xFFFFFFFFFFFFFFFF)
 
 
 def range_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from sigloom.llm import decontam, html, langid, mtree, neardup, samples, substring, textnp
 from sigloom.llm.components import components
-from test_llm_operators import brute_groups
+from test_llm_operators import brute_groups, near_copies
 
 
 def hits(spark, texts, items):
@@ -150,3 +150,22 @@ def test_structured_words_keep_their_hashes_apart(spark):
     buf = np.frombuffer(" ".join(words).encode(), np.uint8)
     s, e, _ = textnp.words(buf, np.asarray([0, len(buf)]))
     assert len(set(textnp.range_hash(buf, s, e).tolist())) == len(set(words))
+
+
+@pytest.mark.parametrize("pivots", [1, 4])
+def test_hot_groups_link_all_whatever_their_representatives(spark, monkeypatch, pivots):
+    """A chain of texts, each near the next alone, and copies of one text with edits: no representative reaches all."""
+    monkeypatch.setattr(neardup, "HOT", 6)
+    monkeypatch.setattr(neardup, "PIVOTS", pivots)
+    base = unrelated(31, 1, 160)[0].split()
+    chain = [" ".join(f"new{j}" if j < 8 * i else w for j, w in enumerate(base)) for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(chain)] + [(100 + i, " ".join([*base[:150], f"e{i}", *base[151:]])) for i in range(30)] + [(200, "other words here that stand alone")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in neardup.group(d, ["doc_id"]).collect()) == brute_groups(rows)
+
+
+def test_hot_groups_are_cut_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PART_BYTES", 4000)
+    rows = near_copies(9, 60)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in neardup.group(d, ["doc_id"]).collect()) == brute_groups(rows)
