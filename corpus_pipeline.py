@@ -26,7 +26,10 @@ def _unpacked(out: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is at least 0.3. The model learns from the labels of the documents at hand."""
+    """Documents whose quality score is at least 0.3. The model learns from the labels of the documents at hand.
+
+    Null and empty texts are scored by their structure, rows without doc_id like all others; of repeated rows all stay or go.
+    """
     ship(spark)
     rows = _packed(docs)
     model = quality.fit(rows, table(spark, sf_dir, "labels"))
@@ -44,7 +47,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     chosen = groups.where("kept or n_shingles = 0 or component_id is null").select(F.col("doc_id").alias("_d"), F.col("_h").alias("_k"), (F.col("n_shingles") > 0).alias("_once")).distinct()
     found = rows.join(materialise(chosen, "kept").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k")))
     turn = Window.partitionBy("doc_id", "_h").orderBy("_h")
-    return _unpacked(found.withColumn("_n", F.row_number().over(turn)).where("_n = 1 or not _once"), docs)
+    first = found.where("_once").withColumn("_n", F.row_number().over(turn)).where("_n = 1").drop("_n")
+    return _unpacked(first.unionByName(found.where("not _once")), docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,13 +62,16 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found."""
+    """Documents in which no benchmark item was found. Null and empty texts stay, as do all rows of a repeated one."""
     ship(spark)
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns, with the text as decoded from its tokens, and the tokens' number, ids and digests."""
+    """All columns, with the text as decoded from its tokens, and the tokens' number, ids and digests.
+
+    Null texts stay null and have no tokens, as empty ones; repeated rows get a row each.
+    """
     ship(spark)
     out = bpe.encode(_packed(docs), ["_row"], ids=True).withColumnRenamed("decoded", "text")
     own = ["n_tokens", "token_ids", "ids_sha256", "decoded_sha256"]
