@@ -13,28 +13,36 @@ of a shorter item, and if the slots are consistent, that is, each value of the i
 stands for one value of the document all along. So questions with other numbers, names
 or units are found too, while texts that merely have the same shape are not.
 
-The benchmark is broadcast in shards of at most SHARD windows, one pass over the
-documents for each; its size is counted before. Documents are neither shuffled nor
-cut. Defined results: null and empty texts and items match nothing, nor do items
-without words; repeated rows of a document or an item each give their rows.
+The windows of the benchmark are a table with the words' values and slots; those of the documents
+that a bitmap of the benchmark's keys lets pass are another, and Spark hash-joins the two
+on the key. The bitmap is made on the executors and has FILTER_BITS at most, whatever
+the benchmark's size: it only saves shuffling windows that can't match. Hits of
+whole documents are then weighed in groups of documents.
+
+Defined results: null and empty texts and items match nothing, nor do items
+without words; repeated rows of a document or an item each give their rows; of several places
+where an item occurs in a document the one that covers most counts, ties going to the one with
+most changed slots. Texts and items of any length are taken whole.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm import textnp as T
+from sigloom.session import materialise
 
 WINDOW = 5
 LITERAL = 3
 RUN = 13
 SHARE = 0.8
-SHARD = 1_000_000
+#: Bits of the bitmap of the benchmark's keys: 32 for each window, within these bounds.
+LEAST_BITS, FILTER_BITS = 1 << 20, 1 << 28
+#: Bytes of one row of the bitmap's table.
+CHUNK = 1 << 13
 #: Common units of measure and money.
 UNITS = "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg gram grams kilogram kilograms oz ounce ounces lb lbs pound pounds ton tons tonne tonnes ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kph hz khz mhz ghz w kw watt watts v volt volts j joule joules n newton newtons pa k c f degree degrees percent dollar dollars cent cents euro euros usd eur gbp".split()
 
@@ -121,136 +129,149 @@ def all_windows(ptr: np.ndarray, word: np.ndarray, value: np.ndarray, slot: np.n
     return np.concatenate(places), np.concatenate(keys)
 
 
-class Items:
-    """Benchmark items as sorted windows, with their template words and slot values."""
-
-    def __init__(self, ids: list[int], texts: pa.Array, k: int = WINDOW):
-        self.k, self.ids = k, ids
-        words, values, slots, keys, owner, pos, base, short = [], [], [], [], [], [], [0], set()
-        for a, b, buf, offs in T.slices(texts):
-            ptr, word, value, slot, opens = canonical(buf, offs)
-            at, key = all_windows(ptr, word, value, slot, opens, k)
-            size = np.diff(ptr)
-            for m in range(1, k):
-                at2, key2 = all_windows(ptr, word, value, slot, opens, m)
-                whole = size[np.searchsorted(ptr, at2, "right") - 1] == m
-                if whole.any():
-                    short.add(m)
-                    at, key = np.r_[at, at2[whole]], np.r_[key, key2[whole]]
-            r = np.searchsorted(ptr, at, "right") - 1
-            words.append(word)
-            values.append(value)
-            slots.append(slot)
-            keys.append(key)
-            owner.append(r + a)
-            pos.append(at - ptr[r])
-            base += (ptr[1:] + base[-1] - ptr[0]).tolist()
-        cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        self.short = sorted(short)
-        self.value, self.slot, self.base = cat(values, np.uint64), cat(slots, bool), np.asarray(base)
-        key = cat(keys, np.uint64)
-        order = np.argsort(key, kind="stable")
-        self.key, self.owner, self.pos = key[order], cat(owner, np.int64)[order], cat(pos, np.int64)[order]
-
-    def find(self, buf: np.ndarray, offs: np.ndarray, run: int, share: float) -> list[tuple[int, int, int, int, int]]:
-        """(row, item, covered words, words of the item, changed slots) of each item found."""
-        if not len(self.key):
-            return []
-        ptr, word, value, slot, opens = canonical(buf, offs)
-        found = [all_windows(ptr, word, value, slot, opens, m) for m in (self.k, *self.short)]
-        at, key = (np.concatenate(x) for x in zip(*found))
-        lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
-        hit = hi > lo
-        at, lo, n = at[hit], lo[hit], (hi - lo)[hit]
-        if not len(at):
-            return []
-        w = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(at, n)
-        row = np.searchsorted(ptr, at, "right") - 1
-        item, pos = self.owner[w], self.pos[w]
-        diagonal = at - pos
-        order = np.lexsort((pos, diagonal, item, row))
-        row, item, pos, diagonal = row[order], item[order], pos[order], diagonal[order]
-        new = np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])]
-        width = np.minimum(self.k, np.diff(self.base)[item])
-        gain = width.copy()
-        gain[1:] = np.where(new[1:], width[1:], np.minimum(width[1:], pos[1:] - pos[:-1]))
-        first = np.flatnonzero(new)
-        covered = np.add.reduceat(gain, first)
-        length = np.diff(self.base)[item[first]]
-        enough = (covered >= run) | (covered >= share * length)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        ends = np.r_[first[1:], len(pos)]
-        for g in np.flatnonzero(enough).tolist():
-            a, b = first[g], ends[g]
-            spots = np.unique((pos[a:b, None] + np.arange(width[a])).ravel())
-            mine, theirs = self.base[item[a]] + spots, diagonal[a] + spots
-            both = self.slot[mine] & slot[theirs]
-            pairs = set(zip(self.value[mine[both]].tolist(), value[theirs[both]].tolist()))
-            if len({x for x, _ in pairs}) < len(pairs):
-                continue
-            changed = sum(x != y for x, y in pairs)
-            key2 = (int(row[a]), int(item[a]))
-            this = (int(covered[g]), int(length[g]), changed)
-            if this > best.get(key2, (0, 0, 0)):
-                best[key2] = this
-        return [(r, i, *x) for (r, i), x in sorted(best.items())]
-
-
-def shards(benchmark: DataFrame, id_col: str, bound: int = SHARD) -> list[Items]:
-    """The benchmark in shards of about bound windows. It streams through the driver a shard at a time."""
-    out, ids, texts, size = [], [], [], 0
-    rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col("text").alias("t")).where("t is not null")
-    for r in rows.toLocalIterator():
-        ids.append(r["i"])
-        texts.append(r["t"])
-        size += 3 * (len(r["t"]) // 4 + 1)
-        if size >= bound:
-            out.append(Items(ids, pa.array(texts, pa.string())))
-            ids, texts, size = [], [], 0
-    return out + ([Items(ids, pa.array(texts, pa.string()))] if ids else [])
+ITEM = "item long, item_id long, length int, k int, pos int, key long, value binary, slot int"
+HIT = "doc long, at int, k int, key long, value2 binary, slot2 int"
+
+
+def packed_windows(at: np.ndarray, k: int, value: np.ndarray, slot: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Values of the k words from each position, and which of them are slots, as bits."""
+    every = at[:, None] + np.arange(k)
+    values = np.ascontiguousarray(value[every]).reshape(-1)
+    offsets = pa.py_buffer((np.arange(len(at) + 1) * 8 * k).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(values.tobytes())]), pa.array(slot[every] @ (1 << np.arange(k)), pa.int32())
+
+
+def item_windows(benchmark: DataFrame, id_col: str, k: int = WINDOW) -> DataFrame:
+    """ITEM: every window of every item; of an item under k words the whole."""
+    items = benchmark.select("text", F.col(id_col).cast("long").alias("item_id"), F.monotonically_increasing_id().alias("item"))
+
+    def run(batches):
+        for batch in batches:
+            for a, b, buf, offs in T.slices(batch.column(0)):
+                ptr, word, value, slot, opens = canonical(buf, offs)
+                size = np.diff(ptr)
+                for width in range(1, k + 1):
+                    at, key = all_windows(ptr, word, value, slot, opens, width)
+                    row = np.searchsorted(ptr, at, "right") - 1
+                    mine = np.flatnonzero((width == k) | (size[row] == width))
+                    if len(mine):
+                        at, key, row = at[mine], key[mine], row[mine]
+                        values, slots = packed_windows(at, width, value, slot)
+                        own = [batch.column(i).slice(a, b - a).take(pa.array(row)) for i in (2, 1)]
+                        yield pa.RecordBatch.from_arrays([*own, pa.array(size[row], pa.int32()), pa.array(np.full(len(at), width), pa.int32()), pa.array(at - ptr[row], pa.int32()), pa.array(key.view(np.int64)), values, slots], names=["item", "item_id", "length", "k", "pos", "key", "value", "slot"])
+
+    return items.mapInArrow(run, ITEM)
+
+
+def bit_of(key: np.ndarray, n_bits: int) -> np.ndarray:
+    return (T.mix(key.view(np.uint64) ^ T.U64(0x2545F4914F6CDD1D)) % T.U64(n_bits)).astype(np.int64)
+
+
+def key_bitmap(windows: DataFrame, n: int) -> np.ndarray:
+    """A bitmap of the windows' keys, made in chunks on the executors."""
+    n_bits = LEAST_BITS
+    while n_bits < min(32 * n, FILTER_BITS):
+        n_bits *= 2
+
+    def places(batches):
+        for batch in batches:
+            bits = np.unique(bit_of(batch.column(0).to_numpy(), n_bits))
+            yield pa.RecordBatch.from_arrays([pa.array(bits // (8 * CHUNK), pa.int64()), pa.array(bits % (8 * CHUNK), pa.int64())], names=["chunk", "bit"])
+
+    def fill(t: pa.Table) -> pa.Table:
+        bits = np.zeros(8 * CHUNK, bool)
+        bits[t["bit"].to_numpy()] = True
+        return pa.table({"chunk": t["chunk"].slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    out = np.zeros((-(-n_bits // (8 * CHUNK)), CHUNK), np.uint8)
+    chunks = windows.select("key").mapInArrow(places, "chunk long, bit long").distinct().groupBy("chunk").applyInArrow(fill, "chunk long, bits binary")
+    for r in chunks.toLocalIterator():
+        out[r["chunk"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def doc_windows(rows: DataFrame, bitmap: np.ndarray, widths: list[int]) -> DataFrame:
+    """HIT: the windows of the documents (text, _n) that the bitmap lets pass."""
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        bits = sent.value
+        for batch in batches:
+            for a, b, buf, offs in T.slices(batch.column(0)):
+                ptr, word, value, slot, opens = canonical(buf, offs)
+                ids = batch.column(1).slice(a, b - a).to_numpy()
+                for width in widths:
+                    at, key = all_windows(ptr, word, value, slot, opens, width)
+                    bit = bit_of(key, 8 * len(bits))
+                    mine = np.flatnonzero(bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
+                    if len(mine):
+                        at, key = at[mine], key[mine]
+                        row = np.searchsorted(ptr, at, "right") - 1
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(at - ptr[row], pa.int32()), pa.array(np.full(len(at), width), pa.int32()), pa.array(key.view(np.int64)), *packed_windows(at, width, value, slot)], names=["doc", "at", "k", "key", "value2", "slot2"])
+
+    return rows.select("text", "_n").mapInArrow(run, HIT)
+
+
+def weigh(t: pa.Table, run: int, share: float) -> pa.Table:
+    """Of a group of documents' hits the items found: doc, item_id, covered, item_words, changed_slots, a row for each document and item."""
+    doc, item, pos, at, k, length, slot, slot2 = (t[c].to_numpy() for c in ("doc", "item", "pos", "at", "k", "length", "slot", "slot2"))
+    pos, k = pos.astype(np.int64), k.astype(np.int64)
+    diagonal = at - pos
+    order = np.lexsort((pos, diagonal, item, doc))
+    doc, item, pos, diagonal, k, length = doc[order], item[order], pos[order], diagonal[order], k[order], length[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])
+    gain = k.copy()
+    gain[1:] = np.where(new[1:], k[1:], np.minimum(k[1:], pos[1:] - pos[:-1]))
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
+    covered = np.add.reduceat(gain, first) if len(first) else gain
+    enough = (covered >= run) | (covered >= share * length[first])
+    # values of the words that are slots on both sides, by diagonal
+    hits = np.flatnonzero(enough[group])
+    word = np.repeat(hits, k[hits])
+    nth = np.arange(len(word)) - np.repeat(np.cumsum(k[hits]) - k[hits], k[hits])
+    values = lambda c: np.frombuffer(b"".join(t[c].take(pa.array(order[hits])).to_pylist()), np.uint64)
+    both = ((slot & slot2)[order[word]] >> nth & 1).astype(bool)
+    pairs = np.unique(np.stack([group[word].astype(np.uint64), values("value"), values("value2")], axis=1)[both], axis=0)
+    of = pairs[:, 0].astype(np.int64)
+    twice = of[1:][(of[1:] == of[:-1]) & (pairs[1:, 1] == pairs[:-1, 1])]
+    changed = np.bincount(of[pairs[:, 1] != pairs[:, 2]], minlength=len(first))
+    enough[twice] = False
+    g = np.flatnonzero(enough)
+    g = g[np.lexsort((-changed[g], -covered[g], item[first[g]], doc[first[g]]))]
+    i = first[g]
+    best = np.ones(len(g), bool)
+    best[1:] = (doc[i[1:]] != doc[i[:-1]]) | (item[i[1:]] != item[i[:-1]])
+    g, i = g[best], i[best]
+    return pa.table({"doc": pa.array(doc[i]), "item_id": t["item_id"].take(pa.array(order[i])), "covered": pa.array(covered[g], pa.int32()), "item_words": pa.array(length[i], pa.int32()), "changed_slots": pa.array(changed[g], pa.int32())})
+
+
+def found(rows: DataFrame, benchmark: DataFrame, run: int, share: float, id_col: str, k: int = WINDOW) -> DataFrame:
+    """The items found in the documents (text, _n, a written table), by _n as `doc`."""
+    windows = materialise(item_windows(benchmark, id_col, k), "items")
+    shape = windows.agg(F.count("*").alias("n"), F.collect_set("k").alias("k")).first()
+    docs = doc_windows(rows, key_bitmap(windows, shape["n"]), sorted(shape["k"]))
+    hits = docs.join(windows, ["key", "k"])
+    groups = max(64, rows.count() // 16_384)
+    schema = "doc long, item_id long, covered int, item_words int, changed_slots int"
+    return hits.groupBy(F.pmod(F.xxhash64("doc"), F.lit(groups)).alias("_g")).applyInArrow(lambda t: weigh(t, run, share), schema)
+
+
+def numbered(docs: DataFrame, keep: list[str]) -> DataFrame:
+    return materialise(docs.select("text", F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.monotonically_increasing_id().alias("_n")), "numbered")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, run: int = RUN, share: float = SHARE, id_col: str = "item_id") -> DataFrame:
     """keep columns (doc_id), item_id, covered, item_words, changed_slots: a row for each item found in each document."""
     keep = keep or ["doc_id"]
-    kept = docs.select("text", *keep)
-    schema = T.schema(kept, "item_id long, covered int, item_words int, changed_slots int", 1)
-    parts = []
-    for shard in shards(benchmark, id_col):
-        sent = docs.sparkSession.sparkContext.broadcast(shard)
-
-        def search(batches, sent=sent):
-            items = sent.value
-            for batch in batches:
-                for a, b, buf, offs in T.slices(batch.column(0)):
-                    found = items.find(buf, offs, run, share)
-                    if found:
-                        rows = pa.array([a + f[0] for f in found])
-                        cols = [c.take(rows) for c in batch.columns[1:]] + [pa.array([items.ids[f[1]] for f in found], pa.int64())] + [pa.array([f[j] for f in found], pa.int32()) for j in (2, 3, 4)]
-                        yield pa.RecordBatch.from_arrays(cols, names=[*keep, "item_id", "covered", "item_words", "changed_slots"])
-
-        parts.append(kept.mapInArrow(search, schema))
-    if not parts:
-        return docs.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
+    rows = numbered(docs, keep)
+    out = found(rows, benchmark, run, share, id_col).join(rows.select("_row", F.col("_n").alias("doc")), "doc")
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in keep], "item_id", "covered", "item_words", "changed_slots")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN, share: float = SHARE, id_col: str = "item_id") -> DataFrame:
     """The rows of docs in which no benchmark item was found, unchanged."""
-    out = docs
-    for shard in shards(benchmark, id_col):
-        sent = docs.sparkSession.sparkContext.broadcast(shard)
-
-        def sift(batches, sent=sent):
-            items = sent.value
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text"))
-                clean = np.ones(len(batch), bool)
-                for a, _, buf, offs in T.slices(texts):
-                    for f in items.find(buf, offs, run, share):
-                        clean[a + f[0]] = False
-                yield batch.filter(pa.array(clean))
-
-        out = out.mapInArrow(sift, docs.schema)
-    return out
+    rows = numbered(docs, [c for c in docs.columns if c != "text"])
+    bad = found(rows, benchmark, run, share, id_col).select(F.col("doc").alias("_n"))
+    left = rows.join(bad, "_n", "left_anti")
+    return left.select(*[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns])
