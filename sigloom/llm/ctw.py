@@ -83,7 +83,7 @@ def tally(values: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray
     seen = np.sort(values[train])
     first = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]]) if len(seen) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[first, len(seen)])
-    return merge(seen[first], counts, np.unique(values[~train]), None)
+    return merge(seen[first], counts, T.distinct(values[~train]), None)
 
 
 def merge(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -336,11 +336,11 @@ def distinct(pieces: Iterator[np.ndarray], pending: int = 2_000_000) -> np.ndarr
     """The sorted distinct values of all pieces, of which little is held at once."""
     whole, parts, size = np.zeros(0, np.uint64), [], 0
     for piece in pieces:
-        parts.append(np.unique(piece))
+        parts.append(T.distinct(piece))
         size += len(parts[-1])
         if size > pending + len(whole):
-            whole, parts, size = np.unique(np.concatenate([whole, *parts])), [], 0
-    return np.unique(np.concatenate([whole, *parts])) if parts else whole
+            whole, parts, size = T.distinct(np.concatenate([whole, *parts])), [], 0
+    return T.distinct(np.concatenate([whole, *parts])) if parts else whole
 
 
 def tally_of(keys, counts) -> tuple[np.ndarray, np.ndarray]:

@@ -175,7 +175,7 @@ def key_bitmap(windows: DataFrame, n: int) -> np.ndarray:
 
     def places(batches):
         for batch in batches:
-            bits = np.unique(bit_of(batch.column(0).to_numpy(), n_bits))
+            bits = T.distinct(bit_of(batch.column(0).to_numpy(), n_bits))
             yield pa.RecordBatch.from_arrays([pa.array(bits // (8 * CHUNK), pa.int64()), pa.array(bits % (8 * CHUNK), pa.int64())], names=["chunk", "bit"])
 
     def fill(t: pa.Table) -> pa.Table:

@@ -67,7 +67,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray,
     for d in range(len(offs) - 1):
         a, b = p[d], p[d + 1]
         if b - a >= k:
-            g = np.unique(grams[a : b - k + 1])
+            g = T.distinct(grams[a : b - k + 1])
         elif b > a:
             g = T.windows(h[a:b], b - a)
         else:

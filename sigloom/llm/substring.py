@@ -153,7 +153,7 @@ def deduplicate(docs: DataFrame, keep: list[str], window: int = WINDOW, with_tex
                 found = []
                 for _, _, buf, offs in T.slices(batch.column(0).slice(a, b - a)):
                     w = Words(buf, offs, window)
-                    at = np.unique(w.anchors())
+                    at = T.distinct(w.anchors())
                     found.append(np.stack([w.k1[at], w.k2[at]], axis=1))
                 items = B.at_most_twice(np.concatenate(found))
                 yield from B.packed(B.bucket_of(items[:, 0] ^ T.mix(items[:, 1]), n_buckets), n_buckets, int(ids[a]), items[:, 0], items[:, 1])

@@ -82,6 +82,12 @@ def windows(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
         width *= 2
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values, by sorting (np.unique hashes, which is slower and takes more memory)."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def slices(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets of rows) in pieces of about limit bytes; a longer text is a piece of its own. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
