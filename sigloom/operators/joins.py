@@ -24,14 +24,24 @@ def overlapping(a: DataFrame, b: DataFrame, *keys: str, carry: tuple[str, ...] =
     return pairs.where(F.floor(F.greatest("lo", "b_lo") / width) == F.col("_b")).drop("_b")
 
 
-def last_at_or_before(points: DataFrame, blocks: DataFrame, at: str, start: str, carry: list[str], *keys: str) -> DataFrame:
-    """Each point with the carried columns of the last block that starts at or before it (null before the first)."""
+def last_at_or_before(points: DataFrame, blocks: DataFrame, at: str, start: str, carry: list[str], *keys: str, width: int = 86_400_000_000) -> DataFrame:
+    """Each point with the carried columns of the last block that starts at or before it (null before the first; of equal starts the greatest carry).
+
+    Windows run within buckets of `width`; what a bucket has from those before it comes from a
+    summary of one row per bucket.
+    """
+    bucket = F.floor(F.col("_t") / width).alias("_b")
     left = points.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_k"), F.struct(*points.columns).alias("_p"))
     right = blocks.select(*keys, F.col(start).alias("_t"), F.lit(0).alias("_k"), F.struct(*carry).alias("_c"))
-    both = left.select(*keys, "_t", "_k", "_p").unionByName(right, allowMissingColumns=True)
-    over = Window.partitionBy(*keys).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("_c", F.last("_c", ignorenulls=True).over(over)).where("_k = 1")
-    return out.select("_p.*", *[F.col(f"_c.{c}").alias(f"block_{c}") for c in carry])
+    both = left.unionByName(right, allowMissingColumns=True).select("*", bucket)
+    last = F.max(F.when(F.col("_k") == 0, F.struct("_t", "_c")))
+    buckets = both.groupBy(*keys, "_b").agg(last["_c"].alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(*keys, "_b", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    over = Window.partitionBy(*keys, "_b").orderBy("_t", "_k", "_c").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("_own", F.last("_c", ignorenulls=True).over(over)).where("_k = 1").join(buckets, [*keys, "_b"])
+    found = F.coalesce("_own", "_before")
+    return out.select("_p.*", *[found[c].alias(f"block_{c}") for c in carry])
 
 
 def sample_at(t: Column, block_start: Column, block_first: Column, block_n: Column, rate: Column) -> Column:

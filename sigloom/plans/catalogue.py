@@ -6,14 +6,18 @@ orders for block indexes, embeddings for waveforms.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sigloom.functions import labels, scale, timeaxis
-from sigloom.operators import export, joins, sequence, signal, store
-from sigloom.session import table
+from sigloom.functions import labels, red, scale, timeaxis
+from sigloom.operators import export, joins, sequence, signal, store, wire
+from sigloom.session import materialise, shared_dir, ship, table
+from sigloom.sources import plain
 from sigloom.streaming import ingest
 
 HOUR = 3_600_000_000
@@ -70,7 +74,7 @@ def batch_ranges(spark, sf_dir):
     return rows.withColumn("batch", store.batch_number(F.col("rn"), 512)).groupBy("channel_id", "batch").agg(F.min("t_us").alias("lo"), F.max("t_us").alias("hi"), F.count("*").alias("n"))
 
 
-@query(f"""WITH {SEG} SELECT r.channel_id, seg, pos, lo + pos * 250000.0::DOUBLE AS t FROM r, unnest(range(0, least(n, 50))) AS p(pos)""")
+@query(f"""WITH {SEG} SELECT r.channel_id, seg, pos, lo + pos * 250000.0::DOUBLE AS t FROM r, unnest(range(0, n)) AS p(pos)""")
 def range_expand(spark, sf_dir):
     r = _segments(spark, sf_dir).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     return r.select("channel_id", "seg", "pos", timeaxis.time_at(F.col("lo"), F.col("pos"), F.lit(4.0)).alias("t"))
@@ -105,7 +109,7 @@ def append_skip_overlap(spark, sf_dir):
     return store.append(r.where("seg % 2 = 0").select("channel_id", "lo", "hi"), new).select("channel_id", "seg", "lo", "hi")
 
 
-@query(f"WITH {SEG} SELECT a.channel_id, a.seg, b.seg AS other FROM r a JOIN r b ON a.channel_id < b.channel_id AND a.lo < b.hi AND b.lo < a.hi AND a.seg <= 40 AND b.seg <= 40")
+@query(f"WITH {SEG} SELECT a.channel_id, a.seg, b.seg AS other FROM r a JOIN r b ON a.channel_id < b.channel_id AND a.lo < b.hi AND b.lo < a.hi")
 def interval_overlap(spark, sf_dir):
     r = _segments(spark, sf_dir).withColumn("all", F.lit(1))
     other = r.select("all", "lo", "hi", F.col("channel_id").alias("c2"), F.col("seg").alias("other"))
@@ -157,7 +161,7 @@ def waveform_explode(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "value")).select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("value").cast("double").alias("value"))
 
 
-@query("SELECT vec_id, part, w FROM (SELECT vec_id, part, list_transform(embedding[part * 16 + 1:part * 16 + 16], lambda x: x::DOUBLE) AS w FROM embeddings, unnest(range(0, 4)) AS p(part))")
+@query("SELECT vec_id, part, w FROM (SELECT vec_id, part, list_transform(embedding[part * 16 + 1:part * 16 + 16], lambda x: x::DOUBLE) AS w FROM embeddings, unnest(range(0, (len(embedding) + 15) // 16)) AS p(part))")
 def waveform_reshape(spark, sf_dir):
     parts = F.when(F.size("embedding") > 0, F.transform(F.sequence(F.lit(0), F.ceil(F.size("embedding") / 16).cast("int") - 1), lambda i: F.slice("embedding", i * 16 + 1, 16)))
     return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(parts).alias("part", "w")).select("vec_id", F.col("part").cast("long").alias("part"), F.col("w").cast("array<double>").alias("w"))
@@ -289,7 +293,7 @@ def residual_ratio(spark, sf_dir):
     return s.groupBy("channel_id").agg(F.round(signal.residual_ratio(F.col("value"), decoded), 9).alias("ratio"))
 
 
-@query("SELECT o_orderkey, regexp_extract('seg-' || lpad(o_orderkey::VARCHAR, 6, '0'), '-([0-9]{6})', 1)::INTEGER AS segment, o_orderkey AS start, (o_custkey % 2)::INTEGER AS flag, 'raw' AS suffix FROM orders WHERE o_orderkey < 1000000")
+@query("SELECT o_orderkey, regexp_extract('seg-' || lpad((o_orderkey % 1000000)::VARCHAR, 6, '0'), '-([0-9]{6})', 1)::INTEGER AS segment, o_orderkey AS start, (o_custkey % 2)::INTEGER AS flag, 'raw' AS suffix FROM orders")
 def file_names(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     c = labels.chunk_parts(F.concat(F.lit("a_b_"), F.col("o_orderkey").cast("string"), F.lit("_"), (F.col("o_custkey") % 2).cast("string"), F.lit("_raw.raw32")))
@@ -403,3 +407,93 @@ def file_kinds(spark, sf_dir):
     even = F.col("o_orderkey") % 2 == 0
     kind = labels.value_type(F.when(even, F.lit("int")).otherwise(F.lit("float")), F.when(even, 3).otherwise(4))
     return table(spark, sf_dir, "orders").select("o_orderkey", labels.file_kind(name, text).alias("kind"), kind.alias("type"))
+
+
+# gains, times and names that files give
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity * 0.25::DOUBLE AS gained, (l_partkey % 65536 - 32768) / l_quantity / 1000 AS volts, l_extendedprice * 0.195::DOUBLE AS bits, 2.0::DOUBLE AS factor FROM lineitem")
+def gains(spark, sf_dir):
+    x = table(spark, sf_dir, "lineitem")
+    factor = scale.conversion(F.lit(-4.0), F.lit(4.0), F.lit(-8.0), F.lit(8.0))
+    return x.select("l_orderkey", "l_linenumber", scale.gain(F.col("l_quantity"), F.lit(0.25)).alias("gained"), scale.spike_volts(F.col("l_partkey") % 65536, F.col("l_quantity")).alias("volts"), scale.bit_volts(F.col("l_extendedprice"), F.lit(0.195)).alias("bits"), factor.alias("factor"))
+
+
+@query("SELECT l_orderkey, l_linenumber, 5000.0::DOUBLE + l_linenumber * 100.0::DOUBLE AS arange, 1e6::DOUBLE * (l_partkey / 250.0::DOUBLE) + 5000.0::DOUBLE AS by_index, 5000.0::DOUBLE + l_suppkey / 250.0::DOUBLE * 1e6::DOUBLE AS stamped, 5000.0::DOUBLE + (l_partkey - 1) / 250.0::DOUBLE * 1e6::DOUBLE AS last FROM lineitem")
+def time_axes(spark, sf_dir):
+    x, start, rate = table(spark, sf_dir, "lineitem"), F.lit(5000.0), F.lit(250.0)
+    return x.select("l_orderkey", "l_linenumber", timeaxis.arange_at(start, F.lit(100.0), F.col("l_linenumber")).alias("arange"), timeaxis.time_from_index(start, F.col("l_partkey"), rate).alias("by_index"), timeaxis.stamp_time(start, F.col("l_suppkey"), rate).alias("stamped"), timeaxis.last_sample_time(start, F.col("l_partkey"), rate).alias("last"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey < 129 THEN 'chan' || o_custkey ELSE 'ainp' || (o_custkey - 128) END AS label, 'c' || o_custkey || '-250' AS key, (CASE WHEN 1900 + o_orderkey % 100 < 1985 THEN 2000 + o_orderkey % 100 ELSE 1900 + o_orderkey % 100 END)::INTEGER AS year, trunc(o_totalprice * 1e6::DOUBLE)::BIGINT AS micros FROM orders")
+def channel_names(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    name = F.concat(F.lit(" c"), F.col("o_custkey").cast("string"), F.lit("  "))
+    return o.select("o_orderkey", labels.default_label(F.col("o_custkey")).alias("label"), labels.channel_key(name, F.lit(250)).alias("key"), timeaxis.two_digit_year(F.col("o_orderkey") % 100).alias("year"), timeaxis.scaled_micros(F.col("o_totalprice")).alias("micros"))
+
+
+# stores and files: written from a table, read back
+
+
+@query(f"SELECT channel_id, t_us, value FROM ({S})")
+def blob_round_trip(spark, sf_dir):
+    """Samples as gzip blobs of big-endian doubles, one for each hour, and expanded again."""
+    ship(spark)
+    seg = _ranges(spark, sf_dir)
+    back = wire.from_blobs(materialise(wire.to_blobs(seg.select("channel_id", "rate", "lo", "hi", "location", "values")), "blobs"))
+    times = seg.select("channel_id", "lo", "times")
+    both = back.join(times, ["channel_id", "lo"]).select("channel_id", F.explode(F.arrays_zip("times", "values")).alias("p"))
+    return both.select("channel_id", F.col("p.times").alias("t_us"), F.col("p.values").alias("value"))
+
+
+def _ranges(spark, sf_dir):
+    """Blocks of events in which time runs, by hour: a bounded array of values and their times."""
+    s = samples(spark, sf_dir).withColumn("hour", F.floor(F.col("t_us") / HOUR))
+    r = s.groupBy("channel_id", "hour").agg(F.sort_array(F.collect_list(F.struct("t_us", "event_id", "value"))).alias("x"))
+    return r.select("channel_id", F.lit(1.0).alias("rate"), F.element_at("x.t_us", 1).alias("lo"), (F.element_at("x.t_us", -1) + 1).alias("hi"), F.concat_ws("/", "channel_id", "hour").alias("location"), F.col("x.value").alias("values"), F.col("x.t_us").alias("times"))
+
+
+def _coded(encode, decode):
+    """The query of a block coder: blocks of orders' keys by customer, encoded and decoded."""
+
+    def run(spark, sf_dir):
+        ship(spark)
+        o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list((F.col("o_orderkey") % 4_000_000).cast("int"))).alias("x"), F.min("o_orderkey").alias("t"))
+
+        def code(batches):
+            for b in batches:
+                blocks = pa.array([encode(t.as_py(), np.asarray(x.values, np.int32)) for x, t in zip(b.column(1), b.column(2))], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), blocks], names=["o_custkey", "block"])
+
+        def back(batches):
+            for b in batches:
+                got = [decode(x.as_py()) for x in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([np.asarray(g[1]).tolist() for g in got], pa.list_(pa.int64()))], names=["o_custkey", "t", "x"])
+
+        blocks = materialise(o.mapInArrow(code, "o_custkey long, block binary"), "red")
+        out = blocks.mapInArrow(back, "o_custkey long, t long, x array<long>")
+        return out.select("o_custkey", "t", F.posexplode("x").alias("pos", "value")).select("o_custkey", "t", F.col("pos").cast("long").alias("pos"), "value")
+
+    return run
+
+
+RED = "SELECT o_custkey, min(o_orderkey) OVER (PARTITION BY o_custkey) AS t, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 4000000) - 1 AS pos, (o_orderkey % 4000000)::BIGINT AS value FROM orders"
+
+
+@query(RED)
+def red_blocks_mef2(spark, sf_dir):
+    return _coded(red.encode_mef2, red.decode_mef2)(spark, sf_dir)
+
+
+@query(RED)
+def red_blocks_mef3(spark, sf_dir):
+    return _coded(red.encode_mef3, red.decode_mef3)(spark, sf_dir)
+
+
+@query("SELECT 'price' AS channel, 'uV' AS unit, o_orderkey * 1000 AS t_us, o_totalprice AS value FROM orders UNION ALL SELECT 'customer', 'uV', o_orderkey * 1000, o_custkey::DOUBLE FROM orders WHERE o_custkey % 3 > 0")
+def csv_series(spark, sf_dir):
+    """A CSV series of two channels, one with missing values, written from orders and read by its source."""
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    o = table(spark, sf_dir, "orders")
+    o.select((F.col("o_orderkey") * 1000).alias("time"), F.col("o_totalprice").alias("price"), F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey")).alias(" customer")).write.csv(path, header=True)
+    return plain.read_csv_series(spark, path).select("channel", "unit", "t_us", "value")

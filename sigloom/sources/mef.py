@@ -64,9 +64,13 @@ class Mef2(Format):
 INDEX3 = np.dtype([("at", "<i8"), ("t", "<i8"), ("sample", "<i8"), ("n", "<u4"), ("bytes", "<u4"), ("max", "<i4"), ("min", "<i4"), ("protected", "V4"), ("flags", "u1"), ("rest", "V11")])
 
 
+#: Fixed value: the recording time offset of a file without one.
+NO_OFFSET = -(1 << 63)
+
+
 def absolute_time(t: int, offset: int) -> int:
-    """Negative stored times carry the recording's offset."""
-    return -t + offset if t < 0 else t
+    """Negative stored times lack the recording's offset, if it has one."""
+    return -t + (0 if offset == NO_OFFSET else offset) if t < 0 else t
 
 
 def mef3_segments(path: str, password: str | None = None) -> list[dict]:
@@ -109,13 +113,13 @@ class Mef3(Format):
         out = []
         for s in mef3_segments(path, options.get("password")):
             index = mef3_index(s)
-            times = [absolute_time(int(t), 0) for t in index["t"]]
+            times = [absolute_time(int(t), s["offset"]) for t in index["t"]]
             ends = [t + int(n / s["rate"] * 1e6) for t, n in zip(times, index["n"])]
             chosen = [k for k in range(len(index)) if times[k] < hi and ends[k] > lo]
             size = file_size(s["files"][".tdat"])
             for a, b in split(len(chosen), 64):
                 cuts = [(int(index["at"][k]), min(int(index["at"][k]) + int(index["bytes"][k]), size)) for k in chosen[a:b]]
-                out.append(Piece(s["files"][".tdat"], {"name": s["name"], "unit": s["unit"], "rate": s["rate"], "factor": s["factor"], "cuts": cuts, "keys": tuple(s["keys"])}))
+                out.append(Piece(s["files"][".tdat"], {"name": s["name"], "unit": s["unit"], "rate": s["rate"], "factor": s["factor"], "offset": s["offset"], "cuts": cuts, "keys": tuple(s["keys"])}))
         return out
 
     @staticmethod
@@ -124,7 +128,7 @@ class Mef3(Format):
         lo, hi = int(options.get("start", -(2**62))), int(options.get("end", 2**62))
         for a, b in i["cuts"]:
             t0, x, _ = decode_mef3(read_at(piece.path, a, b - a), flag(options, "validate"), i["keys"])
-            t = absolute_time(t0, 0) + np.arange(len(x)) * (1e6 / i["rate"])
+            t = absolute_time(t0, i["offset"]) + np.arange(len(x)) * (1e6 / i["rate"])
             keep = (t >= lo) & (t < hi)
             yield sample_batch(i["name"], i["unit"], i["rate"], t[keep], x[keep] * i["factor"])
 
