@@ -78,12 +78,11 @@ def codes(low: np.ndarray, offs: np.ndarray, depth: int) -> tuple[np.ndarray, np
     return every[np.arange(ptr[-1]) + np.repeat(at - ptr[:-1], size + 1)], ptr
 
 
-def tally(values: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values, sorted, with how often each occurs in training."""
-    seen = np.sort(values[train])
-    first = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]]) if len(seen) else np.zeros(0, np.int64)
-    counts = np.diff(np.r_[first, len(seen)])
-    return merge(seen[first], counts, T.distinct(values[~train]), None)
+def tally(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, with how often each occurs."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.diff(np.r_[first, len(values)])
 
 
 def merge(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -324,15 +323,18 @@ def by_bucket(buckets: np.ndarray):
 
 
 def block_tally(texts: pa.Table, make) -> tuple[np.ndarray, np.ndarray]:
-    """The tally of a block's codes or tokens."""
-    held, out = texts["held_out"].to_numpy(zero_copy_only=False), Tallies()
+    """A block's distinct codes or tokens, and how often each occurs in training."""
+    held = texts["held_out"].to_numpy(zero_copy_only=False)
+    u = distinct(make(low, offs)[0] for _, _, low, offs in lower_slices(texts["text"]))
+    n = np.zeros(len(u), np.int64)
     for a, b, low, offs in lower_slices(texts["text"]):
         values, ptr = make(low, offs)
-        out.add(*tally(values, np.repeat(~held[a:b], np.diff(ptr))))
-    return out.total()
+        seen, counts = tally(values[np.repeat(~held[a:b], np.diff(ptr))])
+        n[np.searchsorted(u, seen)] += counts
+    return u, n
 
 
-def distinct(pieces: Iterator[np.ndarray], pending: int = 2_000_000) -> np.ndarray:
+def distinct(pieces: Iterator[np.ndarray], pending: int = 1_000_000) -> np.ndarray:
     """The sorted distinct values of all pieces, of which little is held at once."""
     whole, parts, size = np.zeros(0, np.uint64), [], 0
     for piece in pieces:
