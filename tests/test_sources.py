@@ -255,6 +255,31 @@ def test_aes_and_passwords():
     assert crypto.mef3_access(bytes(h), "wrong")[0] == 0 and crypto.mef3_access(bytes(1024), "x")[0] == 0
 
 
+def test_mef3_adds_the_recording_offset(spark, tmp_path):
+    """Negative stored times lack the offset of section 3; pruning goes by the true times."""
+    d = tmp_path / "s.mefd" / "ch1.timd" / "ch1-000000.segd"
+    d.mkdir(parents=True)
+    offset, x = 1_500_000_000_000_000, np.arange(200)
+    data, index = bytes(1024), np.zeros(2, mef.INDEX3)
+    for k in range(2):
+        b = red.encode_mef3(-(1_000_000 * (k + 1)), x[100 * k : 100 * k + 100])
+        index[k]["at"], index[k]["t"], index[k]["sample"], index[k]["n"], index[k]["bytes"] = len(data), -(1_000_000 * (k + 1)), 100 * k, 100, len(b)
+        data += b
+    m = bytearray(16384)
+    m[52:55] = b"ch1"
+    struct.pack_into("<d", m, 8720, 100.0)
+    struct.pack_into("<qqq", m, 8912, 0, 200, 2)
+    struct.pack_into("<q", m, 13312, offset)
+    for ext, b in ((".tdat", data), (".tidx", bytes(1024) + index.tobytes()), (".tmet", bytes(m))):
+        (d / f"ch1-000000{ext}").write_bytes(b)
+    t, v, _ = series(load(spark, "mef3", tmp_path / "s.mefd"), "ch1")
+    assert t == [offset + 1_000_000 + 10_000 * i for i in range(200)] and v == x.tolist()
+    assert load(spark, "mef3", tmp_path / "s.mefd", start=str(offset + 2_500_000)).count() == 50
+    struct.pack_into("<q", m, 13312, mef.NO_OFFSET)
+    (d / "ch1-000000.tmet").write_bytes(bytes(m))
+    assert series(load(spark, "mef3", tmp_path / "s.mefd"), "ch1")[0][0] == 1_000_000
+
+
 def test_mef3(spark, tmp_path):
     d = tmp_path / "s.mefd" / "ch1.timd" / "ch1-000000.segd"
     d.mkdir(parents=True)
