@@ -30,9 +30,9 @@ def with_previous(samples: DataFrame, channel: str = "channel_id", t: str = "t_u
 
 
 def running_count(rows: DataFrame, flag: Column, out: str, channel: str = "channel_id", t: str = "t_us", tie: str | None = None) -> DataFrame:
-    """Adds the number of flagged rows up to and with each row; rows has _b."""
-    order = [t] + ([tie] if tie else [])
-    local = Window.partitionBy(channel, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    """Adds the number of flagged rows up to and with each row, flagged ones first among equals; rows has _b."""
+    order = [F.col(t)] + ([F.col(tie)] if tie else [])
+    local = Window.partitionBy(channel, "_b").orderBy(*order, F.col("_f").desc()).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_f", flag.cast("long"))
     sums = rows.groupBy(channel, "_b").agg(F.sum("_f").alias("_s"))
     base = sums.withColumn("_base", F.coalesce(F.sum("_s").over(Window.partitionBy(channel).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_s")

@@ -84,17 +84,31 @@ def butterworth(order: int, cutoffs: tuple[float, ...], rate: float, kind: str =
     return gain_ * _poly(zd), _poly(pd_)
 
 
-def lfilter(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray | None = None) -> np.ndarray:
-    """Direct form II transposed."""
+def lfilter(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray | None = None, block: int = 128) -> np.ndarray:
+    """Direct form II transposed, a block at a time: what a block's input gives by itself is one matrix product over all blocks; only the state goes from block to block."""
     n = max(len(a), len(b))
     b, a = np.pad(b, (0, n - len(b))) / a[0], np.pad(a, (0, n - len(a))) / a[0]
-    z = np.zeros(n) if state is None else np.append(state, 0.0)
-    out = np.empty(len(x))
-    for i, v in enumerate(x):
-        y = b[0] * v + z[0]
-        z[:-1] = b[1:] * v + z[1:] - a[1:] * y
-        out[i] = y
-    return out
+    z = np.zeros(n - 1) if state is None else np.asarray(state, float)
+    if n == 1 or not len(x):
+        return b[0] * np.asarray(x, float)
+    step = np.zeros((n - 1, n - 1))
+    step[:, 0] = -a[1:]
+    step[:-1, 1:] += np.eye(n - 2)
+    push = b[1:] - a[1:] * b[0]
+    powers = [np.eye(n - 1)]
+    for _ in range(block):
+        powers.append(step @ powers[-1])
+    seen = np.stack([p[0] for p in powers[:block]])
+    impulse = np.r_[b[0], seen[: block - 1] @ push]
+    lag = np.subtract.outer(np.arange(block), np.arange(block))
+    own = np.where(lag >= 0, impulse[np.maximum(lag, 0)], 0.0)
+    carry = np.stack([powers[block - 1 - j] @ push for j in range(block)], axis=1)
+    rows = np.pad(np.asarray(x, float), (0, -len(x) % block)).reshape(-1, block)
+    out, pushed = rows @ own.T, rows @ carry.T
+    for r in range(len(rows)):
+        out[r] += seen @ z
+        z = powers[block] @ z + pushed[r]
+    return out.ravel()[: len(x)]
 
 
 def filtfilt(b: np.ndarray, a: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -114,12 +128,12 @@ def filtfilt(b: np.ndarray, a: np.ndarray, x: np.ndarray) -> np.ndarray:
     return y[pad : len(y) - pad]
 
 
-def filter_segments(samples: DataFrame, order: int, cutoffs: tuple[float, ...], rate: float, kind: str, *keys: str, t: str = "t_us", value: str = "value") -> DataFrame:
+def filter_segments(samples: DataFrame, order: int, cutoffs: tuple[float, ...], rate: float, kind: str, *keys: str, t: str = "t_us", value: str = "value", tie: str | None = None) -> DataFrame:
     """Butterworth, zero-phase, per segment. Segments are bounded stretches (a stored range each)."""
     b, a = butterworth(order, cutoffs, rate, kind)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t)
+        pdf = pdf.sort_values([t, tie] if tie else t)
         return pdf.assign(filtered=filtfilt(b, a, pdf[value].to_numpy(float)))
 
     return samples.groupBy(*keys).applyInPandas(run, ", ".join(f"`{n}` {k}" for n, k in samples.dtypes) + ", filtered double")

@@ -368,7 +368,11 @@ def first_ten(spark, sf_dir):
     return samples(spark, sf_dir).withColumn("rn", F.row_number().over(over).cast("long")).where("rn <= 10").select("channel_id", "event_id", "rn")
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT c_nationkey, c_custkey, 100.0::DOUBLE + c_custkey % 17 AS v, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer),
+    f AS (SELECT c_nationkey, c_custkey, v, r, v AS matched, [v] AS known FROM c WHERE r = 1
+        UNION ALL SELECT n.c_nationkey, n.c_custkey, n.v, n.r, coalesce(n.hit, n.v), CASE WHEN n.hit IS NULL THEN list_append(n.known, n.v) ELSE n.known END
+        FROM (SELECT c.*, f.known, list_filter(f.known, lambda k: abs(c.v - k) / k <= 0.02::DOUBLE)[1] AS hit FROM f JOIN c ON c.c_nationkey = f.c_nationkey AND c.r = f.r + 1) n)
+    SELECT c_nationkey AS source, c_custkey AS i, v AS interval, matched FROM f""")
 def match_intervals(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("source"), F.col("c_custkey").alias("i"), (F.lit(100.0) + F.col("c_custkey") % 17).alias("interval"))
     return joins.match_intervals(c, "interval", "i", "source")
@@ -376,12 +380,17 @@ def match_intervals(spark, sf_dir):
 
 @query()
 def butterworth_lowpass(spark, sf_dir):
-    return signal.filter_segments(samples(spark, sf_dir), 2, (10.0,), 100.0, "lowpass", "channel_id")
+    """Every contiguous stretch by itself, long ones by the hour."""
+    rows = sequence.find_gaps(samples(spark, sf_dir), F.lit(HOUR), tie="event_id").withColumn("hour", F.floor(F.col("t_us") / HOUR))
+    rows = rows.select("channel_id", "seg", "hour", "t_us", "value", "event_id")
+    return signal.filter_segments(rows, 2, (10.0,), 100.0, "lowpass", "channel_id", "seg", "hour", tie="event_id")
 
 
-@query()
+@query(f"""WITH s AS (SELECT *, event_id % 20 AS phase, event_id // 400 AS stretch FROM ({S})), m AS (SELECT channel_id, stretch, phase, median(value) AS m FROM s GROUP BY ALL),
+    l AS (SELECT channel_id, stretch, avg(m) AS l FROM m GROUP BY ALL) SELECT channel_id, t_us, value, event_id, round(value - (m - l), 6) AS cleaned FROM s JOIN m USING (channel_id, stretch, phase) JOIN l USING (channel_id, stretch)""")
 def line_noise(spark, sf_dir):
-    return signal.remove_line_noise_adaptive(samples(spark, sf_dir), 20, "event_id", "value", "channel_id")
+    out = signal.remove_line_noise_adaptive(samples(spark, sf_dir), 20, "event_id", "value", "channel_id")
+    return out.select("channel_id", "t_us", "value", "event_id", F.round("cleaned", 6).alias("cleaned"))
 
 
 @query("SELECT c_nationkey, c_custkey, CASE WHEN c_custkey % 3 > 0 THEN row_number() OVER (PARTITION BY c_nationkey, c_custkey % 3 > 0 ORDER BY c_custkey) - 1 ELSE -1 END AS index_id FROM customer")

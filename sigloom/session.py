@@ -47,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
+def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; its files go when the application ends."""
     path = f"{shared_dir(spark)}/sigloom-{name}-{uuid.uuid4().hex}"
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -57,7 +57,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there and a lost executor loses nothing."""
-    path = _scratch(df.sparkSession, name)
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -68,7 +68,7 @@ def bucketed(df: DataFrame, columns: list[str], n: int, name: str = "table") ->
     The table's name leaves the catalogue at once; the DataFrame keeps its files and their layout.
     """
     spark, label = df.sparkSession, f"sigloom_{uuid.uuid4().hex}"
-    df.write.bucketBy(max(1, min(n, MAX_BUCKETS)), *columns).format("parquet").option("path", _scratch(spark, name)).saveAsTable(label)
+    df.write.bucketBy(max(1, min(n, MAX_BUCKETS)), *columns).format("parquet").option("path", scratch(spark, name)).saveAsTable(label)
     out = spark.table(label)
     spark.sql(f"DROP TABLE {label}")
     return out

@@ -10,7 +10,7 @@ import numpy as np
 
 from sigloom.functions.crypto import decrypt, mef3_access
 from sigloom.functions.red import decode_mef2, decode_mef3
-from sigloom.sources.base import Format, Piece, file_size, flag, list_files, read_at, sample_batch, split
+from sigloom.sources.base import BATCH, Format, Piece, file_size, flag, list_files, read_at, sample_batch, split
 
 
 def text(b: bytes) -> str:
@@ -103,34 +103,56 @@ def mef3_index(segment: dict) -> np.ndarray:
 
 
 class Mef3(Format):
-    """Samples of every channel's segments; a partition is a group of blocks. Option password opens encrypted files. Options start and end (microseconds) prune blocks by the index before anything is read."""
+    """Samples of every channel's segments; a partition is a group of blocks, pruned by the index before anything is read.
+
+    Options: password opens encrypted files; start and end (microseconds) or first_sample and end_sample
+    (counted within the channel) bound what is read; fill=true adds a NaN for each period between blocks.
+    """
 
     NAME = "mef3"
 
     @staticmethod
     def plan(path, options):
-        lo, hi = int(options.get("start", -(2**62))), int(options.get("end", 2**62))
-        out = []
-        for s in mef3_segments(path, options.get("password")):
-            index = mef3_index(s)
+        lo, hi, first, end = _bounds(options)
+        segments = sorted(mef3_segments(path, options.get("password")), key=lambda s: (s["session"], s["name"], s["segment"]))
+        out, after = [], {}
+        for s in reversed(segments):
+            index, channel, period = mef3_index(s), (s["session"], s["name"], os.path.dirname(os.path.dirname(s["files"][".tdat"]))), 1e6 / s["rate"]
             times = [absolute_time(int(t), s["offset"]) for t in index["t"]]
-            ends = [t + int(n / s["rate"] * 1e6) for t, n in zip(times, index["n"])]
-            chosen = [k for k in range(len(index)) if times[k] < hi and ends[k] > lo]
+            ends = [t + n * period for t, n in zip(times, index["n"].tolist())]
+            following = times[1:] + [after.get(channel)]
+            if times:
+                after[channel] = times[0]
+            gaps = [round((b - a) / period) if flag(options, "fill") and b is not None and b - a > period / 2 else 0 for a, b in zip(ends, following)]
+            samples = s["first_sample"] + np.r_[0, np.cumsum(index["n"].astype(np.int64))]
+            chosen = [k for k in range(len(index)) if times[k] < hi and ends[k] + gaps[k] * period > lo and samples[k] < end and samples[k + 1] > first]
             size = file_size(s["files"][".tdat"])
             for a, b in split(len(chosen), 64):
-                cuts = [(int(index["at"][k]), min(int(index["at"][k]) + int(index["bytes"][k]), size)) for k in chosen[a:b]]
+                cuts = [(int(index["at"][k]), min(int(index["at"][k]) + int(index["bytes"][k]), size), int(samples[k]), gaps[k]) for k in chosen[a:b]]
                 out.append(Piece(s["files"][".tdat"], {"name": s["name"], "unit": s["unit"], "rate": s["rate"], "factor": s["factor"], "offset": s["offset"], "cuts": cuts, "keys": tuple(s["keys"])}))
-        return out
+        return out[::-1]
 
     @staticmethod
     def decode(piece, options):
-        i = piece.info
-        lo, hi = int(options.get("start", -(2**62))), int(options.get("end", 2**62))
-        for a, b in i["cuts"]:
+        i, period = piece.info, 1e6 / piece.info["rate"]
+        lo, hi, first, end = _bounds(options)
+        for a, b, sample, gap in i["cuts"]:
             t0, x, _ = decode_mef3(read_at(piece.path, a, b - a), flag(options, "validate"), i["keys"])
-            t = absolute_time(t0, i["offset"]) + np.arange(len(x)) * (1e6 / i["rate"])
-            keep = (t >= lo) & (t < hi)
+            t0, number = absolute_time(t0, i["offset"]), sample + np.arange(len(x))
+            t = t0 + np.arange(len(x)) * period
+            keep = (t >= lo) & (t < hi) & (number >= first) & (number < end)
             yield sample_batch(i["name"], i["unit"], i["rate"], t[keep], x[keep] * i["factor"])
+            if first < sample + len(x) < end:
+                for c, d in split(gap, BATCH):
+                    t = t0 + (len(x) + np.arange(c, d)) * period
+                    t = t[(t >= lo) & (t < hi)]
+                    yield sample_batch(i["name"], i["unit"], i["rate"], t, np.full(len(t), np.nan))
+
+
+def _bounds(options: dict) -> tuple[int, int, int, int]:
+    """start, end, first_sample, end_sample."""
+    whole = (("start", -(2**62)), ("end", 2**62), ("first_sample", 0), ("end_sample", 2**62))
+    return tuple(int(options.get(k, v)) for k, v in whole)
 
 
 def mef3_channels(spark, path: str):

@@ -6,7 +6,9 @@ import duckdb
 import numpy as np
 import pytest
 
-from sigloom.plans import catalogue
+from sigloom.plans import catalogue, recordings
+
+QUERIES, ORACLES = catalogue.QUERIES | recordings.QUERIES, catalogue.ORACLES | recordings.ORACLES
 
 
 def canon(v):
@@ -25,21 +27,21 @@ def db(small):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, small, db, name):
-    out = catalogue.QUERIES[name](spark, small)
+    out = QUERIES[name](spark, small)
     columns = sorted(out.columns)
     got = sorted(repr(tuple(canon(r[c]) for c in columns)) for r in out.collect())
-    rel = db.sql(catalogue.ORACLES[name])
+    rel = db.sql(ORACLES[name])
     names = list(rel.columns)
     assert sorted(names) == columns
     want = sorted(repr(tuple(canon(r[names.index(c)]) for c in columns)) for r in rel.fetchall())
     assert got == want and got
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_other_queries_run(spark, small, name):
-    assert catalogue.QUERIES[name](spark, small).count() > 0
+    assert QUERIES[name](spark, small).count() > 0
 
 
 def test_entry_and_contract(spark):
