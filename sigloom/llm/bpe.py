@@ -10,7 +10,7 @@ no further than LOOK characters past a piece.
 
 A piece's bytes are encoded the same way one level below: halves down to LEAF
 bytes are merged by rank, and neighbours are joined by re-encoding the last and
-first k tokens around the boundary, k doubling until the tokens next to the
+first k tokens around the boundary, k growing fourfold until the tokens next to the
 window are compatible with it. Two tokens are compatible if their joined bytes
 encode to just these two; a sequence is the encoding of its bytes exactly if all
 its neighbours are compatible, so nothing outside the window can change any more.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Sequence
 
 import numpy as np
@@ -35,7 +36,9 @@ from sigloom.llm import textnp
 #: The furthest the pre-token pattern looks past the end of a match, with room to spare.
 LOOK = 3
 TEXT_LEAF = 1024
-LEAF = 24
+LEAF = 192
+#: Bytes from which a window is merged by a heap.
+LONG = 256
 #: Pieces remembered in each of two generations; the older goes when the newer is full.
 MEMO = 250_000
 
@@ -62,6 +65,8 @@ class Codec:
         whole = ranks.get(data)
         if whole is not None:
             return [whole]
+        if len(data) > LONG:
+            return self.merge_long(data)
         get = ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
         far = 1 << 30
@@ -79,6 +84,27 @@ class Codec:
                 scores[i - 1] = get(parts[i - 1] + parts[i], far)
         return [ranks[p] for p in parts]
 
+    def merge_long(self, data: bytes) -> list[int]:
+        """The same by a heap, for windows that have grown: their time is near to linear."""
+        get, n = self.ranks.get, len(data)
+        parts: list[bytes | None] = [data[i : i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := get(parts[i] + parts[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            low, i = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] is None or j >= n or get(parts[i] + parts[j]) != low:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (r := get(parts[k] + parts[after[k]])) is not None:
+                    heapq.heappush(heap, (r, k))
+        return [self.ranks[p] for p in parts if p is not None]
+
     def compatible(self, a: int, b: int) -> bool:
         known = self.pairs.get((a, b))
         if known is None:
@@ -96,7 +122,7 @@ class Codec:
             window = self.merge(b"".join([self.tokens[t] for t in left[i:]] + [self.tokens[t] for t in right[:j]]))
             if (i == 0 or self.compatible(left[i - 1], window[0])) and (j == len(right) or self.compatible(window[-1], right[j])):
                 return left[:i] + window + right[j:]
-            k *= 2
+            k *= 4
 
     def piece(self, data: bytes) -> list[int]:
         """Tokens of one piece."""

@@ -446,3 +446,15 @@ def test_mtree_in_many_trees_and_blocks(spark, monkeypatch):
     q = np.floor(256 * x)
     want = [(i, k + 1, j, -s) for i in range(0, 400, 4) for k, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in range(400) if j != i)[:3])]
     assert sorted(tuple(r) for r in mtree.top_k(d, k=3, every=4).collect()) == sorted(want)
+
+
+def test_bpe_long_runs(library):
+    """Runs that move every token when a half is joined: the heap merges as the plain way does, and windows end right."""
+    c = bpe.codec()
+    rng = np.random.default_rng(8)
+    for unit, n in (("a", 5000), ("-", 3001), ("-=", 2000), ("é", 1500), ("ab", 1)):
+        text = unit * n if n > 1 else "".join(rng.choice(list("ab"), 3000))
+        assert c.encode(text) == library.encode_ordinary(text)
+        data = text.encode()[:1500]
+        want = [c.ranks[data]] if data in c.ranks else c.merge_long(data)
+        assert want == library._encode_single_piece(data) == c.piece(data)
