@@ -1,9 +1,11 @@
 """Awkward cases that earlier shortcuts of the operators lost."""
 
+import sys
 import time
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
@@ -71,11 +73,53 @@ def test_mtree_leaves_out_all_rows_of_the_own_id():
     assert mtree.MTree(ids, x).search(7, x[0], 5) == [(-a, i) for a, i in want]
 
 
-def test_components_are_whole_or_fail(spark):
-    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
-    assert {r["label"] for r in components(path).collect()} == {0}
-    with pytest.raises(RuntimeError):
-        components(path, rounds=1)
+def component_labels(edges):
+    """Each node with the least node it can reach, by union and find."""
+    forest = {}
+
+    def find(x):
+        while forest.setdefault(x, x) != x:
+            x = forest[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        forest[b] = a
+    return {x: find(x) for x in list(forest)}
+
+
+def random_path(n, seed):
+    names = np.random.default_rng(seed).choice(1 << 40, n, replace=False)
+    return list(zip(names[:-1].tolist(), names[1:].tolist()))
+
+
+def test_components_of_any_shape(spark):
+    rng = np.random.default_rng(8)
+    star = [(500, int(x)) for x in rng.permutation(1000)]
+    forest = [(int(i), int(rng.integers(max(0, i - 40), i)) + (i % 97 == 0) * i) for i in range(3000, 6000)]
+    sparse = [tuple(map(int, rng.integers(10_000, 12_000, 2))) for _ in range(900)]
+    edges = star + forest + sparse + sparse[:50] + [(b, a) for a, b in sparse[:50]] + [(20_000, 20_000)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == component_labels([e for e in edges if e[0] != e[1]])
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_long_paths_take_few_rounds(spark, monkeypatch):
+    """100,000 nodes with random names in a row; before, labels moved along it step by step."""
+    module, rounds = sys.modules["sigloom.llm.components"], []
+    real = module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, name="table": (rounds.append(name), real(df, name))[1])
+    edges = spark.createDataFrame(pd.DataFrame(random_path(100_000, 5), columns=["a", "b"]))
+    out = components(edges).groupBy("label").count().collect()
+    assert [r["count"] for r in out] == [100_000] and rounds.count("choices") <= 25
+
+
+def test_chain_of_near_duplicates_is_one_group(spark):
+    """Neighbours are alike (25 of 27 words in a row are shared), two steps apart nobody is."""
+    words = [f"w{i}" for i in range(2 * 3000 + 27)]
+    d = spark.createDataFrame([(i, " ".join(words[2 * i : 2 * i + 27])) for i in range(3000)], "doc_id long, text string").repartition(4)
+    out = neardup.group(d, ["doc_id"])
+    assert {r["component_id"] for r in out.collect()} == {0}
 
 
 ARTICLE = "<html><body><nav><a href=/>x</a></nav><article><h1>Title of it</h1><p>First paragraph, with text in it, and more.</p>{}<p>Last paragraph of the article, with a lot of text.</p></article><footer>(c) x</footer></body></html>"
