@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sigloom.llm import bpe, ctw, decontam, html, langid, mtree, neardup, quality, substring, toxicity
+from sigloom.llm import alignment, blockjoin, bpe, ctw, decontam, html, langid, mtree, neardup, quality, substring, toxicity, whitening
 from sigloom.session import ship, table
 
 
@@ -60,7 +61,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op3_substring_automata, op4_html_tree_model, op5_mtree_topk, op6_context_tree_weighting, op7_odd_sketch_dedup, op8_template_decontamination, op9_bpe_monoid, op10_language_id)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    out = alignment.align(table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return blockjoin.nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_fm, op2_toxicity_nnpu, op3_substring_automata, op4_html_tree_model, op5_mtree_topk, op6_context_tree_weighting, op7_odd_sketch_dedup, op8_template_decontamination, op9_bpe_monoid, op10_language_id, op11_token_alignment, op12_jacobi_whitening, op13_block_matrix_join)}
 
 ORACLES: dict[str, str] = {
     "op3_substring_automata": r"""
@@ -106,4 +123,17 @@ ORACLES: dict[str, str] = {
             SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
         ) WHERE rank <= 5
     """,
+    "op13_block_matrix_join": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_aggregate(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0
+                AND list_aggregate(list_transform(embedding, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END), 'sum') > 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+        ) WHERE rank <= 20
+    """,
 }
