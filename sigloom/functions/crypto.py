@@ -104,3 +104,35 @@ def mef3_access(header: bytes, password: str | None) -> tuple[int, bytes | None,
     if any(second) and hashlib.sha256(below).digest()[:16] == first:
         return 2, below, key
     return 0, None, None
+
+
+def mef2_key(password: str) -> bytes:
+    """The password's first 16 bytes, filled up with zeros."""
+    return password.encode()[:16].ljust(16, b"\0")
+
+
+def mef2_opens(field: bytes, password: str) -> bool:
+    """Whether a validation field, decrypted with the password, holds it: a byte of length and its characters."""
+    data = decrypt_block(field, mef2_key(password))
+    return data[0] < 16 and data[1 : 1 + data[0]] == password.encode()
+
+
+def mef2_access(header: bytes, password: str | None) -> tuple[bytes, int, bytes | None]:
+    """A MEF 2 header with what the password opens decrypted; the level (1: subject, 2: session, 0: none); the key of encrypted blocks.
+
+    The subject's password opens the subject's fields, among them the session's password, which opens the
+    session's fields and the blocks. A session's password opens these alone.
+    """
+    subject, session, data = header[160:163]
+    if not (subject or session):
+        return header, 0, mef2_key(password) if data and password is not None else None
+    level = 0
+    if password is not None:
+        level = 1 if mef2_opens(header[320:336], password) else 2 if mef2_opens(header[352:368], password) else 0
+    if subject and level == 1:
+        header = header[:176] + decrypt(header[176:336], mef2_key(password)) + header[336:]
+        if session:
+            password = header[304:320].split(b"\0")[0].decode("utf-8", "replace")
+    if session and level:
+        header = header[:352] + decrypt(header[352:864], mef2_key(password)) + header[864:]
+    return header, level, mef2_key(password) if data and level else None

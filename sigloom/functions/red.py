@@ -87,11 +87,13 @@ def check_block(block: bytes, crc: int) -> None:
         raise ValueError("a block's checksum doesn't match")
 
 
-def decode_mef2(block: bytes, validate: bool = False) -> tuple[int, np.ndarray, bool]:
-    """Start time, samples and whether a gap comes before the block."""
+def decode_mef2(block: bytes, validate: bool = False, key: bytes | None = None) -> tuple[int, np.ndarray, bool]:
+    """Start time, samples and whether a gap comes before the block. key: of a block whose model is encrypted."""
     crc, size, t, n_diff, n = struct.unpack_from("<IIQII", block)
     if validate:
         check_block(block[: 287 + size], crc)
+    if key is not None:
+        block = block[:31] + decrypt_block(block[31:47], key) + block[47:]
     symbols = range_decode(block, 288, block[31:287], n_diff)
     return t, undo_differences(symbols, n, 3), bool(block[30])
 

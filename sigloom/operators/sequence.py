@@ -92,10 +92,46 @@ def first_reaching(rows: DataFrame, cumulative: Column, limit: Column, index: st
     return rows.where(cumulative >= limit).groupBy(*keys).agg(F.min(index).alias("first_index"))
 
 
-def clamp_to_next(rows: DataFrame, start: str, end: str, *keys: str, tie: str | None = None) -> DataFrame:
+#: Rows of a channel in one task of a window over neighbours.
+HALO_ROWS = 1 << 18
+
+
+def numbered(rows: DataFrame, order: list[str], *keys: str, bucket: int = BUCKET) -> DataFrame:
+    """Adds `_pos`, each row's place from 0 in the order of its keys' rows. order begins with a number, which is cut into buckets."""
+    rows = rows.withColumn("_b", F.floor(F.col(order[0]) / F.lit(bucket)).cast("long"))
+    sizes = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate([*keys, "_b"])], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, "_b"])]
+    place = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)) - 1
+    out = rows.withColumn("_local", place).join(base, same)
+    return out.withColumn("_pos", F.col("_local") + F.col("_base")).drop("_b", "_local", "_base", *[f"_k{i}" for i in range(len(keys) + 1)])
+
+
+def with_neighbours(rows: DataFrame, out: str, value, order: list[str], *keys: str, before: int = 0, after: int = 0, bucket: int = BUCKET, halo_rows: int = HALO_ROWS) -> DataFrame:
+    """Adds value(window), with a window from `before` rows before each row to `after` rows after it, for keys with any number of rows.
+
+    Rows are numbered and cut into stretches; rows near a stretch's edge are copied to the
+    neighbouring one, so that its windows see all they need, and leave it afterwards. No task
+    orders more than a stretch and its edges.
+    """
+    cut = max(halo_rows, before + after + 1)
+    first, last = F.greatest(F.floor((F.col("_pos") - after) / cut), F.lit(0)), F.floor((F.col("_pos") + before) / cut)
+    spread = numbered(rows, order, *keys, bucket=bucket).withColumn("_stretch", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+    over = Window.partitionBy(*keys, "_stretch").orderBy("_pos").rowsBetween(-before, after)
+    return spread.withColumn(out, value(over)).where(F.floor(F.col("_pos") / cut) == F.col("_stretch")).drop("_pos", "_stretch")
+
+
+def with_next(rows: DataFrame, out: str, column: str, order: list[str], *keys: str, **sizes: int) -> DataFrame:
+    """Adds a column of the next row in order (null for the last), for keys with any number of rows."""
+    following = lambda over: F.nth_value(F.struct(F.col(column)), 2).over(over)[column]
+    return with_neighbours(rows, out, following, order, *keys, after=1, **sizes)
+
+
+def clamp_to_next(rows: DataFrame, start: str, end: str, *keys: str, tie: str | None = None, **sizes: int) -> DataFrame:
     """Ends cut at the next start."""
-    over = Window.partitionBy(*keys).orderBy(start, *([tie] if tie else []))
-    return rows.withColumn("clamped_end", F.least(F.col(end), F.coalesce(F.lead(start).over(over), F.col(end))))
+    out = with_next(rows, "_next", start, [start, *([tie] if tie else [])], *keys, **sizes)
+    return out.withColumn("clamped_end", F.least(F.col(end), F.coalesce("_next", F.col(end)))).drop("_next")
 
 
 def fit_length(values: Column, expected: Column) -> Column:

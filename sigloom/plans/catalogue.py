@@ -209,7 +209,7 @@ def first_ge(spark, sf_dir):
 @query(f"SELECT channel_id, event_id, least(t_us + 900000000, coalesce(lead(t_us) OVER (PARTITION BY channel_id ORDER BY t_us, event_id), t_us + 900000000)) AS clamped_end FROM ({S})")
 def clamp_next_start(spark, sf_dir):
     s = samples(spark, sf_dir).withColumn("e", F.col("t_us") + 900_000_000)
-    return sequence.clamp_to_next(s, "t_us", "e", "channel_id", tie="event_id").select("channel_id", "event_id", "clamped_end")
+    return sequence.clamp_to_next(s, "t_us", "e", "channel_id", tie="event_id", bucket=DAY).select("channel_id", "event_id", "clamped_end")
 
 
 @query(f"WITH {SEG}, c AS (SELECT channel_id, lo, lag(lo + n / 0.001::DOUBLE * 1e6::DOUBLE) OVER (PARTITION BY channel_id ORDER BY lo) AS expected FROM r) SELECT channel_id, lo, expected, expected IS NULL OR abs(lo - expected) > 1800000000.0::DOUBLE AS discontinuous FROM c")
@@ -283,7 +283,7 @@ def minmax_block(spark, sf_dir):
 
 @query(f"SELECT channel_id, event_id, quantile_cont(value, 0.5) OVER (PARTITION BY channel_id ORDER BY t_us, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS q FROM ({S})")
 def running_quantile(spark, sf_dir):
-    return signal.running_quantile(samples(spark, sf_dir), "value", ["t_us", "event_id"], "channel_id", span=4).select("channel_id", "event_id", "q")
+    return signal.running_quantile(samples(spark, sf_dir), "value", ["t_us", "event_id"], "channel_id", span=4, bucket=DAY).select("channel_id", "event_id", "q")
 
 
 @query(f"SELECT channel_id, round(coalesce(avg(CASE WHEN value <> 0 THEN abs((value - round(value / 7.0::DOUBLE) * 7.0::DOUBLE) / value) END), 0), 9) AS ratio FROM ({S}) GROUP BY channel_id")
@@ -378,12 +378,28 @@ def match_intervals(spark, sf_dir):
     return joins.match_intervals(c, "interval", "i", "source")
 
 
-@query()
+#: The filter of butterworth_lowpass in SQL, from its closed form; a recursion goes a sample further in all stretches at once, forwards and then backwards.
+LOWPASS = f"""WITH RECURSIVE {SEG},
+    k AS (SELECT tan(pi() * 0.1) AS k), c AS (SELECT k * k / (1 + sqrt(2) * k + k * k) AS b0, 2 * (k * k - 1) / (1 + sqrt(2) * k + k * k) AS a1, (1 - sqrt(2) * k + k * k) / (1 + sqrt(2) * k + k * k) AS a2 FROM k),
+    x AS (SELECT channel_id, seg, list(value ORDER BY t_us, event_id) AS x, count(*) AS n, least(6, count(*) - 1) AS pad FROM g GROUP BY channel_id, seg),
+    w AS MATERIALIZED (SELECT channel_id, seg, pad, list_concat(list_concat(list_transform(range(pad, 0, -1), lambda i: 2 * x[1] - x[i + 1]), x), list_transform(range(1, pad + 1), lambda i: 2 * x[n] - x[n - i])) AS w FROM x),
+    forward AS (SELECT channel_id, seg, 1 AS i, w[1] AS y, (b0 * 2 * w[1] - a1 * w[1] + (b0 - a2) * w[1]) AS z1, (b0 - a2) * w[1] AS z2 FROM w, c
+        UNION ALL SELECT f.channel_id, f.seg, f.i + 1, b0 * w.w[f.i + 1] + z1, 2 * b0 * w.w[f.i + 1] - a1 * (b0 * w.w[f.i + 1] + z1) + z2, b0 * w.w[f.i + 1] - a2 * (b0 * w.w[f.i + 1] + z1) FROM forward f JOIN w USING (channel_id, seg), c WHERE f.i < len(w.w)),
+    v AS MATERIALIZED (SELECT channel_id, seg, list(y ORDER BY i DESC) AS w FROM forward GROUP BY channel_id, seg),
+    backward AS (SELECT channel_id, seg, 1 AS i, w[1] AS y, (b0 * 2 * w[1] - a1 * w[1] + (b0 - a2) * w[1]) AS z1, (b0 - a2) * w[1] AS z2 FROM v, c
+        UNION ALL SELECT f.channel_id, f.seg, f.i + 1, b0 * v.w[f.i + 1] + z1, 2 * b0 * v.w[f.i + 1] - a1 * (b0 * v.w[f.i + 1] + z1) + z2, b0 * v.w[f.i + 1] - a2 * (b0 * v.w[f.i + 1] + z1) FROM backward f JOIN v USING (channel_id, seg), c WHERE f.i < len(v.w)),
+    y AS (SELECT channel_id, seg, list(y ORDER BY i DESC) AS y FROM backward GROUP BY channel_id, seg),
+    n AS (SELECT *, row_number() OVER (PARTITION BY channel_id, seg ORDER BY t_us, event_id) AS i FROM g)
+    SELECT n.channel_id, n.seg, n.t_us, n.value, n.event_id, round(CASE WHEN w.pad = 0 THEN n.value ELSE y.y[w.pad + n.i] END, 6) AS filtered
+    FROM n JOIN w USING (channel_id, seg) JOIN y USING (channel_id, seg)"""
+
+
+@query(LOWPASS)
 def butterworth_lowpass(spark, sf_dir):
-    """Every contiguous stretch by itself, long ones by the hour."""
-    rows = sequence.find_gaps(samples(spark, sf_dir), F.lit(HOUR), tie="event_id").withColumn("hour", F.floor(F.col("t_us") / HOUR))
-    rows = rows.select("channel_id", "seg", "hour", "t_us", "value", "event_id")
-    return signal.filter_segments(rows, 2, (10.0,), 100.0, "lowpass", "channel_id", "seg", "hour", tie="event_id")
+    """Every contiguous stretch as a whole, in buckets of a day."""
+    rows = sequence.find_gaps(samples(spark, sf_dir), F.lit(HOUR), tie="event_id", bucket_us=DAY).select("channel_id", "seg", "t_us", "value", "event_id")
+    out = signal.filter_segments(rows, 2, (10.0,), 100.0, "lowpass", "channel_id", "seg", tie="event_id", bucket_rows=DAY // 10_000)
+    return out.withColumn("filtered", F.round("filtered", 6))
 
 
 @query(f"""WITH s AS (SELECT *, event_id % 20 AS phase, event_id // 400 AS stretch FROM ({S})), m AS (SELECT channel_id, stretch, phase, median(value) AS m FROM s GROUP BY ALL),

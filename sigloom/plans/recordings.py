@@ -6,7 +6,9 @@ A file holds a thousand keys of orders: `f` is the file, `i` the position in it
 
 from __future__ import annotations
 
+import hashlib
 import io
+import os
 import struct
 from collections.abc import Callable
 
@@ -18,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom import sources
-from sigloom.functions import red
-from sigloom.operators import export
+from sigloom.functions import crypto, red
+from sigloom.operators import blocks, export
 from sigloom.session import scratch, ship, table
 from sigloom.sources import blackrock, edf, mef, plain
 from sigloom.sources.base import filesystem
@@ -50,8 +52,8 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.withColumn("f", F.floor(F.col("o_orderkey") / KEYS).cast("long"))
 
 
-def _written(spark: SparkSession, sf_dir: str, suffix: str, encode: Callable[[int, pd.DataFrame], bytes]) -> str:
-    """A folder with the file `encode` makes of each thousand keys; a repeated task writes the same file again."""
+def _written(spark: SparkSession, sf_dir: str, suffix: str, encode: Callable[[int, pd.DataFrame], bytes | dict[str, bytes]]) -> str:
+    """A folder with the file (or files by name) that `encode` makes of each thousand keys; a repeated task writes the same again."""
     ship(spark)
     sources.register(spark)
     root = scratch(spark, "recording")
@@ -60,9 +62,11 @@ def _written(spark: SparkSession, sf_dir: str, suffix: str, encode: Callable[[in
         pdf = pdf.sort_values("o_orderkey")
         f = int(pdf["f"].iloc[0])
         fs, folder = filesystem(root)
-        fs.create_dir(folder, recursive=True)
-        with fs.open_output_stream(f"{folder}/f{f}{suffix}") as out:
-            out.write(encode(f, pdf))
+        data = encode(f, pdf)
+        for name, content in data.items() if isinstance(data, dict) else [(f"f{f}{suffix}", data)]:
+            fs.create_dir(os.path.dirname(f"{folder}/{name}"), recursive=True)
+            with fs.open_output_stream(f"{folder}/{name}") as out:
+                out.write(content)
         return pd.DataFrame({"f": [f], "n": [len(pdf)]})
 
     _orders(spark, sf_dir).groupBy("f").applyInPandas(write, "f long, n long").agg(F.sum("n")).collect()
@@ -161,16 +165,18 @@ def feather_series(spark, sf_dir):
     return spark.read.format("feather_series").load(_written(spark, sf_dir, ".feather", encode)).select("channel", "t_us", "value")
 
 
-@query("SELECT 'm' || f AS channel, 1.0::DOUBLE AS rate, k0 * 1000000 + i * 1000000 AS t_us, (o_custkey % 30000) / 2 AS value FROM o")
-def mef2_samples(spark, sf_dir):
-    """Two blocks a file at least, if it has the samples."""
+def _mef2(starts: Callable[[int, np.ndarray], np.ndarray], size: int, password: str | None = None) -> Callable[[int, pd.DataFrame], bytes]:
+    """MEF 2 files of blocks of `size` samples at 1 Hz, in steps of a half; starts(first key, first positions) are the blocks' times, in seconds."""
 
     def encode(f, p):
-        x, k0 = _custom(p, 30000), int(p["o_orderkey"].iloc[0])
+        x, at = _custom(p, 30000), np.arange(0, len(p), size)
+        times = starts(int(p["o_orderkey"].iloc[0]), at).tolist()
         data, index = b"", []
-        for a in range(0, len(x), 600):
-            b = red.encode_mef2((k0 + a) * 1_000_000, x[a : a + 600])
-            index.append(((k0 + a) * 1_000_000, 1024 + len(data), a))
+        for k, (a, t) in enumerate(zip(at.tolist(), times)):
+            b = red.encode_mef2(t * 1_000_000, x[a : a + size], k == 0 or t > times[k - 1] + size)
+            if password:
+                b = b[:31] + crypto.encrypt_block(b[31:47], crypto.mef2_key(password)) + b[47:]
+            index.append((t * 1_000_000, 1024 + len(data), a))
             data += b + bytes(-len(b) % 8)
         h, name = bytearray(1024), f"m{f}".encode()
         h[376 : 376 + len(name)] = name
@@ -179,9 +185,53 @@ def mef2_samples(spark, sf_dir):
         struct.pack_into("<d", h, 424, 1.0)
         struct.pack_into("<d", h, 456, 0.5)
         struct.pack_into("<QQ", h, 816, 1024 + len(data), len(index))
+        if password:
+            h[161:163] = b"\1\1"
+            h[352 : 353 + len(password)] = bytes([len(password)]) + password.encode()
+            h[352:864] = b"".join(crypto.encrypt_block(bytes(h[k : k + 16]), crypto.mef2_key(password)) for k in range(352, 864, 16))
         return bytes(h) + data + np.asarray(index, "<u8").tobytes()
 
-    return spark.read.format("mef2").option("validate", "true").load(_written(spark, sf_dir, ".mef", encode)).select("channel", "rate", "t_us", "value")
+    return encode
+
+
+@query("SELECT 'm' || f AS channel, 1.0::DOUBLE AS rate, k0 * 1000000 + i * 1000000 AS t_us, (o_custkey % 30000) / 2 AS value FROM o")
+def mef2_samples(spark, sf_dir):
+    """Two blocks a file at least, if it has the samples."""
+    path = _written(spark, sf_dir, ".mef", _mef2(lambda k0, at: k0 + at, 600))
+    return spark.read.format("mef2").option("validate", "true").load(path).select("channel", "rate", "t_us", "value")
+
+
+@query("SELECT 'm' || f AS channel, k0 * 1000000 + i * 1000000 AS t_us, (o_custkey % 30000) / 2 AS value FROM o")
+def mef2_encrypted(spark, sf_dir):
+    """Sessions and blocks that a password opens."""
+    path = _written(spark, sf_dir, ".mef", _mef2(lambda k0, at: k0 + at, 600, "recorder"))
+    return spark.read.format("mef2").option("password", "recorder").load(path).select("channel", "t_us", "value")
+
+
+#: Blocks of 50 samples: every fourth begins where the last ends, 3 s after it, 2 s before that, 7 s after.
+CASES = """, b AS (SELECT f, i // 50 AS block, k0 + 50 * (i // 50) + [0, 3, -2, 5][i // 50 % 4 + 1] AS t, count(*) AS n FROM o GROUP BY ALL),
+    c AS (SELECT 'm' || f AS channel, block, t, n, lead(t) OVER w AS next_t, lag(t) OVER w IS NULL OR t > lag(t) OVER w + 50 AS starts FROM b WINDOW w AS (PARTITION BY f ORDER BY block))"""
+
+
+def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _written(spark, sf_dir, ".mef", _mef2(lambda k0, at: k0 + at + np.asarray([0, 3, -2, 5])[at // 50 % 4], 50))
+    return spark.read.format("mef2_blocks").load(path)
+
+
+@query(CASES + """ SELECT channel, block, t * 1000000 AS t_us, n, CASE WHEN next_t IS NULL THEN 'last' WHEN next_t < t + n THEN 'overlap' WHEN next_t > t + n THEN 'gap' ELSE 'next' END AS follows,
+    least(t + n, coalesce(next_t, t + n)) * 1000000 AS end_us, CASE WHEN next_t < t + n THEN next_t - t - n ELSE 0 END AS change FROM c""")
+def mef2_fitted(spark, sf_dir):
+    """What follows each block, and how its samples are fitted to the time that there is."""
+    return blocks.fitted(_cases(spark, sf_dir), "rate", "channel", bucket=1 << 20).select("channel", "block", "t_us", "n", "follows", "end_us", "change")
+
+
+@query(CASES + """, k AS (SELECT *, sum(CASE WHEN starts OR block % 6 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY channel ORDER BY block) AS chunk FROM c),
+    s AS (SELECT channel, chunk, arg_min(t, block) * 1000000 AS start, count(*) AS blocks, sum(n)::BIGINT AS samples FROM k GROUP BY ALL)
+    SELECT channel, chunk::BIGINT AS chunk, start, blocks, samples, (SELECT min(block) FROM c WHERE c.channel = s.channel AND c.t * 1000000 = s.start) AS block FROM s""")
+def mef2_block_times(spark, sf_dir):
+    """Contiguous chunks of six blocks at most, joined with the block table on their start."""
+    table_ = _cases(spark, sf_dir)
+    return blocks.block_times(blocks.chunk_table(table_, "channel", cycle=6), table_, "channel").select("channel", "chunk", "start", "blocks", "samples", "block")
 
 
 def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +267,31 @@ def mef3_filled(spark, sf_dir):
     return rows.select("channel", "t_us", F.nanvl("value", F.lit(None).cast("double")).alias("value"))
 
 
+@query("""SELECT 'f' || f AS session, i AS number, ['Note', 'EDFA', 'LNTP', 'Seiz'][o_orderkey % 4 + 1] AS type, o_orderkey * 1000 AS t_us, CASE WHEN o_orderkey % 4 < 2 THEN 'n' || o_orderkey END AS text,
+    CASE WHEN o_orderkey % 4 IN (1, 3) THEN o_custkey ELSE -1 END AS duration_us, CASE WHEN o_orderkey % 4 = 2 THEN o_custkey % 1000 ELSE -1 END AS last, CASE WHEN o_orderkey % 4 = 3 THEN o_orderkey * 1000 - o_custkey ELSE -1 END AS onset, CASE WHEN o_orderkey % 4 = 3 THEN 'focal' END AS kind FROM o""")
+def mef3_records(spark, sf_dir):
+    """Records of four types in a session's file, some sealed by its password."""
+
+    def encode(f, p):
+        key, name = crypto.password_key("open"), f"f{f}".encode()
+        head = bytearray(1024)
+        head[308 : 308 + len(name)], head[868:884] = name, hashlib.sha256(key).digest()[:16]
+        data, index = bytearray(head), bytearray(head)
+        for k, c in zip(p["o_orderkey"].tolist(), p["o_custkey"].tolist()):
+            n, t = f"n{k}".encode(), k * 1000
+            kind, body = ((b"Note", n), (b"EDFA", struct.pack("<q", c) + n), (b"LNTP", struct.pack("<qii", 2, -7, c % 1000)), (b"Seiz", struct.pack("<qqqii", t - c, t, c, 0, 1).ljust(1312, b"\0")))[k % 4]
+            body, level = body + bytes(-len(body) % 16), int(k % 40 == 0)
+            if level:
+                body = b"".join(crypto.encrypt_block(body[a : a + 16], key) for a in range(0, len(body), 16))
+            index += kind + struct.pack("<xBBbqq", 1, 0, level, len(data), t)
+            data += struct.pack("<I4sxBBbIq", 0, kind, 1, 0, level, len(body), t) + body
+        return {f"f{f}.mefd/f{f}.rdat": bytes(data), f"f{f}.mefd/f{f}.ridx": bytes(index)}
+
+    r = spark.read.format("mef3_records").option("password", "open").load(_written(spark, sf_dir, "", encode))
+    whole = lambda c, name: F.coalesce(c.cast("long"), F.lit(-1)).alias(name)
+    return r.select("session", "number", "type", "t_us", "text", whole(F.col("duration_us"), "duration_us"), whole(F.element_at("template", -1), "last"), whole(F.col("seizure.earliest_onset"), "onset"), F.col("seizure.onset").alias("kind"))
+
+
 @query(", r AS (SELECT 'c' || f % 10 AS channel, k0, i, o_custkey FROM o) SELECT channel, (k0 + i - min(k0) OVER ())::DOUBLE AS seconds, 'name ' || channel AS name, o_custkey::DOUBLE AS value FROM r")
 def parquet_export(spark, sf_dir):
     ship(spark)

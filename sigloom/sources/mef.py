@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from sigloom.functions.crypto import decrypt, mef3_access
+from sigloom.functions.crypto import decrypt, mef2_access, mef3_access
 from sigloom.functions.red import decode_mef2, decode_mef3
 from sigloom.sources.base import BATCH, Format, Piece, file_size, flag, list_files, read_at, sample_batch, split
 
@@ -17,43 +17,64 @@ def text(b: bytes) -> str:
     return b.split(b"\x00")[0].decode("utf-8", "replace").strip()
 
 
-def mef2_header(path: str) -> dict:
-    """Fields by their offsets, fixed by the format."""
-    h = read_at(path, 0, 1024)
-    u8, f8, u4 = (lambda o, k=k: struct.unpack_from(k, h, o)[0] for k in ("<Q", "<d", "<I"))
-    if h[160] or h[161] or h[162]:
-        raise ValueError(f"{path}: encrypted files need their password; decrypt the file first")
-    return {"name": text(h[376:408]), "samples": u8(368), "start": u8(408), "end": u8(416), "rate": f8(424), "factor": f8(456), "index_at": u8(816), "blocks": u8(824), "gaps_at": u8(840), "gaps": u4(848), "institution": text(h[0:64]), "subject": text(h[272:304]), "comments": text(h[496:624])}
+def mef2_header(path: str, password: str | None = None) -> dict:
+    """Fields by their offsets, fixed by the format. A session's encrypted fields need a password; a subject's are null without theirs."""
+    h, level, key = mef2_access(read_at(path, 0, 1024), password)
+    if (h[161] and not level) or (h[162] and key is None):
+        raise ValueError(f"{path}: the password doesn't open the encrypted session")
+    u8, f8, u4, i4 = (lambda o, k=k: struct.unpack_from(k, h, o)[0] for k in ("<Q", "<d", "<I", "<i"))
+    person = (lambda o: None) if h[160] and level != 1 else (lambda o: text(h[o : o + 32]))
+    out = {"institution": text(h[0:64]), "first_name": person(176), "second_name": person(208), "third_name": person(240), "subject": person(272)}
+    out |= {"samples": u8(368), "name": text(h[376:408]), "start": u8(408), "end": u8(416), "rate": f8(424), "low_filter": f8(432), "high_filter": f8(440), "notch": f8(448), "factor": f8(456)}
+    out |= {"system": text(h[464:496]), "comments": text(h[496:624]), "study": text(h[624:752]), "number": i4(752), "greatest": i4(808), "least": i4(812), "index_at": u8(816), "blocks": u8(824), "gaps_at": u8(840), "gaps": u4(848)}
+    return out | {"subject_sealed": bool(h[160]), "session_sealed": bool(h[161]), "data_sealed": bool(h[162]), "key": key}
 
 
-def index_mef2(path: str, h: dict) -> np.ndarray:
-    return np.frombuffer(read_at(path, h["index_at"], 24 * h["blocks"]), np.dtype([("t", "<u8"), ("at", "<u8"), ("sample", "<u8")]))
+#: Fixed layouts: an entry of a MEF 2 file's index, and the head of a block.
+INDEX2 = np.dtype([("t", "<u8"), ("at", "<u8"), ("sample", "<u8")])
+BLOCK2 = np.dtype([("crc", "<u4"), ("bytes", "<u4"), ("t", "<u8"), ("differences", "<u4"), ("n", "<u4"), ("max", "u1", 3), ("min", "u1", 3), ("gap", "u1")])
+#: Blocks in a partition.
+BLOCKS = 64
+
+
+def index_mef2(path: str, h: dict, a: int, b: int) -> tuple[np.ndarray, list[int], list[int | None]]:
+    """Entries a to b of a file's index, where each block ends and when the one after it begins."""
+    i = np.frombuffer(read_at(path, h["index_at"] + INDEX2.itemsize * a, INDEX2.itemsize * (b + 1 - a if b < h["blocks"] else b - a)), INDEX2)
+    last = b == h["blocks"]
+    ends = i["at"][1:].tolist() + ([h["index_at"]] if last else [])
+    return i[: b - a], ends, i["t"][1:].tolist() + ([None] if last else [])
+
+
+def plan_mef2(path: str, options: dict, per: int) -> list[Piece]:
+    """A partition for every `per` blocks, from the headers alone."""
+    out = []
+    for f in (x for x in list_files(path) if x.endswith(".mef")):
+        h = mef2_header(f, options.get("password"))
+        h["name"] = h["name"] or os.path.splitext(os.path.basename(f))[0].strip()
+        out += [Piece(f, h | {"cut": cut}) for cut in split(h["blocks"], per)]
+    return out
 
 
 class Mef2(Format):
-    """Samples in physical units; a partition is a group of blocks. Options: validate=true checks block checksums, clamp=true cuts a block at the next one's start."""
+    """Samples in physical units; a partition is a group of blocks, whose part of the index its task reads.
+
+    Options: password (the subject's or the session's) opens encrypted files, validate=true checks block checksums, clamp=true cuts a block at the next one's start.
+    """
 
     NAME = "mef2"
 
     @staticmethod
     def plan(path, options):
-        out = []
-        for f in (x for x in list_files(path) if x.endswith(".mef")):
-            h = mef2_header(f)
-            i = index_mef2(f, h)
-            ends = np.append(i["at"][1:], h["index_at"]).tolist()
-            nexts = [int(x) for x in i["t"][1:]] + [None]
-            for a, b in split(len(i), 64):
-                out.append(Piece(f, {"rate": h["rate"], "factor": h["factor"], "name": h["name"], "cuts": [(int(i["at"][k]), int(ends[k]), nexts[k]) for k in range(a, b)]}))
-        return out
+        return plan_mef2(path, options, BLOCKS)
 
     @staticmethod
     def decode(piece, options):
         i = piece.info
-        first = i["cuts"][0][0]
-        raw = read_at(piece.path, first, i["cuts"][-1][1] - first)
-        for a, b, following in i["cuts"]:
-            t0, x, _ = decode_mef2(raw[a - first : b - first], flag(options, "validate"))
+        index, ends, nexts = index_mef2(piece.path, i, *i["cut"])
+        first = int(index["at"][0])
+        raw = read_at(piece.path, first, ends[-1] - first)
+        for a, b, following in zip(index["at"].tolist(), ends, nexts):
+            t0, x, _ = decode_mef2(raw[a - first : b - first], flag(options, "validate"), i["key"])
             t = t0 + np.arange(len(x)) * (1e6 / i["rate"])
             if flag(options, "clamp") and following is not None:
                 keep = t < following
@@ -61,6 +82,31 @@ class Mef2(Format):
             yield sample_batch(i["name"], options.get("unit", "uV"), i["rate"], t, x * i["factor"])
 
 
+class Mef2Blocks(Format):
+    """One row a block, from the blocks' heads alone: when it begins, how many samples it has from which on, its extremes, and whether a gap comes before it."""
+
+    NAME = "mef2_blocks"
+
+    def schema(self):
+        return "channel string, rate double, factor double, block long, t_us long, sample long, n long, bytes long, min int, max int, discontinuous boolean"
+
+    @staticmethod
+    def plan(path, options):
+        return plan_mef2(path, options, 64 * BLOCKS)
+
+    @staticmethod
+    def decode(piece, options):
+        import pyarrow as pa
+
+        i, (a, b) = piece.info, piece.info["cut"]
+        index, ends, _ = index_mef2(piece.path, i, a, b)
+        heads = np.frombuffer(b"".join(read_at(piece.path, at, BLOCK2.itemsize) for at in index["at"].tolist()), BLOCK2)
+        three = lambda x: (np.left_shift(x.astype(np.int32) @ (1 << np.arange(0, 24, 8, dtype=np.int32)), 8) >> 8).astype(np.int32)
+        same = lambda v: np.full(b - a, v)
+        cols = [pa.array([i["name"]] * (b - a)), same(i["rate"]), same(i["factor"]), np.arange(a, b), heads["t"].astype(np.int64), index["sample"].astype(np.int64), heads["n"].astype(np.int64), np.asarray(ends, np.int64) - index["at"].astype(np.int64), three(heads["min"]), three(heads["max"]), heads["gap"] > 0]
+        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=["channel", "rate", "factor", "block", "t_us", "sample", "n", "bytes", "min", "max", "discontinuous"])
+
+
 INDEX3 = np.dtype([("at", "<i8"), ("t", "<i8"), ("sample", "<i8"), ("n", "<u4"), ("bytes", "<u4"), ("max", "<i4"), ("min", "<i4"), ("protected", "V4"), ("flags", "u1"), ("rest", "V11")])
 
 
@@ -73,6 +119,29 @@ def absolute_time(t: int, offset: int) -> int:
     return -t + (0 if offset == NO_OFFSET else offset) if t < 0 else t
 
 
+def opened(meta: bytes, base: str, password: str | None) -> tuple[bytes, list]:
+    """A metadata file with its sections decrypted, and the keys of levels 1 and 2. Encrypted sections need the password of their level."""
+    level, *keys = mef3_access(meta, password)
+    for flag_at, first, end in ((1024, 2560, 13312), (1025, 13312, 16384)):
+        need = struct.unpack_from("b", meta, flag_at)[0]
+        if need > 0:
+            if level < need:
+                raise ValueError(f"{base}: the password doesn't open encrypted metadata")
+            meta = meta[:first] + decrypt(meta[first:end], keys[need - 1]) + meta[end:]
+    return meta, keys
+
+
+def recording_offset(path: str, password: str | None) -> int:
+    """The recording time offset of a metadata file; none where its section stays closed."""
+    meta = read_at(path)
+    level, *keys = mef3_access(meta, password)
+    need = struct.unpack_from("b", meta, 1025)[0]
+    if need > level:
+        return NO_OFFSET
+    section = decrypt(meta[13312:13328], keys[need - 1]) if need > 0 else meta[13312:13328]
+    return struct.unpack_from("<q", section)[0]
+
+
 def mef3_segments(path: str, password: str | None = None) -> list[dict]:
     """Time-series segments of a session: channel, files, and what their metadata say. Encrypted sections need the password of their level."""
     found: dict[str, dict[str, str]] = defaultdict(dict)
@@ -84,26 +153,21 @@ def mef3_segments(path: str, password: str | None = None) -> list[dict]:
     for base, files in sorted(found.items()):
         if set(files) != {".tmet", ".tdat", ".tidx"}:
             continue
-        m = read_at(files[".tmet"])
-        level, *keys = mef3_access(m, password)
-        for flag_at, first, end in ((1024, 2560, 13312), (1025, 13312, 16384)):
-            need = struct.unpack_from("b", m, flag_at)[0]
-            if need > 0:
-                if level < need:
-                    raise ValueError(f"{base}: the password doesn't open encrypted metadata")
-                m = m[:first] + decrypt(m[first:end], keys[need - 1]) + m[end:]
+        m, keys = opened(read_at(files[".tmet"]), base, password)
         d = lambda o: struct.unpack_from("<d", m, o)[0]
         q = lambda o: struct.unpack_from("<q", m, o)[0]
         out.append({"name": text(m[52:308]), "session": text(m[308:564]), "segment": struct.unpack_from("<i", m, 48)[0], "rate": d(8720), "factor": d(8760) or 1.0, "unit": text(m[8768:8896]), "first_sample": q(8912), "samples": q(8920), "blocks": q(8928), "offset": q(13312), "files": files, "keys": keys, "start": q(16), "end": q(24)})
     return out
 
 
-def mef3_index(segment: dict) -> np.ndarray:
-    return np.frombuffer(read_at(segment["files"][".tidx"], 1024), INDEX3)
+def mef3_index(segment: dict, a: int = 0, b: int | None = None) -> np.ndarray:
+    """Entries a to b of a segment's index."""
+    return np.frombuffer(read_at(segment["files"][".tidx"], 1024 + INDEX3.itemsize * a, None if b is None else INDEX3.itemsize * (b - a)), INDEX3)
 
 
 class Mef3(Format):
-    """Samples of every channel's segments; a partition is a group of blocks, pruned by the index before anything is read.
+    """Samples of every channel's segments. A partition is a range of a segment's blocks, planned from the metadata; its task reads
+    its part of the index and of these blocks only those that are asked for.
 
     Options: password opens encrypted files; start and end (microseconds) or first_sample and end_sample
     (counted within the channel) bound what is read; fill=true adds a NaN for each period between blocks.
@@ -113,31 +177,25 @@ class Mef3(Format):
 
     @staticmethod
     def plan(path, options):
-        lo, hi, first, end = _bounds(options)
+        _, _, first, end = _bounds(options)
         segments = sorted(mef3_segments(path, options.get("password")), key=lambda s: (s["session"], s["name"], s["segment"]))
         out, after = [], {}
         for s in reversed(segments):
-            index, channel, period = mef3_index(s), (s["session"], s["name"], os.path.dirname(os.path.dirname(s["files"][".tdat"]))), 1e6 / s["rate"]
-            times = [absolute_time(int(t), s["offset"]) for t in index["t"]]
-            ends = [t + n * period for t, n in zip(times, index["n"].tolist())]
-            following = times[1:] + [after.get(channel)]
-            if times:
-                after[channel] = times[0]
-            gaps = [round((b - a) / period) if flag(options, "fill") and b is not None and b - a > period / 2 else 0 for a, b in zip(ends, following)]
-            samples = s["first_sample"] + np.r_[0, np.cumsum(index["n"].astype(np.int64))]
-            chosen = [k for k in range(len(index)) if times[k] < hi and ends[k] + gaps[k] * period > lo and samples[k] < end and samples[k + 1] > first]
-            size = file_size(s["files"][".tdat"])
-            for a, b in split(len(chosen), 64):
-                cuts = [(int(index["at"][k]), min(int(index["at"][k]) + int(index["bytes"][k]), size), int(samples[k]), gaps[k]) for k in chosen[a:b]]
-                out.append(Piece(s["files"][".tdat"], {"name": s["name"], "unit": s["unit"], "rate": s["rate"], "factor": s["factor"], "offset": s["offset"], "cuts": cuts, "keys": tuple(s["keys"])}))
+            channel = (s["session"], s["name"], os.path.dirname(os.path.dirname(s["files"][".tdat"])))
+            s["after"] = after.get(channel)
+            n = (file_size(s["files"][".tidx"]) - 1024) // INDEX3.itemsize
+            if n:
+                after[channel] = s["files"]
+            if s["first_sample"] < end and s["first_sample"] + s["samples"] > first:
+                out += [Piece(s["files"][".tdat"], s | {"cut": cut, "entries": n}) for cut in split(n, 4 * BLOCKS)][::-1]
         return out[::-1]
 
     @staticmethod
     def decode(piece, options):
         i, period = piece.info, 1e6 / piece.info["rate"]
         lo, hi, first, end = _bounds(options)
-        for a, b, sample, gap in i["cuts"]:
-            t0, x, _ = decode_mef3(read_at(piece.path, a, b - a), flag(options, "validate"), i["keys"])
+        for at, size, sample, gap in chosen_blocks(i, options):
+            t0, x, _ = decode_mef3(read_at(piece.path, at, size), flag(options, "validate"), i["keys"])
             t0, number = absolute_time(t0, i["offset"]), sample + np.arange(len(x))
             t = t0 + np.arange(len(x)) * period
             keep = (t >= lo) & (t < hi) & (number >= first) & (number < end)
@@ -149,6 +207,22 @@ class Mef3(Format):
                     yield sample_batch(i["name"], i["unit"], i["rate"], t, np.full(len(t), np.nan))
 
 
+def chosen_blocks(segment: dict, options: dict) -> list[tuple[int, int, int, int]]:
+    """Of a segment's blocks in its cut those that the options ask for: place, bytes, first sample and the periods missing after it."""
+    (a, b), n, period = segment["cut"], segment["entries"], 1e6 / segment["rate"]
+    lo, hi, first, end = _bounds(options)
+    index = mef3_index(segment, a, min(b + 1, n))
+    times = [absolute_time(int(t), segment["offset"]) for t in index["t"]]
+    if b == n:
+        times.append(absolute_time(int(mef3_index({"files": segment["after"]}, 0, 1)["t"][0]), segment["offset"]) if segment["after"] else None)
+    index = index[: b - a]
+    ends = [t + n * period for t, n in zip(times, index["n"].tolist())]
+    gaps = [round((later - e) / period) if flag(options, "fill") and later is not None and later - e > period / 2 else 0 for e, later in zip(ends, times[1:])]
+    samples = segment["first_sample"] + index["sample"] - (mef3_index(segment, 0, 1)["sample"][0] if a else index["sample"][:1].sum())
+    keep = [k for k in range(b - a) if times[k] < hi and ends[k] + gaps[k] * period > lo and samples[k] < end and samples[k] + index["n"][k] > first]
+    return [(int(index["at"][k]), int(index["bytes"][k]), int(samples[k]), gaps[k]) for k in keep]
+
+
 def _bounds(options: dict) -> tuple[int, int, int, int]:
     """start, end, first_sample, end_sample."""
     whole = (("start", -(2**62)), ("end", 2**62), ("first_sample", 0), ("end_sample", 2**62))
@@ -162,13 +236,20 @@ def mef3_channels(spark, path: str):
     return spark.createDataFrame(rows, "session string, name string, segment int, rate double, factor double, unit string, first_sample long, samples long, blocks long, `start` long, `end` long")
 
 
-def mef2_channels(spark, path: str):
-    fields = ("name", "samples", "start", "end", "rate", "factor", "blocks", "gaps", "institution", "subject")
-    rows = [tuple(h[f] for f in fields) for h in (mef2_header(f) for f in list_files(path) if f.endswith(".mef"))]
-    return spark.createDataFrame(rows, "name string, samples long, `start` long, `end` long, rate double, factor double, blocks long, gaps long, institution string, subject string")
+#: Columns of a MEF 2 file's header.
+MEF2_FIELDS = "name string, samples long, start long, end long, rate double, factor double, blocks long, gaps long, institution string, first_name string, second_name string, third_name string, subject string, system string, comments string, study string, number int, low_filter double, high_filter double, notch double, least int, greatest int, subject_sealed boolean, session_sealed boolean, data_sealed boolean"
+
+
+def mef2_channels(spark, path: str, password: str | None = None):
+    """One row per file: all fields of its header. A subject's fields are null where the password doesn't open them."""
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(MEF2_FIELDS)
+    rows = [tuple(h[f] for f in schema.names) for h in (mef2_header(f, password) for f in list_files(path) if f.endswith(".mef"))]
+    return spark.createDataFrame(rows, schema)
 
 
-ALL = (Mef2, Mef3)
+ALL = (Mef2, Mef2Blocks, Mef3)
 
 
 def write_mef3(ranges, path: str, factor: float = 1.0, unit: str = "uV", per_segment: int = 64, block: int = 4096):

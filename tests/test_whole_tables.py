@@ -71,16 +71,55 @@ def test_lfilter_equals_the_recurrence():
             assert np.allclose(signal.lfilter(b, a, x, z), want, atol=1e-10)
 
 
-def test_filter_query_equals_each_stretch_by_itself(spark, small):
+def recurrence(b, a, x):
+    """Zero-phase filtering sample by sample, with the initial state solved for a constant."""
+    n = len(a) - 1
+    pad = min(3 * n, len(x) - 1)
+    if pad <= 0:
+        return list(x)
+    companion = np.array([[-a[i + 1] if j == 0 else float(j == i + 1) for j in range(n)] for i in range(n)])
+    settled = np.linalg.solve(np.eye(n) - companion, b[1:] - a[1:] * b[0])
+
+    def once(values):
+        state, out = np.append(settled * values[0], 0.0), []
+        for v in values:
+            y = b[0] * v + state[0]
+            state[:-1] = b[1:] * v + state[1:] - a[1:] * y
+            out.append(y)
+        return out
+
+    wide = [2 * x[0] - v for v in x[pad:0:-1]] + list(x) + [2 * x[-1] - v for v in x[-2 : -pad - 2 : -1]]
+    return once(once(wide)[::-1])[::-1][pad : pad + len(x)]
+
+
+@pytest.mark.parametrize("order, kind, cut", [(2, "lowpass", (10.0,)), (4, "lowpass", (30.0,)), (2, "bandpass", (5.0, 20.0)), (3, "highpass", (3.0,)), (2, "bandstop", (35.0, 45.0))])
+@pytest.mark.parametrize("bucket_rows", [1, 7, 64, 5000])
+def test_filter_in_buckets_equals_the_whole_stretch(spark, order, kind, cut, bucket_rows):
+    """Buckets shorter than the reflected ends, of one sample, longer than the stretch; stretches of 1 to 900 samples, one with equal times."""
     from sigloom.operators import signal
-    from sigloom.plans import catalogue
-
-    got = catalogue.QUERIES["butterworth_lowpass"](spark, small).toPandas()
-    b, a = signal.butterworth(2, (10.0,), 100.0)
-    assert len(got) == spark.read.parquet(f"{small}/events.parquet").count()
-    for _, g in got.groupby(["channel_id", "seg", "hour"]):
-        g = g.sort_values(["t_us", "event_id"])
-        assert np.allclose(g["filtered"], signal.filtfilt(b, a, g["value"].to_numpy()))
+
+    rng = np.random.default_rng(bucket_rows)
+    stretches = {("a", 1): 900, ("a", 2): 1, ("b", 1): 2, ("b", 2): 5, (None, 7): 40, ("d", 1): 129} if bucket_rows != 1 else {("a", 1): 60, ("b", 1): 1, ("c", 2): 9}
+    rows = [(c, s, 1_000_000_000 + 10_000 * i // (1 + (c == "d")), i, float(rng.normal() * 50 + i / 9)) for (c, s), n in stretches.items() for i in range(n)]
+    d = spark.createDataFrame(rows, "channel_id string, seg long, t_us long, i long, value double").repartition(3)
+    got = signal.filter_segments(d, order, cut, 100.0, kind, "channel_id", "seg", tie="i", bucket_rows=bucket_rows).toPandas()
+    assert len(got) == len(rows)
+    b, a = signal.butterworth(order, cut, 100.0, kind)
+    for (c, s), n in stretches.items():
+        g = got[(got["channel_id"].isna() if c is None else got["channel_id"] == c) & (got["seg"] == s)].sort_values("i")
+        want = np.asarray(recurrence(b, a, [r[4] for r in rows if r[:2] == (c, s)]))
+        assert len(g) == n and np.abs(g["filtered"].to_numpy() - want).max() <= 1e-9 * max(1, np.abs(want).max())
+        assert np.allclose(signal.filtfilt(b, a, g["value"].to_numpy()), want, atol=1e-9)
+
+
+def test_filter_of_no_rows_and_of_missing_values(spark):
+    from sigloom.operators import signal
+
+    rows = [("a", 0, t, None if t == 3 else 1.0) for t in range(6)] + [("b", 0, t, 2.0) for t in range(6)]
+    d = spark.createDataFrame(rows, "channel_id string, seg long, t_us long, value double")
+    out = signal.filter_segments(d, 1, (10.0,), 100.0, "lowpass", "channel_id", "seg", bucket_rows=2).collect()
+    assert all((r["filtered"] != r["filtered"]) if r["channel_id"] == "a" else abs(r["filtered"] - 2) < 1e-12 for r in out) and len(out) == 12
+    assert signal.filter_segments(d.limit(0), 1, (10.0,), 100.0, "lowpass", "channel_id", "seg").count() == 0
 
 
 def test_segments_count_equal_times_once(spark):
