@@ -42,12 +42,12 @@ from sigloom.session import bucketed
 BLOCK = 16 << 20
 #: Characters of a part of a text or of the texts handled at once.
 PART = 1 << 19
-#: Distinct words and tokens of them remembered by a task.
-MEMO_WORDS, MEMO_TOKENS = 200_000, 2_000_000
+#: Distinct words and tokens of them remembered by a task, and new words encoded together.
+MEMO_WORDS, MEMO_TOKENS, TOGETHER = 400_000, 4_000_000, 1000
 MAX_VOCABULARY = 1 << 20
 A_END, B_END, BOTH = 1, 2, 3
 
-CUT = re.compile(r"(?<=\S) (?=\S)")
+CUT = re.compile(r" (?<=\S )(?=\S)")
 SPAN = re.compile(rb"[^\x03]*\x03")
 
 
@@ -87,18 +87,42 @@ class Pair:
         self.memo: dict[str, int] = {}
         self.a_ids, self.b_ids, self.a_ptr, self.b_ptr, self.whole = array("I"), array("I"), array("q", [0]), array("q", [0]), array("b")
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words and remember them; whole tells whether both sides give back the bytes."""
-        spaced = [" " + w for w in words]
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both sides of each text, which A has with a space before it."""
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        for w, s, a, b in zip(words, spaced, encode(spaced, add_special_tokens=False), self.b.encode(words, num_threads=1)):
-            data, a = s.encode(), a.ids
-            self.memo[w] = len(self.whole)
-            self.whole.append(b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b)))
-            self.a_ids.extend(a)
-            self.b_ids.extend(b)
-            self.a_ptr.append(len(self.a_ids))
-            self.b_ptr.append(len(self.b_ids))
+        return [e.ids for e in encode([" " + t for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+
+    def remember(self, words: list[str], a: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_n: np.ndarray, whole: np.ndarray) -> None:
+        """Words with their ids side by side and their numbers of ids."""
+        self.memo.update(zip(words, range(len(self.whole), len(self.whole) + len(words))))
+        self.whole.frombytes(whole.astype(np.int8).tobytes())
+        for ids, ptr, x, n in ((self.a_ids, self.a_ptr, a, a_n), (self.b_ids, self.b_ptr, b, b_n)):
+            ptr.frombytes((len(ids) + np.cumsum(n)).astype(np.int64).tobytes())
+            ids.frombytes(x.astype(np.uint32).tobytes())
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words and remember them; whole tells whether both sides give back the bytes.
+
+        Words that have no space in them or at either end, nor what B can't tell from one, are encoded together, some thousand at a time, as the text
+        that they make; their tokens are told apart by bytes.
+        """
+        plain, apart = [], []
+        for w in words:
+            (apart if not w or w[0].isspace() or w[-1].isspace() or " " in w or "▁" in w else plain).append(w)
+        groups = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+        for group, a, b in zip(groups, *self.encode([" ".join(g) for g in groups])):
+            a, b = np.asarray(a), np.asarray(b)
+            data = (" " + " ".join(group)).encode()
+            ends = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) == 32)[1:], len(data))
+            if len(ends) == len(group) and all(b"".join(map(side.__getitem__, x.tolist())) == data for side, x in ((self.a_bytes, a), (self.b_bytes, b))):
+                n = [np.diff(np.searchsorted(np.cumsum(size[x]), ends, "right"), prepend=0) for size, x in ((self.a_len, a), (self.b_len, b))]
+                self.remember(group, a, n[0], b, n[1], np.ones(len(group), bool))
+            else:
+                apart += group
+        for w, a, b in zip(apart, *self.encode(apart)):
+            data = (" " + w).encode()
+            whole = b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b))
+            self.remember([w], np.asarray(a), np.asarray([len(a)]), np.asarray(b), np.asarray([len(b)]), np.asarray([whole]))
 
     def words(self, words: list[str]) -> np.ndarray:
         """Places of words in what is remembered."""
@@ -127,8 +151,9 @@ def labels_of(a_len: np.ndarray, b_len: np.ndarray) -> np.ndarray:
 def span_counts(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of A-ends and B-ends of each span up to a both-label."""
     spans = SPAN.findall(labels.tobytes())
-    seen = {s: (s.count(A_END) + s.count(BOTH), s.count(B_END) + s.count(BOTH)) for s in set(spans)}
-    out = np.asarray(list(map(seen.__getitem__, spans)), np.int64).reshape(-1, 2)
+    seen = {s: i for i, s in enumerate(set(spans))}
+    counts = np.asarray([(s.count(A_END) + s.count(BOTH), s.count(B_END) + s.count(BOTH)) for s in seen], np.int64).reshape(-1, 2)
+    out = counts[np.fromiter(map(seen.__getitem__, spans), np.int64, len(spans))]
     return out[:, 0], out[:, 1]
 
 

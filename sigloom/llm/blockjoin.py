@@ -107,7 +107,7 @@ def bounds(q: Coded, a: slice, c: Coded, b: slice) -> tuple[np.ndarray, np.ndarr
         middle = product * q.unit[a][:, None] * c.unit[b]
         whole = c.near[b] + c.rest[b]
         error = q.near[a][:, None] * c.rest[b] + q.rest[a][:, None] * whole
-        error += 1e-13 * (len(q.codes[0]) + 8) * (q.near[a] + q.rest[a])[:, None] * whole
+        error += 1e-13 * (len(q.codes[0]) + 8) * (q.near[a] + q.rest[a])[:, None] * whole + np.finfo(np.float64).tiny  # of rounding
         low, high = middle - error, middle + error
     low[np.isnan(low)], high[np.isnan(high)] = -np.inf, np.inf
     return low, high

@@ -168,7 +168,9 @@ def whiten(vectors: DataFrame, components: int = 4, scale: float = 256.0, id_col
     rows = vectors.select(F.col(vector_col).alias("v"), F.col(id_col).alias("vec_id"))
     fit = materialise(distinct_vectors(rows, scale), "distinct-vectors")
     n, sums = exact_sums(fit)
-    dims = len(sums)
+    sound = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double") * F.lit(scale)) < float("inf"))
+    dims = rows.where(F.col("v").isNotNull() & F.forall("v", sound)).agg(F.max(F.size("v")).alias("d")).first()["d"] or 0
+    sums += [0] * (dims - len(sums))
     if dims > MAX_DIMENSIONS:
         raise ValueError(f"{dims} dimensions; the matrix is held on the driver for {MAX_DIMENSIONS} at most")
     exact = [Fraction(s, n) for s in sums] if n else []
