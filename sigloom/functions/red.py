@@ -113,12 +113,17 @@ def decode_mef3(block: bytes, validate: bool = False, keys: tuple[bytes | None,
         return t, np.zeros(0, np.int64), bool(flags & 1)
     x = undo_differences(range_decode(block, 304, block[48:304], n_diff), n, 4)
     if factor > 1:
-        x = np.rint(x * factor).astype(np.int64)
+        x = round_away(x * factor).astype(np.int64)
     if slope or intercept:
-        x = np.rint(x + slope * np.arange(1, n + 1) + intercept).astype(np.int64)
+        x = round_away(x + (slope * np.arange(1, n + 1) + intercept)).astype(np.int64)
     return t, x, bool(flags & 1)
 
 
+def round_away(x: np.ndarray) -> np.ndarray:
+    """To whole numbers, halves away from zero."""
+    return np.trunc(x + np.copysign(0.5, x))
+
+
 def encode_differences(x: np.ndarray, key_bytes: int) -> bytes:
     """The inverse of undo_differences, without the first mark."""
     out = bytearray(int(x[0]).to_bytes(key_bytes, "little", signed=True))
@@ -162,11 +167,12 @@ def encode_mef2(t: int, x: np.ndarray, gap: bool = False) -> bytes:
     return struct.pack("<I", crc32_koopman(body)) + body
 
 
-def encode_mef3(t: int, x: np.ndarray, gap: bool = False) -> bytes:
+def encode_mef3(t: int, x: np.ndarray, gap: bool = False, factor: float = 1.0, slope: float = 0.0, intercept: float = 0.0) -> bytes:
+    """x as it is coded: without the line that slope and intercept give back, and divided by the factor."""
     symbols = encode_differences(x, 4)
     model = model_of(symbols)
     data = range_encode(symbols, model)
     size = 304 + len(data)
     pad = -size % 8
-    body = bytes([1 if gap else 0]) + bytes(11) + struct.pack("<fffIIIq", 0.0, 0.0, 1.0, len(symbols), len(x), size + pad, t) + model + data + b"\x7e" * pad
+    body = bytes([1 if gap else 0]) + bytes(11) + struct.pack("<fffIIIq", slope, intercept, factor, len(symbols), len(x), size + pad, t) + model + data + b"\x7e" * pad
     return struct.pack("<I", crc32_koopman(body)) + body

@@ -515,6 +515,30 @@ def red_blocks_mef3(spark, sf_dir):
     return _coded(red.encode_mef3, red.decode_mef3)(spark, sf_dir)
 
 
+def _customer_blocks(spark, sf_dir):
+    """A block for every customer, of the keys and prices of their orders."""
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", F.round("o_totalprice").cast("long").alias("p")))).alias("x"))
+    return o.select("o_custkey", F.element_at("x.o_orderkey", 1).alias("t"), F.col("x.p").alias("x"))
+
+
+@query("SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos, (round(round(round(o_totalprice) / 7.0::DOUBLE) * 7.0::DOUBLE))::BIGINT AS value FROM orders")
+def red_fixed_scale(spark, sf_dir):
+    """Blocks coded by a fixed scale, written and read back."""
+    ship(spark)
+    coded = materialise(wire.to_red(_customer_blocks(spark, sf_dir), "t", "x", scale=7.0).select("o_custkey", "block"), "red")
+    return wire.from_red(coded).select("o_custkey", F.posexplode("values").alias("pos", "value")).select("o_custkey", F.col("pos").cast("long").alias("pos"), "value")
+
+
+@query("SELECT o_custkey, count(*) AS n, TRUE AS within, TRUE AS as_measured FROM orders GROUP BY o_custkey")
+def red_residual_goal(spark, sf_dir):
+    """Blocks coded for a mean residual ratio of 0.03 without their trend: whether what is read back is as near to the originals, and as far, as the coder says."""
+    ship(spark)
+    coded = materialise(wire.to_red(_customer_blocks(spark, sf_dir), "t", "x", residual=0.03, detrend=True, least_normality=None), "red")
+    pairs = wire.from_red(coded).select("o_custkey", "residual", F.explode(F.arrays_zip("x", "values")).alias("p"))
+    got = pairs.groupBy("o_custkey").agg(F.count("*").alias("n"), signal.residual_ratio(F.col("p.x").cast("double"), F.col("p.values").cast("double")).alias("r"), F.first("residual").alias("s"))
+    return got.select("o_custkey", "n", (F.col("r") <= 0.03 + 1e-12).alias("within"), (F.abs(F.col("r") - F.col("s")) < 1e-9).alias("as_measured"))
+
+
 @query("SELECT 'price' AS channel, 'uV' AS unit, o_orderkey * 1000 AS t_us, o_totalprice AS value FROM orders UNION ALL SELECT 'customer', 'uV', o_orderkey * 1000, o_custkey::DOUBLE FROM orders WHERE o_custkey % 3 > 0")
 def csv_series(spark, sf_dir):
     """A CSV series of two channels, one with missing values, written from orders and read by its source."""
