@@ -6,10 +6,12 @@ A file holds a thousand keys of orders: `f` is the file, `i` the position in it
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import os
 import struct
+import tarfile
 from collections.abc import Callable
 
 import numpy as np
@@ -23,7 +25,7 @@ from sigloom import sources
 from sigloom.functions import crypto, red
 from sigloom.operators import blocks, export
 from sigloom.session import scratch, ship, table
-from sigloom.sources import blackrock, edf, mef, nicolet, plain
+from sigloom.sources import archives, blackrock, edf, mef, nicolet, plain
 from sigloom.sources.base import filesystem
 
 #: Keys in a file.
@@ -65,7 +67,7 @@ def _written(spark: SparkSession, sf_dir: str, suffix: str, encode: Callable[[in
         data = encode(f, pdf)
         for name, content in data.items() if isinstance(data, dict) else [(f"f{f}{suffix}", data)]:
             fs.create_dir(os.path.dirname(f"{folder}/{name}"), recursive=True)
-            with fs.open_output_stream(f"{folder}/{name}") as out:
+            with fs.open_output_stream(f"{folder}/{name}", compression=None) as out:
                 out.write(content)
         return pd.DataFrame({"f": [f], "n": [len(pdf)]})
 
@@ -83,6 +85,39 @@ def interleaved_samples(spark, sf_dir):
     return spark.read.format("interleaved_samples").option("rate", "1000").load(path).select("channel", "rate", "t_us", "value")
 
 
+def _tar(files: dict[str, bytes], mode: str = "w") -> bytes:
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode=mode) as t:
+        for name, data in files.items():
+            entry = tarfile.TarInfo(name)
+            entry.size = len(data)
+            t.addfile(entry, io.BytesIO(data))
+    return out.getvalue()
+
+
+def _pairs(p: pd.DataFrame) -> bytes:
+    return np.stack([p["o_orderkey"] * 1000.0, p["o_totalprice"]], axis=1).astype("<f8").tobytes()
+
+
+@query("SELECT 'f' || f AS channel, o_orderkey * 1000 AS t_us, o_totalprice AS value FROM o")
+def tar_members(spark, sf_dir):
+    """Interleaved samples in uncompressed archives, read in place; a resource fork beside them isn't."""
+    path = _written(spark, sf_dir, ".tar", lambda f, p: _tar({f"in/._f{f}.ts.bin": b"fork", f"in/f{f}.ts.bin": _pairs(p)}))
+    return spark.read.format("interleaved_samples").load(path).select("channel", "t_us", "value")
+
+
+@query("SELECT 'f' || f AS channel, o_orderkey * 1000 AS t_us, o_totalprice AS value FROM o")
+def nested_archives(spark, sf_dir):
+    """The same files, compressed within archives, every other archive compressed too, unpacked to the shared folder."""
+
+    def encode(f, p):
+        inner = {f"in/f{f}.ts.bin.gz": gzip.compress(_pairs(p), mtime=0)}
+        return {f"a{f}.tar.gz" if f % 2 else f"a{f}.tar": _tar(inner, "w:gz" if f % 2 else "w")}
+
+    path = archives.unpacked(spark, _written(spark, sf_dir, "", encode))
+    return spark.read.format("interleaved_samples").load(path).select("channel", "t_us", "value")
+
+
 @query("SELECT 'f' || f AS channel, o_orderkey * 1000 AS t_us, (o_custkey % 5)::SMALLINT AS unit, o_totalprice AS w0, o_custkey::DOUBLE AS w1 FROM o")
 def spike_files(spark, sf_dir):
     def encode(f, p):

@@ -7,9 +7,12 @@ may be local or any URI that pyarrow's file systems open.
 
 from __future__ import annotations
 
+import io
 import os
+import tarfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from typing import Any
 
 import numpy as np
@@ -29,28 +32,104 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), os.path.abspath(path)
 
 
+#: Between an archive's path and a member's name.
+MEMBER = ".tar!/"
+
+
+@lru_cache(maxsize=64)
+def members(archive: str) -> dict[str, tuple[int, int]]:
+    """Where the files of an uncompressed tar archive lie: name to place and bytes. Resource forks are left out. Read once by a process."""
+    fs, p = filesystem(archive)
+    with fs.open_input_file(p) as f, tarfile.open(fileobj=f, mode="r:") as t:
+        found = [m for m in t if m.isfile() and not os.path.basename(m.name).startswith("._")]
+        if any(m.issparse() for m in found):
+            raise ValueError(f"{archive}: sparse members can't be read in place")
+        return {m.name.removeprefix("./"): (m.offset_data, m.size) for m in found}
+
+
+def member_of(path: str) -> tuple[str, int, int] | None:
+    """The archive, place and bytes of a member's path."""
+    if MEMBER not in path:
+        return None
+    archive, name = path.split("!/", 1)
+    return archive, *members(archive)[name]
+
+
+class Window(io.RawIOBase):
+    """A range of an open file as a file of its own."""
+
+    def __init__(self, file, first: int, size: int):
+        self.file, self.first, self.size, self.at = file, first, size, 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        self.at = max(0, (0, self.at, self.size)[whence] + offset)
+        return self.at
+
+    def read(self, n: int = -1) -> bytes:
+        left = max(self.size - self.at, 0)
+        n = left if n is None or n < 0 else min(n, left)
+        self.file.seek(self.first + self.at)
+        data = self.file.read(n)
+        self.at += len(data)
+        return data
+
+    def readinto(self, buffer) -> int:
+        data = self.read(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+    def readall(self) -> bytes:
+        return self.read()
+
+    def close(self) -> None:
+        if not self.closed:
+            self.file.close()
+        super().close()
+
+
+def open_file(path: str):
+    """An open file to read anywhere in; a member of an archive in place."""
+    found = member_of(path)
+    fs, p = filesystem(found[0] if found else path)
+    f = fs.open_input_file(p)
+    return pa.PythonFile(Window(f, *found[1:]), mode="r") if found else f
+
+
 def read_at(path: str, offset: int = 0, length: int | None = None) -> bytes:
-    fs, p = filesystem(path)
-    with fs.open_input_file(p) as f:
+    with open_file(path) as f:
         f.seek(offset)
         return f.read() if length is None else f.read(length)
 
 
 def file_size(path: str) -> int:
+    found = member_of(path)
+    if found:
+        return found[2]
     fs, p = filesystem(path)
     return fs.get_file_info(p).size
 
 
 def list_files(path: str) -> list[str]:
-    """The files under a folder, or the one file."""
+    """The files under a folder, or the one file; of an uncompressed tar archive its members, which are read in place."""
     fs, p = filesystem(path)
     info = fs.get_file_info(p)
     if info.type == pafs.FileType.File:
-        return [path]
-    if info.type == pafs.FileType.NotFound:
+        found = [path]
+    elif info.type == pafs.FileType.NotFound:
         raise FileNotFoundError(path)
-    prefix = path[: len(path) - len(p)] if path.endswith(p) else ""
-    return sorted(prefix + i.path for i in fs.get_file_info(pafs.FileSelector(p, recursive=True)) if i.type == pafs.FileType.File)
+    else:
+        prefix = path[: len(path) - len(p)] if path.endswith(p) else ""
+        found = [prefix + i.path for i in fs.get_file_info(pafs.FileSelector(p, recursive=True)) if i.type == pafs.FileType.File]
+    return sorted(x for f in found for x in ([f"{f}!/{m}" for m in members(f)] if f.endswith(".tar") else [f]))
 
 
 @dataclass

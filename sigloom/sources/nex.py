@@ -11,6 +11,9 @@ FILE = np.dtype([("magic", "<i4"), ("version", "<i4"), ("comment", "S256"), ("fr
 VARIABLE = np.dtype([("type", "<i4"), ("version", "<i4"), ("name", "S64"), ("at", "<i4"), ("count", "<i4"), ("wire", "<i4"), ("unit", "<i4"), ("gain", "<i4"), ("filter", "<i4"), ("x", "<f8"), ("y", "<f8"), ("rate", "<f8"), ("to_mv", "<f8"), ("points", "<i4"), ("markers", "<i4"), ("marker_length", "<i4"), ("offset", "<f8"), ("pad", "S60")])
 NEURON, EVENT, INTERVAL, WAVEFORM, _, CONTINUOUS, MARKER = range(7)
 
+#: Items in a partition.
+PIECE = 1 << 22
+
 
 def variables(path: str) -> tuple[dict, list[dict]]:
     h = np.frombuffer(read_at(path, 0, FILE.itemsize), FILE)[0]
@@ -22,11 +25,13 @@ def variables(path: str) -> tuple[dict, list[dict]]:
 
 
 def pieces(path: str, kinds: tuple[int, ...]) -> list[Piece]:
-    return [Piece(f, h | {"v": v}) for f in list_files(path) if f.endswith(".nex") for h, all_ in (variables(f),) for v in all_ if v["type"] in kinds]
+    """A partition for some items of a variable (samples of a continuous one, events of the others)."""
+    size = lambda v: v["points"] if v["type"] == CONTINUOUS else v["count"]
+    return [Piece(f, h | {"v": v, "cut": cut}) for f in list_files(path) if f.endswith(".nex") for h, all_ in (variables(f),) for v in all_ if v["type"] in kinds for cut in split(size(v), PIECE)]
 
 
 class NexContinuous(Format):
-    """A partition per variable; fragments have their own start stamps. Option start_us sets the recording's start."""
+    """A partition for a stretch of a variable's samples; fragments have their own start stamps. Option start_us sets the recording's start."""
 
     NAME = "nex_continuous"
 
@@ -37,14 +42,15 @@ class NexContinuous(Format):
     @staticmethod
     def decode(piece, options):
         v = piece.info["v"]
-        n = v["count"]
+        n, (lo, hi) = v["count"], piece.info["cut"]
         stamps = np.frombuffer(read_at(piece.path, v["at"], 4 * n), "<i4") / piece.info["frequency"]
         firsts = np.append(np.frombuffer(read_at(piece.path, v["at"] + 4 * n, 4 * n), "<i4"), v["points"])
         data_at = v["at"] + 8 * n
         for k in range(n):
-            for a, b in split(int(firsts[k + 1] - firsts[k]), BATCH):
-                x = np.frombuffer(read_at(piece.path, data_at + 2 * (int(firsts[k]) + a), 2 * (b - a)), "<i2")
-                t = float(options.get("start_us", 0)) + stamps[k] * 1e6 + np.arange(a, b) * (1e6 / v["rate"])
+            first, end = max(lo, int(firsts[k])), min(hi, int(firsts[k + 1]))
+            for a, b in split(end - first, BATCH):
+                x = np.frombuffer(read_at(piece.path, data_at + 2 * (first + a), 2 * (b - a)), "<i2")
+                t = float(options.get("start_us", 0)) + stamps[k] * 1e6 + np.arange(first + a - firsts[k], first + b - firsts[k]) * (1e6 / v["rate"])
                 yield sample_batch(v["name"], "mV", v["rate"], t, x * v["to_mv"] + v["offset"])
 
 
@@ -59,10 +65,11 @@ class NexSpikes(Format):
     @staticmethod
     def decode(piece, options):
         v = piece.info["v"]
-        n = v["count"]
-        t = float(options.get("start_us", 0)) + np.frombuffer(read_at(piece.path, v["at"], 4 * n), "<i4") / piece.info["frequency"] * 1e6
+        lo, hi = piece.info["cut"]
+        n = hi - lo
+        t = float(options.get("start_us", 0)) + np.frombuffer(read_at(piece.path, v["at"] + 4 * lo, 4 * n), "<i4") / piece.info["frequency"] * 1e6
         width = v["points"] if v["type"] == WAVEFORM else 0
-        w = np.frombuffer(read_at(piece.path, v["at"] + 4 * n, 2 * n * width), "<i2").reshape(n, width) * v["to_mv"] + v["offset"] if width else np.zeros((n, 0))
+        w = np.frombuffer(read_at(piece.path, v["at"] + 4 * v["count"] + 2 * lo * width, 2 * n * width), "<i2").reshape(n, width) * v["to_mv"] + v["offset"] if width else np.zeros((n, 0))
         yield spike_batch(v["name"], t, np.full(n, v["unit"]), w)
 
 
@@ -77,8 +84,9 @@ class NexEvents(Format):
     @staticmethod
     def decode(piece, options):
         v = piece.info["v"]
-        n = v["count"]
-        t = (float(options.get("start_us", 0)) + np.frombuffer(read_at(piece.path, v["at"], 4 * n), "<i4") / piece.info["frequency"] * 1e6).astype(np.int64)
+        lo, hi = piece.info["cut"]
+        n = hi - lo
+        t = (float(options.get("start_us", 0)) + np.frombuffer(read_at(piece.path, v["at"] + 4 * lo, 4 * n), "<i4") / piece.info["frequency"] * 1e6).astype(np.int64)
         yield event_batch(piece.path, ["interval" if v["type"] == INTERVAL else "event"] * n, t.tolist(), [v["name"]] * n, [{}] * n)
 
 

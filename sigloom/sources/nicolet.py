@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sigloom.sources.base import Format, Piece, event_batch, list_files, read_at, sample_batch
+from sigloom.sources.base import BATCH, Format, Piece, event_batch, list_files, read_at, sample_batch, split
 
 #: Fixed values of the format.
 TAGS_AT, QI_AT, PACKET, SEGMENT, SIGNALS = 172, 172_208, 48, 152, 552
@@ -88,6 +88,8 @@ def guid(b: bytes) -> str:
 
 #: Fixed value: bytes of an event's packet before its text.
 EVENT_BYTES = 272
+#: Samples in a partition.
+PIECE = 1 << 22
 
 
 def field(key: int) -> str:
@@ -221,7 +223,7 @@ class Layout:
 
 
 class Nicolet(Format):
-    """A partition per segment and channel. A channel's samples run through its sections; segments cut them by their durations."""
+    """A partition per segment, channel and stretch of a section of bounded size. A channel's samples run through its sections; segments cut them by their durations."""
 
     NAME = "nicolet"
 
@@ -242,18 +244,19 @@ class Nicolet(Format):
                             cuts.append((at + 2 * (lo - inside), hi - lo))
                         inside += size // 2
                     elapsed += duration
-                    out.append(Piece(f, s | {"cuts": cuts, "start": start, "n": n, "duration": duration}))
+                    done = 0
+                    for at, size in cuts:
+                        out += [Piece(f, s | {"at": at + 2 * a, "size": b - a, "first": done + a, "start": start, "n": n, "duration": duration}) for a, b in split(size, PIECE)]
+                        done += size
         return out
 
     @staticmethod
     def decode(piece, options):
         i = piece.info
-        done = 0
         step = i["duration"] * 1e6 / max(i["n"] - 1, 1)
-        for at, n in i["cuts"]:
-            x = np.frombuffer(read_at(piece.path, at, 2 * n), "<i2").astype(float) * i["resolution"]
-            yield sample_batch(i["label"], options.get("unit", "uV"), i["rate"], i["start"] + np.arange(done, done + n) * step, x)
-            done += n
+        for a, b in split(i["size"], BATCH):
+            x = np.frombuffer(read_at(piece.path, i["at"] + 2 * a, 2 * (b - a)), "<i2").astype(float) * i["resolution"]
+            yield sample_batch(i["label"], options.get("unit", "uV"), i["rate"], i["start"] + np.arange(i["first"] + a, i["first"] + b) * step, x)
 
 
 class NicoletSegments(Format):

@@ -1,20 +1,18 @@
-"""Tabular and plain binary inputs: CSV time series, Feather, interleaved samples, spike files, channel JSON, archives."""
+"""Tabular and plain binary inputs: CSV time series, Feather, interleaved samples, spike files, channel JSON."""
 
 from __future__ import annotations
 
 import json
 import os
-import tarfile
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.feather
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom import schema
 from sigloom.operators import sequence
-from sigloom.sources.base import BATCH, Format, Piece, file_size, filesystem, list_files, read_at, sample_batch, spike_batch, split
+from sigloom.sources.base import BATCH, Format, Piece, file_size, list_files, open_file, read_at, sample_batch, spike_batch, split
 
 
 def read_csv_series(spark: SparkSession, path: str, unit: str = "uV") -> DataFrame:
@@ -28,40 +26,48 @@ def read_csv_series(spark: SparkSession, path: str, unit: str = "uV") -> DataFra
     return long.join(rates, "channel").select("channel", F.lit(unit).alias("unit"), "rate", "t_us", "value")
 
 
+def feather_times(index: pa.Array) -> np.ndarray:
+    if pa.types.is_timestamp(index.type):
+        return index.cast(pa.timestamp("us")).cast(pa.int64()).to_numpy(zero_copy_only=False)
+    return index.to_numpy(zero_copy_only=False)
+
+
 class FeatherSeries(Format):
-    """Columns of numbers beside one named `index`; a file without it fails. A partition per column."""
+    """Columns of numbers beside one named `index`; a file without it fails. A partition per column and some record batches, by the file's footer.
+
+    The rate is that of the first ten times of the file's first batch.
+    """
 
     NAME = "feather_series"
+    #: Record batches in a partition.
+    BATCHES = 16
 
     @staticmethod
     def plan(path, options):
         out = []
         for f in list_files(path):
-            fs, p = filesystem(f)
-            with fs.open_input_file(p) as handle:
-                names = pa.ipc.open_file(handle).schema.names
+            with open_file(f) as handle:
+                reader = pa.ipc.open_file(handle)
+                names, n = reader.schema.names, reader.num_record_batches
             if "index" not in names:
                 raise ValueError(f"{f} has no column named index")
-            out += [Piece(f, {"column": n}) for n in names if n != "index"]
+            out += [Piece(f, {"column": c, "batches": cut}) for c in names if c != "index" for cut in split(n, FeatherSeries.BATCHES)]
         return out
 
     @staticmethod
     def decode(piece, options):
-        fs, p = filesystem(piece.path)
-        with fs.open_input_file(p) as handle:
-            t = pyarrow.feather.read_table(handle, columns=["index", piece.info["column"]])
-        index = t["index"].combine_chunks()
-        if pa.types.is_timestamp(index.type):
-            times = index.cast(pa.timestamp("us")).cast(pa.int64()).to_numpy(zero_copy_only=False)
-        else:
-            times = index.to_numpy(zero_copy_only=False)
-        values = t[piece.info["column"]].to_numpy().astype(float)
-        order = np.argsort(times, kind="stable")
-        steps = np.diff(times[order][:10])
-        rate = 1e6 / float(np.median(steps)) if len(steps) else 0.0
-        keep = order[~np.isnan(values[order])]
-        for a, b in split(len(keep), BATCH):
-            yield sample_batch(piece.info["column"].strip(), options.get("unit", "uV"), rate, times[keep[a:b]], values[keep[a:b]])
+        column = piece.info["column"]
+        with open_file(piece.path) as handle:
+            own = pa.ipc.open_file(handle).schema.get_field_index
+            reader = pa.ipc.open_file(handle, options=pa.ipc.IpcReadOptions(included_fields=sorted({own("index"), own(column)})))
+            head = np.sort(feather_times(reader.get_batch(0).column("index").slice(0, 4096)).astype(float))
+            steps = np.diff(head[:10])
+            rate = 1e6 / float(np.median(steps)) if len(steps) else 0.0
+            for k in range(*piece.info["batches"]):
+                batch = reader.get_batch(k)
+                times, values = feather_times(batch.column("index")), batch.column(column).to_numpy(zero_copy_only=False).astype(float)
+                keep = ~np.isnan(values)
+                yield sample_batch(column.strip(), options.get("unit", "uV"), rate, times[keep], values[keep])
 
 
 class InterleavedSamples(Format):
@@ -131,12 +137,4 @@ def read_channels(spark: SparkSession, source: str | list | dict) -> DataFrame:
     return spark.createDataFrame(data, schema.CHANNELS)
 
 
-def unpack(path: str, to: str) -> list[str]:
-    """Files of a tar archive (compressed or not), without resource forks; names leading out of the folder fail."""
-    with tarfile.open(path) as t:
-        members = [m for m in t.getmembers() if not os.path.basename(m.name).startswith("._")]
-        t.extractall(to, members, filter="data")
-    return sorted(os.path.join(d, f) for d, _, names in os.walk(to) for f in names)
-
-
 ALL = (FeatherSeries, InterleavedSamples, SpikeFile)

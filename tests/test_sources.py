@@ -2,7 +2,6 @@
 
 import hashlib
 import struct
-import tarfile
 
 import numpy as np
 import pyarrow as pa
@@ -196,10 +195,6 @@ def test_moberg(spark, tmp_path):
     assert series(load(spark, "moberg", tmp_path), "ECG-II")[1] == [1, 3, 5]
     (tmp_path / "patient.xml").write_text("<p><Name>X</Name></p>")
     assert [(r["label"], r["props"]["field"]) for r in load(spark, "moberg_patient", tmp_path).collect()] == [("X", "Name")]
-    with tarfile.open(tmp_path / "t.tar", "w") as tar:
-        tar.add(tmp_path / "patient.xml", "in/patient.xml")
-        tar.add(tmp_path / "patient.xml", "in/._patient.xml")
-    assert [p.rsplit("/", 1)[1] for p in plain.unpack(str(tmp_path / "t.tar"), str(tmp_path / "out"))] == ["patient.xml"]
 
 
 def test_red_blocks_round_trip():
