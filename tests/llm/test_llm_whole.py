@@ -250,41 +250,88 @@ def test_reparameterised_items_are_found(spark):
     assert hits(spark, [same, mixed, form.format(p="12", q="3"), mixed.replace("Carla", "12")], plain) == [(0, 0), (2, 1)]
 
 
-def brute_matches(texts, items, k=decontam.WINDOW):
-    """All pairs of windows by dictionaries of words."""
-    def read(text):
+def brute_forms(reading, whole):
+    """The windows of a text's reading by what they say: form to places and widths, by the rules alone."""
+    word, value, slot, opens = (x.tolist() for x in (reading.word, reading.value, reading.slot, reading.opens))
+    n, out = len(word), {}
+    for k in range(1, decontam.RUN + 1):
+        if whole and k < decontam.WINDOW and k != n:
+            continue
+        for p in range(n - k + 1):
+            names = [int(decontam.NAME) if o else w for w, o in zip(word, opens)]
+            forms = {tuple(value[p : p + k])} if k <= decontam.WINDOW else set()
+            for template, gaps in ((word, slot), (names, [s or o for s, o in zip(slot, opens)])):
+                literal, before = k - sum(gaps[p : p + k]), k - 1 - sum(gaps[p : p + k - 1])
+                if not any(gaps[p : p + k]):
+                    continue
+                if k <= decontam.WINDOW:
+                    fits = literal >= min(decontam.LITERAL, k)
+                else:
+                    fits = before < decontam.LITERAL and (literal == decontam.LITERAL or (literal == decontam.LITERAL - 1 and (not whole or k == decontam.RUN or k == n)))
+                if fits:
+                    forms.add(tuple(template[p : p + k]))
+            for f in forms:
+                out.setdefault(f, []).append(p)
+    return out, value, slot, n
+
+
+def brute_matches(texts, items):
+    """All pairs of readings and places by dictionaries of words."""
+    def read(text, whole):
         buf = np.frombuffer(text.encode(), np.uint8)
-        _, word, value, slot, opens = decontam.canonical(buf, np.asarray([0, len(buf)]))
-        return word.tolist(), value.tolist(), slot.tolist(), opens.tolist()
-
-    def forms(doc, i, m):
-        word, value, slot, opens = (x[i : i + m] for x in doc)
-        out = {tuple(value)}
-        if any(slot) and m - sum(slot) >= min(decontam.LITERAL, m):
-            out.add(tuple(word))
-        if any(opens) and m - sum(slot) - sum(opens) >= min(decontam.LITERAL, m):
-            out.add(tuple(int(decontam.NAME) if o else w for w, o in zip(word, opens)))
-        return out
-
-    out = []
-    for d, text in enumerate(map(read, texts)):
-        for i, item in enumerate(map(read, items)):
-            n = len(item[0])
-            m, best = min(k, n), None
-            spots = {}
-            for p in range(n - m + 1 if n else 0):
-                for q in range(len(text[0]) - m + 1):
-                    if forms(item, p, m) & forms(text, q, m):
-                        spots.setdefault(q - p, set()).update(range(p, p + m))
-            for g, covered in spots.items():
-                pairs = {(item[1][p], text[1][p + g]) for p in covered if item[2][p] and text[2][p + g]}
-                if (len(covered) >= decontam.RUN or len(covered) >= decontam.SHARE * n) and len({x for x, _ in pairs}) == len(pairs):
-                    best = max(best or (0, 0), (len(covered), sum(x != y for x, y in pairs)))
-            if best:
-                out.append((d, i, best[0], n, best[1]))
+        return [brute_forms(r, whole) for r in decontam.readings(buf, np.asarray([0, len(buf)]))]
+
+    texts, items, out = [read(t, False) for t in texts], [read(t, True) for t in items], []
+    for d, i in ((d, i) for d in range(len(texts)) for i in range(len(items))):
+        best = None
+        for forms, values, slots, _ in texts[d]:
+            for own, value, slot, n in items[i]:
+                spots = {}
+                for f in own.keys() & forms.keys():
+                    for p in own[f]:
+                        for q in forms[f]:
+                            spots.setdefault(q - p, set()).update(range(p, p + len(f)))
+                for g, covered in spots.items():
+                    pairs = {(value[p], values[p + g]) for p in covered if slot[p] and slots[p + g]}
+                    if (len(covered) >= decontam.RUN or len(covered) >= decontam.SHARE * n) and len({x for x, _ in pairs}) == len(pairs):
+                        best = max(best or (0, 0, 0), (len(covered), sum(x != y for x, y in pairs), n))
+        if best:
+            out.append((d, i, best[0], best[2], best[1]))
     return sorted(out)
 
 
+def test_names_number_words_and_dense_slots(spark):
+    """Pairs written by hand: names of several words, numbers in words, slots with few words between them; and pairs that are alike in shape alone."""
+    pairs = [
+        ("Mary Jones buys 12 pens and 5 books . How many things does she carry home", "Bob buys 15 pens and 7 books . How many things does she carry home"),
+        ("Yesterday Bob rode 15 miles to see his aunt in the hills", "Yesterday Anna Maria Lopez rode 22 miles to see his aunt in the hills"),
+        ("Anna has 5 km , Bob 7 km , Carla 9 km and David 11 km ; who went farthest", "Emil has 6 km , Fred 8 km , Greta 10 km and Henry 12 km ; who went farthest"),
+        ("a farmer sells twelve apples and keeps three for the children", "a farmer sells twenty apples and keeps five for the children"),
+        ("there are thirty-two seats in every bus that leaves town", "there are two hundred seats in every bus that leaves town"),
+        ("it weighs 3 kg 250 g or 7 pounds 2 ounces on the scale", "it weighs 4 kg 125 g or 9 pounds 1 ounces on the scale"),
+        ("the ratio 3 to 4 to 5 is kept in the drawing", "the ratio 6 to 8 to 10 is kept in the drawing"),
+        ("Peter Paul Rubens was born in 1577 in Siegen and died in Antwerp", "John Constable was born in 1776 in Suffolk and died in London"),
+        ("In May Tom paid 40 dollars , in June 55 dollars and in July 70 dollars", "In April Kim paid 10 dollars , in March 25 dollars and in August 90 dollars"),
+        ("if five machines make five widgets in five minutes what do ten make", "if seven machines make seven widgets in seven minutes what do ten make"),
+    ]
+    items, texts = [a for a, _ in pairs], [f"Some words come first . {b} . And then others follow ." for _, b in pairs]
+    got = set(hits(spark, texts, items))
+    assert sum((i, i) in got for i in range(len(pairs))) >= 0.9 * len(pairs) and {(0, 0), (2, 2), (3, 3)} <= got
+    assert all(a == b for a, b in got)
+    assert hits(spark, ["if seven machines make nine widgets in seven minutes what do ten make", "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "Anna Bob Carla David"], [items[9], "3 6 9 12 15 18 21 24 27 30 33 36 39 42", "Ann Ben Cid Dan Eva"]) == []
+
+
+def test_a_template_that_many_documents_and_items_share(spark, monkeypatch):
+    """Every document holds a common template over and over, every item is of it: a row for each document and item, weighed a few hits at a time."""
+    monkeypatch.setattr(decontam, "HITS", 500)
+    items = [f"what is the total value of {i} ?" for i in range(200, 320)]
+    texts = [" . ".join(f"what is the total value of {10_000 + 31 * d + k} ?" for k in range(20)) for d in range(60)] + ["what is the total price of 5 ?"]
+    assert len(hits(spark, texts, items)) == 60 * 120
+    rows = decontam.numbered(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id"])
+    plan = decontam.found(rows, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), 13, 0.8, "item_id")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+
+
 def test_templates_and_slots_against_brute_force(spark):
     rng = np.random.default_rng(23)
     words = ["we", "saw", "that", "cat", "run", "Anna", "Bob", "12", "7", "km", ".", "The", "Otto", "and", "5", "kg"]
