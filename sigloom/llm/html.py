@@ -68,8 +68,8 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 _BLANK = re.compile(r"\s+")
 
 N_KIND = len(KINDS)
-F_BAD, F_GOOD, F_HIDDEN, F_LINK, F_SHORT, F_LONG, F_STOP, F_NOTEXT, F_HEADING, F_BARE, F_BIAS = range(N_KIND, N_KIND + 11)
-N_FEATURES = N_KIND + 11
+F_BAD, F_GOOD, F_HIDDEN, F_LINK, F_SHORT, F_LONG, F_STOP, F_NOTEXT, F_HEADING, F_BARE, F_BARE_BODY, F_BIAS = range(N_KIND, N_KIND + 12)
+N_FEATURES = N_KIND + 12
 #: Kinds that may hold running text.
 PROSE = np.isin(np.arange(N_KIND), [KINDS.index(k) for k in ("body", "p", "h", "list", "li", "quote", "pre", "table", "cell")])
 
@@ -284,7 +284,7 @@ class Forest:
 
 
 def evidence(f: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature matrix, kinds and parents of the elements."""
+    """Feature matrix, kinds (those with a word against them apart) and parents of the elements."""
     n = len(f.tag)
     x = np.zeros((n, N_FEATURES), np.float32)
     kind = np.asarray([_KIND.get(t, N_KIND - 1) for t in f.tag], np.int64)
@@ -311,11 +311,12 @@ def evidence(f: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x[:, F_NOTEXT] = own == 0
     x[:, F_HEADING] = kind == _KIND["h1"]
     # pages without any element that announces content keep it directly in the body
-    told = (kind == KINDS.index("article")) | (kind == KINDS.index("main")) | (marks[:, 1] > 0)
+    told = (np.isin(kind, [KINDS.index(k) for k in ("article", "main", "section")]) & (marks[:, 0] == 0)) | (marks[:, 1] > 0)
     page = np.searchsorted(np.asarray(f.roots), np.arange(n), "right") - 1
-    x[:, F_BARE] = (np.bincount(page, told, len(f.roots)) == 0)[page] & PROSE[kind]
+    bare = (np.bincount(page, told, len(f.roots)) == 0)[page]
+    x[:, F_BARE], x[:, F_BARE_BODY] = bare & PROSE[kind], bare & (kind == KINDS.index("body"))
     x[:, F_BIAS] = 1
-    return x, kind, parent
+    return x, kind + N_KIND * (marks[:, 0] > 0), parent
 
 
 def levels(parent: np.ndarray) -> list[np.ndarray]:
@@ -331,7 +332,7 @@ def levels(parent: np.ndarray) -> list[np.ndarray]:
 @dataclass
 class Model:
     unary: np.ndarray  # (N_FEATURES, 2)
-    edge: np.ndarray  # (N_KIND, 2, 2): log potential of parent state, own state
+    edge: np.ndarray  # (2 N_KIND, 2, 2): log potential of parent state, own state; what tells against a child so needn't tell against its parent
 
     def infer(self, x: np.ndarray, kind: np.ndarray, parent: np.ndarray, by_level: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, float]:
         """Marginals (n, 2), edge marginals (n, 2, 2; roots unused) and the log partition function."""
@@ -360,22 +361,22 @@ class Model:
         return marginal, both, float(z[~has].sum())
 
 
-def fit_forest(f: Forest, y: np.ndarray, steps: int = 100, rate: float = 0.3, l2: float = 0.02) -> Model:
+def fit_forest(f: Forest, y: np.ndarray, steps: int = 100, rate: float = 0.3, l2: float = 0.01) -> Model:
     """Gradient ascent on the likelihood of the labelled states (observed minus expected counts)."""
     x, kind, parent = evidence(f)
     x = x.astype(np.float64)
     by_level = levels(parent)
-    m = Model(np.zeros((N_FEATURES, 2)), np.zeros((N_KIND, 2, 2)))
+    m = Model(np.zeros((N_FEATURES, 2)), np.zeros((2 * N_KIND, 2, 2)))
     n_pages = max(len(f.roots), 1)
     seen_u = np.stack([x.T @ (y == s) for s in (0, 1)], axis=1)
     has = np.flatnonzero(parent >= 0)
-    seen_e = np.zeros((N_KIND, 2, 2))
+    seen_e = np.zeros((2 * N_KIND, 2, 2))
     np.add.at(seen_e, (kind[has], y[parent[has]], y[has]), 1)
     gu, ge = np.full_like(m.unary, 1e-8), np.full_like(m.edge, 1e-8)
     for _ in range(steps):
         marginal, both, _ = m.infer(x, kind, parent, by_level)
         du = (seen_u - x.T @ marginal) / n_pages - l2 * m.unary
-        want = np.stack([np.bincount(kind[has], both[has, i, j], N_KIND) for i in (0, 1) for j in (0, 1)], axis=1).reshape(N_KIND, 2, 2)
+        want = np.stack([np.bincount(kind[has], both[has, i, j], 2 * N_KIND) for i in (0, 1) for j in (0, 1)], axis=1).reshape(2 * N_KIND, 2, 2)
         de = (seen_e - want) / n_pages - l2 * m.edge
         gu += du * du
         ge += de * de
@@ -385,10 +386,10 @@ def fit_forest(f: Forest, y: np.ndarray, steps: int = 100, rate: float = 0.3, l2
 
 
 #: What stands around the content of generated pages.
-WRAPS = (*["<article data-y>{}</article>"] * 4, "<main data-y><article data-y>{}</article></main>", '<div class="content" data-y>{}</div>', '<div id="post-body" data-y>{}</div>', "<main data-y>{}</main>", "<section data-y>{}</section>", "{}")
+WRAPS = (*["<article data-y>{}</article>"] * 4, "<main data-y><article data-y>{}</article></main>", '<div class="content" data-y>{}</div>', '<div id="post-body" data-y>{}</div>', "<main data-y>{}</main>", "<section data-y>{}</section>", *["{}"] * 4)
 
 
-def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
+def training_pages(n: int = 600, seed: int = 11) -> list[tuple[str, str]]:
     """Generated pages with their main text: (html, text). Content elements carry data-y in the page."""
     rng = random.Random(seed)
     syllables = [a + b for a in ("k", "l", "m", "n", "r", "s", "t", "v", "d", "h", "b", "") for b in ("a", "e", "i", "o", "u", "en", "er", "ing")]
@@ -422,13 +423,24 @@ def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
             f'<ul class="{pick("menu", "nav", "social", "tags")}">{items}</ul>',
             f'<form action="/{word()}"><label>{word()}</label><input name="q"><button>{word()}</button>{pick("", "<p>" + prose(3, 12) + "</p>")}</form>',
         )
-        comments = lambda: f'<{pick("section", "div")} {pick("class", "id")}="{pick("comments", "comment-list", "replies")}"><h2>{word()}</h2>' + "".join(f'<{pick("div", "article", "li")} class="comment"><p>{prose(3, 60)}</p></div>' for _ in range(rng.randrange(1, 5))) + "</section>"
-        body = []
-        if rng.random() < 0.85:
+        said = lambda: pick(f'<{pick("div", "article", "li")} class="comment"><p>{prose(3, 60)}</p></div>', f"<li>{prose(3, 40)}</li>", f"<li><p>{prose(3, 40)}</p></li>")
+        comments = lambda: f'<{pick("section", "div")} {pick("class", "id")}="{pick("comments", "comment-list", "replies", "user-comments", "reader-comments")}">{pick("", f"<h2>{word()}</h2>")}' + pick("{}", "<ol>{}</ol>", "<ul>{}</ul>").format("".join(said() for _ in range(rng.randrange(1, 5)))) + "</section>"
+        # what stands within articles too, short ones included
+        within = lambda: pick(
+            f'<p class="{pick("byline", "byline meta", "meta", "notice", "ad", "share", "head", "copyright")}">{prose(1, 9)}</p>',
+            f'<div class="{pick("ad", "ads banner", "promo", "sponsored", "newsletter")}">{pick(prose(1, 9), "<p>" + prose(1, 9) + "</p>", link())}</div>',
+            f"<aside>{pick(prose(2, 20), '<p>' + prose(2, 20) + '</p>', f'<h3>{word()}</h3><ul>{items}</ul>')}</aside>",
+            f'<div class="{pick("share", "social", "tags", "related")}">{link()} {link()}</div>',
+            bad_block(),
+        )
+        body, short = [], rng.random() < 0.5
+        if rng.random() < (0.5 if short else 0.85):
             head = keep("h1", prose(1, pick(11, 11, 40)))
-            body.append(pick(head, head, head, f"<header data-y>{head}</header>", f"<header data-y>{head}<p class='byline'>{prose(1, 6)}</p></header>"))
-        for _ in range(rng.randrange(0, 12) or 1):
-            r = rng.random()
+            top = f'<{pick("div", "header")} data-y class="{pick("entry-header", "post-header", "article-head", "header")}">'
+            body.append(pick(head, head, head, f"<header data-y>{head}</header>", f"<header data-y>{head}<p class='byline'>{prose(1, 6)}</p></header>", f"{top}{head}{top[1:top.index(' ')].join(('</', '>'))}"))
+        inside = pick(0, 1, 1, 2, 3) if short else 0
+        for _ in range(rng.randrange(1, 4) if short else rng.randrange(0, 12) or 1):
+            r = rng.random() if not short else 0.03 + 0.79 * rng.random()
             if r < 0.03:  # one line over and over
                 line = prose(1, 4)
                 body.extend(keep("p", line) for _ in range(rng.randrange(10, 150)))
@@ -451,10 +463,12 @@ def training_pages(n: int = 400, seed: int = 11) -> list[tuple[str, str]]:
                 body.append(keep("pre", prose(3, 20)))
             else:
                 body.append(bad_block())
+        for _ in range(inside):
+            body.insert(rng.randrange(len(body) + 1), within())
         tail = [comments()] if rng.random() < 0.25 else []
         if rng.random() < 0.1:
             body.append(f"<footer>{prose(1, 9)}</footer>")
-        inner = "".join(body) + (comments() if rng.random() < 0.1 else "")
+        inner = "".join(body) + (comments() if rng.random() < 0.2 else "")
         before = [f"<nav><ul>{items}</ul></nav>" if rng.random() < 0.8 else f"<header><div class='logo'>{word()}</div><ul>{items}</ul></header>"] + [bad_block() for _ in range(rng.randrange(0, 3))]
         after = [bad_block() for _ in range(rng.randrange(0, 3))] + [f"<footer>{pick('<p>' + prose(3, 14) + '</p>', '&copy; ' + prose(2, 14), link())}</footer>" if rng.random() < 0.85 else ""]
         around = pick(*WRAPS)
@@ -469,7 +483,7 @@ def states(f: Forest) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def default_model(n: int = 400, seed: int = 11) -> Model:
+def default_model(n: int = 600, seed: int = 11) -> Model:
     f = Forest()
     for page, _ in training_pages(n, seed):
         f.read(page)
@@ -502,6 +516,8 @@ def extract_many(pages: list[str | None], model: Model, threshold: float = 0.5)
     content = model.infer(x, kind, parent, levels(parent))[0][:, 1] >= threshold
     out = []
     bounds = [*f.roots, len(f.tag)]
+    for a, b in zip(bounds, bounds[1:]):
+        content[a] |= b == a + 1  # a page without an element is its text
     for a, b in zip(bounds, bounds[1:]):
         parts = sorted((o, i, t) for i in range(a, b) if content[i] for o, t in f.texts[i])
         blocks, last = [], -1

@@ -352,3 +352,42 @@ def test_decontamination_takes_long_items_and_clashing_names(spark):
     assert [(r["doc_id"], r["item_id"], r["covered"], r["item_words"], r["changed_slots"]) for r in sorted(decontam.matches(d, b).collect(), key=str)] == [(1, 1, 90_000, 90_000, 0), (None, 1, 90_000, 90_000, 0)]
     out = decontam.drop_contaminated(d, b)
     assert out.columns == d.columns and [tuple(r) for r in out.collect()] == [(2, "short", 6, "x", 1, 2)]
+
+
+PARAGRAPH = "This is a sentence about the harbour, where ships come in at dawn and leave at dusk. " * 4
+LINE = "This is a sentence about the harbour, where ships come in at dawn and leave."
+#: Articles written by hand, and their blocks.
+ARTICLES = {
+    "a byline": ("<article><p class='byline'>By Ann Lee</p><p>{P}</p></article>", "P"),
+    "a title, a byline, an advert": ("<article><h1>The harbour</h1><p class='byline'>By Ann Lee</p><p>{P}</p><div class='ad'>Buy now</div></article>", "HP"),
+    "a byline between": ("<article><p>{L}</p><p class='byline'>By Ann Lee</p><p>{L}</p></article>", "LL"),
+    "a notice between": ("<article><p>{L}</p><p class='notice'>Subscribe today for more.</p><p>{L}</p></article>", "LL"),
+    "a head between": ("<article><p>{L}</p><p class='head'>Section five</p><p>{L}</p></article>", "LL"),
+    "an entry's header": ("<article><div class='entry-header'><h1>The harbour</h1></div><p>{P}</p><p>{P}</p></article>", "HPP"),
+    "an aside's paragraph": ("<article><h1>The harbour</h1><p>{P}</p><aside><p>Related things to read now.</p></aside><p>{P}</p></article>", "HPP"),
+    "a bare aside": ("<article><h1>The harbour</h1><p>{P}</p><aside>Related things to read now.</aside><p>{P}</p></article>", "HPP"),
+    "comments": ("<article><h1>The harbour</h1><p>{P}</p><section class='user-comments'><ol><li>I liked this, thanks a lot.</li><li>Me too, the ships are great.</li></ol></section></article>", "HP"),
+    "one line": ("<article><p>{L}</p></article>", "L"),
+    "one line and a banner": ("<main><p>{L}</p><div class='ads banner'>Buy</div></main>", "L"),
+    "no article element": ("<h1>The harbour</h1><p>{P}</p><div class='ad'>Buy now</div>", "HP"),
+    "a paragraph alone": ("<p>{P}</p>", "P"),
+    "links to share it": ("<article><h1>The harbour</h1><div class='share'><a href=x>Tweet</a> <a href=y>Mail</a></div><p>{L}</p></article>", "HL"),
+    "no article": ("", ""),
+    "an advert alone": ("<div class='ad'>Buy now, cheap things.</div>", ""),
+    "a notice alone": ("<div class='cookie-notice'><p>We use cookies on this site, accept them please.</p></div>", ""),
+}
+
+
+@pytest.mark.parametrize("name", ARTICLES)
+def test_short_articles_by_hand(name):
+    inside, blocks = ARTICLES[name]
+    page = "<!DOCTYPE html><html><head><title>t</title></head><body><nav><ul><li><a href=/>Home</a></li><li><a href=/b>News</a></li></ul></nav>" + inside.format(P=PARAGRAPH, L=LINE) + "<footer><p>Copyright 2024, all rights reserved.</p></footer></body></html>"
+    want = "\n\n".join({"P": PARAGRAPH.strip(), "L": LINE, "H": "The harbour"}[b] for b in blocks)
+    assert html.extract_many([page], html.default_model()) == [want]
+
+
+def test_text_without_a_tag_and_generated_pages():
+    assert html.extract_many(["Just text,  with no tag &amp; no more.", "", None], html.default_model()) == ["Just text, with no tag & no more.", "", ""]
+    pages = html.training_pages(200, 99)
+    got = html.extract_many([p.replace(" data-y", "") for p, _ in pages], html.default_model())
+    assert sum(g == t for g, (_, t) in zip(got, pages)) >= 180 and not any(len(t) >= 60 and not g for g, (_, t) in zip(got, pages))
