@@ -25,7 +25,7 @@ from sigloom import sources
 from sigloom.functions import crypto, red
 from sigloom.operators import blocks, export
 from sigloom.session import scratch, ship, table
-from sigloom.sources import archives, blackrock, edf, mef, nicolet, plain
+from sigloom.sources import archives, blackrock, edf, mef, mefmeta, nicolet, plain
 from sigloom.sources.base import filesystem
 
 #: Keys in a file.
@@ -346,6 +346,16 @@ def mef3_samples(spark, sf_dir):
     return spark.read.format("mef3").option("validate", "true").load(_session(spark, sf_dir))
 
 
+@query(""", r AS (SELECT f, k0, count(*) AS n FROM o GROUP BY ALL)
+    SELECT 'c' || f % 10 AS name, 1.0::DOUBLE AS rate, sum(n)::BIGINT AS samples, 'uV' AS unit, min(k0) * 1000000 AS start_us, max(k0 + n) * 1000000 AS end_us, ((count(*) + 3) // 4)::BIGINT AS n_segments FROM r GROUP BY f % 10""")
+def mef3_sessions(spark, sf_dir):
+    """The channels of a session's nested metadata, and how many segments each has."""
+    nested = mefmeta.read_sessions(spark, _session(spark, sf_dir)).select(F.explode("series_channels").alias("c"))
+    return nested.select("c.channel", F.col("c.series").alias("s"), "c.start", "c.end", F.size("c.segments").cast("long").alias("n_segments")).select(
+        F.col("channel").alias("name"), "s.rate", "s.samples", "s.unit", F.col("start").alias("start_us"), F.col("end").alias("end_us"), "n_segments"
+    )
+
+
 @query(", r AS (SELECT *, row_number() OVER (PARTITION BY f % 10 ORDER BY o_orderkey) - 1 AS s FROM o) SELECT 'c' || f % 10 AS channel, (k0 + i) * 1000000 AS t_us, o_custkey::DOUBLE AS value FROM r WHERE s >= 500 AND s < 1300")
 def mef3_by_sample(spark, sf_dir):
     """Samples 500 to 1,299 of every channel."""

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from sigloom.session import ship
-from sigloom.sources import blackrock, edf, mef, mefrec, moberg, nex, nicolet, openephys, persyst, plain, spike2, tdms
+from sigloom.sources import blackrock, edf, mef, mefmeta, mefrec, moberg, nex, nicolet, openephys, persyst, plain, spike2, tdms
 
-FORMATS = (*plain.ALL, *edf.ALL, *openephys.ALL, *persyst.ALL, *blackrock.ALL, *moberg.ALL, *mef.ALL, *mefrec.ALL, *nex.ALL, *nicolet.ALL, *tdms.ALL, *spike2.ALL)
+FORMATS = (*plain.ALL, *edf.ALL, *openephys.ALL, *persyst.ALL, *blackrock.ALL, *moberg.ALL, *mef.ALL, *mefmeta.ALL, *mefrec.ALL, *nex.ALL, *nicolet.ALL, *tdms.ALL, *spike2.ALL)
 
 
 def register(spark: SparkSession) -> list[str]:
