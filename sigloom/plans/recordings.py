@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sigloom import sources
 from sigloom.functions import crypto, red
-from sigloom.operators import blocks, export
+from sigloom.operators import blocks, export, filesets
 from sigloom.session import scratch, ship, table
 from sigloom.sources import archives, blackrock, edf, mef, mefmeta, nicolet, plain
 from sigloom.sources.base import filesystem
@@ -179,6 +179,60 @@ def nev_spikes(spark, sf_dir):
     return rows.select("channel", "t_us", "unit", F.col("waveform")[0].alias("w0"), F.col("waveform")[1].alias("w1"))
 
 
+def _blackrock(spark: SparkSession, sf_dir: str) -> str:
+    """A set of files for each thousand keys: spikes of electrodes 1 to 3 in units 0 to 4, two analog files, settings for every third."""
+
+    def encode(f, p):
+        h, w = np.zeros(1, blackrock.NEV), np.zeros(3, blackrock.WAVE)
+        h["id"], h["spec"], h["bytes"], h["packet"], h["resolution"], h["n"], h["origin"] = b"NEURALEV", (2, 3), 336 + 96, 12, 30000, 3, (2000, 1, 6, 1, 0, 0, 0, 0)
+        w["id"], w["factor"], w["bytes"], w["units"] = [1, 2, 3], 250, 2, 4
+        x = np.zeros(len(p), np.dtype([("t", "<u4"), ("id", "<u2"), ("unit", "u1"), ("pad", "u1"), ("w", "<i2", 2)]))
+        x["t"], x["id"], x["unit"] = np.arange(len(p)) * 30000, 1 + _custom(p, 3), (p["o_orderkey"] % 5).to_numpy()
+        out = {f"s{f}.nev": h.tobytes() + b"".join(b"NEUEVWAV" + v.tobytes() for v in w) + x.tobytes()}
+        for k, n in ((2, 2), (5, 1)):
+            b, c = np.zeros(1, blackrock.BASIC), np.zeros(n, blackrock.CHANNEL)
+            b["id"], b["spec"], b["bytes"], b["period"], b["resolution"], b["n"], b["origin"] = b"NEURALCD", (2, 3), b.itemsize + c.nbytes, 30, 30000, n, (2000, 1, 6, 1, 0, 0, 0, 0)
+            c["type"], c["id"], c["label"], c["unit"], c["max_dig"], c["max_ana"] = b"CC", 1 + np.arange(n), [f"a{f}-{i}".encode() for i in range(n)], b"uV", 1000, 500
+            out[f"s{f}.ns{k}"] = b.tobytes() + c.tobytes() + struct.pack("<BII", 1, 0, len(p)) + np.zeros((len(p), n), "<i2").tobytes()
+        return out | ({f"s{f}.ccf": b"settings"} if f % 3 == 0 else {})
+
+    return _written(spark, sf_dir, "", encode)
+
+
+def _set_name(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("recording", F.element_at(F.split("recording", "/"), -1))
+
+
+@query("SELECT DISTINCT 's' || f AS recording, '2,5' AS nsx, TRUE AS nev, f % 3 = 0 AS ccf FROM o")
+def blackrock_files(spark, sf_dir):
+    """Which files each recording has."""
+    sets = filesets.available(filesets.file_sets(spark.read.format("blackrock_files").load(_blackrock(spark, sf_dir))))
+    return _set_name(sets).select("recording", F.concat_ws(",", F.transform("nsx", lambda n: n.cast("string"))).alias("nsx"), "nev", "ccf")
+
+
+@query("""SELECT 's' || f AS recording, (1 + o_custkey % 3)::INTEGER AS channel_id, (o_orderkey % 5)::INTEGER AS unit, i // 300 AS segment, count(*) AS spikes, START_US + min(i) * 1000000 AS first_us, START_US + max(i) * 1000000 AS last_us
+    FROM o WHERE o_orderkey % 5 IN (1, 3) GROUP BY ALL""".replace("START_US", str(START)))
+def spike_trains(spark, sf_dir):
+    """Units that are asked for and exist (1 and 3; 9 doesn't), and their spikes in segments of 300 seconds."""
+    path = _blackrock(spark, sf_dir)
+    spikes = spark.read.format("blackrock_spikes").load(path)
+    found = filesets.units(spikes)
+    asked = found.select("recording", "channel_id").distinct().withColumn("unit", F.explode(F.array(*[F.lit(u) for u in (1, 3, 9)])))
+    bounds = spikes.groupBy("recording").agg(F.min("t_us").alias("a"), F.max("t_us").alias("b")).withColumn("segment", F.explode(F.expr("sequence(0L, (b - a) div 300000000L)")))
+    segments = bounds.select("recording", "segment", (F.lit(START) + F.col("segment") * 300_000_000).alias("lo"), (F.lit(START) + (F.col("segment") + 1) * 300_000_000).alias("hi"))
+    return _set_name(filesets.spike_trains(spikes, filesets.existing(asked, found), segments))
+
+
+@query("""SELECT 's' || f AS recording, e AS channel_id, 'chan' || e AS label, CASE WHEN e = 1 THEN 2 WHEN e = 2 THEN 1 ELSE 0 END AS analog, count(DISTINCT o_orderkey % 5)::INTEGER AS units, count(*)::BIGINT AS spikes FROM (SELECT *, (1 + o_custkey % 3)::INTEGER AS e FROM o) GROUP BY f, e""")
+def channel_groups(spark, sf_dir):
+    """Electrodes with their analog signals and units."""
+    path = _blackrock(spark, sf_dir)
+    groups = filesets.channel_groups(spark.read.format("blackrock_channels").load(path), filesets.units(spark.read.format("blackrock_spikes").load(path)))
+    spikes = F.aggregate("units", F.lit(0).cast("long"), lambda a, u: a + u["spikes"])
+    rows = _set_name(groups).select("recording", "channel_id", "label", F.coalesce(F.size("analog"), F.lit(0)).alias("analog"), F.size("units").alias("units"), spikes.alias("spikes"))
+    return rows.where("spikes is not null").withColumn("analog", F.greatest("analog", F.lit(0)))
+
+
 @query(f"SELECT 'c' || f AS channel, 1000.0::DOUBLE AS rate, {START} + i * 1000 AS t_us, (o_custkey % 30000) / 2 AS value FROM o")
 def openephys_continuous(spark, sf_dir):
     def encode(f, p):

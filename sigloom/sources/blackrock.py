@@ -6,8 +6,10 @@ import os
 from datetime import datetime, timezone
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from sigloom.sources.base import BATCH, Format, Piece, event_batch, file_size, list_files, read_at, sample_batch, spike_batch, split
+from sigloom.sources.base import BATCH, Format, Piece, event_batch, file_size, list_files, read_at, sample_batch, spike_batch, split, whole_micros
 
 BASIC = np.dtype([("id", "S8"), ("spec", "u1", 2), ("bytes", "<u4"), ("label", "S16"), ("comment", "S256"), ("period", "<u4"), ("resolution", "<u4"), ("origin", "<u2", 8), ("n", "<u4")])
 CHANNEL = np.dtype([("type", "S2"), ("id", "<u2"), ("label", "S16"), ("connector", "u1"), ("pin", "u1"), ("min_dig", "<i2"), ("max_dig", "<i2"), ("min_ana", "<i2"), ("max_ana", "<i2"), ("unit", "S16"), ("high", "<u4"), ("high_order", "<u4"), ("high_type", "<u2"), ("low", "<u4"), ("low_order", "<u4"), ("low_type", "<u2")])
@@ -38,7 +40,7 @@ def nsx_header(path: str) -> dict:
     if kind == b"NEURALSG":
         period, n = np.frombuffer(read_at(path, 24, 8), "<u4").tolist()
         ids = np.frombuffer(read_at(path, 32, 4 * n), "<u4").tolist()
-        channels = [{"label": default_label(i), "unit": "uV", "digital": None} for i in ids]
+        channels = [{"id": i, "label": default_label(i), "unit": "uV", "digital": None} for i in ids]
         first = 32 + 4 * n
         return {"rate": 30000.0 / period, "resolution": 30000, "origin": 0, "channels": channels, "blocks": [(first, 0, (file_size(path) - first) // (2 * n))]}
     if kind != b"NEURALCD":
@@ -46,7 +48,7 @@ def nsx_header(path: str) -> dict:
     h = np.frombuffer(read_at(path, 0, BASIC.itemsize), BASIC)[0]
     n = int(h["n"])
     ext = np.frombuffer(read_at(path, BASIC.itemsize, CHANNEL.itemsize * n), CHANNEL)
-    channels = [{"label": text(c["label"]) or default_label(int(c["id"])), "unit": text(c["unit"]), "digital": [int(c[k]) for k in ("min_dig", "max_dig", "min_ana", "max_ana")]} for c in ext]
+    channels = [{"id": int(c["id"]), "label": text(c["label"]) or default_label(int(c["id"])), "unit": text(c["unit"]), "digital": [int(c[k]) for k in ("min_dig", "max_dig", "min_ana", "max_ana")]} for c in ext]
     blocks, at, size = [], int(h["bytes"]), file_size(path)
     while at + BLOCK.itemsize <= size:
         b = np.frombuffer(read_at(path, at, BLOCK.itemsize), BLOCK)[0]
@@ -105,7 +107,7 @@ def nev_header(path: str) -> dict:
         part = raw[32 * k : 32 * k + 32]
         if part[:8] == b"NEUEVWAV":
             w = np.frombuffer(part[8:], WAVE)[0]
-            waves[int(w["id"])] = {"factor": int(w["factor"]), "bytes": max(1, int(w["bytes"]))}
+            waves[int(w["id"])] = {"factor": int(w["factor"]), "bytes": max(1, int(w["bytes"])), **{k: int(w[k]) for k in ("connector", "pin", "energy", "high", "low", "units")}}
         elif part[:8] == b"NEUEVLBL":
             names[int(np.frombuffer(part[8:10], "<u2")[0])] = text(part[10:26])
     return {"first": int(h["bytes"]), "packet": int(h["packet"]), "resolution": int(h["resolution"]), "origin": origin_us(h["origin"]), "wide": bool(int(h["flags"]) & 1), "waves": waves, "names": names, "spec": tuple(int(v) for v in h["spec"])}
@@ -175,4 +177,78 @@ class NevEvents(Format):
         yield event_batch(piece.path, names, t[at].astype(np.int64).tolist(), labels, props)
 
 
-ALL = (Nsx, NevSpikes, NevEvents)
+#: Suffixes of the files of one recording.
+MEMBERS = ("ns1", "ns2", "ns3", "ns4", "ns5", "ns6", "nev", "sif", "ccf")
+
+
+def set_of(path: str) -> tuple[str, str] | None:
+    """A file's recording, its path without the suffix, and which member of its set it is."""
+    base, ext = os.path.splitext(path)
+    return (base, ext[1:]) if ext[1:] in MEMBERS else None
+
+
+class BlackrockFiles(Format):
+    """One row a file of a recording's set: which of its members there are."""
+
+    NAME = "blackrock_files"
+
+    def schema(self):
+        return "recording string, member string, path string, bytes long"
+
+    @staticmethod
+    def plan(path, options):
+        files = [f for f in list_files(path) if set_of(f)]
+        return [Piece(files[a], {"files": files[a:b]}) for a, b in split(len(files), 1024)]
+
+    @staticmethod
+    def decode(piece, options):
+        files = piece.info["files"]
+        sets = [set_of(f) for f in files]
+        yield pa.RecordBatch.from_pydict({"recording": [s[0] for s in sets], "member": [s[1] for s in sets], "path": files, "bytes": pa.array([file_size(f) for f in files], pa.int64())})
+
+
+class BlackrockElectrodes(Format):
+    """One row an electrode of a NEV or channel of an NSx file, from the headers."""
+
+    NAME = "blackrock_channels"
+    COLUMNS = pa.schema({"recording": pa.string(), "member": pa.string(), "channel_id": pa.int32(), "label": pa.string(), "unit": pa.string(), "rate": pa.float64(), "samples": pa.int64(), "connector": pa.int32(), "pin": pa.int32(), "factor": pa.int32(), "energy_threshold": pa.int32(), "high_threshold": pa.int32(), "low_threshold": pa.int32(), "sorted_units": pa.int32()})
+
+    def schema(self):
+        return from_arrow_schema(self.COLUMNS)
+
+    @staticmethod
+    def plan(path, options):
+        return [Piece(f) for f in list_files(path) if (s := set_of(f)) and (s[1] == "nev" or s[1].startswith("ns"))]
+
+    @staticmethod
+    def decode(piece, options):
+        recording, member = set_of(piece.path)
+        own = {"recording": recording, "member": member}
+        if member == "nev":
+            h = nev_header(piece.path)
+            rows = [own | {"channel_id": e, "label": h["names"].get(e) or default_label(e), "unit": "uV", "rate": float(h["resolution"]), "connector": w["connector"], "pin": w["pin"], "factor": w["factor"], "energy_threshold": w["energy"], "high_threshold": w["high"], "low_threshold": w["low"], "sorted_units": w["units"]} for e, w in sorted(h["waves"].items())]
+        else:
+            h = nsx_header(piece.path)
+            n = sum(b[2] for b in h["blocks"])
+            rows = [own | {"channel_id": c["id"], "label": c["label"], "unit": c["unit"], "rate": h["rate"], "samples": n} for c in h["channels"]]
+        yield pa.RecordBatch.from_pylist(rows, schema=BlackrockElectrodes.COLUMNS)
+
+
+class BlackrockSpikes(Format):
+    """Spikes with their recording, electrode and unit, without waveforms. Partitions are ranges of packets."""
+
+    NAME = "blackrock_spikes"
+    plan = staticmethod(NevSpikes.plan)
+
+    def schema(self):
+        return "recording string, channel_id int, unit int, t_us long"
+
+    @staticmethod
+    def decode(piece, options):
+        h, raw, t, kind = _packets(piece)
+        at = np.flatnonzero((kind > 0) & (kind <= (2048 if h["spec"] >= (2, 3) else 512)))
+        recording = set_of(piece.path)[0]
+        yield pa.RecordBatch.from_arrays([pa.array([recording] * len(at), pa.string()), pa.array(kind[at].astype(np.int32)), pa.array(raw[at, 6].astype(np.int32)), pa.array(whole_micros(t[at]))], names=["recording", "channel_id", "unit", "t_us"])
+
+
+ALL = (Nsx, NevSpikes, NevEvents, BlackrockFiles, BlackrockElectrodes, BlackrockSpikes)
