@@ -12,7 +12,8 @@ accepted error rate allows.
 Defined results: null texts and texts without a letter are `und` with score 0; a
 text with letters always gets a learned language, and `rejected` tells whether its
 confidence is under the limit. Without any label all texts are `und`. Repeated rows get a
-row each and count once in training; a doc_id with several texts or languages counts with each.
+row each and count once in training; a doc_id with several texts or languages counts with each. Texts of any length
+are scored in pieces of about a megabyte between words, but for a longer word.
 """
 
 from __future__ import annotations
@@ -74,9 +75,13 @@ class Model:
 
     def proba(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         n, k = len(offs) - 1, len(self.languages)
-        rows, buckets = subwords(buf, offs)
-        count = np.maximum(np.bincount(rows, minlength=n), 1)
-        z = np.stack([np.bincount(rows, self.table[buckets, c], n) for c in range(k)], axis=1) / count[:, None] + self.bias
+        count, z = np.zeros(n, np.int64), np.zeros((n, k))
+        # a long text comes alone; its sums are added up piece by piece
+        for part in T.pieces(buf, T.PLAIN) if n == 1 else [buf]:
+            rows, buckets = subwords(part, np.asarray([0, len(part)]) if n == 1 else offs)
+            count += np.bincount(rows, minlength=n)
+            z += np.stack([np.bincount(rows, self.table[buckets, c], n) for c in range(k)], axis=1)
+        z = z / np.maximum(count, 1)[:, None] + self.bias
         z = z / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)

@@ -438,7 +438,9 @@ def group(docs: DataFrame, keep: list[str], shingle: int = SHINGLE, percent: int
     loose = materialise(loose.join(classes.select("_class", "_id", "_text", "s1", "s2", "n_shingles"), "_class"), "loose")
     sizes = loose.groupBy("label").agg(F.count("*").alias("n"), F.sum(8 * F.col("n_shingles")).alias("bytes"))
     members = materialise(loose.drop("n_shingles").join(sizes, "label"), "members")
-    final = components(exact_edges(docs, members, shingle, percent, max(64, n // 1024))).withColumnRenamed("node", "_class")
+    # cold groups share tasks of about PART_BYTES
+    size = sizes.where(parts_of(F.col("n"), F.col("bytes")) <= 1).agg(F.sum("bytes").alias("s")).first()["s"] or 0
+    final = components(exact_edges(docs, members, shingle, percent, max(64, n // 1024, size // PART_BYTES))).withColumnRenamed("node", "_class")
     least = final.join(classes.select("_class", "_id"), "_class").groupBy("label").agg(F.min("_id").alias("least"))
     known = materialise(classes.select("_class", "_id", "s1", "s2").join(final.join(least, "label").select("_class", "least"), "_class", "left").select("s1", "s2", F.coalesce("least", "_id").alias("component")), "components")
     out = feats.drop("bands", "sketch").join(known, ["s1", "s2"], "left")

@@ -108,6 +108,19 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK) -> Iterator[t
         at = to
 
 
+def pieces(buf: np.ndarray, delimiters: np.ndarray, size: int = CHUNK) -> Iterator[np.ndarray]:
+    """A text's bytes in pieces of about size bytes that end before a delimiter, so that no word is cut; a longer word is in one piece."""
+    at = 0
+    while len(buf) - at > 2 * size:
+        to = at + size
+        while to < len(buf) and not (gaps := np.flatnonzero(delimiters[buf[to : to + 4096]])).size:
+            to += 4096
+        to = min(to + int(gaps[0]) if to < len(buf) else to, len(buf))
+        yield buf[at:to]
+        at = to
+    yield buf[at:]
+
+
 def words(buf: np.ndarray, offs: np.ndarray, delimiters: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each row the index of its first word (one more at the end)."""
     if not len(buf):
