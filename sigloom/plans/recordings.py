@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from sigloom import sources
 from sigloom.functions import crypto, red
-from sigloom.operators import blocks, export, filesets
+from sigloom.operators import blocks, export, filesets, wire
 from sigloom.session import scratch, ship, table
-from sigloom.sources import archives, blackrock, edf, mef, mefmeta, nicolet, plain
+from sigloom.sources import archives, blackrock, edf, mef, mefmeta, moberg, nex, nicolet, openephys, plain, spike2
 from sigloom.sources.base import filesystem
 
 #: Keys in a file.
@@ -244,6 +244,105 @@ def openephys_continuous(spark, sf_dir):
     return spark.read.format("openephys_continuous").load(_written(spark, sf_dir, ".continuous", encode)).select("channel", "rate", "t_us", "value")
 
 
+@query(f"SELECT 'T' || f || '-0' AS channel, {START} + i * 1000000 AS t_us, (o_custkey % 5)::SMALLINT AS unit, (o_custkey % 30000)::DOUBLE / 1000.0::DOUBLE AS w0, (-(o_orderkey % 1000))::DOUBLE / 1000.0::DOUBLE AS w1 FROM o")
+def openephys_spikes(spark, sf_dir):
+    def encode(f, p):
+        fields = {"format": "'Open Ephys Data Format'", "date_created": "'01-Jan-2000 000000'", "electrode": f"'T{f}'", "num_channels": 1, "sampleRate": 1000, "description": "'spike'"}
+        r = np.zeros(len(p), openephys.spike_type(1))
+        r["stamp"], r["gain"], r["sorted"] = np.arange(len(p)) * 1000, 1.0, _custom(p, 5)
+        r["w"][:, 0, 0], r["w"][:, 0, 1] = 32768 + _custom(p, 30000), 32768 - (p["o_orderkey"] % 1000)
+        return "".join(f"header.{k} = {v};\n" for k, v in fields.items()).encode().ljust(1024) + r.tobytes()
+
+    rows = spark.read.format("openephys_spikes").load(_written(spark, sf_dir, ".spikes", encode))
+    return rows.select("channel", "t_us", "unit", F.col("waveform")[0].alias("w0"), F.col("waveform")[1].alias("w1"))
+
+
+@query("SELECT 'A' || f AS channel, 100.0::DOUBLE AS rate, f * 100000000 + i * 10000 AS t_us, (o_custkey % 30000) / 2 AS value FROM o UNION ALL SELECT 'B' || f, 100.0::DOUBLE, f * 100000000 + i * 10000, (o_custkey % 1000) / 2 FROM o")
+def persyst_samples(spark, sf_dir):
+    """Two interleaved channels a recording; each is a folder of a layout and its data."""
+
+    def encode(f, p):
+        lay = f"[FileInfo]\nFile=d.dat\nFileType=Interleaved\nSamplingRate=100\nHeaderLength=0\nCalibration=0.5\nWaveformCount=2\nDataType=0\n[SampleTimes]\n0={100 * f}.0\n[ChannelMap]\nA{f}=1\nB{f}=2\n"
+        return {f"p{f}/d.lay": lay.encode(), f"p{f}/d.dat": np.stack([_custom(p, 30000), _custom(p, 1000)], axis=1).astype("<i2").tobytes()}
+
+    return spark.read.format("persyst").load(_written(spark, sf_dir, "", encode)).select("channel", "rate", "t_us", "value")
+
+
+def _nex(f: int, p: pd.DataFrame) -> bytes:
+    """A continuous variable of one fragment, and a neuron's waveforms of two points."""
+    h, v = np.zeros(1, nex.FILE), np.zeros(2, nex.VARIABLE)
+    h["magic"], h["frequency"], h["n"] = 827868494, 1000.0, 2
+    cont = struct.pack("<ii", 1000 * f, 0) + _custom(p, 30000).astype("<i2").tobytes()
+    waves = (np.arange(len(p)) * 10).astype("<i4").tobytes() + np.stack([_custom(p, 30000), -_custom(p, 1000)], axis=1).astype("<i2").tobytes()
+    at = h.nbytes + v.nbytes
+    v["type"], v["name"], v["count"], v["points"] = [nex.CONTINUOUS, nex.WAVEFORM], [f"c{f}".encode(), f"n{f}".encode()], [1, len(p)], [len(p), 2]
+    v["at"], v["to_mv"], v["rate"], v["unit"] = [at, at + len(cont)], 0.5, 100.0, 3
+    return h.tobytes() + v.tobytes() + cont + waves
+
+
+@query("SELECT 'c' || f AS channel, 'mV' AS unit, 100.0::DOUBLE AS rate, f * 1000000 + i * 10000 AS t_us, (o_custkey % 30000) / 2 AS value FROM o")
+def nex_samples(spark, sf_dir):
+    return spark.read.format("nex_continuous").load(_written(spark, sf_dir, ".nex", _nex))
+
+
+@query("SELECT 'n' || f AS channel, i * 10000 AS t_us, 3::SMALLINT AS unit, (o_custkey % 30000) / 2 AS w0, -(o_custkey % 1000) / 2 AS w1 FROM o")
+def nex_spikes(spark, sf_dir):
+    rows = spark.read.format("nex_spikes").load(_written(spark, sf_dir, ".nex", _nex))
+    return rows.select("channel", "t_us", "unit", F.col("waveform")[0].alias("w0"), F.col("waveform")[1].alias("w1"))
+
+
+@query("SELECT 'a' || f AS channel, 'uV' AS unit, 1000.0::DOUBLE AS rate, f * 1000000 + i * 1000 AS t_us, o_totalprice AS value FROM o UNION ALL SELECT 'b' || f, 'V', 1000.0::DOUBLE, f * 1000000 + i * 1000, o_custkey::DOUBLE FROM o")
+def tdms_samples(spark, sf_dir):
+    """Two channels of a group, one with a unit, and one that is decimated and so left out."""
+
+    def encode(f, p):
+        text = lambda s: struct.pack("<I", len(s)) + s.encode()
+        prop = lambda k, kind, v: text(k) + struct.pack("<I", kind) + v
+
+        def channel(name, *more):
+            props = [prop("wf_increment", 10, struct.pack("<d", 0.001)), prop("wf_start_time", 0x44, struct.pack("<Qq", 0, 2_082_844_800 + f)), *more]
+            return text(f"/'g'/'{name}{f}'") + struct.pack("<IIIQ", 20, 10, 1, len(p)) + struct.pack("<I", len(props)) + b"".join(props)
+
+        meta = struct.pack("<I", 4) + text("/") + struct.pack("<II", 0xFFFFFFFF, 0) + channel("a", prop("unit_string", 0x20, text("uV"))) + channel("b") + channel("c", prop("DecimationLevel", 3, struct.pack("<i", 2)))
+        raw = b"".join(p[c].to_numpy("<f8").tobytes() for c in ("o_totalprice", "o_custkey", "o_custkey"))
+        return b"TDSm" + struct.pack("<IIQQ", 2 | 4 | 8, 4713, len(meta) + len(raw), len(meta)) + meta + raw
+
+    return spark.read.format("tdms").load(_written(spark, sf_dir, ".tdms", encode)).select("channel", "unit", "rate", "t_us", "value")
+
+
+@query("SELECT 'P' || f AS channel, 'mmHg' AS unit, 125.0::DOUBLE AS rate, CASE WHEN i < 300 THEN k0 * 1000000 + i * 8000 ELSE k0 * 1000000 + 9000000 + (i - 300) * 8000 END AS t_us, (o_custkey - o_orderkey) / 2 AS value FROM o")
+def moberg_samples(spark, sf_dir):
+    """Series of 24-bit numbers in two runs; each is an index, data and settings."""
+
+    def encode(f, p):
+        base, k0 = f"P{f},na,SampleSeries,Integer,dev,", int(p["o_orderkey"].iloc[0]) * 1_000_000
+        runs = np.zeros(2 if len(p) > 300 else 1, moberg.INDEX)
+        runs["first"], runs["clock"], runs["whole"], runs["format"] = [0, 300][: len(runs)], [k0, k0 + 9_000_000][: len(runs)], 8000, 5
+        x = b"".join(int(v).to_bytes(3, "little", signed=True) for v in p["o_custkey"] - p["o_orderkey"])
+        return {f"{base}index": runs.tobytes(), f"{base}data": x, f"{base}settings": b"<r><Units>mmHg</Units><SampleConversion>-10,10,-5,5</SampleConversion></r>"}
+
+    return spark.read.format("moberg").load(_written(spark, sf_dir, "", encode))
+
+
+@query("SELECT 't' || f AS label, i * 50 AS t_us FROM o")
+def spike2_events(spark, sf_dir):
+    def encode(f, p):
+        h, c = np.zeros(1, spike2.FILE), np.zeros(1, spike2.CHANNEL)
+        h["system"], h["us_per_time"], h["time_base"], h["channels"] = 8, 10, 1e-6, 1
+        name = f"t{f}".encode()
+        c["kind"], c["blocks"], c["first"] = 2, 1, h.nbytes + c.nbytes
+        c["title"] = np.void(bytes([len(name)]) + name.ljust(9, b"\0"))
+        return h.tobytes() + c.tobytes() + struct.pack("<iiiihh", -1, -1, 0, 0, 1, len(p)) + (np.arange(len(p)) * 5).astype("<i4").tobytes()
+
+    return spark.read.format("spike2_events").load(_written(spark, sf_dir, ".smr", encode)).select("label", "t_us")
+
+
+@query("SELECT CASE WHEN f % 10 = 3 THEN 'third' ELSE 'c' || f % 10 END AS channel_id, k0 * 1000000 AS lo, count(*) AS n FROM o GROUP BY f, k0")
+def channel_rename(spark, sf_dir):
+    """Stored ranges after a channel's name has changed."""
+    return wire.rename_channel(_ranges(spark, sf_dir), "c3", "third").select("channel_id", "lo", F.size("values").cast("long").alias("n"))
+
+
 @query("SELECT 'v' || f AS channel, o_orderkey * 1000 AS t_us, o_totalprice AS value FROM o WHERE o_custkey % 3 > 0")
 def feather_series(spark, sf_dir):
     def encode(f, p):

@@ -48,7 +48,9 @@ class Persyst(Format):
             sections = layout(lay, flag(options, "lower"))
             info = {k.lower(): v for k, v in sections["fileinfo"].items()}
             named = os.path.basename(info.get("file", "").replace("\\", "/"))
-            dat = next((f for f in files if os.path.basename(f) == named), next((f for f in files if f.endswith(".dat")), None))
+            # of the files of that name, or else of all data files, one beside the layout first
+            near = sorted(files, key=lambda f: os.path.dirname(f) != os.path.dirname(lay))
+            dat = next((f for f in near if os.path.basename(f) == named), next((f for f in near if f.endswith(".dat")), None))
             if dat is None:
                 raise FileNotFoundError(f"{lay}: no data file")
             kind = {"0": "<i2", "7": "<i4"}[info["datatype"]]

@@ -134,6 +134,10 @@ def test_persyst(spark, tmp_path):
     assert t == [10_000_000 + i * 10_000 for i in range(6)] + [20_000_000 + i * 10_000 for i in range(4)] and x == [float(i) for i in range(10)]
     assert series(load(spark, "persyst", tmp_path, lower="true"), "fp1-ref")[1] == x
     assert persyst.start_time({"testdate": "02/06/2000", "testtime": "01:02:03"}) == 949798923_000_000 and persyst.start_time({}) == 0
+    (tmp_path / "b").mkdir()
+    np.arange(100, 120, dtype="<i2").tofile(tmp_path / "b" / "d.dat")
+    (tmp_path / "b" / "d.lay").write_text((tmp_path / "d.lay").read_text().replace("C3=2", "C4=2"))
+    assert series(load(spark, "persyst", tmp_path), "C4")[1] == [50.5 + i for i in range(10)] and series(load(spark, "persyst", tmp_path), "C3")[1] == [0.5 + i for i in range(10)]
     (tmp_path / "e").mkdir()
     with pytest.raises(Exception, match="no .lay"):
         load(spark, "persyst", tmp_path / "e").count()
