@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def overlapping(a: DataFrame, b: DataFrame, *keys: str, carry: tuple[str, ...] = (), bucket: int | None = None) -> DataFrame:
     """Pairs of half-open [lo, hi) of equal keys that overlap; b's bounds come as b_lo and b_hi, its carried columns under their names.
 
     Both sides are cut into buckets of time and joined on (keys, bucket); a pair is
-    kept only in the bucket where the later of the two begins, so once.
+    kept only in the bucket where the later of the two begins, so once. A bucket is as wide as two
+    intervals are on average, unless it is given: then cutting adds about half a row for each interval, whatever their lengths.
     """
-    width = F.lit(bucket or 3_600_000_000)
+    if bucket is None:
+        length = a.select((F.col("hi") - F.col("lo")).alias("n")).unionByName(b.select((F.col("hi") - F.col("lo")).alias("n")))
+        bucket = max(1, int(2 * (length.agg(F.avg("n").alias("n")).first()["n"] or 0)))
+    width = F.lit(bucket)
 
     def cut(df: DataFrame) -> DataFrame:
         first, last = F.floor(F.col("lo") / width), F.floor((F.greatest(F.col("hi") - 1, F.col("lo"))) / width)
@@ -61,24 +66,31 @@ def intersect(lo: Column, hi: Column, start: Column, end: Column) -> Column:
 
 
 def match_intervals(rows: DataFrame, value: str, order: str, *keys: str, tolerance: float = 0.02) -> DataFrame:
-    """Folds values, in order, into the first known one within the tolerance, else a new one: adds `matched`.
+    """Folds values, in order, into the first known one within the tolerance, else a new one: adds `matched`. A null has none, 0 matches 0 alone.
 
-    The fold depends on the order, so each key is folded as one group; keys are recordings' sources and stay small.
+    The fold depends on the order in which values first occur, and a value that occurs again matches what it did before; so only
+    the distinct values of each key are folded, as one group, and joined to the rows again.
     """
+    named = [*keys, value]
+    values = rows.where(F.col(value).isNotNull()).groupBy(*named).agg(F.min(order).alias("_first"))
+    kinds = [values.schema[c] for c in named]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fold(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("_first", "ascending"), (value, "ascending")])
         known: list[float] = []
         out = []
-        for v in pdf.sort_values(order)[value]:
-            hit = next((k for k in known if abs(v - k) / k <= tolerance), None) if v else None
+        for v in table[value].to_pylist():
+            hit = next((k for k in known if v == k or (k and abs(v - k) / abs(k) <= tolerance)), None)
             if hit is None:
                 known.append(v)
                 hit = v
-            out.append(hit)
-        return pdf.sort_values(order).assign(matched=out)
+            out.append(float(hit))
+        return table.select(named).append_column("_matched", pa.array(out, pa.float64()))
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", matched double"
-    return rows.groupBy(*keys).applyInPandas(fold, schema)
+    folded = values.groupBy(*keys).applyInArrow(fold, StructType([*kinds, StructField("_matched", DoubleType())]))
+    folded = folded.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(named)], "_matched")
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(named)]
+    return rows.join(folded, same, "left").drop(*[f"_k{i}" for i in range(len(named))]).withColumnRenamed("_matched", "matched")
 
 
 def merge_ranges(user: DataFrame, file: DataFrame, *keys: str) -> DataFrame:

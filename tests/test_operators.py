@@ -136,6 +136,9 @@ def test_lookup_joins(spark):
     assert got == {-1: None, 0: 0, 99: 0, 100: 10, 500: 10}
     m = joins.match_intervals(frame(spark, [("s", 1, 100.0), ("s", 2, 101.5), ("s", 3, 103.9), ("s", 4, 99.0)], "s string, i int, v double"), "v", "i", "s")
     assert [r["matched"] for r in m.orderBy("i").collect()] == [100.0, 100.0, 103.9, 100.0]
+    again = [("s", 1, 100.0), ("s", 2, None), ("s", 3, 0.0), ("s", 4, 101.0), ("s", 5, 100.0), ("s", 6, 0.0), ("s", 7, 102.5), ("s", 8, 101.0), ("t", 1, 101.0), (None, 1, 7.0), (None, 2, 7.1)]
+    m = joins.match_intervals(frame(spark, again, "s string, i int, v double"), "v", "i", "s")
+    assert sorted((str(r["s"]), r["i"], r["matched"]) for r in m.collect()) == [("None", 1, 7.0), ("None", 2, 7.0), ("s", 1, 100.0), ("s", 2, None), ("s", 3, 0.0), ("s", 4, 100.0), ("s", 5, 100.0), ("s", 6, 0.0), ("s", 7, 102.5), ("s", 8, 100.0), ("t", 1, 101.0)]
     known = frame(spark, [("a",)], "channel string")
     asked = frame(spark, [("a",), ("z",)], "channel string")
     assert [r[0] for r in joins.unknown_channels(asked, known).collect()] == ["z"]
