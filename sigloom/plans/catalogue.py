@@ -6,7 +6,6 @@ orders for block indexes, embeddings for waveforms.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import labels, red, scale, timeaxis
 from sigloom.operators import export, joins, sequence, signal, store, wire
-from sigloom.session import materialise, shared_dir, ship, table
+from sigloom.session import materialise, scratch, ship, table
 from sigloom.sources import plain
 from sigloom.streaming import ingest
 
@@ -542,7 +541,7 @@ def red_residual_goal(spark, sf_dir):
 @query("SELECT 'price' AS channel, 'uV' AS unit, o_orderkey * 1000 AS t_us, o_totalprice AS value FROM orders UNION ALL SELECT 'customer', 'uV', o_orderkey * 1000, o_custkey::DOUBLE FROM orders WHERE o_custkey % 3 > 0")
 def csv_series(spark, sf_dir):
     """A CSV series of two channels, one with missing values, written from orders and read by its source."""
-    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    path = scratch(spark, "csv")
     o = table(spark, sf_dir, "orders")
     o.select((F.col("o_orderkey") * 1000).alias("time"), F.col("o_totalprice").alias("price"), F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey")).alias(" customer")).write.csv(path, header=True)
     return plain.read_csv_series(spark, path).select("channel", "unit", "t_us", "value")

@@ -252,15 +252,19 @@ def mef2_channels(spark, path: str, password: str | None = None):
 ALL = (Mef2, Mef2Blocks, Mef3)
 
 
-def write_mef3(ranges, path: str, factor: float = 1.0, unit: str = "uV", per_segment: int = 64, block: int = 4096):
+def write_mef3(ranges, path: str, factor: float = 1.0, unit: str = "uV", per_segment: int = 64, block: int = 4096, residual: float | None = None, detrend: bool = False, least_normality: float | None = 0.5):
     """Writes stored ranges (channel_id, rate, lo, values) as a MEF 3 session, per_segment ranges to a segment; values become whole multiples of factor.
 
+    With residual, blocks normal enough lose as much as keeps their mean residual ratio under it, without their trend if detrend is set; all blocks of a
+    segment are searched at once.
+
     Segments are written by executors to a folder that all nodes share. Returns one row per segment: channel_id, segment, samples.
     """
     import pandas as pd
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
+    from sigloom.functions import lossy
     from sigloom.functions.red import encode_mef3
     from sigloom.sources.base import filesystem
 
@@ -271,12 +275,17 @@ def write_mef3(ranges, path: str, factor: float = 1.0, unit: str = "uV", per_seg
         pdf = pdf.sort_values("lo")
         name, number, rate = pdf["channel_id"].iloc[0], int(pdf["segment"].iloc[0]), float(pdf["rate"].iloc[0])
         data, index, expected = bytearray(1024), [], None
-        for lo, values, first in zip(pdf["lo"], pdf["values"], pdf["first"]):
-            x = np.rint(np.asarray(values, float) / factor).astype(np.int64)
+        arrays = [np.rint(np.asarray(values, float) / factor).astype(np.int64) for values in pdf["values"]]
+        cuts = [len(x[a : a + block]) for x in arrays for a in range(0, len(x), block)]
+        ptr = np.r_[0, np.cumsum(cuts)].astype(np.int64)
+        plan = None if residual is None or not cuts else lossy.for_residual(np.concatenate(arrays), ptr, residual, detrend, least_normality)
+        n_block = 0
+        for lo, x, first in zip(pdf["lo"], arrays, pdf["first"]):
             for a in range(0, len(x), block):
                 part, t = x[a : a + block], int(lo + a * 1e6 / rate)
                 gap = expected is None or abs(t - expected) > 1e6 / rate
-                b = encode_mef3(t, part, gap)
+                b = encode_mef3(t, part, gap) if plan is None else lossy.encode_block(t, part, gap, plan.scale[n_block], plan.slope[n_block], plan.intercept[n_block])
+                n_block += 1
                 e = np.zeros(1, INDEX3)
                 e["at"], e["t"], e["sample"], e["n"], e["bytes"], e["max"], e["min"], e["flags"] = len(data), t, first + a, len(part), len(b), part.max(), part.min(), int(gap)
                 index.append(e.tobytes())

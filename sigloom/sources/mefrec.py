@@ -6,16 +6,18 @@ each. A partition is a range of index entries, planned from file sizes alone: th
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sigloom.functions.crypto import decrypt, mef3_access
+from sigloom.functions.crypto import decrypt, encrypt_block, mef3_access, password_key
 from sigloom.functions.red import crc32_koopman
-from sigloom.sources.base import Format, Piece, file_size, flag, list_files, read_at, split
+from sigloom.sources.base import Format, Piece, file_size, filesystem, flag, list_files, read_at, split
 from sigloom.sources.mef import NO_OFFSET, absolute_time, recording_offset, text
 
 #: Bytes of a universal header, of a record's header and of an index entry.
@@ -162,4 +164,100 @@ def batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
 
 
+def sealed_text(value: str | None, size: int | None = None) -> bytes:
+    """A text with its end, cut or filled up to size."""
+    data = (value or "").encode()
+    return data + b"\0" if size is None else data[: size - 1].ljust(size, b"\0")
+
+
+def write_body(r: dict) -> bytes:
+    """A record's body by its type, the inverse of read_body; of a type without a layout, the body given."""
+    kind, duration = r["type"], r.get("duration_us") or 0
+    code = lambda name, names: names.index(name) if name in names else -1
+    if kind in ("Note", "SyLg"):
+        return sealed_text(r.get("text"))
+    if kind == "EDFA":
+        return struct.pack("<q", duration) + sealed_text(r.get("text"))
+    if kind == "LNTP":
+        x = np.asarray(r.get("template") or [], "<i4")
+        return struct.pack("<q", len(x)) + x.tobytes()
+    if kind == "Seiz":
+        s = r.get("seizure") or {}
+        channels = s.get("channels") or []
+        time = lambda t: -1 if t is None else t
+        head = struct.pack("<qqqii", s.get("earliest_onset") or 0, s.get("latest_offset") or 0, duration, len(channels), code(s.get("onset"), ONSETS))
+        head += sealed_text(s.get("marker_1"), 128) + sealed_text(s.get("marker_2"), 128) + sealed_text(s.get("annotation"), 1024)
+        return head + b"".join(sealed_text(c["name"], 256) + struct.pack("<qq", time(c["onset"]), time(c["offset"])) for c in channels)
+    if kind == "CSti":
+        c = r.get("cognitive") or {}
+        return sealed_text(c.get("task_type"), 64) + struct.pack("<q", duration) + sealed_text(c.get("stimulus_type"), 64) + sealed_text(c.get("response"), 64)
+    if kind == "ESti":
+        e = r.get("electric") or {}
+        numbers = struct.pack("<ddqii", e.get("amplitude") or 0.0, e.get("frequency") or 0.0, e.get("pulse_width") or 0, code(e.get("unit"), UNITS), code(e.get("mode"), MODES))
+        return numbers + sealed_text(e.get("waveform"), 128) + sealed_text(e.get("anode"), 128) + sealed_text(e.get("cathode"), 128)
+    return r.get("body") or b""
+
+
+def records_file(rows: list[dict], session: str, channel: str | None, segment: int, keys: tuple) -> tuple[bytes, bytes]:
+    """A record file and its index, in order of time."""
+    head = bytearray(UNIVERSAL)
+    head[12], head[13], head[15] = 0, 3, 1
+    times = [r["t_us"] for r in rows]
+    struct.pack_into("<qqq", head, 16, min(times), max(times), len(rows))
+    struct.pack_into("<i", head, 48, segment)
+    head[52:308], head[308:564] = sealed_text(channel, 256), sealed_text(session, 256)
+    validate(head, *keys)
+    data, index = bytearray(head), bytearray(head)
+    data[8:12], index[8:12] = b"rdat", b"ridx"
+    for r in sorted(rows, key=lambda r: r["t_us"]):
+        body, level = write_body(r), r.get("encryption") or 0
+        body += bytes(-len(body) % 16)
+        if level > 0:
+            if keys[level - 1] is None:
+                raise ValueError(f"a record of level {level} needs that level's password")
+            body = b"".join(encrypt_block(body[a : a + 16], keys[level - 1]) for a in range(0, len(body), 16))
+        major, minor = (int(x) for x in (r.get("version") or "1.0").split("."))
+        own = struct.pack("<4sxBBbIq", r["type"].encode("latin-1"), major, minor, level, len(body), r["t_us"]) + body
+        index += own[:8] + struct.pack("<qq", len(data), r["t_us"])
+        data += struct.pack("<I", crc32_koopman(own)) + own
+    return bytes(data), bytes(index)
+
+
+def write_records(records: DataFrame, path: str, passwords: tuple[str | None, str | None] = (None, None)) -> DataFrame:
+    """Writes records (the columns of mef3_records) as files of a session in a folder all nodes share; one row a file: its name and its number of records.
+
+    Records of a session, channel or segment are one file, written by one task, so few as people and devices make them. passwords: of
+    levels 1 and 2, for records whose encryption asks for them.
+    """
+    keys = tuple(None if p is None else password_key(p) for p in passwords)
+    named = [f.name for f in SCHEMA if f.name in records.columns]
+    where = ["level", "session", "channel", "segment"]
+
+    def write(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        level, session, channel, segment = (rows[0][c] for c in where)
+        folder, base, number = f"{session}.mefd", session, -3
+        if level != "session":
+            folder, base, number = f"{folder}/{channel}.timd", channel, -2
+        if level == "segment":
+            folder, base, number = f"{folder}/{channel}-{segment:06d}.segd", f"{channel}-{segment:06d}", segment
+        fs, root = filesystem(path)
+        fs.create_dir(f"{root}/{folder}", recursive=True)
+        for ext, content in zip((".rdat", ".ridx"), records_file(rows, session, channel, number, keys)):
+            with fs.open_output_stream(f"{root}/{folder}/{base}{ext}", compression=None) as out:
+                out.write(content)
+        return pa.table({"name": [f"{folder}/{base}"], "records": pa.array([len(rows)], pa.int64())})
+
+    return records.select(*named).groupBy(*where).applyInArrow(write, "name string, records long")
+
+
+def validate(head: bytearray, one: bytes | None, two: bytes | None) -> None:
+    """The fields by which passwords of levels 1 and 2 are known again."""
+    digest = lambda k: hashlib.sha256(k).digest()[:16]
+    if one is not None:
+        head[868:884] = digest(one)
+        if two is not None:
+            head[884:900] = bytes(a ^ b for a, b in zip(digest(two), one))
+
+
 ALL = (Mef3Records,)
