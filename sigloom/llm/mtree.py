@@ -92,7 +92,7 @@ class MTree:
         order = np.argsort(ids, kind="stable")
         top = float(np.abs(vectors).max()) if vectors.size else 0.0
         self.unit = 2.0 ** -max(0, int(np.frexp(top)[1]) - 256)  # keeps squares of the largest components finite
-        self.ids, self.x = ids[order], vectors[order].astype(np.float64) * self.unit
+        self.ids, self.x, self.peak = ids[order], vectors[order].astype(np.float64) * self.unit, top * self.unit
         self.norm2 = (self.x * self.x).sum(axis=1)
         self.top2 = float(self.norm2.max()) if len(ids) else 0.0
         self.last = np.sqrt(np.maximum(self.top2 - self.norm2, 0))
@@ -176,7 +176,7 @@ class MTree:
 
     def exact(self, q: np.ndarray) -> bool:
         """Whether inner products with q are exact in doubles."""
-        top = max(float(np.abs(self.x).max(initial=0)), float(np.abs(q).max(initial=0)))
+        top = max(self.peak, float(np.abs(q).max(initial=0)))
         return self.unit == 1 and top * top * max(self.x.shape[1], len(q), 1) * 4 < 2**53
 
     def search(self, qid: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
