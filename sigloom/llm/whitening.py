@@ -85,25 +85,40 @@ def whole(column, scale: float) -> tuple[np.ndarray, np.ndarray]:
     return at, np.where(x >= 2.0**63, MOST, out)
 
 
+#: Kinds of integers that a vector is packed in, by its first byte.
+KINDS = tuple(np.dtype(k) for k in ("<i1", "<i2", "<i4", "<i8"))
+
+
+def packed(x: np.ndarray) -> bytes:
+    """A vector of longs without its last zeros, in the least kind that holds it: equal vectors have equal bytes."""
+    ink = np.flatnonzero(x)
+    x = x[: ink[-1] + 1] if len(ink) else x[:0]
+    low, high = (int(x.min()), int(x.max())) if len(x) else (0, 0)
+    code = next(i for i, k in enumerate(KINDS) if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
+    return bytes([code]) + x.astype(KINDS[code]).tobytes()
+
+
+def length(data: bytes) -> int:
+    return (len(data) - 1) // KINDS[data[0]].itemsize
+
+
 def unpacked(column, dims: int) -> np.ndarray:
-    """Vectors of longs from bytes without their last zeros."""
+    """Vectors of longs from bytes."""
     out = np.zeros((len(column), dims), np.int64)
     for i, b in enumerate(column.to_pylist()):
-        x = np.frombuffer(b, "<i8")
+        x = np.frombuffer(b, KINDS[b[0]], offset=1)
         out[i, : len(x)] = x
     return out
 
 
 def distinct_vectors(rows: DataFrame, scale: float) -> DataFrame:
-    """x: each distinct integer vector once, as bytes of longs without its last zeros. rows: v."""
+    """x: each distinct integer vector once, packed. rows: v."""
 
     def run(batches):
         for batch in batches:
             seen: dict[bytes, None] = {}
             for at in range(0, len(batch), CHUNK):
-                _, x = whole(batch.column(0).slice(at, CHUNK), scale)
-                ends = np.where((x != 0).any(axis=1), x.shape[1] - np.argmax(x[:, ::-1] != 0, axis=1), 0) if x.size else np.zeros(len(x), np.int64)
-                seen |= dict.fromkeys(r[:e].astype("<i8").tobytes() for r, e in zip(x, ends))
+                seen |= dict.fromkeys(map(packed, whole(batch.column(0).slice(at, CHUNK), scale)[1]))
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary())], names=["x"])
 
     return rows.select("v").mapInArrow(run, "x binary").distinct()
@@ -148,7 +163,7 @@ def exact_sums(rows: DataFrame) -> tuple[int, list[int]]:
         for batch in batches:
             for at in range(0, len(batch), CHUNK):
                 part = batch.column(0).slice(at, CHUNK)
-                dims = max((len(b) // 8 for b in part.to_pylist()), default=0)
+                dims = max(map(length, part.to_pylist()), default=0)
                 x = unpacked(part, dims)
                 n += len(x)
                 if dims > len(high):

@@ -4,6 +4,7 @@ import math
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sigloom.llm import blockjoin, queries, whitening
@@ -147,3 +148,10 @@ def test_jacobi_is_accurate_in_small_eigenvalues(n):
     # the least eigenvalue, from the inverse, whose greatest one is well determined
     inverse = (1 / d)[:, None] * np.linalg.inv(near) * (1 / d)
     assert abs(values.min() * np.linalg.eigvalsh(inverse).max() - 1) < 1e-6
+
+
+def test_packed_vectors_are_equal_as_bytes_only():
+    rows = [[0, 0], [], [1, -128], [1, -128, 0], [1, 128], [1, -129], [40_000, 0, 1], [-(1 << 63), (1 << 63) - 1]]
+    data = [whitening.packed(np.asarray(r, np.int64)) for r in rows]
+    assert [len(d) for d in data] == [1, 1, 3, 3, 5, 5, 13, 17] and len(set(data)) == 6
+    assert [whitening.unpacked(pa.array([d], pa.binary()), 3)[0].tolist() for d in data] == [(r + [0, 0, 0])[:3] for r in rows]
