@@ -10,6 +10,7 @@ from sigloom.sources import base, blackrock, edf, mef, mefrec, moberg, nex, nico
 #: Formats, and the names of a recording's files.
 FORMATS = [
     (persyst.Persyst, ("{0}/d.lay", "{0}/d.dat")),
+    (mef.Mef2, ("{0}.mef",)),
 ]
 
 
