@@ -11,6 +11,8 @@ from sigloom.sources import base, blackrock, edf, mef, mefrec, moberg, nex, nico
 FORMATS = [
     (persyst.Persyst, ("{0}/d.lay", "{0}/d.dat")),
     (mef.Mef2, ("{0}.mef",)),
+    (blackrock.BlackrockElectrodes, ("{0}.nev", "{0}.ns2", "{0}.ccf")),
+    (blackrock.Nsx, ("{0}.ns2",)),
 ]
 
 
