@@ -12,6 +12,7 @@ FORMATS = [
     (persyst.Persyst, ("{0}/d.lay", "{0}/d.dat")),
     (mef.Mef2, ("{0}.mef",)),
     (blackrock.BlackrockElectrodes, ("{0}.nev", "{0}.ns2", "{0}.ccf")),
+    (tdms.Tdms, ("{0}.tdms",)),
     (blackrock.Nsx, ("{0}.ns2",)),
 ]
 
