@@ -13,7 +13,9 @@ FORMATS = [
     (mef.Mef2, ("{0}.mef",)),
     (blackrock.BlackrockElectrodes, ("{0}.nev", "{0}.ns2", "{0}.ccf")),
     (tdms.Tdms, ("{0}.tdms",)),
+    (blackrock.BlackrockSpikes, ("{0}.nev", "{0}.ns2")),
     (blackrock.Nsx, ("{0}.ns2",)),
+    (blackrock.NevSpikes, ("{0}.nev",)),
 ]
 
 
