@@ -14,6 +14,7 @@ FORMATS = [
     (blackrock.BlackrockElectrodes, ("{0}.nev", "{0}.ns2", "{0}.ccf")),
     (tdms.Tdms, ("{0}.tdms",)),
     (blackrock.BlackrockSpikes, ("{0}.nev", "{0}.ns2")),
+    (plain.FeatherSeries, ("{0}.feather",)),
     (blackrock.Nsx, ("{0}.ns2",)),
     (blackrock.NevSpikes, ("{0}.nev",)),
 ]
