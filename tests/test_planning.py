@@ -15,6 +15,8 @@ FORMATS = [
     (tdms.Tdms, ("{0}.tdms",)),
     (blackrock.BlackrockSpikes, ("{0}.nev", "{0}.ns2")),
     (plain.FeatherSeries, ("{0}.feather",)),
+    (nicolet.Nicolet, ("{0}.e",)),
+    (nicolet.NicoletEvents, ("{0}.e",)),
     (blackrock.Nsx, ("{0}.ns2",)),
     (blackrock.NevSpikes, ("{0}.nev",)),
 ]
