@@ -16,6 +16,7 @@ FORMATS = [
     (blackrock.BlackrockSpikes, ("{0}.nev", "{0}.ns2")),
     (plain.FeatherSeries, ("{0}.feather",)),
     (nicolet.Nicolet, ("{0}.e",)),
+    (mef.Mef2Blocks, ("{0}.mef",)),
     (nicolet.NicoletEvents, ("{0}.e",)),
     (blackrock.Nsx, ("{0}.ns2",)),
     (blackrock.NevSpikes, ("{0}.nev",)),
