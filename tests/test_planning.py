@@ -17,6 +17,8 @@ FORMATS = [
     (plain.FeatherSeries, ("{0}.feather",)),
     (nicolet.Nicolet, ("{0}.e",)),
     (mef.Mef2Blocks, ("{0}.mef",)),
+    (openephys.Continuous, ("{0}.continuous",)),
+    (openephys.Spikes, ("{0}.spikes",)),
     (nicolet.NicoletEvents, ("{0}.e",)),
     (blackrock.Nsx, ("{0}.ns2",)),
     (blackrock.NevSpikes, ("{0}.nev",)),
