@@ -18,7 +18,9 @@ FORMATS = [
     (nicolet.Nicolet, ("{0}.e",)),
     (mef.Mef2Blocks, ("{0}.mef",)),
     (openephys.Continuous, ("{0}.continuous",)),
+    (nex.NexContinuous, ("{0}.nex",)),
     (openephys.Spikes, ("{0}.spikes",)),
+    (nex.NexSpikes, ("{0}.nex",)),
     (nicolet.NicoletEvents, ("{0}.e",)),
     (blackrock.Nsx, ("{0}.ns2",)),
     (blackrock.NevSpikes, ("{0}.nev",)),
