@@ -10,6 +10,7 @@ from sigloom.sources import base, blackrock, edf, mef, mefrec, moberg, nex, nico
 #: Formats, and the names of a recording's files.
 FORMATS = [
     (persyst.Persyst, ("{0}/d.lay", "{0}/d.dat")),
+    (moberg.Moberg, ("P{0},na,SampleSeries,Integer,dev,index", "P{0},na,SampleSeries,Integer,dev,data")),
     (mef.Mef2, ("{0}.mef",)),
     (blackrock.BlackrockElectrodes, ("{0}.nev", "{0}.ns2", "{0}.ccf")),
     (tdms.Tdms, ("{0}.tdms",)),
@@ -24,6 +25,11 @@ FORMATS = [
     (nicolet.NicoletEvents, ("{0}.e",)),
     (blackrock.Nsx, ("{0}.ns2",)),
     (blackrock.NevSpikes, ("{0}.nev",)),
+    (edf.Edf, ("{0}.edf",)),
+    (plain.InterleavedSamples, ("{0}.ts.bin",)),
+    (plain.SpikeFile, ("{0}.ts.bin",)),
+    (spike2.Spike2Events, ("{0}.smr",)),
+    (mefrec.Mef3Records, ("{0}.mefd/r.rdat", "{0}.mefd/r.ridx")),
 ]
 
 
