@@ -48,3 +48,15 @@ def test_entry_and_contract(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_cum_offsets_add_in_the_order_of_rows(spark, tmp_path):
+    """Equal customers have equal totals, those of the SQL row by row; by default DuckDB gives the 19th of some as 4287140."""
+    prices = [288364.18, 341564.73, 92359.44, 350611.58, 76989.41, 254003.8, 311786.25, 298162.64, 324816.65, 232557.37, 74319.32, 33538.53, 66481.67, 170768.16, 97674.12, 401664.97, 331578.47, 484783.68, 55115.03]
+    c = duckdb.connect()
+    c.execute("set debug_window_mode='separate'")
+    c.execute("create table orders as select i as o_custkey, i * 100 + j as o_orderkey, (?::double[])[j] as o_totalprice from range(60) a(i), range(1, 20) b(j)", [prices])
+    c.execute(f"copy orders to '{tmp_path}/orders.parquet' (format parquet)")
+    got = {(r["o_custkey"], r["o_orderkey"]): r["offset_end"] for r in QUERIES["cum_offsets"](spark, str(tmp_path)).collect()}
+    assert got == {(k, o): end for k, o, end in c.sql(ORACLES["cum_offsets"]).fetchall()}
+    assert len(got) == 60 * 19 and {got[k, k * 100 + 19] for k in range(60)} == {4287139}
