@@ -60,3 +60,14 @@ def test_cum_offsets_add_in_the_order_of_rows(spark, tmp_path):
     got = {(r["o_custkey"], r["o_orderkey"]): r["offset_end"] for r in QUERIES["cum_offsets"](spark, str(tmp_path)).collect()}
     assert got == {(k, o): end for k, o, end in c.sql(ORACLES["cum_offsets"]).fetchall()}
     assert len(got) == 60 * 19 and {got[k, k * 100 + 19] for k in range(60)} == {4287139}
+
+
+def test_cum_offsets_equal_the_cumsum_of_numpy(spark, small):
+    """The reference's rule for a channel's lengths: cumsum().astype(int)."""
+    o = spark.read.parquet(f"{small}/orders.parquet").select("o_custkey", "o_orderkey", "o_totalprice").toPandas()
+    o = o.sort_values(["o_custkey", "o_orderkey"])
+    want = {}
+    for k, rows in o.groupby("o_custkey"):
+        want |= {(k, i): int(e) for i, e in zip(rows.o_orderkey, rows.o_totalprice.to_numpy().cumsum().astype(int))}
+    got = {(r["o_custkey"], r["o_orderkey"]): r["offset_end"] for r in QUERIES["cum_offsets"](spark, small).collect()}
+    assert got == want and got
