@@ -82,8 +82,8 @@ def block_lengths(blocks: DataFrame, position: str, total: Column, *keys: str) -
 
 
 def cumulative_offsets(rows: DataFrame, length: str, order: list[str], *keys: str) -> DataFrame:
-    """Running totals, truncated to whole numbers after adding up."""
-    over = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    """Running totals, truncated to whole numbers after adding up; rows without a place in the order come last."""
+    over = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("offset_end", F.sum(length).over(over).cast("long"))
 
 

@@ -71,3 +71,12 @@ def test_cum_offsets_equal_the_cumsum_of_numpy(spark, small):
         want |= {(k, i): int(e) for i, e in zip(rows.o_orderkey, rows.o_totalprice.to_numpy().cumsum().astype(int))}
     got = {(r["o_custkey"], r["o_orderkey"]): r["offset_end"] for r in QUERIES["cum_offsets"](spark, small).collect()}
     assert got == want and got
+
+
+def test_cum_offsets_add_rows_without_a_key_last(spark, tmp_path):
+    c = duckdb.connect()
+    c.execute("create table orders as select * from (values (1::bigint, null::bigint, 7.5::double), (1, 3, 1.25), (1, 1, 5.5), (2, null, 2.5), (null, 2, 4.0), (null, null, 8.0), (3, 1, null)) t(o_custkey, o_orderkey, o_totalprice)")
+    c.execute(f"copy orders to '{tmp_path}/orders.parquet' (format parquet)")
+    got = {(r["o_custkey"], r["o_orderkey"], r["offset_end"]) for r in QUERIES["cum_offsets"](spark, str(tmp_path)).collect()}
+    assert got == set(c.sql(f"select o_custkey, o_orderkey, offset_end from ({ORACLES['cum_offsets']})").fetchall())
+    assert {(1, 3, 6), (1, None, 14), (None, 2, 4), (None, None, 12), (3, 1, None)} <= got
