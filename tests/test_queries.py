@@ -80,3 +80,11 @@ def test_cum_offsets_add_rows_without_a_key_last(spark, tmp_path):
     got = {(r["o_custkey"], r["o_orderkey"], r["offset_end"]) for r in QUERIES["cum_offsets"](spark, str(tmp_path)).collect()}
     assert got == set(c.sql(f"select o_custkey, o_orderkey, offset_end from ({ORACLES['cum_offsets']})").fetchall())
     assert {(1, 3, 6), (1, None, 14), (None, 2, 4), (None, None, 12), (3, 1, None)} <= got
+
+
+def test_spike_trains_hold_every_spike(spark, small):
+    """Each order is a spike of one of five units, none of which is left out."""
+    orders = [(r["o_orderkey"], r["o_custkey"]) for r in spark.read.parquet(f"{small}/orders.parquet").select("o_orderkey", "o_custkey").collect()]
+    got = QUERIES["spike_trains"](spark, small).collect()
+    assert sum(r["spikes"] for r in got) == len(orders)
+    assert {(r["channel_id"], r["unit"]) for r in got} == {(1 + c % 3, k % 5) for k, c in orders} and {r["unit"] for r in got} == {0, 1, 2, 3, 4}
